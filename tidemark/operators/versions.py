@@ -80,7 +80,8 @@ def rank_versions(
 
 
 def _rank_by_window(df, keys, order, into):
-    return df.withColumn(into, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(into, F.row_number().over(window).cast("bigint"))
 
 
 def _rank_by_sort(df, keys, order, into, keep):
@@ -119,5 +120,5 @@ def _rank_by_sort(df, keys, order, into, keep):
         [F.col(key).eqNullSafe(F.col(f"_piece_{key}")) for key in keys],
         F.col("_part") == F.col("_piece_part"),
     )
-    rank = (F.col("_before") + F.col("_id") - F.col("_first") + 1).cast("int")
+    rank = F.col("_before") + F.col("_id") - F.col("_first") + 1
     return placed.join(starts, same).select(*df.columns, rank.alias(into))
