@@ -181,8 +181,8 @@ def gold_difference(expected: str) -> str:
     return f"""
   SELECT COALESCE(e.business_date, g.business_date) AS business_date,
          COALESCE(e.destination, g.destination) AS destination, 'STAR' AS batch_id,
-         CASE WHEN e.business_date IS NULL THEN 0 ELSE 1 END AS expected_rows,
-         CASE WHEN g.business_date IS NULL THEN 0 ELSE 1 END AS actual_rows, {values}
+         CAST(e.business_date IS NOT NULL AS BIGINT) AS expected_rows,
+         CAST(g.business_date IS NOT NULL AS BIGINT) AS actual_rows, {values}
   FROM {expected} e
   FULL OUTER JOIN gold g ON g.business_date = e.business_date AND g.destination = e.destination
   WHERE e.confirmed_bookings IS DISTINCT FROM g.confirmed_bookings OR {off}"""
@@ -495,8 +495,8 @@ ORACLE = {
         " COUNT(*) AS lines, CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS"
         " gross FROM lineitem GROUP BY 1, 2, 3) SELECT COALESCE(e.l_suppkey, a.l_suppkey) AS"
         " l_suppkey, COALESCE(e.shipped, a.shipped) AS shipped,"
-        " CASE WHEN e.shipped IS NULL THEN 0 ELSE 1 END AS expected_rows,"
-        " CASE WHEN a.shipped IS NULL THEN 0 ELSE 1 END AS actual_rows,"
+        " CAST(e.shipped IS NOT NULL AS BIGINT) AS expected_rows,"
+        " CAST(a.shipped IS NOT NULL AS BIGINT) AS actual_rows,"
         " e.lines AS expected_lines, a.lines AS actual_lines, e.gross AS expected_gross,"
         " a.gross AS actual_gross FROM (SELECT * FROM sums WHERE l_returnflag = 'R') e"
         " FULL OUTER JOIN (SELECT * FROM sums WHERE l_returnflag = 'A') a"
