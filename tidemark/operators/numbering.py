@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.relations import small_side
 from tidemark.scratch import Scratch
 
+PerSplit = Callable[[DataFrame], DataFrame]
 
-def number_in_file_order(df: DataFrame, scratch: Scratch, into: str) -> DataFrame:
-    """Number rows read from files by path, then position. ``df`` must still have ``_metadata``."""
+
+def number_in_file_order(
+    df: DataFrame, scratch: Scratch, into: str, per_split: PerSplit | None = None
+) -> DataFrame:
+    """Number rows read from files by path, then position. ``df`` must still have ``_metadata``.
+
+    ``per_split`` may add columns to the table of file splits (which has the file's path as
+    ``_file``); they reach the rows with the same join that brings the numbers.
+    """
     tagged = df.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_id"),
     )
-    return _number(tagged, ["_file", "_start"], scratch, into)
+    return _number(tagged, ["_file", "_start"], scratch, into, per_split)
 
 
 def number_in_order(
@@ -28,7 +37,7 @@ def number_in_order(
     return _number(tagged.withColumn("_part", F.shiftright("_id", 33)), ["_part"], scratch, into)
 
 
-def _number(tagged: DataFrame, piece: list[str], scratch: Scratch, into: str) -> DataFrame:
+def _number(tagged, piece, scratch, into, per_split=None) -> DataFrame:
     """Ids are contiguous inside a piece; add the rows of all pieces before it.
 
     The frame is written first so that counting and numbering see the same ids even if a second
@@ -38,13 +47,12 @@ def _number(tagged: DataFrame, piece: list[str], scratch: Scratch, into: str) ->
     stored = scratch.keep(tagged, "tagged")
     pieces = stored.groupBy(*piece).agg(F.min("_id").alias("_first"), F.count("*").alias("_rows"))
     earlier = Window.orderBy(*piece).rowsBetween(Window.unboundedPreceding, -1)
-    starts = scratch.keep(
-        pieces.select(
-            *piece, "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
-        ),
-        "starts",
-    )
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    starts = pieces.select(*piece, "_first", before.alias("_before"))
+    if per_split is not None:
+        starts = per_split(starts)
+    starts = scratch.keep(starts, "starts")
+    helpers = {*piece, "_id", "_first", "_before"}
+    kept = [name for name in [*tagged.columns, *starts.columns] if name not in helpers]
     number = F.col("_before") + F.col("_id") - F.col("_first") + 1
-    helpers = {"_id", "_file", "_start", "_part"}
-    kept = [name for name in tagged.columns if name not in helpers]
-    return stored.join(starts, piece).select(number.alias(into), *kept)
+    return stored.join(small_side(starts), piece).select(number.alias(into), *kept)

@@ -16,6 +16,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.relations import small_side
 from tidemark.scratch import materialise
 
 Keep = Callable[[DataFrame, str], DataFrame]
@@ -121,4 +122,4 @@ def _rank_by_sort(df, keys, order, into, keep):
         F.col("_part") == F.col("_piece_part"),
     )
     rank = F.col("_before") + F.col("_id") - F.col("_first") + 1
-    return placed.join(starts, same).select(*df.columns, rank.alias(into))
+    return placed.join(small_side(starts), same).select(*df.columns, rank.alias(into))

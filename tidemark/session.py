@@ -15,6 +15,10 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even where the next operator then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A stored table is larger in memory than on disk; broadcast by the size it will have.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
+    # Long rule chains compile to methods the JVM would not optimise; run them as several.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # batch_id=001 is a name, not the number 1.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

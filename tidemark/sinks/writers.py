@@ -27,17 +27,20 @@ def replace_batch(
     batch_id: str,
     order: list[Column] | None = None,
     total_order: bool = False,
+    rows_per_file: int = 0,
 ) -> DataFrame:
     """Write one batch and return it as stored.
 
     The batch's own path is overwritten, so an empty replay leaves nothing behind. Large layers
     are ordered within files; ``total_order`` sorts across files, for small published tables.
+    ``rows_per_file`` bounds files whose rows are large.
     """
     rows = df.drop("batch_id")
     if order:
         rows = rows.sort(*order) if total_order else rows.sortWithinPartitions(*order)
     path = batch_path(root, table, batch_id)
-    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    writer = rows.write.mode("overwrite").option("compression", "zstd")
+    writer.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return read_batch(df.sparkSession, root, table, batch_id, rows.schema)
 
 

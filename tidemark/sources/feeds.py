@@ -61,12 +61,16 @@ def bronze(
         rows = read_jsonl_text(spark, path, contract)
     else:
         rows = read_csv_text(spark, path, contract, multi_line)
-    named = rows.select("*", source_file(F.col("_metadata.file_path"), contract).alias("source_file"))
-    numbered = number_in_file_order(named, scratch, ROW_NUMBER)
+    digests = checksums.select("source_file", F.col("checksum").alias("source_checksum"))
+
+    def trace(splits: DataFrame) -> DataFrame:
+        named = splits.withColumn("source_file", source_file(F.col("_file"), contract))
+        return named.join(digests, "source_file", "left")
+
+    numbered = number_in_file_order(rows, scratch, ROW_NUMBER, trace)
     if "active" in contract.columns:
         numbered = numbered.withColumn("active", flag(F.col("active")))
-    digest = checksums.select("source_file", F.col("checksum").alias("source_checksum"))
-    return numbered.join(digest, "source_file", "left").select(
+    return numbered.select(
         ROW_NUMBER,
         *contract.columns,
         F.lit(batch_id).alias("batch_id"),

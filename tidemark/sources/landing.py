@@ -7,9 +7,10 @@ of its lines, marked as such in ``checksum_kind``.
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import is_blank, total
@@ -17,7 +18,7 @@ from tidemark.sinks.writers import replace_batch
 from tidemark.sources.contracts import Contract
 from tidemark.sources.feeds import source_file
 
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
+WHOLE_FILE_BYTES = 64 * 1024 * 1024
 RAW_FILES = "bronze/raw_files"
 RAW_LINES = "bronze/raw_lines"
 
@@ -37,7 +38,11 @@ def land(
     files = [_listing(spark, paths[feed.entity], feed) for feed in feeds]
     whole = reduce(DataFrame.unionByName, files).where(F.col("size_bytes") <= whole_file_bytes)
     copied = replace_batch(
-        whole.select("*", F.sha2("content", 256).alias("checksum")), root, RAW_FILES, batch_id
+        whole.select("*", F.sha2("content", 256).alias("checksum")),
+        root,
+        RAW_FILES,
+        batch_id,
+        rows_per_file=1,
     )
     kept = copied.select(
         "source_name",
@@ -58,7 +63,7 @@ def land(
     lines = _lines(spark, feeds, found)
     stored = replace_batch(lines, root, RAW_LINES, batch_id)
     sizes = reduce(DataFrame.unionByName, large).drop("_n")
-    digests = line_digest(stored).join(sizes, "source_file")
+    digests = line_digest(stored, F.col("line_hash")).join(sizes, "source_file")
     return kept.unionByName(
         digests.select(
             "source_name",
@@ -98,20 +103,30 @@ def _lines(spark, feeds, found):
             text = spark.read.text(chosen)
             name = source_file(F.col("_metadata.file_path"), feed)
             start = F.col("_metadata.file_block_start").alias("block_start")
-            parts.append(text.select(name.alias("source_file"), start, "value"))
+            hashed = hash_number(F.col("value")).alias("line_hash")
+            parts.append(text.select(name.alias("source_file"), start, "value", hashed))
     return reduce(DataFrame.unionByName, parts)
 
 
-def line_digest(lines: DataFrame) -> DataFrame:
-    """Per file: lines, sum and xor of line hashes, combined before the shuffle."""
-    number = F.conv(F.substring(F.sha2("value", 256), 1, 15), 16, 10).cast("decimal(20,0)")
+def hash_number(text: Column) -> Column:
+    """The first 60 bits of the text's SHA-256."""
+    return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("bigint")
+
+
+def combined_digest(number: Column) -> Column:
+    """Aggregate: digest of a bag of hash numbers, whatever their order."""
     parts = F.concat_ws(
         "|",
         F.count("*").cast("string"),
-        F.sum(number).cast("string"),
-        F.bit_xor(F.xxhash64("value")).cast("string"),
+        total(number.cast("decimal(20,0)")).cast("string"),
+        F.coalesce(F.bit_xor(F.xxhash64(number)), F.lit(0)).cast("string"),
     )
-    return lines.groupBy("source_file").agg(F.sha2(parts, 256).alias("checksum"))
+    return F.sha2(parts, 256)
+
+
+def line_digest(lines: DataFrame, number: Column) -> DataFrame:
+    """Per file, over its lines' hash numbers; combined before the shuffle."""
+    return lines.groupBy("source_file").agg(combined_digest(number).alias("checksum"))
 
 
 def verify(spark: SparkSession, landed: DataFrame, root: str, batch_id: str) -> bool:
@@ -121,7 +136,8 @@ def verify(spark: SparkSession, landed: DataFrame, root: str, batch_id: str) ->
     by_line = landed.where(F.col("checksum_kind") != "sha256 of bytes")
     if not by_line.isEmpty():
         lines = spark.read.parquet(f"{root}/{RAW_LINES}/batch_id={batch_id}")
-        again = again.unionByName(line_digest(lines).withColumnRenamed("checksum", "copied"))
+        rehashed = line_digest(lines, hash_number(F.col("value")))
+        again = again.unionByName(rehashed.withColumnRenamed("checksum", "copied"))
     matched = landed.join(again, "source_file", "left")
     return matched.where(~F.col("checksum").eqNullSafe(F.col("copied"))).isEmpty()
 
@@ -156,17 +172,7 @@ def feed_totals(manifest_rows: DataFrame) -> DataFrame:
     A feed of one file keeps that file's checksum; a folder gets an order-free digest over its
     files' names and checksums.
     """
-    pair = F.sha2(F.concat_ws("|", "source_file", "checksum"), 256)
-    number = F.conv(F.substring(pair, 1, 15), 16, 10).cast("decimal(20,0)")
-    combined = F.sha2(
-        F.concat_ws(
-            "|",
-            F.count("*").cast("string"),
-            total(number).cast("string"),
-            F.bit_xor(F.xxhash64(pair)).cast("string"),
-        ),
-        256,
-    )
+    combined = combined_digest(hash_number(F.concat_ws("|", "source_file", "checksum")))
     return manifest_rows.groupBy("source_name").agg(
         F.count("*").alias("files"),
         F.sum("size_bytes").alias("size_bytes"),
@@ -176,8 +182,6 @@ def feed_totals(manifest_rows: DataFrame) -> DataFrame:
 
 
 def source_fingerprint(feed_checksums: dict[str, str], feeds: tuple[Contract, ...]) -> str:
-    import hashlib
-
     text = "|".join(feed_checksums[feed.entity] for feed in feeds)
     return hashlib.sha256(text.encode("ascii")).hexdigest()
 
