@@ -1,5 +1,6 @@
 """Whole runs over small text feeds."""
 
+import hashlib
 import json
 
 import pytest
@@ -10,7 +11,7 @@ from tidemark.plans import catalogues as c
 from tidemark.plans import checks as k
 from tidemark.plans import evidence
 from tidemark.plans.bookings import Strictness
-from tidemark.plans.pipeline import replay_check, speed_check
+from tidemark.plans.batch import replay_check, speed_check
 from tidemark.sinks.writers import read_batch, read_document
 
 
@@ -309,10 +310,42 @@ def test_equal_payment_times_are_decided_by_id(spark, tmp_path):
     assert run.layers.revenue_detail.first()["payment_id"] == "PAY-000002"
 
 
+def test_a_hot_booking_gives_the_same_ranks_by_sort_as_by_window(spark, tmp_path):
+    rows = [booking(4 * i) for i in range(1, 31)]
+    rows += [booking(400, updated_at=f"2026-08-02T09:{i % 7:02d}:00Z") for i in range(15)]
+    payments = [payment(i, row) for i, row in enumerate(rows[:31], 1)]
+    runs = [
+        small_run(spark, tmp_path / str(hot), rows, payments, hot_rows=hot) for hot in (10, 1000)
+    ]
+    by_sort, by_window = [
+        {(r["updated_at"], r["dedup_rank"]) for r in run.layers.superseded.collect()} for run in runs
+    ]
+    assert by_sort == by_window
+    assert {rank for _, rank in by_sort} == set(range(2, 16))
+    assert runs[0].metrics["gold_hash_sha256"] == runs[1].metrics["gold_hash_sha256"]
+    assert runs[0].decision == "GO"
+
+
+def test_repeated_keys_are_reported(spark, tmp_path):
+    row = booking(4)
+    run = small_run(spark, tmp_path, [row], [payment(1, row)] * 3, [*OFFERS, OFFERS[1]])
+    found = {r["key"]: (r["repeated"], r["extra_rows"]) for r in k.repeated_keys(run.layers).collect()}
+    assert found == {"offer_id": (1, 1), "payment_id": (1, 2)}
+
+
+def test_every_json_record_can_be_held_to_the_contract(spark, tmp_path):
+    row = booking(4)
+    cut = payment(2, row)
+    del cut["currency"]
+    payments = [payment(1, row), cut]
+    with pytest.raises(DataContractError, match="payments.jsonl.*currency"):
+        small_run(spark, tmp_path / "a", [row], payments, every_json_record=True)
+    run = small_run(spark, tmp_path / "b", [row], payments)
+    assert reasons(run) == {"PAY-000002": c.MISSING_REQUIRED}
+
+
 def test_equal_versions_are_decided_by_row_number(spark, tmp_path):
     rows = [booking(4, client_id="one"), booking(4, client_id="two")]
-    import hashlib
-
     run = small_run(spark, tmp_path, rows, [payment(1, rows[0])])
     assert run.layers.silver_bookings.first()["client_id_hash"] == hashlib.sha256(b"two").hexdigest()
     assert run.layers.superseded.first()["dedup_rank"] == 2

@@ -1,6 +1,6 @@
 """Batch data quality and revenue pipeline on Spark DataFrames."""
 
-from tidemark.plans.pipeline import RunResult, run_pipeline
+from tidemark.plans.batch import RunResult, run_pipeline
 from tidemark.sources.contracts import DataContractError
 
 __all__ = ["DataContractError", "RunResult", "run_pipeline"]

@@ -26,9 +26,10 @@ from tidemark.plans import checks as k
 from tidemark.plans import evidence
 from tidemark.plans import payments as p
 from tidemark.plans import settlement as s
-from tidemark.plans.pipeline import run_pipeline
+from tidemark.plans.batch import run_pipeline, volumes
 from tidemark.plans.recalculation import expected_gold
 from tidemark.scratch import Scratch, materialise
+from tidemark.sources.landing import manifest_anomalies
 
 QUERIES = {}
 
@@ -460,6 +461,16 @@ def reconciliation(spark, sf_dir):
     return k.reconciliation(star.layers(spark, sf_dir))
 
 
+@query
+def run_volumes(spark, sf_dir):
+    return volumes(star.layers(spark, sf_dir))
+
+
+@query
+def repeated_keys(spark, sf_dir):
+    return k.repeated_keys(star.layers(spark, sf_dir))
+
+
 @query
 def gold_fingerprint(spark, sf_dir):
     gold = materialise(daily_revenue(spark, sf_dir), "gold")
@@ -512,17 +523,15 @@ def manifest_vs_counts(spark, sf_dir):
     arrived = documents.join(labels, "doc_id").groupBy(F.col("source").alias("source_file")).agg(
         F.count("*").alias("actual_row_count")
     )
-    from tidemark.sources.landing import manifest_anomalies
-
     return manifest_anomalies(declared, arrived).select(
         "listed_file", "row_count", "actual_row_count"
     )
 
 
-# --- the whole pipeline from text files --------------------------------------------------------
+# --- whole runs from text files -----------------------------------------------------------------
 
 
-def pipeline(spark, sf_dir, mode="fixed"):
+def run_from_files(spark, sf_dir, mode="fixed"):
     """Text feeds written from the tables, then one full run over them."""
     folder = Scratch(spark).root
     source = star.write_text_feeds(spark, sf_dir, f"{folder}/source")
@@ -531,35 +540,35 @@ def pipeline(spark, sf_dir, mode="fixed"):
 
 @query
 def files_to_bronze(spark, sf_dir):
-    return pipeline(spark, sf_dir).layers.bronze_bookings.drop(
+    return run_from_files(spark, sf_dir).layers.bronze_bookings.drop(
         "source_checksum", "ingested_at", "source_file"
     )
 
 
 @query
 def files_to_quarantine(spark, sf_dir):
-    return pipeline(spark, sf_dir).layers.quarantine.drop("source_file")
+    return run_from_files(spark, sf_dir).layers.quarantine.drop("source_file")
 
 
 @query
 def files_to_superseded(spark, sf_dir):
-    return pipeline(spark, sf_dir).layers.superseded
+    return run_from_files(spark, sf_dir).layers.superseded
 
 
 @query
 def files_to_gold(spark, sf_dir):
-    return pipeline(spark, sf_dir).layers.daily_revenue
+    return run_from_files(spark, sf_dir).layers.daily_revenue
 
 
 @query
 def files_to_checks(spark, sf_dir):
-    return k.control_checks(pipeline(spark, sf_dir).layers).drop("check_name", "parts_json")
+    return k.control_checks(run_from_files(spark, sf_dir).layers).drop("check_name", "parts_json")
 
 
 @query
 def files_to_manifest(spark, sf_dir):
     """Rows and files per feed as the manifest counted them; file counts vary with the cluster."""
-    manifest = pipeline(spark, sf_dir).layers.manifest
+    manifest = run_from_files(spark, sf_dir).layers.manifest
     traced = F.every(col.is_digest(F.col("checksum")))
     return manifest.groupBy("source_name").agg(
         F.sum("row_count").alias("row_count"), traced.alias("has_checksums")

@@ -570,6 +570,26 @@ ORACLE = {
         " SELECT *, raw_count - accepted_count - superseded_count - quarantined_count AS"
         " reconciliation_delta FROM c"
     ),
+    "run_volumes": (
+        f"WITH {settled()}, v AS ("
+        "SELECT 'raw_bookings' AS part, COUNT(*) AS n FROM booking_feed UNION ALL"
+        " SELECT 'raw_payments', COUNT(*) FROM payment_feed UNION ALL"
+        " SELECT 'raw_offers', COUNT(*) FROM offer UNION ALL"
+        " SELECT 'bookings', COUNT(*) FROM settled WHERE NOT unpaid UNION ALL"
+        " SELECT 'payments', COUNT(*) FROM matched WHERE reason IS NULL UNION ALL"
+        " SELECT 'superseded', COUNT(*) FROM ranked WHERE dedup_rank > 1 UNION ALL"
+        " SELECT 'gold_rows', COUNT(*) FROM gold UNION ALL"
+        " SELECT 'reject:' || source_entity || ':' || reason_code, COUNT(*) FROM rejects GROUP BY 1)"
+        " SELECT part, n, CAST(NULL AS DECIMAL(18,2)) AS value FROM v UNION ALL"
+        " SELECT 'gross', 0, CAST(COALESCE(SUM(gross_revenue_eur), 0) AS DECIMAL(18,2)) FROM gold"
+    ),
+    "repeated_keys": (
+        f"WITH {settled()}, p AS (SELECT payment_id, COUNT(*) AS n FROM payment_feed GROUP BY 1"
+        " HAVING COUNT(*) > 1), o AS (SELECT offer_id, COUNT(*) AS n FROM offer GROUP BY 1"
+        " HAVING COUNT(*) > 1) SELECT 'payment_id' AS key, COUNT(*) AS repeated,"
+        " CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS extra_rows FROM p UNION ALL"
+        " SELECT 'offer_id', COUNT(*), CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) FROM o"
+    ),
     "gold_fingerprint": (
         f"WITH {settled()} SELECT COUNT(*) AS row_count, CAST(ROUND(COALESCE(SUM(gross_revenue_eur),"
         f" 0), 2) AS DECIMAL(18,2)) AS gross_sum, MD5(COALESCE(STRING_AGG({GOLD_TEXT}, '||' ORDER BY"

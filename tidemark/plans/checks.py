@@ -156,6 +156,24 @@ def verdicts(tallies: Sequence[DataFrame], catalogue: dict[str, tuple[str, str]]
     )
 
 
+def repeated_keys(layers: Layers) -> DataFrame:
+    """Keys the contract calls unique but no rule enforces: a repeated offer explains a negative
+    reconciliation delta, a repeated payment an ambiguous one."""
+    feeds = {
+        "offer_id": layers.bronze_offers,
+        "payment_id": layers.bronze_payments,
+    }
+    counted = [
+        duplicate_groups(df.where(~is_blank(F.col(key))), [key]).agg(
+            F.lit(key).alias("key"),
+            F.count("*").alias("repeated"),
+            total(F.col("copies") - 1).cast("bigint").alias("extra_rows"),
+        )
+        for key, df in feeds.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 def reconciliation_tallies(layers: Layers) -> list[DataFrame]:
     def signed(part, df, sign):
         return tally("AC03", part, df.agg((F.count("*") * sign).alias("n")))

@@ -109,7 +109,18 @@ def lacking_keys(spark: SparkSession, path: str, contract: Contract) -> dict[str
     return {name: n for name, n in lines.agg(*absent).first().asDict().items() if n}
 
 
-def check_contract(spark: SparkSession, path: str, contract: Contract) -> None:
+def check_contract(
+    spark: SparkSession, path: str, contract: Contract, every_record: bool = False
+) -> None:
+    """Stop before any work if a mandatory column is missing; for JSON lines the first record
+    decides, or with ``every_record`` all of them."""
     read = jsonl_columns if contract.is_json else csv_columns
     actual = read(spark, path, contract.file_name)
     require_columns(actual, contract.columns, contract.file_name)
+    if every_record and contract.is_json:
+        lacking = lacking_keys(spark, path, contract)
+        require_columns(
+            [name for name in contract.columns if name not in lacking],
+            contract.columns,
+            contract.file_name,
+        )
