@@ -64,7 +64,7 @@ def test_oldest_mode_fails_only_the_newest_version_check(lake):
 
 def test_controls_and_listings_of_a_clean_batch(lake):
     layers = lake["again"].layers
-    checks = evidence.ordered_checks(k.control_checks(layers)).collect()
+    checks = evidence.validation_results(k.control_checks(layers)).collect()
     assert [row["check_id"] for row in checks] == sorted(k.CONTROLS)
     assert {row["status"] for row in checks} == {"PASS"}
     differences = k.gold_differences(k.recalculated(layers), layers.daily_revenue)
@@ -202,6 +202,17 @@ def test_an_empty_replay_leaves_no_old_rows(spark, tmp_path):
     assert run.decision == "GO"
 
 
+def test_a_feed_of_headers_only(spark, tmp_path):
+    source = write_feeds(tmp_path / "source", *scenario(20))
+    header = (tmp_path / "source/bookings.csv").read_text().splitlines()[0]
+    (tmp_path / "source/bookings.csv").write_text(header + "\n")
+    run = run_pipeline(spark, source, str(tmp_path / "lake"))
+    assert run.metrics["source_rows"]["bookings"] == 0
+    assert run.metrics["success_rate_percent"] == 100.0
+    assert run.metrics["quarantine_reasons"] == {c.MISSING_REQUIRED: 14}
+    assert run.decision == "GO"
+
+
 def test_modes_and_names_are_checked(spark, tmp_path):
     for wrong in ({"mode": "fast"}, {"dedup_mode": "newest"}, {"batch_id": "a/b"}):
         with pytest.raises(ValueError):

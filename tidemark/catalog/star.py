@@ -16,7 +16,7 @@ from tidemark.plans import bookings as b
 from tidemark.plans import payments as p
 from tidemark.plans import settlement as s
 from tidemark.plans.checks import Layers
-from tidemark.scratch import materialise
+from tidemark.scratch import materialise, together
 from tidemark.session import tune
 from tidemark.sources.contracts import FEEDS
 
@@ -159,9 +159,11 @@ def quarantine_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layers(spark: SparkSession, sf_dir: str, dedup_mode: str = "latest") -> Layers:
     """All tables of one batch, each stored once, for the check suites."""
-    bookings = materialise(bronze_bookings(spark, sf_dir), "bookings")
-    payments = materialise(bronze_payments(spark, sf_dir), "payments")
-    offers = materialise(bronze_offers(spark, sf_dir), "offers")
+    bookings, payments, offers = together(
+        lambda: materialise(bronze_bookings(spark, sf_dir), "bookings"),
+        lambda: materialise(bronze_payments(spark, sf_dir), "payments"),
+        lambda: materialise(bronze_offers(spark, sf_dir), "offers"),
+    )
     validated = b.validate_bookings(bookings, b.offers_reference(offers))
     hot = hot_keys(bookings, ["booking_id"])
     ranked = materialise(b.rank_bookings(validated, dedup_mode, TIE_BREAK, hot), "ranked")
@@ -170,6 +172,17 @@ def layers(spark: SparkSession, sf_dir: str, dedup_mode: str = "latest") -> Laye
     silver_payments = p.silver_payments(matched)
     outcome = materialise(s.settle(current, p.latest_payment(silver_payments)), "settled")
     detail = s.revenue_detail(outcome)
+    rejects, daily = together(
+        lambda: materialise(
+            quarantine(
+                b.booking_rejects(validated),
+                s.missing_payment_rejects(outcome),
+                p.payment_rejects(matched),
+            ),
+            "rejects",
+        ),
+        lambda: materialise(s.daily_revenue(detail, one_row_per_booking=True), "daily"),
+    )
     return Layers(
         bronze_bookings=bookings,
         bronze_payments=payments,
@@ -178,13 +191,9 @@ def layers(spark: SparkSession, sf_dir: str, dedup_mode: str = "latest") -> Laye
         silver_bookings=s.silver_bookings(outcome),
         silver_payments=silver_payments,
         superseded=b.superseded_bookings(ranked, dedup_mode),
-        quarantine=quarantine(
-            b.booking_rejects(validated),
-            s.missing_payment_rejects(outcome),
-            p.payment_rejects(matched),
-        ),
+        quarantine=rejects,
         revenue_detail=detail,
-        daily_revenue=materialise(s.daily_revenue(detail, one_row_per_booking=True), "daily"),
+        daily_revenue=daily,
         batch_id=BATCH,
         booking_tie_break=TIE_BREAK,
         payment_tie_break=("payment_id",),
@@ -201,12 +210,12 @@ def write_text_feeds(spark: SparkSession, sf_dir: str, folder: str) -> str:
         "payments.jsonl": (bronze_payments(spark, sf_dir), ["payment_id", "paid_at", "amount"]),
         "offers.csv": (bronze_offers(spark, sf_dir), ["offer_id"]),
     }
-    for feed in FEEDS:
+
+    def write(feed):
         rows, order = feeds[feed.file_name]
-        ordered = rows.sort(*order).select(*feed.columns)
+        writer = rows.sort(*order).select(*feed.columns).write.mode("overwrite")
         path = f"{folder}/{feed.file_name}"
-        if feed.is_json:
-            ordered.write.mode("overwrite").json(path)
-        else:
-            ordered.write.mode("overwrite").option("header", True).csv(path)
+        writer.json(path) if feed.is_json else writer.option("header", True).csv(path)
+
+    together(*[lambda feed=feed: write(feed) for feed in FEEDS])
     return folder

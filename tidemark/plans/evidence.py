@@ -41,8 +41,17 @@ def rejects_by_cause(records: DataFrame) -> DataFrame:
     )
 
 
-def ordered_checks(checks: DataFrame) -> DataFrame:
-    return checks.orderBy("check_id")
+def validation_results(checks: DataFrame) -> DataFrame:
+    """The control suite as a report listing, ordered by check."""
+    return checks.select(
+        "check_id",
+        F.col("check_name").alias("control_name"),
+        F.col("severity").alias("priority"),
+        "status",
+        F.concat(F.col("violations").cast("string"), F.lit(" violation(s)")).alias("actual_value"),
+        F.lit("0 violation(s)").alias("expected_value"),
+        F.col("parts_json").alias("details"),
+    ).orderBy("check_id")
 
 
 def ordered_differences(differences: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,3 +47,9 @@ class Scratch:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once for a caller that keeps the result for the session."""
     return Scratch(df.sparkSession).keep(df, name)
+
+
+def together(*steps):
+    """Run independent jobs at the same time; each step is a function without arguments."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [future.result() for future in [pool.submit(step) for step in steps]]
