@@ -127,7 +127,7 @@ def test_a_hot_booking_is_split_by_adaptive_skew_handling(spark, no_broadcast):
         validated = p.validate_payments(*stored)
         rows = validated.where("validation_reason IS NULL")
         assert rows.count() == n
-        latest = p.latest_payment(p.silver_payments(validated))
+        latest = p.latest_payment(p.silver_payments(p.judged_payments(validated)))
         assert latest.count() == stored[1].count()
         judged = validated.select("payment_id", "validation_reason")
         assert len(judged.collect()) == n

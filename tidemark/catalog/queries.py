@@ -261,7 +261,7 @@ def orders_without_lines(spark, sf_dir):
 @query
 def orphan_totals(spark, sf_dir):
     """Payments of bookings that never made it to Silver, and events of unknown customers."""
-    current = b.typed_versions(star.validated_bookings(spark, sf_dir)).select("booking_id")
+    current = b.typed_versions(star.judged_bookings(spark, sf_dir)).select("booking_id")
     payments = star.bronze_payments(spark, sf_dir).select("booking_id")
     events = table(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey"))
     counted = {
@@ -385,12 +385,12 @@ def payment_reasons(spark, sf_dir):
 
 @query
 def silver_payments(spark, sf_dir):
-    return p.silver_payments(star.validated_payments(spark, sf_dir))
+    return p.silver_payments(star.judged_payments(spark, sf_dir))
 
 
 @query
 def latest_payment(spark, sf_dir):
-    return p.latest_payment(p.silver_payments(star.validated_payments(spark, sf_dir)))
+    return p.latest_payment(p.silver_payments(star.judged_payments(spark, sf_dir)))
 
 
 @query

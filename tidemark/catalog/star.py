@@ -119,16 +119,20 @@ def validated_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.validate_bookings(bronze_bookings(spark, sf_dir), offers)
 
 
+def judged_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.judged_bookings(validated_bookings(spark, sf_dir), TIE_BREAK)
+
+
 def ranked_bookings(spark: SparkSession, sf_dir: str, dedup_mode: str = "latest") -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     hot_lines = hot_keys(lines, ["l_orderkey", "l_linenumber"])
     hot = None if hot_lines is None else hot_lines.select(line_key().alias("booking_id"))
-    return b.rank_bookings(validated_bookings(spark, sf_dir), dedup_mode, TIE_BREAK, hot)
+    return b.rank_bookings(judged_bookings(spark, sf_dir), dedup_mode, TIE_BREAK, hot)
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rank 1 only: no row of a hot key beyond its first per map task is shuffled."""
-    versions = b.typed_versions(validated_bookings(spark, sf_dir), TIE_BREAK)
+    versions = b.typed_versions(judged_bookings(spark, sf_dir), TIE_BREAK)
     order = direction("latest", ["updated_at", *TIE_BREAK])
     return keep_one(versions, ["booking_id"], order).drop(*TIE_BREAK)
 
@@ -137,21 +141,27 @@ def validated_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.validate_payments(bronze_payments(spark, sf_dir), candidates(spark, sf_dir))
 
 
+def judged_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p.judged_payments(validated_payments(spark, sf_dir))
+
+
 def settled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current bookings are needed twice, so they are stored once."""
     current = materialise(candidates(spark, sf_dir), "candidates")
-    payments = p.validate_payments(bronze_payments(spark, sf_dir), current)
+    payments = p.judged_payments(p.validate_payments(bronze_payments(spark, sf_dir), current))
     return s.settle(current, p.latest_payment(p.silver_payments(payments)))
 
 
 def quarantine_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    current = materialise(candidates(spark, sf_dir), "candidates")
-    payments = materialise(
-        p.validate_payments(bronze_payments(spark, sf_dir), current), "payments"
-    )
+    judged = materialise(judged_bookings(spark, sf_dir), "judged")
+    order = direction("latest", ["updated_at", *TIE_BREAK])
+    versions = keep_one(b.typed_versions(judged, TIE_BREAK), ["booking_id"], order)
+    current = materialise(versions.drop(*TIE_BREAK), "candidates")
+    matched = p.validate_payments(bronze_payments(spark, sf_dir), current)
+    payments = materialise(p.judged_payments(matched), "payments")
     latest = p.latest_payment(p.silver_payments(payments))
     return quarantine(
-        b.booking_rejects(validated_bookings(spark, sf_dir)),
+        b.booking_rejects(judged),
         s.missing_payment_rejects(s.settle(current, latest)),
         p.payment_rejects(payments),
     )
@@ -165,17 +175,20 @@ def layers(spark: SparkSession, sf_dir: str, dedup_mode: str = "latest") -> Laye
         lambda: materialise(bronze_offers(spark, sf_dir), "offers"),
     )
     validated = b.validate_bookings(bookings, b.offers_reference(offers))
-    hot = hot_keys(bookings, ["booking_id"])
-    ranked = materialise(b.rank_bookings(validated, dedup_mode, TIE_BREAK, hot), "ranked")
+    judged = materialise(b.judged_bookings(validated, TIE_BREAK), "judged")
+    hot = hot_keys(judged, ["booking_id"])
+    ranked = materialise(b.rank_bookings(judged, dedup_mode, TIE_BREAK, hot), "ranked")
     current = b.current_candidates(ranked)
-    matched = materialise(p.validate_payments(payments, current), "matched")
+    matched = materialise(
+        p.judged_payments(p.validate_payments(payments, current)), "matched"
+    )
     silver_payments = p.silver_payments(matched)
     outcome = materialise(s.settle(current, p.latest_payment(silver_payments)), "settled")
     detail = s.revenue_detail(outcome)
     rejects, daily = together(
         lambda: materialise(
             quarantine(
-                b.booking_rejects(validated),
+                b.booking_rejects(judged),
                 s.missing_payment_rejects(outcome),
                 p.payment_rejects(matched),
             ),
@@ -187,7 +200,7 @@ def layers(spark: SparkSession, sf_dir: str, dedup_mode: str = "latest") -> Laye
         bronze_bookings=bookings,
         bronze_payments=payments,
         bronze_offers=offers,
-        validated_bookings=validated,
+        judged_bookings=judged,
         silver_bookings=s.silver_bookings(outcome),
         silver_payments=silver_payments,
         superseded=b.superseded_bookings(ranked, dedup_mode),

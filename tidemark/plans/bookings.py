@@ -109,10 +109,12 @@ def booking_validation(validated: DataFrame) -> DataFrame:
     return validated.drop(*PARSED)
 
 
-def typed_versions(validated: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Valid versions with final types; the client is pseudonymised here. ``keep`` names extra
-    columns wanted for ordering."""
-    return accepted(validated).select(
+def judged_bookings(validated: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Every row's final values and reason, without raw text: what ranking, rejects and checks
+    read, so it is stored once. The client is pseudonymised here. ``keep`` names extra columns
+    wanted for ordering."""
+    return validated.select(
+        "source_row_number",
         "booking_id",
         "offer_id",
         pseudonym(F.col("client_id")).alias("client_id_hash"),
@@ -120,18 +122,40 @@ def typed_versions(validated: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         F.col("parsed_booking_ts").alias("booking_ts"),
         F.col("parsed_service_date").alias("service_date"),
         code(F.col("booking_status")).alias("booking_status"),
-        stored_amount(F.col("parsed_amount"), F.col("booking_id")).alias("gross_amount"),
+        F.col("parsed_amount").alias("gross_amount"),
         code(F.col("currency")).alias("currency"),
         F.col("parsed_updated_at").alias("updated_at"),
         "destination",
         "commission_rate",
+        "validation_reason",
+        "source_file",
+        "batch_id",
+        *keep,
+    )
+
+
+def typed_versions(judged: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Valid versions with the columns and widths of Silver."""
+    return accepted(judged).select(
+        "booking_id",
+        "offer_id",
+        "client_id_hash",
+        "source_channel",
+        "booking_ts",
+        "service_date",
+        "booking_status",
+        stored_amount(F.col("gross_amount"), F.col("booking_id")).alias("gross_amount"),
+        "currency",
+        "updated_at",
+        "destination",
+        "commission_rate",
         "batch_id",
         *keep,
     )
 
 
 def rank_bookings(
-    validated: DataFrame,
+    judged: DataFrame,
     dedup_mode: str = "latest",
     tie_break: Sequence[str] = ("source_row_number",),
     hot: DataFrame | None = None,
@@ -140,7 +164,7 @@ def rank_bookings(
     """Typed versions with their rank: 1 is the one to keep."""
     order = direction(dedup_mode, ["updated_at", *tie_break])
     ranked = rank_versions(
-        typed_versions(validated, tie_break), ["booking_id"], order, "dedup_rank", hot, keep
+        typed_versions(judged, tie_break), ["booking_id"], order, "dedup_rank", hot, keep
     )
     return ranked.drop(*tie_break)
 
@@ -157,10 +181,10 @@ def superseded_bookings(ranked: DataFrame, dedup_mode: str) -> DataFrame:
     )
 
 
-def booking_rejects(validated: DataFrame) -> DataFrame:
+def booking_rejects(judged: DataFrame) -> DataFrame:
     row_number = F.col("source_row_number")
     return reject(
-        rejected(validated),
+        rejected(judged),
         "bookings",
         record_id(F.col("booking_id"), "BOOKING_ROW_", row_number),
         F.col("validation_reason"),

@@ -86,7 +86,7 @@ class Layers:
     bronze_bookings: DataFrame
     bronze_payments: DataFrame
     bronze_offers: DataFrame
-    validated_bookings: DataFrame
+    judged_bookings: DataFrame
     silver_bookings: DataFrame
     silver_payments: DataFrame
     superseded: DataFrame
@@ -231,9 +231,7 @@ def gate_tallies(layers: Layers) -> list[DataFrame]:
     """The pipeline's own gate, apart from the checks that compare runs."""
     spark = layers.daily_revenue.sparkSession
     silver, detail = layers.silver_bookings, layers.revenue_detail
-    valid = accepted(layers.validated_bookings).select(
-        "booking_id", F.col("parsed_updated_at").alias("updated_at")
-    )
+    valid = accepted(layers.judged_bookings).select("booking_id", "updated_at")
     expected = daily_revenue(revenue_detail_of(silver, latest_payment(layers.silver_payments)))
     surplus = bag_difference(expected, layers.daily_revenue)
     personal = sum(

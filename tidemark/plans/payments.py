@@ -64,14 +64,31 @@ def payment_validation(validated: DataFrame) -> DataFrame:
     return validated.drop("parsed_amount", "parsed_paid_at")
 
 
-def silver_payments(validated: DataFrame) -> DataFrame:
-    return accepted(validated).select(
+def judged_payments(validated: DataFrame) -> DataFrame:
+    """Every payment's final values and reason, without raw text."""
+    return validated.select(
+        "source_row_number",
         "payment_id",
         "booking_id",
         code(F.col("payment_status")).alias("payment_status"),
-        stored_amount(F.col("parsed_amount"), F.col("payment_id")).alias("amount"),
+        F.col("parsed_amount").alias("amount"),
         code(F.col("currency")).alias("currency"),
         F.col("parsed_paid_at").alias("paid_at"),
+        "booking_gross_amount",
+        "validation_reason",
+        "source_file",
+        "batch_id",
+    )
+
+
+def silver_payments(judged: DataFrame) -> DataFrame:
+    return accepted(judged).select(
+        "payment_id",
+        "booking_id",
+        "payment_status",
+        stored_amount(F.col("amount"), F.col("payment_id")).alias("amount"),
+        "currency",
+        "paid_at",
         "batch_id",
     )
 
@@ -81,7 +98,7 @@ def latest_payment(silver: DataFrame) -> DataFrame:
     return keep_one(silver, ["booking_id"], order)
 
 
-def payment_rejects(validated: DataFrame) -> DataFrame:
+def payment_rejects(judged: DataFrame) -> DataFrame:
     reason, row_number = F.col("validation_reason"), F.col("source_row_number")
     unmatched = (reason == c.MISSING_REQUIRED) & F.col("booking_gross_amount").isNull()
     details = (
@@ -90,7 +107,7 @@ def payment_rejects(validated: DataFrame) -> DataFrame:
         .otherwise(c.ROW_FAILED)
     )
     return reject(
-        rejected(validated),
+        rejected(judged),
         "payments",
         record_id(F.col("payment_id"), "PAYMENT_ROW_", row_number),
         reason,
