@@ -10,7 +10,8 @@ from tidemark.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tidemark-tests", cores=8)
+    session = local_session("tidemark-tests", cores=4)
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

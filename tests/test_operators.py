@@ -40,8 +40,10 @@ def skewed(spark):
 def many_parts(spark):
     """Keep all shuffle partitions, however small the test's data."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
     yield
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
 
 
 def brute_ranks(rows, newest):

@@ -102,6 +102,7 @@ def test_a_hot_booking_is_split_by_adaptive_skew_handling(spark, no_broadcast):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
     }
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
