@@ -110,8 +110,6 @@ def test_rows_are_numbered_across_splits_and_files(spark, tmp_path):
     folder.mkdir()
     header = ",".join(BOOKINGS.columns) + "\n"
     n = 0
-    for part, size in (("b", 900), ("a", 40), ("c", 500)):
-        pass
     for part, size in (("part-a", 40), ("part-b", 900), ("part-c", 500)):
         with open(folder / part, "w") as out:
             out.write(header)
@@ -119,15 +117,14 @@ def test_rows_are_numbered_across_splits_and_files(spark, tmp_path):
                 n += 1
                 out.write(",".join([f"BKG-{n:06d}", *["x" * 20] * 9]) + "\n")
     names = [f"bookings.csv/part-{x}" for x in "abc"]
-    before = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes",)}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
         raw = read_csv_text(spark, str(folder), BOOKINGS)
         assert raw.rdd.getNumPartitions() > 5
         rows = load(spark, str(folder), BOOKINGS, names).collect()
     finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert len(rows) == n
     assert all(r["booking_id"] == f"BKG-{r['source_row_number']:06d}" for r in rows)
     assert {r["source_file"] for r in rows} == set(names)

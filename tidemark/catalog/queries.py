@@ -353,7 +353,7 @@ def keyed_difference_rows(spark, sf_dir):
 
 @query
 def booking_reasons(spark, sf_dir):
-    return star.validated_bookings(spark, sf_dir).select(
+    return b.booking_validation(star.validated_bookings(spark, sf_dir)).select(
         "booking_id",
         "offer_id",
         "updated_at",
@@ -378,7 +378,7 @@ def superseded_versions(spark, sf_dir):
 
 @query
 def payment_reasons(spark, sf_dir):
-    return star.validated_payments(spark, sf_dir).select(
+    return p.payment_validation(star.validated_payments(spark, sf_dir)).select(
         "payment_id", "booking_id", "booking_gross_amount", "validation_reason"
     )
 
@@ -393,6 +393,11 @@ def latest_payment(spark, sf_dir):
     return p.latest_payment(p.silver_payments(star.judged_payments(spark, sf_dir)))
 
 
+@query
+def booking_outcome(spark, sf_dir):
+    return s.booking_outcome(star.settled(spark, sf_dir))
+
+
 @query
 def missing_payment(spark, sf_dir):
     return s.missing_payment_rejects(star.settled(spark, sf_dir)).drop("source_row_number")

@@ -526,6 +526,10 @@ ORACLE = {
         f"WITH {settled()} SELECT payment_id, booking_id, payment_status, amount, currency, paid_at,"
         " 'STAR' AS batch_id FROM latest"
     ),
+    "booking_outcome": (
+        f"WITH {settled()} SELECT {TYPED}, 'STAR' AS batch_id,"
+        " CASE WHEN unpaid THEN 'MISSING_PAYMENT' END AS business_reason FROM settled"
+    ),
     "missing_payment": (
         f"WITH {settled()} SELECT *, 'STAR' AS batch_id, 'bookings.csv' AS source_file FROM rejects"
         " WHERE reason_code = 'MISSING_PAYMENT'"
