@@ -1,0 +1,98 @@
+"""Both classifiers: odd rows, exact sums, and accuracy on rows that were held out."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import quality, queries, toxicity
+from tidemark.llm.shipping import ship
+
+SF = "/root/testdata/sf0.1"
+
+
+def auc(scores, labels):
+    order = np.argsort(scores, kind="stable")
+    ranks = np.empty(len(order))
+    ranks[order] = np.arange(1, len(order) + 1)
+    positive = np.asarray(labels) == 1
+    return (ranks[positive].sum() - positive.sum() * (positive.sum() + 1) / 2) / (positive.sum() * (~positive).sum())
+
+
+def judged(spark, query, label):
+    rows = queries.QUERIES[query](spark, SF).join(queries.table(spark, SF, "labels"), "doc_id").filter("held_out").collect()
+    labels = np.array([r[label] for r in rows])
+    return auc(np.array([r.score for r in rows]), labels), (np.array([r.predicted for r in rows]) == labels).mean(), rows
+
+
+def test_quality_on_held_out_rows(spark):
+    area, accuracy, rows = judged(spark, "op1_quality", "quality")
+    assert area > 0.95 and accuracy > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+
+
+def test_toxicity_on_held_out_rows(spark):
+    area, accuracy, rows = judged(spark, "op9_toxicity", "toxic")
+    assert area > 0.95 and accuracy > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+
+
+def test_statistics_do_not_depend_on_the_block():
+    rng = random.Random(2)
+    texts = ["", "one", "a b c a b c a b c", "%% $$ word!! ", "é東 🎉\n\n", " ".join(rng.choice("abc") for _ in range(50))]
+    together = quality.statistics(pa.array(texts))
+    assert together.shape == (6, quality.WIDTH) and np.isfinite(together).all()
+    for text, row in zip(texts, together):
+        assert np.allclose(quality.statistics(pa.array([text]))[0], row)
+
+
+def test_fit_equals_numpy(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, quality.WIDTH))
+    y = (x[:, 0] + 0.3 * rng.normal(size=200) > 0).astype(int)
+    frame = ship(spark).createDataFrame([(int(b), a.tolist()) for a, b in zip(x, y)], "label int, statistics array<double>").repartition(4)
+    model = quality.fit(frame, "label", pooled=0.0, sphere=0.0)
+    for kind in (0, 1):
+        mean, cov = x[y == kind].mean(0), np.cov(x[y == kind].T, bias=True)
+        assert np.allclose(model.means[kind], mean)
+        assert np.allclose(model.factors[kind].T @ model.factors[kind], np.linalg.inv(cov), rtol=1e-4, atol=1e-4)
+
+
+def test_quality_without_labels_or_with_one_class(spark):
+    docs = quality.with_statistics(ship(spark).createDataFrame([(1, None, 1), (2, "", 1), (3, "text", 1)], "doc_id long, text string, label int"))
+    assert [r.score for r in quality.with_scores(docs, quality.fit(docs.filter("doc_id < 0"), "label")).collect()] == [0.5] * 3
+    assert [r.score for r in quality.with_scores(docs, quality.fit(docs, "label")).collect()] == [0.8] * 3
+    with pytest.raises(ValueError):
+        quality.with_statistics(docs.withColumnRenamed("statistics", "Statistics"))
+    assert quality.with_scores(docs.limit(0), quality.Model(0.5)).count() == 0
+
+
+def test_toxicity_sees_misspelt_words(spark):
+    rng = random.Random(1)
+    clean = lambda: [rng.choice(["haus", "baum", "wiese", "fluss", "berg", "wald", "stein", "wolke"]) for _ in range(20)]
+    texts, labels = [], []
+    for i in range(200):
+        words = clean()
+        if i % 4 == 0:
+            words[rng.randrange(20)] = rng.choice(["scoundrel", "nitwit"])
+        texts.append(" ".join(words))
+        labels.append(int(i % 4 == 0))
+    model = toxicity.train(texts, labels)
+    asked = [" ".join([*clean(), "scoundrell"]), " ".join([*clean(), "Scoundrel!"]), " ".join(clean()), "", None]
+    docs = ship(spark).createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    scores = [r.score for r in toxicity.with_scores(docs, model).orderBy("doc_id").collect()]
+    assert scores[0] > 0.5 and scores[1] > 0.5 and scores[2] < 0.5 and scores[3] == scores[4]
+
+
+def test_toxicity_without_both_classes():
+    for labels in ([0, 0], [1, 1], []):
+        model = toxicity.train(["a b", "c"][: len(labels)], labels)
+        assert not model.weights.any() and np.isfinite(model.bias)
+
+
+def test_null_ids_are_never_learnt_from(spark):
+    column = queries._remainder(F.col("i"), 5)
+    ids = spark.createDataFrame([(None,), (12,)], "i long").select(column.alias("r")).collect()
+    assert ids[0].r is None and ids[1].r == __import__("zlib").crc32(b"12") % 5

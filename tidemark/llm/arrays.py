@@ -85,17 +85,18 @@ def blocks(batches, column="text", limit=BLOCK_BYTES):
             start = end
 
 
-SPACES = np.zeros(256, bool)
-SPACES[[32, *range(9, 14)]] = True
-WORD_BREAKS = ~SPACES
+WORD_BYTES = np.ones(256, bool)
+WORD_BYTES[[32, *range(9, 14)]] = False
 
 
 class Words:
     """Words of a block: ``[^\\x20\\x09-\\x0D]+`` within each document, unchanged."""
 
+    inside = WORD_BYTES
+
     def __init__(self, column):
         data, self.offsets = flat(column)
-        inside = WORD_BREAKS[data]
+        inside = self.inside[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[self.offsets] = True
         before = np.zeros(len(data), bool)
@@ -122,8 +123,3 @@ def lists(values, counts):
 def signed(hashes):
     """64-bit hashes as Spark's long."""
     return pa.array(np.asarray(hashes, U64).view(np.int64))
-
-
-def take(batch, names):
-    """The named columns of a batch as a dict."""
-    return {name: batch.column(name) for name in names}

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, linkgraph, warc
+from tidemark.llm import (
+    bagminhash, bpe, decontaminate, linkgraph, quality, recompression, suffix_levels, toxicity, warc, winnowing,
+)
 from tidemark.llm.shipping import ship
 from tidemark.scratch import Scratch
 
 RANKS = "byte_bpe_50k.tiktoken"
+QUALITY_THRESHOLD, TOXICITY_THRESHOLD = 0.3, 0.7
 URL_RULES = [
     linkgraph.Rule("block", "net", "/"),
     linkgraph.Rule("allow", "example.net", "/en/"),
@@ -23,6 +28,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _remainder(column, divisor):
+    """crc32 of the id as text, modulo; a null id has none and was never learnt from."""
+    return F.crc32(column.cast("string").cast("binary")) % divisor
+
+
+def quality_scores(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = Scratch(spark).keep(quality.with_statistics(docs).drop("text"), "statistics")
+    held_out = F.coalesce(_remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "quality")
+    model = quality.fit(known.join(labels, "doc_id"), "quality")
+    return quality.with_scores(known, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
+def toxicity_scores(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(_remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "toxic")
+    model = toxicity.fit(docs.join(labels, "doc_id"), "toxic")
+    return toxicity.with_scores(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXICITY_THRESHOLD).cast("int").alias("predicted"))
+
+
+def winnowed(spark, sf_dir):
+    return winnowing.against_next(table(spark, sf_dir, "documents"))
+
+
 def byte_bpe(spark, sf_dir):
     path = public_tokenizers.path(RANKS)
     coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
@@ -42,12 +75,50 @@ def warc_revisits(spark, sf_dir):
     return warc.resolved(Scratch(spark).keep(read, "heads"))
 
 
+def _word_digest(n_words, kept):
+    return n_words, n_words - len(kept), sha256(b" ".join(kept)).hexdigest()
+
+
+def repeated_words(spark, sf_dir):
+    fields = [("n_words", "long"), ("n_removed", "long"), ("kept_sha256", "string")]
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return recompression.deduplicate(docs, ["doc_id"], result=(fields, _word_digest))
+
+
+def _byte_digest(n_bytes, n_removed, n_spans, kept):
+    return n_bytes, n_removed, n_spans, sha256(kept).hexdigest()
+
+
+def repeated_bytes(spark, sf_dir):
+    fields = [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")]
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_levels.deduplicate(docs, ["doc_id"], result=(fields, _byte_digest))
+
+
+def benchmark_leaks(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.with_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select(
+        "doc_id", F.col("leak.item_id").alias("item_id"), F.col("leak.similarity").alias("similarity"), F.col("leak.word").alias("word"))
+
+
+def near_duplicates(spark, sf_dir):
+    return bagminhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def link_trust(spark, sf_dir):
     return linkgraph.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 QUERIES = {
+    "op1_quality": quality_scores,
+    "op2_winnowing": winnowed,
     "op3_byte_bpe": byte_bpe,
     "op4_warc": warc_revisits,
+    "op5_recompression": repeated_words,
+    "op6_suffix_levels": repeated_bytes,
+    "op7_simhash_leaks": benchmark_leaks,
+    "op8_bagminhash": near_duplicates,
+    "op9_toxicity": toxicity_scores,
     "op10_link_trust": link_trust,
 }
