@@ -13,7 +13,10 @@ Registers are banded. Texts that share a band are candidates; a pair is linked w
 multiset similarity reaches the threshold. Equal texts are one node from the start. Within a band's
 bucket no list of all pairs is made: everyone is compared with one centre, in several rounds with new
 centres for those still apart from it; in the end those outside a bucket's largest class are
-compared with all members of other classes, so no link between classes is left unseen. Classes are
+compared with all members of other classes, so no link between classes is left unseen. That last
+comparison moves blocks of at most about ``BLOCK`` texts, not pairs: inside a task a pair is
+looked at in the first band it shares, skipped when far too few registers agree (a pair at the
+threshold fails that once in a million), and then verified exactly. Classes are
 connected components, by rounds of smallest labels with jumps, each stored.
 
 Defined results: null counts as empty text. Texts without words are alike only when equal; fewer
@@ -35,8 +38,10 @@ from tidemark.scratch import Scratch
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 25, 5  # a pair at the threshold shares no band once in 20,000
+BANDS, ROWS = 30, 6  # a pair at the threshold shares no band once in 9,000
 STAR_ROUNDS = 3
+BLOCK = 512
+AGREE = 0.8  # of the registers that a pair at the threshold shares on average
 STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -114,19 +119,21 @@ def text_id(text="text"):
 
 
 def banded(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_id, bands`` of each row."""
+    """``doc_id, text_id, bands, marks`` of each row; marks are eight bits of each register."""
 
     def run(batches):
         for block in blocks(batches):
             column = block.column("text").fill_null("")
             found = shingles(column)
-            keys = band_keys(signatures(*found))
-            full = found[2] > 0
+            registers = signatures(*found)
+            keys, full = band_keys(registers), found[2] > 0
             values = lists(keys[full].view(np.int64).ravel(), np.where(full, BANDS, 0))
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("text_id"), values], ["doc_id", "text_id", "bands"])
+            marks = pa.array([row.tobytes() for row in (mix(registers.view(U64)) >> U64(56)).astype(np.uint8)], pa.binary())
+            columns = [block.column("doc_id"), block.column("text_id"), values, marks]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_id", "bands", "marks"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_id().alias("text_id"), "text").mapInArrow(run, f"doc_id {kind}, text_id binary, bands array<long>")
+    return docs.select("doc_id", text_id().alias("text_id"), "text").mapInArrow(run, f"doc_id {kind}, text_id binary, bands array<long>, marks binary")
 
 
 def similarity(one, other):
@@ -184,41 +191,79 @@ def _star(here, number):
     return here.join(centers, "bucket").filter("label <> own").select("center", F.col("text_id").alias("other"))
 
 
-def _across(here):
-    """Members outside the bucket's largest class against all members of other classes."""
+def _compare_block(table, threshold):
+    """Links between outsiders and members of other classes in one block of a bucket."""
+    bucket = table.column("bucket")[0].as_py()
+    ids, labels, outside, as_outsider = (table.column(c).to_pylist() for c in ("text_id", "label", "outside", "as_outsider"))
+    marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(len(ids), -1)
+    bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+    hashes, weights, counts = shingles(table.column("text").combine_chunks())
+    ends = np.cumsum(counts)
+    bags = [(hashes[e - n : e], weights[e - n : e]) for e, n in zip(ends, counts)]
+    band = int(np.flatnonzero(bands[0] == bucket)[0])
+    members = np.array([i for i, x in enumerate(as_outsider) if not x], int)
+    joined, links = {}, []
+
+    def root(label):
+        while label in joined:
+            label = joined[label]
+        return label
+
+    for i in np.flatnonzero(as_outsider):
+        likely = members[(marks[members] == marks[i]).sum(1) >= AGREE * threshold * marks.shape[1]]
+        for j in likely:
+            if (outside[j] and ids[j] < ids[i]) or (bands[i, :band] == bands[j, :band]).any():
+                continue
+            one, other = root(labels[i]), root(labels[j])
+            if one == other:
+                continue
+            common, union = similarity(bags[i], bags[j])
+            if common >= threshold * union - 1e-9:
+                joined[one] = other
+                links.append((ids[i], ids[j]))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
+
+
+def _across(here, bodies, threshold):
+    """Links between members outside a bucket's largest class and members of other classes."""
     sizes = here.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m")).select("bucket", F.col("m.label").alias("main"))
-    outside = here.join(largest, "bucket").filter("label <> main").select("bucket", F.col("text_id").alias("center"), F.col("label").alias("own"))
-    return here.join(outside, "bucket").filter("label <> own").select("center", F.col("text_id").alias("other"))
+    sizes = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all"))
+    parts = lambda n: F.ceil(n / BLOCK).cast("int")
+    sizes = sizes.select("bucket", F.col("m.label").alias("main"), parts(F.col("all")).alias("across"), parts(F.col("all") - F.col("m.n")).alias("down"))
+    marked = here.join(sizes, "bucket").withColumn("outside", F.col("label") != F.col("main"))
+    part = lambda n, seed: F.pmod(F.xxhash64("text_id", F.lit(seed)), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    names = ["bucket", "text_id", "label", "outside"]
+    members = marked.select(*names, F.lit(False).alias("as_outsider"), every("down").alias("i"), part(F.col("across"), 1).alias("j"))
+    outsiders = marked.filter("outside").select(*names, F.lit(True), part(F.col("down"), 2), every("across"))
+    blocks_ = members.unionAll(outsiders).join(bodies, "text_id")
+    return blocks_.groupBy("bucket", "i", "j").applyInArrow(lambda table: _compare_block(table, threshold), "a binary, b binary")
 
 
 def classes(docs: DataFrame, threshold: float = SIMILARITY, star_rounds: int = STAR_ROUNDS) -> DataFrame:
     """``doc_id, text_id, class_id, class_text`` of each row; ``class_text`` is the text_id of the class's first document."""
     scratch = Scratch(docs.sparkSession)
     signed = scratch.keep(banded(docs), "signatures")
-    texts = signed.groupBy("text_id").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    texts = signed.groupBy("text_id").agg(F.first("bands").alias("bands"), F.first("marks").alias("marks"))
     members = texts.select("text_id", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     members = scratch.keep(members.join(shared, "bucket"), "members")
     known = members.select("text_id").distinct()
     bodies = docs.select(text_id().alias("text_id"), F.coalesce("text", F.lit("")).alias("text")).join(known, "text_id", "left_semi")
-    bodies = scratch.keep(bodies.groupBy("text_id").agg(F.first("text").alias("text")), "bodies")
+    bodies = scratch.keep(bodies.groupBy("text_id").agg(F.first("text").alias("text")).join(texts, "text_id"), "bodies")
 
-    labels = links = compared = None
+    labels = links = None
     for number in range(star_rounds + 1):
         here = members.select("bucket", "text_id", F.col("text_id").alias("label")) if labels is None else _labelled(members, labels)
         mixed = here.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
         here = scratch.keep(here.join(mixed, "bucket", "left_semi"), "here")
-        pairs = _star(here, number) if number < star_rounds else _across(here)
-        pairs = pairs.select(F.greatest("center", "other").alias("other"), F.least("center", "other").alias("center")).distinct() if number == star_rounds else pairs.distinct()
-        if compared is not None:
-            pairs = pairs.join(compared, ["center", "other"], "left_anti").join(
-                compared.select(F.col("center").alias("other"), F.col("other").alias("center")), ["center", "other"], "left_anti")
-        pairs = scratch.keep(pairs, "pairs")
-        compared = pairs if compared is None else compared.unionAll(pairs)
-        met = pairs.join(bodies.select(F.col("text_id").alias("other"), F.col("text").alias("other_text")), "other").join(
-            bodies.select(F.col("text_id").alias("center"), F.col("text").alias("center_text")), "center")
-        found = scratch.keep(_alike(met, threshold), "links")
+        if number == star_rounds:
+            found = scratch.keep(_across(here, bodies, threshold), "links")
+        else:
+            pairs = scratch.keep(_star(here, number).distinct(), "pairs")
+            met = pairs.join(bodies.select(F.col("text_id").alias("other"), F.col("text").alias("other_text")), "other").join(
+                bodies.select(F.col("text_id").alias("center"), F.col("text").alias("center_text")), "center")
+            found = scratch.keep(_alike(met, threshold), "links")
         links = found if links is None else links.unionAll(found)
         labels = components(links, scratch)
 
