@@ -18,15 +18,13 @@ import base64
 from hashlib import sha256
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tidemark.llm.arrays import BLOCK_BYTES, U64, mix, powers
-from tidemark.scratch import Scratch
 
 GRAM, WINDOW = 16, 32
 BLOCK = 1 << 19  # grams hashed at a time
@@ -97,10 +95,8 @@ FIELDS = [
     ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
     ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
 ]
-ENDS = [("part", pa.int32()), ("place", pa.string()), ("text", pa.string())]
-SCHEMA = T.StructType([
-    T.StructField(n, {pa.int64(): T.LongType(), pa.string(): T.StringType(), pa.float64(): T.DoubleType(), pa.int32(): T.IntegerType()}[k])
-    for n, k in [*FIELDS, *ENDS]])
+SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+RANGE_ROWS, MOST_RANGES = 1_000, 20_000
 
 
 def _row(doc_id, text, chosen, following, next_chosen):
@@ -127,32 +123,19 @@ class _Out:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, self.fields)], [n for n, _ in self.fields])
 
 
-def _sorted_part(batches):
-    """Rows of one range of doc_id, highest first: all but the last know the one that follows.
-
-    The first text of the range (place "head") and its last (place "open") meet those of the
-    neighbouring ranges later.
-    """
-    part, out, before = TaskContext.get().partitionId(), _Out([*FIELDS, *ENDS]), None
+def _pairs(batches):
+    """Rows sorted by range, then in order: each but a guest with the text that follows it in its range."""
+    out, before = _Out(FIELDS), None
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        for place, guest, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("place", "guest", "doc_id", "text"))):
+            if before is not None and before[0] != place:
+                before = None
+            if before is None and guest:
+                continue
             chosen = winnow(text)
-            if before is None:
-                out.add((*[None] * len(FIELDS), part, "head", text))
-            elif out.add((*_row(*before, text, chosen), part, None, None)):
-                yield out.batch()
-            before = doc_id, text, chosen
-    if before is not None:
-        out.add((before[0], *[None] * (len(FIELDS) - 1), part, "open", before[1]))
-    yield out.batch()
-
-
-def _joined_ends(batches):
-    out = _Out(FIELDS)
-    for batch in batches:
-        for doc_id, text, following in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "following"))):
-            if out.add(_row(doc_id, text, winnow(text), following, winnow(following))):
+            if before is not None and out.add(_row(*before[1:3], before[3], text, chosen)):
                 yield out.batch()
+            before = None if guest else (place, doc_id, text, chosen)
     yield out.batch()
 
 
@@ -173,21 +156,28 @@ def against_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edited text, and how alike they and the next text are.
 
     The next document is the one with the next lower doc_id, after the last the first; rows of one
-    doc_id follow each other by the hash of their text, null ids come last. One range shuffle
-    sorts the texts; only the two end rows of each range meet again across ranges.
+    doc_id follow each other by the hash of their text, null ids come last. Texts are shuffled
+    once, by ranges of doc_id whose bounds are quantiles; each range gets a copy of the first row of
+    the next. At most ``MOST_RANGES`` bounds and first ids pass the driver.
     """
-    scratch = Scratch(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    ranges = min(MOST_RANGES, docs.count() // RANGE_ROWS + 1)
+    shares = [i / ranges for i in range(1, ranges)]
+    bounds = np.array(docs.select("doc_id").approxQuantile("doc_id", shares, 0.2 / ranges) if shares else [])
+
+    @F.pandas_udf("int")
+    def place(ids: pd.Series) -> pd.Series:
+        # null ids lie below all others
+        return pd.Series(np.where(ids.isna(), -1, np.searchsorted(bounds, ids.fillna(0), "right")))
+
+    docs = docs.withColumn("place", place("doc_id"))
+    # the first row of each range is a guest at the end of the range before; one number per range
+    heads = sorted((r.place, r.head) for r in docs.groupBy("place").agg(F.max("doc_id").alias("head")).collect())
+    lower = [heads[i - 1] for i in range(len(heads))]  # of the lowest range, the highest
+    guests = docs.sparkSession.createDataFrame(
+        [(place, head) for (place, _), (_, head) in zip(heads, lower)], "to int, head long")
+    guests = docs.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("head"))).select(
+        "doc_id", "text", F.col("to").alias("place"), F.lit(True).alias("guest"))
     order = [F.desc_nulls_last("doc_id"), F.xxhash64("text"), F.length("text")]
-    ranged = docs.repartitionByRange(*order).sortWithinPartitions(*order)
-    parts = scratch.keep(ranged.mapInArrow(_sorted_part, SCHEMA), "ranges")
-    names = [n for n, _ in FIELDS]
-    heads = parts.filter("place = 'head'").select("part", F.col("text").alias("following"))
-    numbers = heads.select("part")  # one row per range
-    along = Window.orderBy("part")
-    first = F.first("part").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    after = numbers.select("part", F.coalesce(F.lead("part").over(along), first).alias("next"))
-    heads = heads.withColumnRenamed("part", "next")
-    ends = parts.filter("place = 'open'").select("part", "doc_id", "text").join(after, "part").join(heads, "next")
-    joined = ends.select("doc_id", "text", "following").mapInArrow(_joined_ends, T.StructType(SCHEMA.fields[: len(FIELDS)]))
-    return parts.filter("place is null").select(*names).unionAll(joined)
+    ranged = docs.withColumn("guest", F.lit(False)).unionByName(guests).repartition("place")
+    return ranged.sortWithinPartitions("place", "guest", *order).mapInArrow(_pairs, SCHEMA)
