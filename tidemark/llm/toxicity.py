@@ -1,7 +1,7 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
 A word is the mean of the vectors of its character n-grams, a document the mean of its words, and a
-two-class softmax reads the document. Vectors and softmax are trained together by Adam on a bounded
+two-class softmax reads the document. Vectors and softmax are trained together on a bounded
 sample of labelled rows (``SAMPLE`` per class, texts of at most ``SAMPLE_CHARS``), chosen by a hash
 of the id. A misspelt word shares most n-grams with the word it was, and so its vector.
 
@@ -27,12 +27,13 @@ from pyspark.sql import types as T
 
 from tidemark.llm.arrays import blocks
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
 WIDTH = 8
-SIZES = (3, 4, 5)
+SIZES = (3, 4, 5, 6)
 SAMPLE = 2_000
 SAMPLE_CHARS = 20_000
-ROUNDS, RATE = 60, 0.08
+ROUNDS, RATE = 60, 0.1
+SCREEN, DAMP = 4.0, 300.0
 CACHED_WORDS = 300_000
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‘’…–—¿¡"
 
@@ -78,69 +79,113 @@ class WordScores(dict):
 
 
 class _Sums:
-    """Rows of ``values`` gathered by ``index`` and added up per owner, and the way back."""
+    """A sparse table of weights by owner and index; sums of index values per owner, and the way back."""
 
-    def __init__(self, index, weight, starts, n_values):
-        self.index, self.weight, self.starts = index, weight[:, None], starts
-        owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(index))))
+    def __init__(self, owner, index, weight, n_owners, n_values):
         order = np.argsort(index, kind="stable")
-        self.back_owner, self.back_weight = owner[order], weight[order][:, None]
-        self.back_ids, self.back_starts = np.unique(index[order], return_index=True)
-        self.n_values = n_values
+        self.there = self._half(owner, index, weight, n_owners)
+        self.back = self._half(index[order], owner[order], weight[order], n_values)
+
+    @staticmethod
+    def _half(owner, index, weight, size):
+        ids, starts = np.unique(owner, return_index=True)
+        return ids, starts, index, weight[:, None], size
+
+    @staticmethod
+    def _sum(half, values, power):
+        ids, starts, index, weight, size = half
+        out = np.zeros((size, values.shape[1]), np.float32)
+        if len(ids):
+            out[ids] = np.add.reduceat(values[index] * weight**power, starts)
+        return out
 
     def forward(self, values):
-        return np.add.reduceat(values[self.index] * self.weight, self.starts)
+        return self._sum(self.there, values, 1)
 
-    def backward(self, gradient):
-        out = np.zeros((self.n_values, gradient.shape[1]), np.float32)
-        out[self.back_ids] = np.add.reduceat(gradient[self.back_owner] * self.back_weight, self.back_starts)
-        return out
+    def backward(self, values, power=1):
+        return self._sum(self.back, values, power)
+
+
+def _screened(in_words, in_texts, residual):
+    """Buckets whose pull on the first residual stands out from the noise of single words, and the curvature of all."""
+    pull = in_words.backward(in_texts.backward(residual))[:, 0]
+    noise = in_words.backward(in_texts.backward(residual**2, 2), 2)[:, 0]
+    curve = in_words.backward(in_texts.backward(np.abs(residual) / 2, 2), 2)[:, 0]
+    return np.flatnonzero(np.abs(pull) > SCREEN * np.sqrt(noise) + 1e-20), curve
+
+
+def _entries(texts):
+    """(text, word, share of the text) and (word, bucket, share of the word), for words of at least two texts."""
+    bags, seen = [], {}
+    for text in texts:
+        bag = {}
+        for word in words_of(text or ""):
+            bag[word] = bag.get(word, 0) + 1
+        for word in bag:
+            seen[word] = seen.get(word, 0) + 1
+        bags.append(bag)
+    vocabulary = {word: i for i, word in enumerate(w for w, n in seen.items() if n > 1)}
+    rows, words, shares = [], [], []
+    for number, bag in enumerate(bags):
+        total = sum(bag.values())
+        for word, n in bag.items():
+            if word in vocabulary:
+                rows.append(number)
+                words.append(vocabulary[word])
+                shares.append(n / total)
+    grams = [subwords(word) for word in vocabulary]
+    sizes = np.array([len(g) for g in grams], int)
+    buckets = np.fromiter((b for g in grams for b in g), np.int32, int(sizes.sum()))
+    in_words = np.repeat(np.arange(len(grams), dtype=np.int32), sizes), buckets, np.repeat(1 / sizes, sizes).astype(np.float32)
+    return (np.array(rows, np.int32), np.array(words, np.int32), np.array(shares, np.float32)), in_words, len(grams)
 
 
 def train(texts, labels, rounds: int = ROUNDS, rate: float = RATE, seed: int = 7) -> Model:
-    labels = np.asarray(labels, np.float32)
-    prior = float((labels.sum() + 1) / (len(labels) + 2))
+    """Vectors and softmax together, by damped diagonal Newton steps with momentum.
+
+    Each bucket starts at zero, where the slope of its vector is its pull times the softmax. Only
+    buckets whose pull exceeds ``SCREEN`` times its noise are trained; the others would only learn
+    single texts by heart. Both classes weigh the same.
+    """
+    y = np.asarray(labels, np.float32)
+    prior = float((y.sum() + 1) / (len(y) + 2))
     nothing = Model(np.zeros(BUCKETS, np.float32), float(np.log(prior / (1 - prior))))
-    vocabulary, rows, counts, starts, kept = {}, [], [], [], []
-    for number, text in enumerate(texts):
-        found = {}
-        for word in words_of(text or ""):
-            found[word] = found.get(word, 0) + 1
-        if found:
-            starts.append(len(rows))
-            kept.append(number)
-            total = sum(found.values())
-            rows.extend(vocabulary.setdefault(word, len(vocabulary)) for word in found)
-            counts.extend(n / total for n in found.values())
-    y = labels[kept]
     if not len(y) or y.min() == y.max():
         return nothing
-    grams = [subwords(word) for word in vocabulary]
-    sizes = np.array([len(g) for g in grams])
-    in_words = _Sums(np.concatenate([np.array(g, np.int32) for g in grams]), np.repeat(1 / sizes, sizes).astype(np.float32),
-                     np.cumsum(sizes) - sizes, BUCKETS)
-    in_texts = _Sums(np.array(rows, np.int32), np.array(counts, np.float32), np.array(starts), len(vocabulary))
-    del grams, rows, counts
-    rng = np.random.default_rng(seed)
-    p = [rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32), rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32), np.zeros(2, np.float32)]
-    first, second = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p]
+    (rows, words, shares), (owners, buckets, parts), n_words = _entries(texts)
+    if not n_words:
+        return nothing
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     weight = (weight / weight.sum()).astype(np.float32)[:, None]
+    in_texts = _Sums(rows, words, shares, len(y), n_words)
+    active, curve = _screened(_Sums(owners, buckets, parts, n_words, BUCKETS), in_texts, (0.5 - y[:, None]) * weight)
+    # the rest of the work touches the chosen buckets only
+    place = np.full(BUCKETS, -1, np.int32)
+    place[active] = np.arange(len(active))
+    chosen = place[buckets] >= 0
+    in_words = _Sums(owners[chosen], place[buckets[chosen]], parts[chosen], n_words, len(active))
+    used = np.zeros(n_words, bool)
+    used[owners[chosen]] = True
+    in_texts = _Sums(rows[used[words]], words[used[words]], shares[used[words]], len(y), n_words)
+    scale = (curve[active] + DAMP * np.median(curve[curve > 0]))[:, None]
+
+    rng = np.random.default_rng(seed)
+    softmax = rng.normal(0, 1, (WIDTH, 2)).astype(np.float32)
+    softmax /= np.linalg.norm(softmax[:, 1] - softmax[:, 0])
+    vectors, speed, bias = np.zeros((len(active), WIDTH), np.float32), 0, np.zeros(2, np.float32)
     wanted = np.column_stack([1 - y, y])
-    for step in range(1, rounds + 1):
-        texts_at = in_texts.forward(in_words.forward(p[0]))
-        z = texts_at @ p[1] + p[2]
+    for _ in range(rounds):
+        at = in_texts.forward(in_words.forward(vectors))
+        z = at @ softmax + bias
         z = np.exp(z - z.max(1, keepdims=True))
         error = (z / z.sum(1, keepdims=True) - wanted) * weight
-        slopes = [in_words.backward(in_texts.backward(error @ p[1].T)), texts_at.T @ error, error.sum(0)]
-        for i, slope in enumerate(slopes):
-            first[i] += 0.1 * (slope - first[i])
-            second[i] += 0.01 * (slope**2 - second[i])
-            p[i] -= rate * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-8)
-    direction = p[1][:, 1] - p[1][:, 0]
-    seen = np.zeros(BUCKETS, bool)
-    seen[in_words.back_ids] = True
-    return Model(np.where(seen, p[0] @ direction, 0).astype(np.float32), float(p[2][1] - p[2][0]))
+        speed = 0.8 * speed - rate * in_words.backward(in_texts.backward(error @ softmax.T)) / scale
+        vectors = vectors + speed
+        softmax -= 0.1 * rate * (at.T @ error) / (0.25 * (weight * at**2).sum() + 1e-6)
+        bias -= 2 * error.sum(0)
+    weights = np.zeros(BUCKETS, np.float32)
+    weights[active] = vectors @ (softmax[:, 1] - softmax[:, 0])
+    return Model(weights, float(bias[1] - bias[0]))
 
 
 def fit(labelled: DataFrame, label: str, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
