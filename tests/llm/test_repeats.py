@@ -105,7 +105,7 @@ def test_levels_are_geometric(spark):
 
     index = suffix_levels.SuffixIndex(ship(spark), Scratch(spark))
     for batch in range(7):
-        index.add(spark.createDataFrame([(1, 5, batch, 0, 1), (100 + batch, 6, batch, 9, 2)], SPAN))
+        index.add(spark.createDataFrame([(1, 5, batch, 0, 1, 0), (100 + batch, 6, batch, 9, 2, 3)], SPAN))
     assert [level.batches for level in index.levels] == [4, 2, 1]
     found = {r.key: (r.occurs, r.low, r.high) for r in index.entries().collect()}
     assert found == {1: (7, 5, 5), **{100 + b: (1, 6, 6) for b in range(7)}}

@@ -58,19 +58,20 @@ def _pairs(names, number):
 
 
 def anchors(codes, starts, window, rounds=ROUNDS, group=GROUP):
-    """Key of each window's anchor, and its index (negative where the window is its own anchor)."""
-    names, first, last = codes, starts, starts + window - 1
+    """Key of each window's anchor, its index (negative where the window is its own anchor) and its first unit."""
+    names, first, last, units = codes, starts, starts + window - 1, np.arange(len(codes))
     for number in range(rounds):
         for half in (_runs, _pairs):
             names, where = half(names, number)
             # an empty interior stays empty, also where it leaves the sequence
             first = where[np.minimum(first, len(where) - 1)] + 1
             last = where[np.maximum(last, 0)] - 1
+            units = units[np.flatnonzero(np.diff(where, prepend=-1))]
     keys = Rolling(codes).hashes(starts, starts + window)
     index = -1 - starts
     choices = last - first - group + 2
     if len(names) < group or not (choices > 0).any():
-        return keys, index
+        return keys, index, starts
     ends = np.arange(len(names) - group + 1)
     hashes = Rolling(names).hashes(ends, ends + group)
     values = (hashes & ~PLACE) | (PLACE - ends.astype(U64))
@@ -86,7 +87,8 @@ def anchors(codes, starts, window, rounds=ROUNDS, group=GROUP):
     inside = choices > 0
     at = (PLACE - (best & PLACE)).astype(np.int64)
     index = np.where(inside, at, index)
-    return np.where(inside, hashes[np.where(inside, at, 0)], keys), index
+    at = np.where(inside, at, 0)
+    return np.where(inside, hashes[at], keys), index, np.where(inside, units[at], starts)
 
 
 def word_spans(batches, window):
@@ -101,7 +103,7 @@ def word_spans(batches, window):
             starts, owners = all_starts[begin : begin + PIECE], all_owners[begin : begin + PIECE]
             base = starts[0]
             codes = words.codes[base : starts[-1] + window]
-            keys, index = anchors(codes, starts - base, window)
+            keys, index, units = anchors(codes, starts - base, window)
             # a long run: equal windows one behind the other are one span
             alone = np.flatnonzero(index[1:] < 0) + 1
             alone = alone[(keys[alone] == keys[alone - 1]) & (index[alone - 1] < 0) & (owners[alone] == owners[alone - 1])]
@@ -117,8 +119,9 @@ def word_spans(batches, window):
             heads, at, spans, n = heads[twice], at[twice], spans[twice], n[twice]
             yield pa.RecordBatch.from_arrays(
                 [signed(keys[heads]), signed(spans), pa.array(rows[owners[heads]]),
-                 pa.array(at - words.firsts[owners[heads]]), pa.array(n.astype(np.int32))],
-                ["key", "span", "row", "at", "n"])
+                 pa.array(at - words.firsts[owners[heads]]), pa.array(n.astype(np.int32)),
+                 pa.array(((units[heads] + base - words.firsts[owners[heads]]) % repeats.GRID).astype(np.int32))],
+                ["key", "span", "row", "at", "n", "phase"])
 
 
 def kept_text(n_words, kept):
@@ -141,12 +144,10 @@ def deduplicate(docs: DataFrame, keep: list[str], key: str = "doc_id", text: str
     spans = docs.select("row", docs[text].alias("text")).mapInArrow(lambda b: word_spans(b, window), repeats.SPAN)
     marks = repeats.marked(spans, repeats.grouped(spans))
 
-    def window_hashes(value, starts):
-        return Rolling(Words(pa.array([value])).codes).hashes(starts, starts + window)
-
     def finish(value, gone):
         found = value.encode().split()
         return made(len(found), found if gone is None else list(compress(found, ~gone)))
 
-    finder = repeats.Finder(window, lambda value: len(value.encode().split()), window_hashes, finish, fields)
+    rolling = lambda value: Rolling(Words(pa.array([value])).codes)
+    finder = repeats.Finder(window, lambda value: len(value.encode().split()), rolling, finish, fields)
     return repeats.cut(docs.withColumn("text", docs[text]), marks, finder, scratch, keep)

@@ -3,16 +3,20 @@
 The two substring operators share this second half. Each finds, by its own method, an anchor for
 every window such that equal windows choose the same anchor. Consecutive windows of one text with
 one anchor form a span: ``key`` names the anchor's content, ``span`` the whole span's, ``at`` is the
-first window's start and ``n`` the number of windows.
+first window's start, ``n`` the number of windows and ``phase`` the anchor's place modulo ``GRID``.
 
 * A key that occurs once has no repeated window.
 * A key whose occurrences all have the same span: all its windows repeat.
-* Other keys: the windows of their spans are compared by hash.
-
-So copies cost one row per span, and window hashes are made around differences only. Counts are
-aggregated before they are shuffled and joins leave hot keys to Spark's skew splitting; no key
-is ever gathered. Texts are shuffled once to meet their spans; only texts with windows to compare
-move again. ``row`` is a hash of id and text: repeated rows share it and have the same result.
+* Other spans are cut into blocks of ``GRID`` windows, on a grid that starts at the anchor, so equal
+  windows fall into equal places of a block. A block's core is what all its windows share. The
+  same three cases hold for blocks, with the core as key and all of the block's units as span.
+* The windows of the blocks that are left are compared by hash.
+
+So copies cost one row per span, and single windows are compared only where a repeat begins or ends.
+Counts are aggregated before they are shuffled and joins leave hot keys to Spark's skew splitting;
+no key is ever gathered. Texts are shuffled once to meet their spans; only texts with something
+left to compare move again. ``row`` is a hash of id and text: repeated rows share it and have the
+same result.
 """
 
 from __future__ import annotations
@@ -25,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.arrays import U64, blocks, mix
 from tidemark.scratch import Scratch
 
-SPAN = "key long, span long, row long, at long, n int"
+SPAN = "key long, span long, row long, at long, n int, phase int"
 LARGEST_SPAN = 1 << 12
+GRID = 16
 
 
 def with_row(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -41,17 +47,19 @@ def grouped(spans: DataFrame) -> DataFrame:
 
 
 def marked(spans: DataFrame, keys: DataFrame) -> DataFrame:
-    """``row, marks``: the spans with a repeated key in each text, packed as ``at, n, same``."""
+    """``row, marks``: the spans with a repeated key in each text, packed as ``at, n, phase, same``."""
     keys = keys.filter("occurs > 1").select("key", (F.col("low") == F.col("high")).alias("same"))
-    mark = F.col("at") * (2 * LARGEST_SPAN) + F.col("n") * 2 + F.col("same").cast("long")
-    found = spans.select("key", "row", "at", "n").join(keys, "key")
+    mark = ((F.col("at") * LARGEST_SPAN + F.col("n")) * GRID + F.col("phase")) * 2 + F.col("same").cast("long")
+    found = spans.select("key", "row", "at", "n", "phase").join(keys, "key")
     return found.select("row", mark.alias("mark")).groupBy("row").agg(F.collect_list("mark").alias("marks"))
 
 
 def unpack(marks):
-    """Starts, window counts and flags of a text's marks, repeated ones once."""
+    """Starts, window counts, phases and flags of a text's marks, repeated ones once."""
     marks = np.unique(np.asarray(marks, np.int64))
-    return marks // (2 * LARGEST_SPAN), marks // 2 % LARGEST_SPAN, (marks & 1).astype(bool)
+    same, marks = (marks & 1).astype(bool), marks >> 1
+    phase, marks = marks % GRID, marks // GRID
+    return marks // LARGEST_SPAN, marks % LARGEST_SPAN, phase, same
 
 
 def covered(size: int, starts, lengths):
@@ -70,79 +78,146 @@ def within(starts, counts):
 
 @dataclass
 class Finder:
-    """A text's units: how many, the hashes of windows at given starts, and the result of a mask.
+    """A text's units: their number, their rolling hashes, and the result of a mask.
 
     ``finish`` gives the values of the fields ``result`` from the text and which units go.
     """
 
     window: int
     count: Callable
-    window_hashes: Callable
+    rolling: Callable
     finish: Callable
     result: list
 
 
+def blocks_of(at, n, phase):
+    """Starts of the blocks of spans; a start may lie before the text."""
+    first = (at - phase) // GRID
+    each = (at + n - 1 - phase) // GRID - first + 1
+    return np.unique(within(first, each) * GRID + np.repeat(phase, each))
+
+
+def block_hashes(rolling, starts, size, window, row):
+    """Core and whole of each block. A block that a text's end cuts has a whole of its own."""
+    cores = rolling.hashes(starts + GRID - 1, starts + window)
+    inside = (starts >= 0) & (starts + GRID - 1 + window <= size)
+    low, high = np.where(inside, starts, 0), np.where(inside, starts + GRID - 1 + window, 0)
+    own = mix(starts.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(row % (1 << 64)))
+    return cores, np.where(inside, rolling.hashes(low, high), own)
+
+
+LISTS = ["sure_at", "sure_n", "probe_at", "probe_key", "probe_whole"]
+KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+
+
+class _Step:
+    """Rows that are finished and rows that stay open, as Arrow columns."""
+
+    def __init__(self, finder, batch, keep):
+        self.finder, self.batch, self.keep = finder, batch, keep
+        self.done, self.open = [], {name: [] for name in ("open_text", *LISTS)}
+
+    def close(self, text, gone):
+        self.done.append(self.finder.finish(text, gone))
+        for values in self.open.values():
+            values.append(None)
+
+    def leave(self, text, *lists):
+        self.done.append((None,) * len(self.finder.result))
+        for name, value in zip(self.open, (text, *lists)):
+            self.open[name].append(value)
+
+    def columns(self, with_open=True):
+        columns = [self.batch.column(c) for c in (*self.keep, *(["row"] if with_open else []))]
+        names = [*self.keep, *(["row"] if with_open else [])]
+        for i, (name, kind) in enumerate(self.finder.result):
+            columns.append(pa.array([d[i] for d in self.done], KINDS[kind]))
+            names.append(name)
+        if with_open:
+            for name, values in self.open.items():
+                columns.append(pa.array(values, pa.string() if name == "open_text" else pa.list_(pa.int64())))
+                names.append(name)
+        return pa.RecordBatch.from_arrays(columns, names)
+
+
+def _array(scalar):
+    return np.zeros(0, np.int64) if scalar.values is None else scalar.values.to_numpy()
+
+
 def cut(docs: DataFrame, marks: DataFrame, finder: Finder, scratch: Scratch, keep: list[str]) -> DataFrame:
     """Columns ``keep`` and the finder's result for each row of ``docs`` (which has ``row, text``)."""
-    window, fields = finder.window, finder.result
-    plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
-    results = ", ".join(f"{name} {kind}" for name, kind in fields)
-
-    def first(batches):
-        for batch in batches:
-            done, texts, sure_at, sure_n, probe_at, probe_hash = [], [], [], [], [], []
-            for text, marks in zip(batch.column("text"), batch.column("marks")):
-                text, marks = text.as_py() or "", marks.values
-                if marks is None or not len(marks):
-                    done.append(finder.finish(text, None))
-                    for out in (texts, sure_at, sure_n, probe_at, probe_hash):
-                        out.append(None)
+    window = finder.window
+    plain = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
+    results = [f"{name} {kind}" for name, kind in finder.result]
+    names = [name for name, _ in finder.result]
+    open_schema = ", ".join([*plain, "row long", *results, "open_text string", *(f"{x} array<long>" for x in LISTS)])
+
+    def spans_step(batches):
+        """Decide texts by their spans; of the others, the blocks of undecided spans."""
+        for batch in blocks(batches):
+            step = _Step(finder, batch, keep)
+            for row, text, marks in zip(*(batch.column(c) for c in ("row", "text", "marks"))):
+                text, found = text.as_py() or "", _array(marks)
+                if not len(found):
+                    step.close(text, None)
                     continue
-                at, n, same = unpack(marks.to_numpy())
-                unsure = within(at[~same], n[~same])
-                if len(unsure):
-                    done.append((None,) * len(fields))
-                    texts.append(text)
-                    sure_at.append(at[same])
-                    sure_n.append(n[same] + window - 1)
-                    probe_at.append(unsure)
-                    probe_hash.append(finder.window_hashes(text, unsure).view(np.int64))
-                else:
-                    done.append(finder.finish(text, covered(finder.count(text), at, n + window - 1)))
-                    for out in (texts, sure_at, sure_n, probe_at, probe_hash):
-                        out.append(None)
-            long = pa.list_(pa.int64())
-            columns = [batch.column(c) for c in (*keep, "row")]
-            columns += [pa.array(list(c)) if any(x is not None for x in c) else pa.array(list(c), kinds[name]) for c, (name, _) in zip(zip(*done), fields)]
-            columns += [pa.array(texts, pa.string()), *(pa.array(x, long) for x in (sure_at, sure_n, probe_at, probe_hash))]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    kinds = {name: {"long": pa.int64(), "string": pa.string()}[kind] for name, kind in fields}
-    lists = ["sure_at", "sure_n", "probe_at", "probe_hash"]
-    names = [*keep, "row", *(name for name, _ in fields), "open_text", *lists]
-    schema = f"{plain}, row long, {results}, open_text string, " + ", ".join(f"{x} array<long>" for x in lists)
-    met = docs.select(*keep, "row", "text").join(marks, "row", "left")
-    stored = scratch.keep(met.mapInArrow(first, schema), "first")
-
-    opened = stored.filter("open_text is not null")
-    probes = opened.select("row", F.explode(F.arrays_zip("probe_at", "probe_hash")).alias("p")).select(
-        "row", F.col("p.probe_at").alias("at"), F.col("p.probe_hash").alias("hash"))
-    again = probes.groupBy("hash").agg(F.count(F.lit(1)).alias("occurs")).filter("occurs > 1").select("hash")
-    hits = probes.join(again, "hash").groupBy("row").agg(F.collect_list("at").alias("hits"))
+                at, n, phase, same = unpack(found)
+                size, odd = finder.count(text), ~same
+                if not odd.any():
+                    step.close(text, covered(size, at, n + window - 1))
+                    continue
+                starts = blocks_of(at[odd], n[odd], phase[odd])
+                cores, wholes = block_hashes(finder.rolling(text), starts, size, window, row.as_py())
+                step.leave(text, at[same], n[same] + window - 1, starts, cores.view(np.int64), wholes.view(np.int64))
+            yield step.columns()
+
+    def blocks_step(batches):
+        """Decide texts by their blocks; of the others, the windows of undecided blocks."""
+        for batch in blocks(batches, "open_text"):
+            step = _Step(finder, batch, keep)
+            for text, at, n, marks in zip(*(batch.column(c) for c in ("open_text", "sure_at", "sure_n", "marks"))):
+                text = text.as_py()
+                size = finder.count(text)
+                starts, _, _, same = unpack(_array(marks))
+                starts = starts - GRID
+                low, high = np.maximum(starts[same], 0), np.minimum(starts[same] + GRID - 1 + window, size)
+                at, n = np.concatenate([_array(at), low]), np.concatenate([_array(n), high - low])
+                first = np.maximum(starts[~same], 0)
+                left = np.unique(within(first, np.minimum(starts[~same] + GRID, size - window + 1) - first))
+                if not len(left):
+                    step.close(text, covered(size, at, n))
+                    continue
+                hashes = finder.rolling(text).hashes(left, left + window)
+                step.leave(text, at, n, left, hashes.view(np.int64), np.zeros(0, np.int64))
+            yield step.columns()
 
-    def second(batches):
-        for batch in batches:
-            done = []
+    def windows_step(batches):
+        for batch in blocks(batches, "open_text"):
+            step = _Step(finder, batch, keep)
             for text, at, n, hits in zip(*(batch.column(c) for c in ("open_text", "sure_at", "sure_n", "hits"))):
-                hits = np.zeros(0, np.int64) if hits.values is None else hits.values.to_numpy()
-                at = np.concatenate([at.values.to_numpy(), hits])
-                n = np.concatenate([n.values.to_numpy(), np.full(len(hits), window)])
-                text = text.as_py()
-                done.append(finder.finish(text, covered(finder.count(text), at, n)))
-            columns = [batch.column(c) for c in keep] + [pa.array(list(c), kinds[name]) for c, (name, _) in zip(zip(*done), fields)]
-            if done:
-                yield pa.RecordBatch.from_arrays(columns, [*keep, *(name for name, _ in fields)])
-
-    finished = opened.select(*keep, "row", "open_text", "sure_at", "sure_n").join(hits, "row", "left")
-    closed = stored.filter("open_text is null").select(*keep, *(name for name, _ in fields))
-    return closed.unionAll(finished.mapInArrow(second, f"{plain}, {results}"))
+                text, hits = text.as_py(), _array(hits)
+                at, n = np.concatenate([_array(at), hits]), np.concatenate([_array(n), np.full(len(hits), window)])
+                step.close(text, covered(finder.count(text), at, n))
+            yield step.columns(False)
+
+    met = docs.select(*keep, "row", "text").join(marks, "row", "left")
+    spanned = scratch.keep(met.mapInArrow(spans_step, open_schema), "spans")
+
+    left = spanned.filter("open_text is not null")
+    probes = left.select("row", F.explode(F.arrays_zip("probe_at", "probe_key", "probe_whole")).alias("p"))
+    # a block may start before its text; marks hold no negative numbers
+    probes = probes.select("row", (F.col("p.probe_at") + GRID).alias("at"), F.lit(1).alias("n"), F.lit(0).alias("phase"),
+                           F.col("p.probe_key").alias("key"), F.col("p.probe_whole").alias("span"))
+    again = left.select(*keep, "row", "open_text", "sure_at", "sure_n").join(marked(probes, grouped(probes)), "row", "left")
+    blocked = scratch.keep(again.mapInArrow(blocks_step, open_schema), "blocks")
+
+    left = blocked.filter("open_text is not null")
+    probes = left.select("row", F.explode(F.arrays_zip("probe_at", "probe_key")).alias("p")).select(
+        "row", F.col("p.probe_at").alias("at"), F.col("p.probe_key").alias("hash"))
+    repeated = probes.groupBy("hash").agg(F.count(F.lit(1)).alias("occurs")).filter("occurs > 1").select("hash")
+    hits = probes.join(repeated, "hash").groupBy("row").agg(F.collect_list("at").alias("hits"))
+    last = left.select(*keep, "row", "open_text", "sure_at", "sure_n").join(hits, "row", "left")
+    last = last.mapInArrow(windows_step, ", ".join([*plain, *results]))
+    for step in (spanned, blocked):
+        last = last.unionAll(step.filter("open_text is null").select(*keep, *names))
+    return last

@@ -69,8 +69,9 @@ def byte_spans(batches, window, gram=GRAM):
             heads, owner, n = heads[real], owner[real], n[real]
             yield pa.RecordBatch.from_arrays(
                 [signed(hashes[index[heads]]), signed(rolling.hashes(heads, heads + n + window - 1)), pa.array(rows[owner]),
-                 pa.array(heads + begin - offsets[owner]), pa.array(n.astype(np.int32))],
-                ["key", "span", "row", "at", "n"])
+                 pa.array(heads + begin - offsets[owner]), pa.array(n.astype(np.int32)),
+                 pa.array(((index[heads] + begin - offsets[owner]) % repeats.GRID).astype(np.int32))],
+                ["key", "span", "row", "at", "n", "phase"])
 
 
 @dataclass
@@ -154,9 +155,6 @@ def deduplicate(docs: DataFrame, keep: list[str], result, key: str = "doc_id", t
     spans = texts.mapInArrow(lambda b: byte_spans(b, window), repeats.SPAN)
     marks = repeats.marked(spans, index.entries())
 
-    def window_hashes(value, starts):
-        return Rolling(BYTE_CODES[np.frombuffer(value.encode(), np.uint8)]).hashes(starts, starts + window)
-
     def finish(value, gone):
         data = value.encode()
         if gone is None:
@@ -164,5 +162,6 @@ def deduplicate(docs: DataFrame, keep: list[str], result, key: str = "doc_id", t
         runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(gone) else 0
         return made(len(data), int(gone.sum()), runs, np.frombuffer(data, np.uint8)[~gone].tobytes())
 
-    finder = repeats.Finder(window, lambda value: len(value.encode()), window_hashes, finish, fields)
+    rolling = lambda value: Rolling(BYTE_CODES[np.frombuffer(value.encode(), np.uint8)])
+    finder = repeats.Finder(window, lambda value: len(value.encode()), rolling, finish, fields)
     return repeats.cut(docs.withColumn("text", docs[text]), marks, finder, scratch, keep)
