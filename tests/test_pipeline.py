@@ -12,7 +12,7 @@ from tidemark.plans import checks as k
 from tidemark.plans import evidence
 from tidemark.plans.bookings import Strictness
 from tidemark.plans.batch import replay_check, speed_check
-from tidemark.sinks.writers import read_batch, read_document
+from tidemark.sinks.writers import publish, read_batch, read_document
 
 
 def failed(run):
@@ -23,7 +23,7 @@ def failed(run):
 def lake(spark, tmp_path_factory):
     """One lake: a batch run twice, and another batch in the faulty mode."""
     root = tmp_path_factory.mktemp("lake")
-    source = write_feeds(root / "source", *scenario(1000))
+    source = write_feeds(root / "source", *scenario(400))
     target = str(root / "lake")
     first = run_pipeline(spark, source, target, batch_id="B1")
     again = run_pipeline(spark, source, target, batch_id="B1", mode="fixed")
@@ -33,16 +33,23 @@ def lake(spark, tmp_path_factory):
 
 def test_volumes_of_the_known_scenario(lake):
     metrics = lake["first"].metrics
-    assert metrics["source_rows"] == {"bookings": 1000, "payments": 994, "offers": 7}
-    assert metrics["silver_rows"] == {"bookings": 992, "payments": 992}
+    assert metrics["source_rows"] == {"bookings": 419, "payments": 413, "offers": 5}
+    assert metrics["silver_rows"] == {"bookings": 406, "payments": 406}
     assert metrics["superseded_bookings"] == 1
-    assert metrics["quarantine_rows"] == 9
+    assert metrics["quarantine_rows"] == 19
     assert metrics["quarantine_reasons"] == {
-        reason: 2 if reason == c.MISSING_REQUIRED else 1 for reason in c.REASONS
+        c.MISSING_REQUIRED: 6,
+        c.INVALID_STATUS: 4,
+        c.INVALID_DATE_ORDER: 1,
+        c.NEGATIVE_AMOUNT: 2,
+        c.UNSUPPORTED_CURRENCY: 2,
+        c.UNKNOWN_OFFER: 2,
+        c.MISSING_PAYMENT: 1,
+        c.AMOUNT_MISMATCH: 1,
     }
     assert metrics["reconciliation"]["difference"] == 0
-    assert metrics["reconciliation"]["quarantined_bookings"] == 7
-    assert metrics["success_rate_percent"] == 99.3
+    assert metrics["reconciliation"]["quarantined_bookings"] == 12
+    assert metrics["success_rate_percent"] == 97.14
     assert lake["first"].decision == "GO"
 
 
@@ -70,10 +77,9 @@ def test_controls_and_listings_of_a_clean_batch(lake):
     differences = k.gold_differences(k.recalculated(layers), layers.daily_revenue)
     assert evidence.ordered_differences(differences).collect() == []
     causes = evidence.rejects_by_cause(layers.quarantine).collect()
-    assert [(row["source_entity"], row["rejected_rows"]) for row in causes[-2:]] == [
-        ("payments", 1),
-        ("payments", 1),
-    ]
+    assert [(row["source_entity"], row["rejected_rows"]) for row in causes] == [
+        ("bookings", n) for n in (3, 3, 2, 1, 1, 1, 1)
+    ] + [("payments", n) for n in (3, 1, 1, 1, 1)]
 
 
 def test_batches_are_kept_apart(lake, spark):
@@ -83,32 +89,34 @@ def test_batches_are_kept_apart(lake, spark):
 
 def test_silver_has_the_newest_version_and_no_raw_client(lake):
     silver = lake["again"].layers.silver_bookings
-    row = silver.where("booking_id = 'BKG-000001'").first()
-    assert str(row["updated_at"]) == "2026-08-02 09:15:00"
+    row = silver.where("booking_id = 'R1'").first()
+    assert str(row["updated_at"]) == "2031-03-06 08:00:00"
     assert "client_id" not in silver.columns
     assert len(row["client_id_hash"]) == 64
 
 
 def test_gold_of_the_superseded_booking(lake):
     detail = lake["again"].layers.revenue_detail
-    row = detail.where("booking_id = 'BKG-000001'").first()
-    assert (str(row["gross_amount"]), row["payment_status"]) == ("245.50", "PAID")
+    row = detail.where("booking_id = 'R1'").first()
+    assert (str(row["gross_amount"]), row["destination"], row["payment_status"]) == ("80.00", "Trondheim", "PAID")
     ids = {r["booking_id"] for r in detail.select("booking_id").collect()}
-    assert "BKG-000012" in ids
-    assert not ids & {"BKG-000009", "BKG-000010", "BKG-000011"}
+    assert ids >= {"R1", "R2", "R18", "R1001"}
+    assert not ids & {f"R{n}" for n in range(3, 18)}
 
 
 def test_rejects_are_traceable(lake):
     rows = lake["again"].layers.quarantine.collect()
     found = {(r["source_entity"], r["record_id"], r["reason_code"]): r for r in rows}
-    assert ("bookings", "BKG-000003", c.MISSING_REQUIRED) in found
-    assert ("bookings", "BKG-000009", c.MISSING_PAYMENT) in found
-    missing = found["bookings", "BKG-000009", c.MISSING_PAYMENT]
+    assert ("bookings", "R7", c.MISSING_REQUIRED) in found
+    assert ("bookings", "R6", c.MISSING_PAYMENT) in found
+    missing = found["bookings", "R6", c.MISSING_PAYMENT]
     assert missing["source_row_number"] is None
     assert missing["source_file"] == "bookings.csv"
-    orphan = next(r for key, r in found.items() if key[0] == "payments" and key[2] == c.MISSING_REQUIRED)
+    orphan = found["payments", "T8", c.MISSING_REQUIRED]
     assert orphan["details"] == c.NO_BOOKING
-    assert orphan["source_row_number"] == 994
+    assert orphan["source_row_number"] == 8
+    assert found["bookings", "R16", c.MISSING_REQUIRED]["source_row_number"] == 17
+    assert ("bookings", "R17", c.INVALID_STATUS) in found
 
 
 def test_manifest_and_lineage(lake):
@@ -121,7 +129,7 @@ def test_manifest_and_lineage(lake):
     wanted = next(r["checksum"] for r in rows if r["source_file"] == "bookings.csv")
     assert [(r["source_file"], r["source_checksum"]) for r in stamped] == [("bookings.csv", wanted)]
     numbers = sorted(r["source_row_number"] for r in bronze.select("source_row_number").collect())
-    assert numbers == list(range(1, 1001))
+    assert numbers == list(range(1, 420))
 
 
 def test_report_document_and_checks_table(lake, spark):
@@ -135,7 +143,7 @@ def test_report_document_and_checks_table(lake, spark):
     assert checks.count() == len(k.GATE)
     assert json.loads(checks.where("check_id = 'AC01'").first()["actual_json"]) is True
     summary = spark.read.parquet(lake["first"].paths["quality_summary"]).first()
-    assert (summary["raw_count"], summary["reconciliation_delta"]) == (1000, 0)
+    assert (summary["raw_count"], summary["reconciliation_delta"]) == (419, 0)
 
 
 def test_gate_can_stop_the_caller(lake, spark, tmp_path):
@@ -189,8 +197,8 @@ def test_gate_decision_follows_severity():
 
 def test_an_empty_replay_leaves_no_old_rows(spark, tmp_path):
     target = str(tmp_path / "lake")
-    run_pipeline(spark, write_feeds(tmp_path / "full", *scenario(30)), target, batch_id="B")
-    rows = [booking(i, currency="USD") for i in range(1, 31)]
+    run_pipeline(spark, write_feeds(tmp_path / "full", *scenario(10)), target, batch_id="B")
+    rows = [booking(i, currency="CHF") for i in range(1, 31)]
     payments = [payment(i, row) for i, row in enumerate(rows, 1)]
     run = run_pipeline(spark, write_feeds(tmp_path / "bad", rows, payments), target, batch_id="B")
     assert run.metrics["silver_rows"] == {"bookings": 0, "payments": 0}
@@ -202,14 +210,75 @@ def test_an_empty_replay_leaves_no_old_rows(spark, tmp_path):
     assert run.decision == "GO"
 
 
+def test_a_replay_that_fails_changes_nothing(spark, tmp_path):
+    target = tmp_path / "lake"
+    run_pipeline(spark, write_feeds(tmp_path / "good", *scenario()), str(target), batch_id="B")
+
+    def stored():
+        return {p.relative_to(target): p.read_bytes() for p in target.rglob("part-*") if "_staging" not in p.parts}
+
+    before = stored()
+    rows, payments = scenario()
+    rows[1]["gross_amount"] = payments[1]["amount"] = "99999999999.00"
+    with pytest.raises(Exception, match="amount does not fit"):
+        run_pipeline(spark, write_feeds(tmp_path / "wide", rows, payments), str(target), batch_id="B")
+    assert stored() == before
+    run_pipeline(spark, write_feeds(tmp_path / "few", [rows[0]], payments[:1]), str(target), batch_id="B")
+    lines = read_batch(spark, str(target), "bronze/raw_lines", "B")
+    assert lines.where("source_name = 'bookings'").count() == 2
+    assert not list((target / "_staging").iterdir())
+
+
+def test_a_publication_that_fails_is_undone(spark, tmp_path):
+    staged, root = str(tmp_path / "s"), str(tmp_path / "r")
+    for folder, n in ((root, 1), (staged, 2)):
+        for table in ("a", "b"):
+            spark.range(n).write.parquet(f"{folder}/{table}/batch_id=X")
+    with pytest.raises(Exception):
+        publish(spark, staged, root, ["a", "b", "missing"], "X")
+    assert [spark.read.parquet(f"{root}/{t}/batch_id=X").count() for t in "ab"] == [1, 1]
+    publish(spark, staged, root, ["a", "b"], "X")
+    assert [spark.read.parquet(f"{root}/{t}/batch_id=X").count() for t in "ab"] == [2, 2]
+
+
+def test_line_breaks_in_quotes_stop_a_line_by_line_run(spark, tmp_path):
+    rows, payments = scenario()
+    rows[0]["client_id"] = "two\nlines"
+    source = write_feeds(tmp_path / "source", rows, payments)
+    with pytest.raises(DataContractError, match="multi_line_csv"):
+        run_pipeline(spark, source, str(tmp_path / "lake"))
+    run = run_pipeline(spark, source, str(tmp_path / "lake"), multi_line_csv=True)
+    assert run.metrics["source_rows"]["bookings"] == len(rows)
+
+
+def test_the_text_of_a_broken_line_is_in_bronze(spark, tmp_path):
+    source = write_feeds(tmp_path / "source", *scenario())
+    with open(tmp_path / "source/payments.jsonl", "a") as out:
+        out.write('{"payment_id": "cut\n')
+    run = run_pipeline(spark, source, str(tmp_path / "lake"))
+    assert run.metrics["quarantine_reasons"][c.MISSING_REQUIRED] == 7
+    lines = read_batch(spark, str(tmp_path / "lake"), "bronze/raw_lines", "BATCH_001")
+    assert b'{"payment_id": "cut' in {bytes(r["value"]) for r in lines.collect()}
+
+
+def test_the_callers_session_keeps_its_settings(spark, tmp_path):
+    mine = spark.newSession()
+    mine.conf.set("spark.sql.ansi.enabled", "false")
+    mine.conf.set("spark.sql.shuffle.partitions", "3")
+    run = run_pipeline(mine, write_feeds(tmp_path / "source", *scenario()), str(tmp_path / "lake"))
+    assert run.decision == "GO"
+    assert mine.conf.get("spark.sql.ansi.enabled") == "false"
+    assert run.layers.daily_revenue.sparkSession.conf.get("spark.sql.shuffle.partitions") == "3"
+
+
 def test_a_feed_of_headers_only(spark, tmp_path):
-    source = write_feeds(tmp_path / "source", *scenario(20))
+    source = write_feeds(tmp_path / "source", *scenario())
     header = (tmp_path / "source/bookings.csv").read_text().splitlines()[0]
     (tmp_path / "source/bookings.csv").write_text(header + "\n")
     run = run_pipeline(spark, source, str(tmp_path / "lake"))
     assert run.metrics["source_rows"]["bookings"] == 0
     assert run.metrics["success_rate_percent"] == 100.0
-    assert run.metrics["quarantine_reasons"] == {c.MISSING_REQUIRED: 14}
+    assert run.metrics["quarantine_reasons"] == {c.MISSING_REQUIRED: 10, c.INVALID_STATUS: 1, c.NEGATIVE_AMOUNT: 1, c.UNSUPPORTED_CURRENCY: 1}
     assert run.decision == "GO"
 
 
@@ -220,18 +289,18 @@ def test_modes_and_names_are_checked(spark, tmp_path):
 
 
 def test_missing_files_are_listed_together(spark, tmp_path):
-    folder = write_feeds(tmp_path / "source", *scenario(20))
+    folder = write_feeds(tmp_path / "source", *scenario())
     (tmp_path / "source/payments.jsonl").unlink()
     (tmp_path / "source/offers.csv").unlink()
-    with pytest.raises(FileNotFoundError, match="payments.jsonl, offers.csv"):
+    with pytest.raises(FileNotFoundError, match="payments.jsonl.*offers.csv"):
         run_pipeline(spark, folder, str(tmp_path / "lake"))
 
 
 def test_a_missing_column_stops_the_run(spark, tmp_path):
-    rows, payments = scenario(20)
+    rows, payments = scenario()
     for row in rows:
         del row["updated_at"]
-    with pytest.raises(DataContractError, match="bookings.csv.*updated_at"):
+    with pytest.raises(DataContractError, match="bookings.csv lacks updated_at"):
         run_pipeline(spark, write_feeds(tmp_path / "s", rows, payments), str(tmp_path / "lake"))
 
 
@@ -252,7 +321,7 @@ def reasons(run):
 
 def test_duplicate_offers_fan_out_and_show_in_the_reconciliation(spark, tmp_path):
     row = booking(4)
-    offers = [*OFFERS, OFFERS[4]]
+    offers = [*OFFERS, OFFERS[0]]
     run = small_run(spark, tmp_path, [row], [payment(1, row)], offers)
     assert run.metrics["superseded_bookings"] == 1
     assert run.metrics["reconciliation"]["difference"] == -1
@@ -261,18 +330,18 @@ def test_duplicate_offers_fan_out_and_show_in_the_reconciliation(spark, tmp_path
 
 def test_an_amount_too_wide_for_silver_stops_the_batch(spark, tmp_path):
     row = booking(4, gross_amount="99999999999.00")
-    with pytest.raises(Exception, match="amount does not fit.*BKG-000004"):
+    with pytest.raises(Exception, match="amount does not fit.*R4"):
         small_run(spark, tmp_path, [row], [payment(1, row)])
 
 
 def test_keys_match_as_written_but_codes_do_not_care_about_case(spark, tmp_path):
     rows = [
-        booking(4, offer_id=" OFF001 "),
+        booking(4, offer_id=" attic "),
         booking(8, booking_status=" confirmed ", currency="eur", source_channel="web "),
-        booking(12, booking_id=" BKG-000008"),
+        booking(12, booking_id=" R8"),
     ]
     run = small_run(spark, tmp_path, rows, [payment(1, booking(8))])
-    assert reasons(run) == {"BKG-000004": c.UNKNOWN_OFFER, " BKG-000008": c.MISSING_PAYMENT}
+    assert reasons(run) == {"R4": c.UNKNOWN_OFFER, " R8": c.MISSING_PAYMENT}
     silver = run.layers.silver_bookings.first()
     assert (silver["booking_status"], silver["currency"], silver["source_channel"]) == (
         "CONFIRMED",
@@ -286,27 +355,27 @@ def test_paid_at_of_declined_payments(spark, tmp_path):
     paid = payment(1, row, payment_status="DECLINED", paid_at="")
     lax = Strictness(paid_at_required_for=("PAID", "REFUNDED"))
     strict_run = small_run(spark, tmp_path / "a", [row], [paid])
-    assert reasons(strict_run) == {"PAY-000001": c.MISSING_REQUIRED}
+    assert reasons(strict_run) == {"T1": c.MISSING_REQUIRED}
     assert strict_run.layers.quarantine.first()["details"] == c.ROW_FAILED
     assert reasons(small_run(spark, tmp_path / "b", [row], [paid], strict=lax)) == {}
 
 
 def test_unreadable_flags_and_rates_are_accepted_unless_asked(spark, tmp_path):
-    offers = [("A", "Lyon", "0.1", "maybe"), ("B", "Metz", "", "true"), ("C", "Nice", "1.5", "true")]
+    offers = [("A", "Oslo", "0.1", "maybe"), ("B", "Bern", "", "true"), ("C", "Graz", "1.5", "true")]
     rows = [booking(i, offer_id=o[0], booking_status="PENDING") for i, o in enumerate(offers, 1)]
     payments = [payment(i, row) for i, row in enumerate(rows, 1)]
     run = small_run(spark, tmp_path / "a", rows, payments, offers)
     assert reasons(run) == {}
     strict = Strictness(active_must_be_known=True, rate_must_be_fraction=True)
     run = small_run(spark, tmp_path / "b", rows, payments, offers, strict=strict)
-    rejected = {name: reason for name, reason in reasons(run).items() if name.startswith("BKG")}
+    rejected = {name: reason for name, reason in reasons(run).items() if name.startswith("R")}
     assert rejected == {row["booking_id"]: c.UNKNOWN_OFFER for row in rows}
 
 
 def test_a_later_mismatched_payment_is_a_finding_of_the_recalculation(spark, tmp_path):
     row = booking(4)
-    good = payment(1, row, paid_at="2026-08-05T10:00:00Z")
-    late = payment(2, row, paid_at="2026-08-06T10:00:00Z", amount="1.00")
+    good = payment(1, row, paid_at="2031-03-07T10:00:00Z")
+    late = payment(2, row, paid_at="2031-03-08T10:00:00Z", amount="1.00")
     run = small_run(spark, tmp_path, [row], [good, late])
     assert run.metrics["gold_rows"] == 1
     assert run.decision == "GO"
@@ -318,12 +387,12 @@ def test_equal_payment_times_are_decided_by_id(spark, tmp_path):
     row = booking(4)
     payments = [payment(2, row), payment(1, row, payment_status="REFUNDED")]
     run = small_run(spark, tmp_path, [row], payments)
-    assert run.layers.revenue_detail.first()["payment_id"] == "PAY-000002"
+    assert run.layers.revenue_detail.first()["payment_id"] == "T2"
 
 
 def test_a_hot_booking_gives_the_same_ranks_by_sort_as_by_window(spark, tmp_path):
-    rows = [booking(4 * i) for i in range(1, 31)]
-    rows += [booking(400, updated_at=f"2026-08-02T09:{i % 7:02d}:00Z") for i in range(15)]
+    rows = [booking(i) for i in range(1, 31)]
+    rows += [booking(400, updated_at=f"2031-03-06T09:{i % 7:02d}:00Z") for i in range(15)]
     payments = [payment(i, row) for i, row in enumerate(rows[:31], 1)]
     runs = [
         small_run(spark, tmp_path / str(hot), rows, payments, hot_rows=hot) for hot in (10, 1000)
@@ -349,10 +418,10 @@ def test_every_json_record_can_be_held_to_the_contract(spark, tmp_path):
     cut = payment(2, row)
     del cut["currency"]
     payments = [payment(1, row), cut]
-    with pytest.raises(DataContractError, match="payments.jsonl.*currency"):
+    with pytest.raises(DataContractError, match="payments.jsonl lacks currency"):
         small_run(spark, tmp_path / "a", [row], payments, every_json_record=True)
     run = small_run(spark, tmp_path / "b", [row], payments)
-    assert reasons(run) == {"PAY-000002": c.MISSING_REQUIRED}
+    assert reasons(run) == {"T2": c.MISSING_REQUIRED}
 
 
 def test_equal_versions_are_decided_by_row_number(spark, tmp_path):
@@ -365,4 +434,4 @@ def test_equal_versions_are_decided_by_row_number(spark, tmp_path):
 def test_records_without_an_id_are_named_by_their_row(spark, tmp_path):
     rows = [booking(4), booking(8, booking_id="")]
     run = small_run(spark, tmp_path, rows, [payment(1, rows[0], payment_id="")])
-    assert set(reasons(run)) == {"BOOKING_ROW_2", "PAYMENT_ROW_1", "BKG-000004"}
+    assert set(reasons(run)) == {"BOOKING_ROW_2", "PAYMENT_ROW_1", "R4"}

@@ -1,13 +1,14 @@
 """Text feeds, contracts and landing."""
 
-import hashlib
 import json
 
 import pytest
 from feeds import booking, payment, scenario, write_feeds
 from pyspark.sql import functions as F
 
+from tidemark import run_pipeline
 from tidemark.scratch import Scratch
+from tidemark.sinks.writers import read_batch
 from tidemark.sources import landing
 from tidemark.sources.contracts import (
     BOOKINGS,
@@ -15,12 +16,10 @@ from tidemark.sources.contracts import (
     OFFERS,
     PAYMENTS,
     DataContractError,
-    check_contract,
-    csv_columns,
-    find_feeds,
-    jsonl_columns,
-    lacking_keys,
-    require_columns,
+    check_contracts,
+    feed_paths,
+    gaps,
+    incomplete_records,
 )
 from tidemark.sources.feeds import bronze, read_csv_text, read_jsonl_text
 
@@ -39,7 +38,7 @@ def load(spark, path, contract, names, **options):
 def test_columns_are_read_by_name(spark, tmp_path):
     path = tmp_path / "offers.csv"
     path.write_text('active, offer_id ,extra,commission_rate,destination\ntrue,A,x,0.1,"Nice, ""old"""\n')
-    check_contract(spark, str(path), OFFERS)
+    assert gaps(spark, str(path), OFFERS) == []
     row = read_csv_text(spark, str(path), OFFERS).first()
     assert row.asDict() == {
         "offer_id": "A",
@@ -66,21 +65,21 @@ def test_json_lines_become_text_and_keep_every_row(spark, tmp_path):
         "",
         "   ",
         json.dumps(whole),
-        json.dumps({**whole, "amount": 245.5}),
+        json.dumps({**whole, "amount": 17.5}),
         '{"payment_id": "cut',
         json.dumps({"payment_id": "P", "extra": 1}),
     ]
     path.write_text("\n".join(lines) + "\n")
-    check_contract(spark, str(path), PAYMENTS)
+    assert gaps(spark, str(path), PAYMENTS) == []
     rows = sorted(
         load(spark, str(path), PAYMENTS, ["payments.jsonl"]).collect(),
         key=lambda r: r["source_row_number"],
     )
     assert [r["source_row_number"] for r in rows] == [1, 2, 3, 4]
-    assert [r["amount"] for r in rows] == [whole["amount"], "245.5", None, None]
+    assert [r["amount"] for r in rows] == [whole["amount"], "17.5", None, None]
     assert [r["payment_id"] for r in rows] == [whole["payment_id"], whole["payment_id"], None, "P"]
     assert rows[0]["paid_at"] == whole["paid_at"]
-    assert lacking_keys(spark, str(path), PAYMENTS) == {
+    assert incomplete_records(spark, str(path), PAYMENTS) == {
         "payment_id": 1,
         "booking_id": 2,
         "payment_status": 2,
@@ -90,19 +89,19 @@ def test_json_lines_become_text_and_keep_every_row(spark, tmp_path):
     }
 
 
-def test_contract_errors(spark, tmp_path):
-    empty = tmp_path / "empty"
-    empty.write_text("")
-    for read in (csv_columns, jsonl_columns):
-        with pytest.raises(DataContractError, match="empty source file"):
-            read(spark, str(empty), "empty")
-    (tmp_path / "list.jsonl").write_text("\n[1, 2]\n")
-    with pytest.raises(DataContractError, match="not an object"):
-        jsonl_columns(spark, str(tmp_path / "list.jsonl"), "list.jsonl")
-    with pytest.raises(DataContractError, match="offers.csv: missing mandatory.*: b, c"):
-        require_columns([" a "], ["a", "b", "c"], "offers.csv")
-    with pytest.raises(FileNotFoundError, match="bookings.csv, payments.jsonl, offers.csv"):
-        find_feeds(spark, str(tmp_path))
+def test_all_gaps_are_told_at_once(spark, tmp_path):
+    source = write_feeds(tmp_path, *scenario())
+    (tmp_path / "offers.csv").write_text("offer_id, active\n")
+    (tmp_path / "payments.jsonl").write_text("\n[1, 2]\n")
+    (tmp_path / "bookings.csv").write_text("")
+    with pytest.raises(DataContractError) as error:
+        check_contracts(spark, feed_paths(source))
+    for part in ("bookings.csv holds no data", "payments.jsonl does not start", "offers.csv lacks destination", "offers.csv lacks commission_rate"):
+        assert part in str(error.value)
+    (tmp_path / "payments.jsonl").write_text("\n \n")
+    assert gaps(spark, f"{source}/payments.jsonl", PAYMENTS) == ["payments.jsonl holds no data"]
+    with pytest.raises(FileNotFoundError, match="bookings.csv.*payments.jsonl.*offers.csv"):
+        check_contracts(spark, feed_paths(f"{source}/nowhere"))
 
 
 def test_rows_are_numbered_across_splits_and_files(spark, tmp_path):
@@ -115,7 +114,7 @@ def test_rows_are_numbered_across_splits_and_files(spark, tmp_path):
             out.write(header)
             for _ in range(size):
                 n += 1
-                out.write(",".join([f"BKG-{n:06d}", *["x" * 20] * 9]) + "\n")
+                out.write(",".join([f"R{n}", *["x" * 20] * 9]) + "\n")
     names = [f"bookings.csv/part-{x}" for x in "abc"]
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
@@ -126,48 +125,89 @@ def test_rows_are_numbered_across_splits_and_files(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert len(rows) == n
-    assert all(r["booking_id"] == f"BKG-{r['source_row_number']:06d}" for r in rows)
+    assert all(r["booking_id"] == f"R{r['source_row_number']}" for r in rows)
     assert {r["source_file"] for r in rows} == set(names)
     assert {r["source_checksum"] for r in rows} == {"c"}
 
 
+ODD = {
+    "bookings.csv": b"a,b\r\n1,\xff\xfe\r\n\r\nlast",
+    "payments.jsonl": landing.BYTE_ORDER_MARK + b"{}\n\n",
+    "offers.csv": b"\n\n",
+}
+
+
+def land(spark, tmp_path, files, name="lake"):
+    source = tmp_path / f"{name}-source"
+    for file, data in files.items():
+        (source / file).parent.mkdir(parents=True, exist_ok=True)
+        (source / file).write_bytes(data)
+    root = str(tmp_path / name)
+    return landing.land(spark, feed_paths(str(source)), FEEDS, root, "B"), root
+
+
+def checksums(landed):
+    return {r["source_file"]: r["checksum"] for r in landed.collect()}
+
+
 def test_landing_keeps_the_bytes(spark, tmp_path):
-    source = write_feeds(tmp_path / "source", *scenario(30))
-    paths = find_feeds(spark, source)
-    root = str(tmp_path / "lake")
-    landed = landing.land(spark, paths, FEEDS, root, "B")
-    content = {name: (tmp_path / "source" / name).read_bytes() for name in ("bookings.csv", "offers.csv")}
-    found = {r["source_file"]: r for r in landed.collect()}
-    for name, data in content.items():
-        assert found[name]["checksum"] == hashlib.sha256(data).hexdigest()
-        assert found[name]["size_bytes"] == len(data)
-    copies = spark.read.parquet(f"{root}/{landing.RAW_FILES}/batch_id=B")
-    assert bytes(copies.where("source_file = 'offers.csv'").first()["content"]) == content["offers.csv"]
-    assert landing.verify(spark, landed, root, "B")
-    other = landed.withColumn("checksum", F.lit("0"))
-    assert not landing.verify(spark, other, root, "B")
-
-
-def test_large_files_land_line_by_line(spark, tmp_path):
-    source = write_feeds(tmp_path / "source", *scenario(200))
-    paths = find_feeds(spark, source)
-    root = str(tmp_path / "lake")
-    landed = landing.land(spark, paths, FEEDS, root, "B", whole_file_bytes=2000)
-    kinds = {r["source_file"]: r["checksum_kind"] for r in landed.collect()}
-    assert kinds == {
-        "bookings.csv": "order-free digest of lines",
-        "payments.jsonl": "order-free digest of lines",
-        "offers.csv": "sha256 of bytes",
-    }
+    landed, root = land(spark, tmp_path, {**ODD, "bookings.csv": ODD["bookings.csv"] * 3000})
+    lines = landing.numbered_lines(read_batch(spark, root, landing.RAW_LINES, "B")).collect()
+    for row in landed.collect():
+        own = sorted((r["line_number"], bytes(r["value"])) for r in lines if r["source_file"] == row["source_file"])
+        data = ODD[row["source_file"]] * (3000 if row["source_file"] == "bookings.csv" else 1)
+        assert landing.file_bytes([value for _, value in own], row["size_bytes"]) == data
+        assert [number for number, _ in own] == list(range(1, len(own) + 1))
     assert landing.verify(spark, landed, root, "B")
-    lines = spark.read.parquet(f"{root}/{landing.RAW_LINES}/batch_id=B")
-    assert lines.where("source_file = 'bookings.csv'").count() == 201
-    changed = lines.where("value NOT LIKE '%BKG-000100%'")
-    path = str(tmp_path / "changed")
-    changed.drop("batch_id").write.parquet(f"{path}/{landing.RAW_LINES}/batch_id=B")
-    copies = spark.read.parquet(f"{root}/{landing.RAW_FILES}/batch_id=B")
-    copies.write.parquet(f"{path}/{landing.RAW_FILES}/batch_id=B")
-    assert not landing.verify(spark, landed, path, "B")
+    assert not landing.verify(spark, landed.withColumn("checksum", F.lit("0")), root, "B")
+
+
+def test_checksums_do_not_depend_on_splits_but_on_every_byte_and_the_order(spark, tmp_path):
+    rows = [f"row {n},".encode() + b"x" * 50 + b"\n" for n in range(2000)]
+    files = {**ODD, "bookings.csv": b"".join(rows)}
+    base = checksums(land(spark, tmp_path, files)[0])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        assert checksums(land(spark, tmp_path, files, "split")[0]) == base
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    rows[5], rows[1500] = rows[1500], rows[5]
+    changes = {"swapped": b"".join(rows), "shorter": files["bookings.csv"][:-1], "other": files["bookings.csv"].replace(b"row 77,", b"row 78,")}
+    for name, data in changes.items():
+        found = checksums(land(spark, tmp_path, {**files, "bookings.csv": data}, name)[0])
+        assert found.pop("bookings.csv") != base["bookings.csv"]
+        assert found.items() <= base.items()
+
+
+def test_a_changed_copy_is_noticed(spark, tmp_path):
+    landed, root = land(spark, tmp_path, ODD)
+    lines = read_batch(spark, root, landing.RAW_LINES, "B").drop("batch_id")
+    changed = lines.withColumn("value", F.when(F.col("line_id") % 2 == 0, F.lit(b"?")).otherwise(F.col("value")))
+    changed.write.parquet(f"{tmp_path}/changed/{landing.RAW_LINES}/batch_id=B")
+    assert not landing.verify(spark, landed, f"{tmp_path}/changed", "B")
+
+
+NAMES = ["bookings.csv/dt=1/a.csv", "bookings.csv/dt=2/a.csv", "bookings.csv/part 1.csv", "bookings.csv/50%25+é.csv", "bookings.csv/x/bookings.csv"]
+
+
+def test_part_files_are_known_by_their_way_within_the_feed(spark, tmp_path):
+    bookings, payments = scenario()
+    source = write_feeds(tmp_path / "source", bookings, payments)
+    text = (tmp_path / "source/bookings.csv").read_text().splitlines(keepends=True)
+    (tmp_path / "source/bookings.csv").unlink()
+    for i, name in enumerate(NAMES):
+        (tmp_path / "source" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "source" / name).write_text("".join([text[0], *text[1:][i :: len(NAMES)]]))
+    run = run_pipeline(spark, source, str(tmp_path / "lake"))
+    assert run.decision == "GO"
+    rows = run.layers.bronze_bookings.collect()
+    assert len(rows) == len(bookings) and {r["source_file"] for r in rows} == set(NAMES)
+    manifest = {r["source_file"]: r for r in run.layers.manifest.collect()}
+    assert set(manifest) == {*NAMES, "payments.jsonl", "offers.csv"}
+    for r in rows:
+        assert r["source_checksum"] == manifest[r["source_file"]]["checksum"]
+    assert sum(manifest[name]["row_count"] for name in NAMES) == len(bookings)
 
 
 def test_manifest_finds_wrong_counts(spark):
@@ -191,7 +231,7 @@ def test_feed_checksums(spark):
         return {r["source_name"]: r["checksum"] for r in found}
 
     base = totals(rows)
-    assert base["a"] == "s1"
+    assert base["a"] != "s1" and len(base["a"]) == 64
     assert totals(rows[::-1]) == base
     assert totals([rows[0], rows[1], ("b", "f3", "other", 10, 1)])["b"] != base["b"]
 

@@ -19,7 +19,7 @@ def test_complete_batches_run_once(spark, tmp_path):
     inbox, target = tmp_path / "inbox", str(tmp_path / "lake")
     checkpoint = str(tmp_path / "checkpoint")
     for name in ("001", "002"):
-        write_feeds(inbox / name, *scenario(30))
+        write_feeds(inbox / name, *scenario())
     (inbox / "001.ready").write_text("done\n")
     run_arrivals(spark, str(inbox), target, checkpoint)
     assert batches(spark, target) == ["001"]

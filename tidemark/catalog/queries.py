@@ -9,7 +9,7 @@ from tidemark.catalog import star
 from tidemark.catalog.star import line_key, price, table
 from tidemark.functions import columns as col
 from tidemark.operators.diff import bag_difference, keyed_difference
-from tidemark.operators.fingerprint import table_digest
+from tidemark.operators.fingerprint import ordered_digest
 from tidemark.operators.numbering import number_in_order
 from tidemark.operators.quarantine import reason_histogram
 from tidemark.operators.relations import duplicate_groups, off_newest, orphan_total, orphans
@@ -28,7 +28,7 @@ from tidemark.plans import payments as p
 from tidemark.plans import settlement as s
 from tidemark.plans.batch import run_pipeline, volumes
 from tidemark.plans.recalculation import expected_gold
-from tidemark.scratch import Scratch, materialise
+from tidemark.scratch import Scratch
 from tidemark.sources.landing import manifest_anomalies
 
 QUERIES = {}
@@ -478,14 +478,13 @@ def repeated_keys(spark, sf_dir):
 
 @query
 def gold_fingerprint(spark, sf_dir):
-    gold = materialise(daily_revenue(spark, sf_dir), "gold")
-    return evidence.gold_fingerprint(gold, gold.count())
+    return evidence.ordered_gold_fingerprint(daily_revenue(spark, sf_dir))
 
 
 @query
 def gold_rows_hash(spark, sf_dir):
-    gold = materialise(daily_revenue(spark, sf_dir), "gold")
-    return table_digest(gold, ["business_date", "destination"], gold.count())
+    gold = daily_revenue(spark, sf_dir)
+    return ordered_digest(gold, gold.columns, ["business_date", "destination"])
 
 
 @query

@@ -28,13 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A table of fewer splits than cores would keep the others idle; deal its rows out by the
-    key of the next join. A table of many splits is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def line_key():
     return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
 
@@ -55,11 +48,8 @@ def bronze_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
-    lines = spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
-        ),
-        "l_orderkey",
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
     )
     placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -86,7 +76,7 @@ def bronze_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "F")
-    return spread(lines, "l_orderkey").select(
+    return lines.select(
         F.concat_ws(
             "-", line_key(), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
         ).alias("payment_id"),
@@ -124,10 +114,9 @@ def judged_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ranked_bookings(spark: SparkSession, sf_dir: str, dedup_mode: str = "latest") -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    hot_lines = hot_keys(lines, ["l_orderkey", "l_linenumber"])
-    hot = None if hot_lines is None else hot_lines.select(line_key().alias("booking_id"))
-    return b.rank_bookings(judged_bookings(spark, sf_dir), dedup_mode, TIE_BREAK, hot)
+    """Judged rows are stored first: ranking reads them up to three times when a key is hot."""
+    judged = materialise(judged_bookings(spark, sf_dir), "judged")
+    return b.rank_bookings(judged, dedup_mode, TIE_BREAK, hot_keys(judged, ["booking_id"]))
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import total
 
-# An ordered digest needs all rows as one text; past this many rows the bag digest is used.
-ORDERED_ROWS = 250_000
-
 
 def row_text(columns: Sequence[str]) -> Column:
     """Compact JSON array of a row's values as text, NULL kept."""
@@ -19,13 +16,15 @@ def row_text(columns: Sequence[str]) -> Column:
 
 
 def ordered_digest(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """SHA-256 over all rows in order, as one compact JSON text. For published, small tables."""
+    """SHA-256 over all rows in order, as one compact JSON text. All rows meet in one value: for a
+    caller that knows the table to be small."""
     text = F.coalesce(F.array_join(_ordered(row_text(columns), order), ","), F.lit(""))
     return df.agg(F.sha2(F.concat(F.lit("["), text, F.lit("]")), 256).alias("digest"))
 
 
 def ordered_md5(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> Column:
-    """Aggregate: MD5 over rows joined by ``||``, fields joined by ``|`` with NULL skipped."""
+    """Aggregate: MD5 over rows joined by ``||``, fields joined by ``|`` with NULL skipped. For
+    small tables, like ``ordered_digest``."""
     text = F.concat_ws("|", *[F.col(name).cast("string") for name in columns])
     return F.md5(F.coalesce(F.array_join(_ordered(text, order), "||"), F.lit("")))
 
@@ -35,9 +34,10 @@ def _ordered(text: Column, order: Sequence[str]) -> Column:
     return F.transform(rows, lambda row: row["_text"])
 
 
-def bag_digest(df: DataFrame) -> DataFrame:
-    """Digest of a table of any size, whatever its row order: count, sum and xor of row hashes."""
-    hashed = df.select(F.sha2(row_text(df.columns), 256).alias("_hash"))
+def bag_digest(df: DataFrame, measures: Sequence[Column] = ()) -> DataFrame:
+    """Digest of a table of any size, whatever its row order: count, sum and xor of row hashes.
+    ``measures`` are further aggregates to take in the same pass."""
+    hashed = df.withColumn("_hash", F.sha2(row_text(df.columns), 256))
     number = F.conv(F.substring("_hash", 1, 15), 16, 10).cast("decimal(20,0)")
     parts = F.concat_ws(
         "|",
@@ -45,13 +45,5 @@ def bag_digest(df: DataFrame) -> DataFrame:
         total(number).cast("string"),
         F.coalesce(F.bit_xor(F.xxhash64("_hash")), F.lit(0)).cast("string"),
     )
-    return hashed.agg(F.sha2(parts, 256).alias("digest"))
-
+    return hashed.agg(*measures, F.sha2(parts, 256).alias("digest"))
 
-def table_digest(
-    df: DataFrame, order: Sequence[str], rows: int, ordered_rows: int = ORDERED_ROWS
-) -> DataFrame:
-    """Ordered digest of a table known to be small enough, else the bag digest."""
-    if rows <= ordered_rows:
-        return ordered_digest(df, df.columns, order)
-    return bag_digest(df)

@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.relations import small_side
 from tidemark.scratch import Scratch
 
 PerSplit = Callable[[DataFrame], DataFrame]
@@ -41,18 +40,29 @@ def _number(tagged, piece, scratch, into, per_split=None) -> DataFrame:
     """Ids are contiguous inside a piece; add the rows of all pieces before it.
 
     The frame is written first so that counting and numbering see the same ids even if a second
-    read would split the files differently. The unpartitioned window runs over one row per file
-    split, not over the data.
+    read would split the files differently. Windows run over splits, not over data: over the splits
+    of one file, and then over one row per file. Spark broadcasts the stored table of splits while
+    its size in bytes allows that.
     """
     stored = scratch.keep(tagged, "tagged")
     pieces = stored.groupBy(*piece).agg(F.min("_id").alias("_first"), F.count("*").alias("_rows"))
-    earlier = Window.orderBy(*piece).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    starts = pieces.select(*piece, "_first", before.alias("_before"))
+    whole, *split = piece
+    starts = _rows_before(pieces, Window.orderBy(whole)) if not split else _within_files(pieces, whole, *split)
     if per_split is not None:
         starts = per_split(starts)
     starts = scratch.keep(starts, "starts")
     helpers = {*piece, "_id", "_first", "_before"}
     kept = [name for name in [*tagged.columns, *starts.columns] if name not in helpers]
     number = F.col("_before") + F.col("_id") - F.col("_first") + 1
-    return stored.join(small_side(starts), piece).select(number.alias(into), *kept)
+    return stored.join(starts, piece).select(number.alias(into), *kept)
+
+
+def _rows_before(pieces: DataFrame, order, into: str = "_before") -> DataFrame:
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    return pieces.withColumn(into, F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+
+
+def _within_files(pieces: DataFrame, whole: str, split: str) -> DataFrame:
+    files = _rows_before(pieces.groupBy(whole).agg(F.sum("_rows").alias("_rows")), Window.orderBy(whole), "_files")
+    inside = _rows_before(pieces, Window.partitionBy(whole).orderBy(split))
+    return inside.join(files, whole).withColumn("_before", F.col("_before") + F.col("_files")).drop("_files")

@@ -7,16 +7,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import total
 
-# Rows a broadcast table may have. Only tables of a few short columns are hinted.
-BROADCAST_ROWS = 1_000_000
-
-
-def small_side(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a stored table for broadcast if its counted rows allow it. A larger one is left to
-    Spark's own size check and adaptive skew splitting."""
-    return F.broadcast(stored) if stored.count() <= rows else stored
-
-
 def enrich(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Keep every fact row. Spark broadcasts the dimension while its stored size allows it, and
     otherwise sort-merges with adaptive skew splitting on the fact side."""

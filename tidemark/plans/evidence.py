@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import total
-from tidemark.operators.fingerprint import ORDERED_ROWS, bag_digest, ordered_md5
+from tidemark.operators.fingerprint import bag_digest, ordered_md5
 from tidemark.operators.quarantine import reason_histogram
 
 GOLD_TEXT = (
@@ -20,19 +20,22 @@ GOLD_TEXT = (
 )
 
 
-def gold_fingerprint(gold: DataFrame, rows: int, ordered_rows: int = ORDERED_ROWS) -> DataFrame:
-    """Rows, gross total and an MD5 over the ordered rows. ``rows`` is the table's known row
-    count; a table past ``ordered_rows`` gets the order-free digest in place of the MD5."""
-    measures = [
+def gold_fingerprint(gold: DataFrame) -> DataFrame:
+    """Rows, gross total and an order-free digest of all rows, at any size."""
+    return bag_digest(gold.select(*GOLD_TEXT), _gold_measures()).withColumnRenamed("digest", "gold_digest")
+
+
+def ordered_gold_fingerprint(gold: DataFrame) -> DataFrame:
+    """The same with an MD5 over the ordered rows, for a caller that knows the table to be small."""
+    order = ["business_date", "destination", "batch_id"]
+    return gold.agg(*_gold_measures(), ordered_md5(gold, GOLD_TEXT, order).alias("gold_digest"))
+
+
+def _gold_measures():
+    return [
         F.count("*").alias("row_count"),
         F.round(total(F.col("gross_revenue_eur")), 2).cast("decimal(18,2)").alias("gross_sum"),
     ]
-    if rows <= ordered_rows:
-        order = ["business_date", "destination", "batch_id"]
-        return gold.agg(*measures, ordered_md5(gold, GOLD_TEXT, order).alias("gold_digest"))
-    return gold.agg(*measures).withColumn(
-        "gold_digest", F.lit(bag_digest(gold.select(*GOLD_TEXT)).first()["digest"])
-    )
 
 
 def rejects_by_cause(records: DataFrame) -> DataFrame:

@@ -48,8 +48,10 @@ def validate_payments(
 ) -> DataFrame:
     """All Bronze payments with the amount of their current booking and a reason.
 
-    A current booking always has an amount, so a NULL there means that none matched. Bookings are
-    unique on the right, so a booking with very many payments is split by adaptive skew handling.
+    A current booking always has an amount, so a NULL there means that none matched. Payments
+    without a booking id cannot match; they pass the join by instead of gathering in one task.
+    Bookings are unique on the right, so a booking with very many payments is split by adaptive
+    skew handling.
     """
     booked = candidates.select("booking_id", F.col("gross_amount").alias("booking_gross_amount"))
     parsed = bronze.select(
@@ -57,7 +59,11 @@ def validate_payments(
         amount(F.col("amount")).alias("parsed_amount"),
         instant(F.col("paid_at")).alias("parsed_paid_at"),
     )
-    return validate(parsed.join(booked, "booking_id", "left"), payment_rules(strict))
+    named = parsed.where(F.col("booking_id").isNotNull()).join(booked, "booking_id", "left")
+    nameless = parsed.where(F.col("booking_id").isNull())
+    amount_type = booked.schema["booking_gross_amount"].dataType
+    nameless = nameless.withColumn("booking_gross_amount", F.lit(None).cast(amount_type))
+    return validate(named.unionByName(nameless), payment_rules(strict))
 
 
 def payment_validation(validated: DataFrame) -> DataFrame:

@@ -7,10 +7,11 @@ joins then broadcast by that size instead of by a hint.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import InheritableThread, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -19,7 +20,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    if not context.master.startswith("local"):
+    if context.master.partition("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
     return context.getCheckpointDir()
@@ -34,7 +35,7 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
@@ -44,12 +45,43 @@ class Scratch:
         path.getFileSystem(conf).delete(path, True)
 
 
+_until_exit: list[Scratch] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once for a caller that keeps the result for the session."""
-    return Scratch(df.sparkSession).keep(df, name)
+    """Write ``df`` once for a caller that may read the result as long as the program runs."""
+    scratch = Scratch(df.sparkSession)
+    if not _until_exit:
+        atexit.register(drop_materialised)
+    _until_exit.append(scratch)
+    return scratch.keep(df, name)
+
+
+def drop_materialised() -> None:
+    """Drop all that ``materialise`` has written, also called when the program ends."""
+    while _until_exit:
+        scratch = _until_exit.pop()
+        if SparkContext._active_spark_context is scratch.spark.sparkContext:
+            scratch.drop()
 
 
 def together(*steps):
-    """Run independent jobs at the same time; each step is a function without arguments."""
-    with ThreadPoolExecutor(len(steps)) as pool:
-        return [future.result() for future in [pool.submit(step) for step in steps]]
+    """Run independent jobs at the same time, in the caller's job group and pool; each step is a
+    function without arguments. The first failure is raised once all have ended."""
+    outcomes = [None] * len(steps)
+
+    def run(number, step):
+        try:
+            outcomes[number] = (step(), None)
+        except BaseException as error:  # handed to the caller below
+            outcomes[number] = (None, error)
+
+    threads = [InheritableThread(target=run, args=item) for item in enumerate(steps)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    for _, error in outcomes:
+        if error is not None:
+            raise error
+    return [result for result, _ in outcomes]

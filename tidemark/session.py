@@ -25,9 +25,15 @@ RUNTIME = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    for key, value in RUNTIME.items():
-        spark.conf.set(key, value)
-    return spark
+    """A session of the same application with the library's settings on top of the caller's; the
+    caller's own session stays as it is."""
+    if all(spark.conf.get(key, None) == value for key, value in RUNTIME.items()):
+        return spark
+    tuned = spark.newSession()
+    for key, value in {**spark.conf.getAll, **RUNTIME}.items():
+        if tuned.conf.isModifiable(key):
+            tuned.conf.set(key, value)
+    return tuned
 
 
 def local_session(name: str = "tidemark", cores: int | None = None) -> SparkSession:
@@ -43,4 +49,6 @@ def local_session(name: str = "tidemark", cores: int | None = None) -> SparkSess
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", str(cores))
     )
-    return tune(builder.getOrCreate())
+    for key, value in RUNTIME.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()

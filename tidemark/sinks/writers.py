@@ -1,4 +1,8 @@
-"""Every table is a folder of ``batch_id=`` folders; a replay replaces exactly its own."""
+"""Every table is a folder of ``batch_id=`` folders; a replay replaces exactly its own.
+
+A run writes below a staging folder and publishes all its tables at the end, so a run that fails
+leaves the earlier tables of its batch as they were.
+"""
 
 from __future__ import annotations
 
@@ -44,6 +48,43 @@ def replace_batch(
     return read_batch(df.sparkSession, root, table, batch_id, rows.schema)
 
 
+def _files(spark: SparkSession, root: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return hadoop, hadoop(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def discard(spark: SparkSession, staged: str) -> None:
+    """Remove what a failed run had staged; earlier tables that could not be put back stay."""
+    hadoop, files = _files(spark, staged)
+    if not files.exists(hadoop(f"{staged}/replaced")):
+        files.delete(hadoop(staged), True)
+
+
+def publish(spark: SparkSession, staged: str, root: str, tables: list[str], batch_id: str) -> None:
+    """Move a run's tables to their places, those of an earlier run of the batch aside and then
+    away. If a move fails, the earlier tables are put back."""
+    hadoop, files = _files(spark, root)
+    done = []
+
+    def move(source, target):
+        files.mkdirs(hadoop(target).getParent())
+        if not files.rename(hadoop(source), hadoop(target)):
+            raise OSError(f"could not move {source} to {target}")
+        done.append((source, target))
+
+    try:
+        for table in tables:
+            place = batch_path(root, table, batch_id)
+            if files.exists(hadoop(place)):
+                move(place, batch_path(f"{staged}/replaced", table, batch_id))
+            move(batch_path(staged, table, batch_id), place)
+    except BaseException:
+        for source, target in reversed(done):
+            files.rename(hadoop(target), hadoop(source))
+        raise
+    files.delete(hadoop(staged), True)
+
+
 def read_batch(
     spark: SparkSession,
     root: str,

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 class DataContractError(ValueError):
-    """A feed cannot be interpreted: it is empty, malformed or lacks a mandatory column."""
+    """Feeds that cannot be interpreted; the message names every gap found in them."""
 
 
 @dataclass(frozen=True)
@@ -55,72 +54,62 @@ OFFERS = Contract(
 FEEDS = (BOOKINGS, PAYMENTS, OFFERS)
 
 
-def require_columns(actual: Iterable[str], required: Sequence[str], source: str) -> None:
-    present = {name.strip() for name in actual}
-    missing = [name for name in required if name not in present]
-    if missing:
-        raise DataContractError(f"{source}: missing mandatory column(s): {', '.join(missing)}")
+def feed_paths(source_dir: str, feeds=FEEDS) -> dict[str, str]:
+    """Where each feed is expected: a file, or a folder of part files, of the contract's name."""
+    return {feed.entity: f"{source_dir.rstrip('/')}/{feed.file_name}" for feed in feeds}
 
 
-def find_feeds(spark: SparkSession, source_dir: str, feeds=FEEDS) -> dict[str, str]:
-    """Path of each feed: a file, or a folder of part files, of the contract's name."""
-    paths = {feed.entity: f"{source_dir.rstrip('/')}/{feed.file_name}" for feed in feeds}
-    missing = [feed.file_name for feed in feeds if not path_exists(spark, paths[feed.entity])]
-    if missing:
-        raise FileNotFoundError(f"Missing source file(s): {', '.join(missing)}")
-    return paths
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The feed's lines, part files in nested folders included."""
+    return spark.read.option("recursiveFileLookup", True).text(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+def csv_fields(spark: SparkSession, path: str) -> list[str] | None:
+    """Header names; None for a feed without a single line."""
+    reader = spark.read.option("header", True).option("recursiveFileLookup", True)
+    return [name.strip() for name in reader.csv(path).columns] or None
 
 
-def csv_columns(spark: SparkSession, path: str, source: str) -> list[str]:
-    names = spark.read.option("header", True).csv(path).columns
-    if not names:
-        raise DataContractError(f"{source}: empty source file")
-    return names
+def json_fields(spark: SparkSession, path: str) -> list[str] | None:
+    """Keys of the first record that is not blank; an empty list if that is no object."""
+    filled = text_lines(spark, path).where(F.trim("value") != "")
+    row = filled.select(F.json_object_keys("value").alias("keys")).first()
+    return None if row is None else list(row["keys"] or [])
 
 
-def jsonl_columns(spark: SparkSession, path: str, source: str) -> list[str]:
-    """Keys of the first record; a key that only later records lack becomes NULL there."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    first = lines.select(F.json_object_keys("value").alias("names")).first()
-    if first is None:
-        raise DataContractError(f"{source}: empty source file")
-    if first["names"] is None:
-        raise DataContractError(f"{source}: first JSONL record is not an object")
-    return first["names"]
-
-
-def lacking_keys(spark: SparkSession, path: str, contract: Contract) -> dict[str, int]:
-    """Stricter reading of the JSONL contract: records lacking each mandatory key, whole feed."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
+def incomplete_records(spark: SparkSession, path: str, contract: Contract) -> dict[str, int]:
+    """How many records of a whole JSON feed lack each mandatory key."""
+    filled = text_lines(spark, path).where(F.trim("value") != "")
     keys = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))
-    absent = [
-        F.count_if(~F.array_contains(keys, name)).alias(name) for name in contract.columns
-    ]
-    return {name: n for name, n in lines.agg(*absent).first().asDict().items() if n}
-
-
-def check_contract(
-    spark: SparkSession, path: str, contract: Contract, every_record: bool = False
-) -> None:
-    """Stop before any work if a mandatory column is missing; for JSON lines the first record
-    decides, or with ``every_record`` all of them."""
-    read = jsonl_columns if contract.is_json else csv_columns
-    actual = read(spark, path, contract.file_name)
-    require_columns(actual, contract.columns, contract.file_name)
+    absent = [F.count_if(~F.array_contains(keys, name)).alias(name) for name in contract.columns]
+    return {name: n for name, n in filled.agg(*absent).first().asDict().items() if n}
+
+
+def gaps(spark: SparkSession, path: str, contract: Contract, every_record: bool = False) -> list[str]:
+    """Complaints about one feed that exists; none if it keeps its contract."""
+    found = (json_fields if contract.is_json else csv_fields)(spark, path)
+    if found is None:
+        return [f"{contract.file_name} holds no data"]
+    if not found:
+        return [f"{contract.file_name} does not start with a JSON object"]
+    lacking = set(contract.columns) - set(found)
     if every_record and contract.is_json:
-        lacking = lacking_keys(spark, path, contract)
-        require_columns(
-            [name for name in contract.columns if name not in lacking],
-            contract.columns,
-            contract.file_name,
-        )
+        lacking |= set(incomplete_records(spark, path, contract))
+    return [f"{contract.file_name} lacks {name}" for name in contract.columns if name in lacking]
+
+
+def check_contracts(spark: SparkSession, paths: dict[str, str], feeds=FEEDS, every_record: bool = False) -> None:
+    """Stop before any work, with all gaps of all feeds in one error. For JSON lines the first
+    record decides, or with ``every_record`` all of them."""
+    absent, complaints = [], []
+    for feed in feeds:
+        try:
+            complaints += gaps(spark, paths[feed.entity], feed, every_record)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            absent.append(paths[feed.entity])
+    if absent:
+        raise FileNotFoundError(f"no such feed: {', '.join(absent)}")
+    if complaints:
+        raise DataContractError("; ".join(complaints))

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import flag
 from tidemark.operators.numbering import number_in_file_order
 from tidemark.scratch import Scratch
-from tidemark.sources.contracts import Contract
+from tidemark.sources.contracts import Contract, text_lines
 
 ROW_NUMBER = "source_row_number"
 
@@ -19,13 +19,15 @@ def read_csv_text(
 ) -> DataFrame:
     """Columns are taken by header name, spaces around names ignored, extra columns dropped.
 
-    Reading stays splittable unless fields may hold line breaks (``multi_line``).
+    Reading stays splittable unless fields may hold line breaks (``multi_line``); without it,
+    ``landing.open_quotes`` tells whether the feed has such fields.
     """
     raw = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("enforceSchema", False)
+        .option("recursiveFileLookup", True)
         .csv(path)
     )
     by_name = {name.strip(): name for name in raw.columns}
@@ -34,16 +36,20 @@ def read_csv_text(
 
 def read_jsonl_text(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """One object per non-blank line, each value as its text. A broken line gives all NULLs, so
-    that row validation rejects it and the row is still counted."""
+    that row validation rejects it and the row is still counted; its text is in the raw lines."""
     schema = T.StructType([T.StructField(name, T.StringType()) for name in contract.columns])
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    lines = text_lines(spark, path).where(F.trim("value") != "")
     return lines.select(F.from_json("value", schema).alias("record")).select("record.*")
 
 
 def source_file(path, contract: Contract):
-    """The feed's file name, followed by the part file's name when the feed is a folder."""
+    """A file's name within its feed: the feed's name and, for a part file, the way to it.
+
+    ``path`` is ``_metadata.file_path``, which escapes some characters as URLs do.
+    """
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     name = contract.file_name.replace(".", r"\.")
-    return F.regexp_extract(path, f"({name}(/[^/]+)?)$", 1)
+    return F.regexp_extract(plain, f"(?s)^.*?/({name}(?:/.*)?)$", 1)
 
 
 def bronze(

@@ -1,8 +1,11 @@
 """Raw landing: an untouched copy of every source file, with checksums proving it.
 
-Files up to ``WHOLE_FILE_BYTES`` are copied byte for byte and get the SHA-256 of their bytes.
-A larger file cannot pass through one row; it is copied line by line and gets an order-free digest
-of its lines, marked as such in ``checksum_kind``.
+Files of every size are copied by line, cut at line feeds only, as bytes: carriage returns and bytes
+that are no UTF-8 stay. With the file's size, which tells whether the last line ends in a line feed
+and whether the file began with a byte order mark, the lines rebuild the file exactly. A file's
+checksum covers its size and the SHA-256 of each line with the line's number, so it sees a changed byte
+and a swapped line. It is a sum over lines: large files are hashed by many tasks, and how they were
+split does not show.
 """
 
 from __future__ import annotations
@@ -10,17 +13,17 @@ from __future__ import annotations
 import hashlib
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import is_blank, total
-from tidemark.sinks.writers import replace_batch
+from tidemark.sinks.writers import batch_path, read_batch, replace_batch
 from tidemark.sources.contracts import Contract
 from tidemark.sources.feeds import source_file
 
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
 RAW_FILES = "bronze/raw_files"
 RAW_LINES = "bronze/raw_lines"
+BYTE_ORDER_MARK = bytes([0xEF, 0xBB, 0xBF])
 
 
 def land(
@@ -29,83 +32,71 @@ def land(
     feeds: tuple[Contract, ...],
     root: str,
     batch_id: str,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    published_root: str | None = None,
 ) -> DataFrame:
     """Copy all files; return one row per file with its size, copy and checksum.
 
-    Each file is read once. The checksum is taken on the source bytes while copying.
+    The hash of each line is taken while it is copied. ``published_root`` is where the copy will lie
+    once the run is published, if not in ``root``.
     """
-    files = [_listing(spark, paths[feed.entity], feed) for feed in feeds]
-    whole = reduce(DataFrame.unionByName, files).where(F.col("size_bytes") <= whole_file_bytes)
-    copied = replace_batch(
-        whole.select("*", F.sha2("content", 256).alias("checksum")),
-        root,
-        RAW_FILES,
-        batch_id,
-        rows_per_file=1,
-    )
-    kept = copied.select(
+    lines = reduce(DataFrame.unionByName, [_lines(spark, paths[feed.entity], feed) for feed in feeds])
+    stored = replace_batch(lines, root, RAW_LINES, batch_id)
+    files = reduce(DataFrame.unionByName, [_files(spark, paths[feed.entity], feed) for feed in feeds])
+    digests = _digests(stored, F.col("line_hash"))
+    copy = batch_path(published_root or root, RAW_LINES, batch_id)
+    described = files.join(digests, "source_file", "left").select(
         "source_name",
         "source_file",
         "source_path",
         "size_bytes",
-        "checksum",
-        F.lit("sha256 of bytes").alias("checksum_kind"),
-        F.lit(f"{root}/{RAW_FILES}/batch_id={batch_id}").alias("bronze_copy"),
-    )
-    large = [
-        _large_paths(spark, paths[feed.entity], feed, whole_file_bytes).withColumn("_n", F.lit(i))
-        for i, feed in enumerate(feeds)
-    ]
-    found = reduce(DataFrame.unionByName, large).collect()
-    if not found:
-        return kept
-    lines = _lines(spark, feeds, found)
-    stored = replace_batch(lines, root, RAW_LINES, batch_id)
-    sizes = reduce(DataFrame.unionByName, large).drop("_n")
-    digests = line_digest(stored, F.col("line_hash")).join(sizes, "source_file")
-    return kept.unionByName(
-        digests.select(
-            "source_name",
-            "source_file",
-            "source_path",
-            "size_bytes",
-            "checksum",
-            F.lit("order-free digest of lines").alias("checksum_kind"),
-            F.lit(f"{root}/{RAW_LINES}/batch_id={batch_id}").alias("bronze_copy"),
-        )
+        file_checksum(F.col("digest"), F.col("size_bytes")).alias("checksum"),
+        F.lit(copy).alias("bronze_copy"),
     )
+    return replace_batch(described, root, RAW_FILES, batch_id).drop("batch_id")
 
 
-def _listing(spark, path, feed):
-    return spark.read.format("binaryFile").load(path).select(
+def _files(spark, path, feed):
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return listing.select(
         F.lit(feed.entity).alias("source_name"),
-        source_file(F.col("path"), feed).alias("source_file"),
+        source_file(F.col("_metadata.file_path"), feed).alias("source_file"),
         F.col("path").alias("source_path"),
         F.col("length").alias("size_bytes"),
-        F.col("modificationTime").alias("modified_at"),
-        "content",
     )
 
 
-def _large_paths(spark, path, feed, limit):
-    return _listing(spark, path, feed).where(F.col("size_bytes") > limit).drop(
-        "content", "modified_at"
+def _lines(spark, path, feed):
+    text = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
+    value = F.col("value").cast("binary")
+    return text.select(
+        F.lit(feed.entity).alias("source_name"),
+        source_file(F.col("_metadata.file_path"), feed).alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("line_id"),
+        value.alias("value"),
+        F.sha2(value, 256).alias("line_hash"),
     )
 
 
-def _lines(spark, feeds, found):
-    """Text lines of the large files, by feed."""
-    parts = []
-    for i, feed in enumerate(feeds):
-        chosen = [row["source_path"] for row in found if row["_n"] == i]
-        if chosen:
-            text = spark.read.text(chosen)
-            name = source_file(F.col("_metadata.file_path"), feed)
-            start = F.col("_metadata.file_block_start").alias("block_start")
-            hashed = hash_number(F.col("value")).alias("line_hash")
-            parts.append(text.select(name.alias("source_file"), start, "value", hashed))
-    return reduce(DataFrame.unionByName, parts)
+def numbered_lines(stored: DataFrame) -> DataFrame:
+    """The raw lines with ``line_number`` within their file, from 1. Ids are contiguous within a
+    block of a file; the window runs over the blocks of one file."""
+    block = ["source_file", "block_start"]
+    blocks = stored.groupBy(*block).agg(F.min("line_id").alias("_first"), F.count("*").alias("_lines"))
+    earlier = Window.partitionBy("source_file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_lines").over(earlier), F.lit(0))).drop("_lines")
+    number = F.col("_before") + F.col("line_id") - F.col("_first") + 1
+    return stored.join(blocks, block).withColumn("line_number", number).drop("_before", "_first")
+
+
+def _digests(stored: DataFrame, line_hash: Column) -> DataFrame:
+    hashed = stored.select("source_file", "block_start", "line_id", line_hash.alias("line_hash"))
+    placed = hash_number(F.concat_ws("|", F.col("line_number").cast("string"), "line_hash"))
+    return numbered_lines(hashed).groupBy("source_file").agg(combined_digest(placed).alias("digest"))
+
+
+def file_checksum(digest: Column, size: Column) -> Column:
+    return F.sha2(F.concat_ws("|", size.cast("string"), F.coalesce(digest, F.lit("empty"))), 256)
 
 
 def hash_number(text: Column) -> Column:
@@ -124,22 +115,31 @@ def combined_digest(number: Column) -> Column:
     return F.sha2(parts, 256)
 
 
-def line_digest(lines: DataFrame, number: Column) -> DataFrame:
-    """Per file, over its lines' hash numbers; combined before the shuffle."""
-    return lines.groupBy("source_file").agg(combined_digest(number).alias("checksum"))
+def file_bytes(lines: list[bytes], size: int) -> bytes:
+    """A file from its raw lines in order and its size. For files that fit in memory."""
+    body = b"".join(line + b"\n" for line in lines)
+    if size - len(body) in (2, 3):
+        body = BYTE_ORDER_MARK + body
+    return body[:size]
 
 
 def verify(spark: SparkSession, landed: DataFrame, root: str, batch_id: str) -> bool:
     """Hash the copies again and compare with what was recorded for the source files."""
-    raw = spark.read.parquet(f"{root}/{RAW_FILES}/batch_id={batch_id}")
-    again = raw.select("source_file", F.sha2("content", 256).alias("copied"))
-    by_line = landed.where(F.col("checksum_kind") != "sha256 of bytes")
-    if not by_line.isEmpty():
-        lines = spark.read.parquet(f"{root}/{RAW_LINES}/batch_id={batch_id}")
-        rehashed = line_digest(lines, hash_number(F.col("value")))
-        again = again.unionByName(rehashed.withColumnRenamed("checksum", "copied"))
+    again = _digests(read_batch(spark, root, RAW_LINES, batch_id), F.sha2("value", 256))
+    copied = file_checksum(F.col("digest"), F.col("size_bytes"))
     matched = landed.join(again, "source_file", "left")
-    return matched.where(~F.col("checksum").eqNullSafe(F.col("copied"))).isEmpty()
+    return matched.where(~F.col("checksum").eqNullSafe(copied)).isEmpty()
+
+
+def open_quotes(spark: SparkSession, root: str, batch_id: str, feeds: tuple[Contract, ...]) -> dict[str, int]:
+    """CSV feeds with lines that end inside a quoted field, and how many: read line by line, such
+    a field would become two rows."""
+    names = [feed.entity for feed in feeds if not feed.is_json]
+    lines = read_batch(spark, root, RAW_LINES, batch_id).where(F.col("source_name").isin(names))
+    text = F.col("value").cast("string")
+    quotes = F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"'), F.lit("")))
+    found = lines.where(quotes % 2 == 1).groupBy("source_name").agg(F.count("*").alias("n"))
+    return {row["source_name"]: row["n"] for row in found.collect()}
 
 
 def manifest(landed: DataFrame, row_counts: DataFrame, batch_id: str) -> DataFrame:
@@ -151,7 +151,6 @@ def manifest(landed: DataFrame, row_counts: DataFrame, batch_id: str) -> DataFra
         "source_path",
         "bronze_copy",
         "checksum",
-        "checksum_kind",
         "size_bytes",
         F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"),
         F.lit(batch_id).alias("batch_id"),
@@ -167,17 +166,14 @@ def row_counts(*bronze_tables: DataFrame) -> DataFrame:
 
 
 def feed_totals(manifest_rows: DataFrame) -> DataFrame:
-    """One row per feed: files, bytes, rows and a checksum of the whole feed.
-
-    A feed of one file keeps that file's checksum; a folder gets an order-free digest over its
-    files' names and checksums.
-    """
+    """One row per feed: files, bytes, rows and an order-free digest of its files' names and
+    checksums, also for a feed of one file."""
     combined = combined_digest(hash_number(F.concat_ws("|", "source_file", "checksum")))
     return manifest_rows.groupBy("source_name").agg(
         F.count("*").alias("files"),
         F.sum("size_bytes").alias("size_bytes"),
         F.sum("row_count").alias("row_count"),
-        F.when(F.count("*") == 1, F.max("checksum")).otherwise(combined).alias("checksum"),
+        combined.alias("checksum"),
     )
 
 

@@ -19,7 +19,7 @@ def run_arrivals(
     spark: SparkSession, inbox: str, target_dir: str, checkpoint: str | None = None, **options
 ) -> None:
     """Process the batches now waiting in ``inbox``, oldest name first, and return."""
-    tune(spark)
+    spark = tune(spark)
     root = inbox.rstrip("/")
     checkpoint = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/arrivals"
 
