@@ -156,8 +156,9 @@ def quarantine_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def layers(spark: SparkSession, sf_dir: str, dedup_mode: str = "latest") -> Layers:
-    """All tables of one batch, each stored once, for the check suites."""
+def layers(spark: SparkSession, sf_dir: str, dedup_mode: str = "latest", gold: bool = True) -> Layers:
+    """All tables of one batch, each stored once, for the check suites. Without ``gold``, rejects
+    are not stored and Gold is not worked out, for questions that need neither."""
     bookings, payments, offers = together(
         lambda: materialise(bronze_bookings(spark, sf_dir), "bookings"),
         lambda: materialise(bronze_payments(spark, sf_dir), "payments"),
@@ -174,17 +175,14 @@ def layers(spark: SparkSession, sf_dir: str, dedup_mode: str = "latest") -> Laye
     silver_payments = p.silver_payments(matched)
     outcome = materialise(s.settle(current, p.latest_payment(silver_payments)), "settled")
     detail = s.revenue_detail(outcome)
-    rejects, daily = together(
-        lambda: materialise(
-            quarantine(
-                b.booking_rejects(judged),
-                s.missing_payment_rejects(outcome),
-                p.payment_rejects(matched),
-            ),
-            "rejects",
-        ),
-        lambda: materialise(s.daily_revenue(detail, one_row_per_booking=True), "daily"),
+    rejects = quarantine(
+        b.booking_rejects(judged), s.missing_payment_rejects(outcome), p.payment_rejects(matched)
     )
+    daily = s.daily_revenue(detail, one_row_per_booking=True)
+    if gold:
+        rejects, daily = together(
+            lambda: materialise(rejects, "rejects"), lambda: materialise(daily, "daily")
+        )
     return Layers(
         bronze_bookings=bookings,
         bronze_payments=payments,
@@ -204,13 +202,50 @@ def layers(spark: SparkSession, sf_dir: str, dedup_mode: str = "latest") -> Laye
 
 def write_text_feeds(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """The same feeds as text part files, in key order, for runs that start from files."""
+    bookings, payments = bronze_bookings(spark, sf_dir), bronze_payments(spark, sf_dir)
+    return _write(bookings, payments, bronze_offers(spark, sf_dir), folder)
+
+
+def broken(column: str, fault, faults: dict[int, str]):
+    """The column with other text where ``fault`` has a number."""
+    found = F.col(column)
+    for number, text in faults.items():
+        found = F.when(fault == number, F.lit(text)).otherwise(found)
+    return found
+
+
+def write_faulty_feeds(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Feeds whose text breaks a rule where the part or supplier number says so."""
+    fault = F.col("line_part") % 37
+    bookings = bronze_bookings(spark, sf_dir).withColumns(
+        {
+            "client_id": broken("client_id", fault, {0: "", 6: "  "}),
+            "gross_amount": broken("gross_amount", fault, {1: "many", 2: "-0.01"}),
+            "booking_ts": broken("booking_ts", fault, {3: "soon"}),
+            "booking_status": broken("booking_status", fault, {4: "HELD"}),
+            "offer_id": broken("offer_id", fault, {5: "none"}),
+        }
+    )
+    fault = F.split("payment_id", "-")[3].cast("long") % 11
+    payments = bronze_payments(spark, sf_dir).withColumns(
+        {
+            "currency": broken("currency", fault, {0: "", 5: "GBP"}),
+            "amount": broken("amount", fault, {1: "few", 2: "-3"}),
+            "paid_at": broken("paid_at", fault, {3: "later"}),
+            "payment_status": broken("payment_status", fault, {4: "LOST"}),
+        }
+    )
+    offers = bronze_offers(spark, sf_dir).withColumn(
+        "active", F.when(F.col("offer_id").cast("long") % 29 == 0, F.lit("perhaps")).otherwise(F.col("active").cast("string"))
+    )
+    return _write(bookings, payments, offers, folder)
+
+
+def _write(bookings: DataFrame, payments: DataFrame, offers: DataFrame, folder: str) -> str:
     feeds = {
-        "bookings.csv": (
-            bronze_bookings(spark, sf_dir),
-            ["booking_id", "updated_at", *TIE_BREAK],
-        ),
-        "payments.jsonl": (bronze_payments(spark, sf_dir), ["payment_id", "paid_at", "amount"]),
-        "offers.csv": (bronze_offers(spark, sf_dir), ["offer_id"]),
+        "bookings.csv": (bookings, ["booking_id", "updated_at", *TIE_BREAK]),
+        "payments.jsonl": (payments, ["payment_id", "paid_at", "amount"]),
+        "offers.csv": (offers, ["offer_id"]),
     }
 
     def write(feed):

@@ -268,16 +268,15 @@ def gold_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return keyed_difference(expected, actual, keys, ["confirmed_bookings"], money)
 
 
-def lineage_gaps(layers: Layers) -> DataFrame:
+def lineage_gaps(tables: Sequence[DataFrame], manifest: DataFrame) -> DataFrame:
     """Bronze rows without lineage or with a checksum the manifest does not know, as one count.
 
     Rows are counted per distinct lineage before the join: one row per source file remains.
     """
     lineage = ["batch_id", "source_file", "source_checksum"]
-    tables = (layers.bronze_bookings, layers.bronze_payments, layers.bronze_offers)
     stamped = reduce(DataFrame.unionByName, [table.select(*lineage) for table in tables])
     counted = stamped.groupBy(*lineage).agg(F.count("*").alias("_rows"))
-    listed = layers.manifest.select("batch_id", "source_file", "checksum")
+    listed = manifest.select("batch_id", "source_file", "checksum")
     gap = (
         F.col("batch_id").isNull()
         | is_blank(F.col("source_file"))
@@ -381,7 +380,8 @@ def control_tallies(
     if layers.manifest is not None:
         counts = row_counts(layers.bronze_bookings, layers.bronze_payments, layers.bronze_offers)
         found.append(tally_rows("AC01A", "files", manifest_anomalies(layers.manifest, counts)))
-        found.append(tally("AC01B", "rows", lineage_gaps(layers)))
+        tables = (layers.bronze_bookings, layers.bronze_payments, layers.bronze_offers)
+        found.append(tally("AC01B", "rows", lineage_gaps(tables, layers.manifest)))
     return found
 
 

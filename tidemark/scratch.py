@@ -50,11 +50,15 @@ _until_exit: list[Scratch] = []
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once for a caller that may read the result as long as the program runs."""
-    scratch = Scratch(df.sparkSession)
+    return run_scratch(df.sparkSession).keep(df, name)
+
+
+def run_scratch(spark: SparkSession) -> Scratch:
+    """A folder for results that may be read as long as the program runs."""
     if not _until_exit:
         atexit.register(drop_materialised)
-    _until_exit.append(scratch)
-    return scratch.keep(df, name)
+    _until_exit.append(Scratch(spark))
+    return _until_exit[-1]
 
 
 def drop_materialised() -> None:
