@@ -142,7 +142,7 @@ def deduplicate(docs: DataFrame, keep: list[str], key: str = "doc_id", text: str
     fields, made = result
     docs = repeats.with_row(docs, key, text)
     spans = docs.select("row", docs[text].alias("text")).mapInArrow(lambda b: word_spans(b, window), repeats.SPAN)
-    marks = repeats.marked(spans, repeats.grouped(spans))
+    marks = repeats.marked(spans, repeats.grouped(spans), scratch)
 
     def finish(value, gone):
         found = value.encode().split()

@@ -6,10 +6,10 @@ one anchor form a span: ``key`` names the anchor's content, ``span`` the whole s
 first window's start, ``n`` the number of windows and ``phase`` the anchor's place modulo ``GRID``.
 
 * A key that occurs once has no repeated window.
-* A key whose occurrences all have the same span: all its windows repeat.
-* Other spans are cut into blocks of ``GRID`` windows, on a grid that starts at the anchor, so equal
+* A span that occurs twice under its key: all its windows repeat.
+* Spans that stand alone under a repeated key, and one speaker for each span that does not, are cut into blocks of ``GRID`` windows, on a grid that starts at the anchor, so equal
   windows fall into equal places of a block. A block's core is what all its windows share. The
-  same three cases hold for blocks, with the core as key and all of the block's units as span.
+  same cases hold for blocks, with the core as key and all of the block's units as span.
 * The windows of the blocks that are left are compared by hash.
 
 So copies cost one row per span, and single windows are compared only where a repeat begins or ends.
@@ -46,20 +46,34 @@ def grouped(spans: DataFrame) -> DataFrame:
     return spans.groupBy("key").agg(F.count(F.lit(1)).alias("occurs"), F.min("span").alias("low"), F.max("span").alias("high"))
 
 
-def marked(spans: DataFrame, keys: DataFrame) -> DataFrame:
-    """``row, marks``: the spans with a repeated key in each text, packed as ``at, n, phase, same``."""
-    keys = keys.filter("occurs > 1").select("key", (F.col("low") == F.col("high")).alias("same"))
-    mark = ((F.col("at") * LARGEST_SPAN + F.col("n")) * GRID + F.col("phase")) * 2 + F.col("same").cast("long")
-    found = spans.select("key", "row", "at", "n", "phase").join(keys, "key")
-    return found.select("row", mark.alias("mark")).groupBy("row").agg(F.collect_list("mark").alias("marks"))
+def marked(spans: DataFrame, keys: DataFrame, scratch: Scratch) -> DataFrame:
+    """``row, marks``: the spans with a repeated key in each text, packed as ``at, n, phase, ask, same``.
+
+    ``same``: the whole span stands elsewhere too. ``ask``: its parts must be compared, because it
+    stands alone under its key, or because it is the one that speaks for its equals there.
+    """
+    keys = keys.filter("occurs > 1").select("key", (F.col("low") == F.col("high")).alias("alike"))
+    found = scratch.keep(spans.join(keys, "key"), "found")
+    place = F.struct("row", "at")
+    kinds = found.filter("not alike").groupBy("key", "span").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("speaker"))
+    kinds = scratch.keep(kinds, "kinds")
+    single = kinds.filter("copies = 1").select("key").distinct()
+    # without a single one under the key, all of its spans are decided
+    kinds = kinds.join(single.withColumn("open", F.lit(True)), "key", "left")
+    mixed = found.filter("not alike").join(kinds, ["key", "span"]).select(
+        "row", "at", "n", "phase", (F.coalesce("open", F.lit(False)) & (F.col("speaker") == place)).alias("ask"), (F.col("copies") > 1).alias("same"))
+    alike = found.filter("alike").select("row", "at", "n", "phase", F.lit(False), F.lit(True))
+    mark = (F.col("at") * LARGEST_SPAN + F.col("n")) * GRID + F.col("phase")
+    mark = mark * 4 + F.col("ask").cast("long") * 2 + F.col("same").cast("long")
+    return mixed.unionAll(alike).select("row", mark.alias("mark")).groupBy("row").agg(F.collect_list("mark").alias("marks"))
 
 
 def unpack(marks):
-    """Starts, window counts, phases and flags of a text's marks, repeated ones once."""
+    """Starts, window counts, phases and both flags of a text's marks, repeated ones once."""
     marks = np.unique(np.asarray(marks, np.int64))
-    same, marks = (marks & 1).astype(bool), marks >> 1
+    same, ask, marks = (marks & 1).astype(bool), (marks & 2).astype(bool), marks >> 2
     phase, marks = marks % GRID, marks // GRID
-    return marks // LARGEST_SPAN, marks % LARGEST_SPAN, phase, same
+    return marks // LARGEST_SPAN, marks % LARGEST_SPAN, phase, ask, same
 
 
 def covered(size: int, starts, lengths):
@@ -102,7 +116,7 @@ def block_hashes(rolling, starts, size, window, row):
     cores = rolling.hashes(starts + GRID - 1, starts + window)
     inside = (starts >= 0) & (starts + GRID - 1 + window <= size)
     low, high = np.where(inside, starts, 0), np.where(inside, starts + GRID - 1 + window, 0)
-    own = mix(starts.astype(U64) * U64(0x9E3779B97F4A7C15) + U64(row % (1 << 64)))
+    own = mix(mix(starts.astype(U64)) + U64(row % (1 << 64)))
     return cores, np.where(inside, rolling.hashes(low, high), own)
 
 
@@ -161,12 +175,11 @@ def cut(docs: DataFrame, marks: DataFrame, finder: Finder, scratch: Scratch, kee
                 if not len(found):
                     step.close(text, None)
                     continue
-                at, n, phase, same = unpack(found)
-                size, odd = finder.count(text), ~same
-                if not odd.any():
-                    step.close(text, covered(size, at, n + window - 1))
+                at, n, phase, ask, same = unpack(found)
+                if not ask.any():
+                    step.close(text, covered(finder.count(text), at[same], n[same] + window - 1))
                     continue
-                starts = blocks_of(at[odd], n[odd], phase[odd])
+                starts, size = blocks_of(at[ask], n[ask], phase[ask]), finder.count(text)
                 cores, wholes = block_hashes(finder.rolling(text), starts, size, window, row.as_py())
                 step.leave(text, at[same], n[same] + window - 1, starts, cores.view(np.int64), wholes.view(np.int64))
             yield step.columns()
@@ -178,12 +191,12 @@ def cut(docs: DataFrame, marks: DataFrame, finder: Finder, scratch: Scratch, kee
             for text, at, n, marks in zip(*(batch.column(c) for c in ("open_text", "sure_at", "sure_n", "marks"))):
                 text = text.as_py()
                 size = finder.count(text)
-                starts, _, _, same = unpack(_array(marks))
+                starts, _, _, ask, same = unpack(_array(marks))
                 starts = starts - GRID
                 low, high = np.maximum(starts[same], 0), np.minimum(starts[same] + GRID - 1 + window, size)
                 at, n = np.concatenate([_array(at), low]), np.concatenate([_array(n), high - low])
-                first = np.maximum(starts[~same], 0)
-                left = np.unique(within(first, np.minimum(starts[~same] + GRID, size - window + 1) - first))
+                first = np.maximum(starts[ask], 0)
+                left = np.unique(within(first, np.minimum(starts[ask] + GRID, size - window + 1) - first))
                 if not len(left):
                     step.close(text, covered(size, at, n))
                     continue
@@ -208,7 +221,7 @@ def cut(docs: DataFrame, marks: DataFrame, finder: Finder, scratch: Scratch, kee
     # a block may start before its text; marks hold no negative numbers
     probes = probes.select("row", (F.col("p.probe_at") + GRID).alias("at"), F.lit(1).alias("n"), F.lit(0).alias("phase"),
                            F.col("p.probe_key").alias("key"), F.col("p.probe_whole").alias("span"))
-    again = left.select(*keep, "row", "open_text", "sure_at", "sure_n").join(marked(probes, grouped(probes)), "row", "left")
+    again = left.select(*keep, "row", "open_text", "sure_at", "sure_n").join(marked(probes, grouped(probes), scratch), "row", "left")
     blocked = scratch.keep(again.mapInArrow(blocks_step, open_schema), "blocks")
 
     left = blocked.filter("open_text is not null")

@@ -153,7 +153,7 @@ def deduplicate(docs: DataFrame, keep: list[str], result, key: str = "doc_id", t
         arrived = texts.filter(F.pmod(F.hash("row"), F.lit(batches)) == batch)
         index.add(arrived.mapInArrow(lambda b: byte_spans(b, window), repeats.SPAN))
     spans = texts.mapInArrow(lambda b: byte_spans(b, window), repeats.SPAN)
-    marks = repeats.marked(spans, index.entries())
+    marks = repeats.marked(spans, index.entries(), scratch)
 
     def finish(value, gone):
         data = value.encode()
