@@ -1,7 +1,9 @@
 """Arriving batches are run once each."""
 
+import pytest
 from feeds import scenario, write_feeds
 
+from tidemark import DataContractError
 from tidemark.streaming.arrivals import run_arrivals
 
 
@@ -28,3 +30,15 @@ def test_complete_batches_run_once(spark, tmp_path):
     run_arrivals(spark, str(inbox), target, checkpoint)
     assert batches(spark, target) == ["001", "002"]
     assert stored_at(tmp_path, "001") == first
+
+
+def test_a_bad_batch_does_not_hold_up_the_others(spark, tmp_path):
+    inbox, target = tmp_path / "inbox", str(tmp_path / "lake")
+    for name in ("001", "002"):
+        write_feeds(inbox / name, *scenario())
+        (inbox / f"{name}.ready").write_text("done\n")
+    (inbox / "001/offers.csv").write_text("offer_id\n")
+    with pytest.raises(ExceptionGroup, match="001") as error:
+        run_arrivals(spark, str(inbox), target, str(tmp_path / "checkpoint"))
+    assert isinstance(error.value.exceptions[0], DataContractError)
+    assert batches(spark, target) == ["002"]

@@ -41,6 +41,7 @@ def expected_bookings(
         "try_cast(gross_amount AS decimal(18,2)) AS gross_amount",
         *tie_break,
     )
+    # Channels, booking statuses and the currency, stated here again on purpose.
     valid = typed.where(
         "trim(booking_id) <> '' AND trim(offer_id) <> '' AND trim(client_id) <> ''"
         " AND channel IN ('WEB', 'AGENCY', 'B2B_API')"
@@ -64,6 +65,7 @@ def expected_payments(bronze_payments: DataFrame, tie_break: Sequence[str]) -> D
         "try_cast(paid_at AS timestamp_ntz) AS paid_at",
         *tie_break,
     )
+    # Payment statuses and the currency.
     valid = typed.where(
         "trim(payment_id) <> '' AND trim(booking_id) <> ''"
         " AND payment_status IN ('PAID', 'DECLINED', 'REFUNDED')"

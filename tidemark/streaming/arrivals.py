@@ -2,7 +2,9 @@
 
 A batch folder holds the three feeds; it is complete when a non-empty file ``<batch_id>.ready``
 appears beside it in the inbox. The stream's checkpoint remembers which batches were done. A batch that is
-cut off is run again from its start, which replaces whatever the first try had written.
+cut off is run again from its start. A batch that fails changes nothing in the lake and does not
+hold up the others; all failures are raised together at the end, and a batch is tried again when
+its marker arrives anew under another name or with another checkpoint.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ from tidemark.session import tune
 def run_arrivals(
     spark: SparkSession, inbox: str, target_dir: str, checkpoint: str | None = None, **options
 ) -> None:
-    """Process the batches now waiting in ``inbox``, oldest name first, and return."""
+    """Process the batches now waiting in ``inbox``, oldest name first; raise what failed."""
+    failed: dict[str, Exception] = {}
     spark = tune(spark)
     root = inbox.rstrip("/")
     checkpoint = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/arrivals"
@@ -26,7 +29,10 @@ def run_arrivals(
     def run_waiting(markers: DataFrame, _: int) -> None:
         for row in markers.select("batch_id").distinct().orderBy("batch_id").collect():
             name = row["batch_id"]
-            run_pipeline(spark, f"{root}/{name}", target_dir, batch_id=name, **options)
+            try:
+                run_pipeline(spark, f"{root}/{name}", target_dir, batch_id=name, **options)
+            except Exception as error:
+                failed[name] = error
 
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.+)\.ready$", 1)
     markers = (
@@ -43,3 +49,5 @@ def run_arrivals(
         .start()
     )
     stream.awaitTermination()
+    if failed:
+        raise ExceptionGroup(f"batches that failed: {', '.join(failed)}", list(failed.values()))
