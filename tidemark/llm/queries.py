@@ -47,7 +47,7 @@ def toxicity_scores(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(_remainder(F.col("doc_id"), 3) == 1, F.lit(False))
     labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", "toxic")
-    model = toxicity.fit(docs.join(labels, "doc_id"), "toxic")
+    model = toxicity.fit(docs, labels, "toxic")
     return toxicity.with_scores(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXICITY_THRESHOLD).cast("int").alias("predicted"))
 

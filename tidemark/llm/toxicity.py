@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import lru_cache
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -25,29 +24,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.arrays import blocks
+from tidemark.llm.arrays import U64, Rolling, blocks, mix
+from tidemark.llm.repeats import within
 
-BUCKETS = 1 << 18
+BUCKET_BITS = 18
+BUCKETS = 1 << BUCKET_BITS
 WIDTH = 8
 SIZES = (3, 4, 5, 6)
 SAMPLE = 2_000
 SAMPLE_CHARS = 20_000
 ROUNDS, RATE = 60, 0.1
 SCREEN, DAMP = 4.0, 300.0
-CACHED_WORDS = 300_000
+TEXTS_AT_ONCE = 200
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‘’…–—¿¡"
 
 
-def words_of(text):
-    """Lower-case words without punctuation around them."""
-    return [w for w in (word.strip(EDGES) for word in text.lower().split()) if w]
+@lru_cache(1)
+def _tables():
+    """For every code point: its hash, whether it parts words, and whether it is cut off at a word's ends."""
+    points = [chr(c) for c in range(0x110000)]
+    spaces = np.fromiter(map(str.isspace, points), bool, len(points))
+    ends = spaces.copy()
+    ends[[ord(c) for c in EDGES]] = True
+    return mix(np.arange(1, 0x110001, dtype=U64)), spaces, ends
 
 
-def subwords(word):
-    """Buckets of the whole word and of its character n-grams, ends marked."""
-    marked = f"<{word}>"
-    grams = {marked, *(marked[i : i + n] for n in SIZES for i in range(len(marked) - n + 1))}
-    return [crc32(gram.encode()) % BUCKETS for gram in sorted(grams)]
+class Bag:
+    """The words of some texts, lower-case and without punctuation around them, and their subwords.
+
+    ``owner`` and ``name`` have the text and the hash of each word. A word's subwords are the whole word
+    and its character n-grams, ends marked, as buckets of a hash; ``sizes`` is their number per word
+    and ``buckets`` all of them in the order of ``chosen``, words of which subwords are wanted.
+    """
+
+    def __init__(self, texts):
+        codes, spaces, ends = _tables()
+        lowered = [(text or "").lower() for text in texts]
+        points = np.frombuffer("\n".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        inside = ~spaces[points]
+        starts = np.flatnonzero(inside & ~np.append(False, inside[:-1]))
+        core, place = ~ends[points], np.arange(len(points))
+        if len(starts):
+            first = np.minimum.reduceat(np.where(core, place, len(points)), starts)
+            last = np.maximum.reduceat(np.where(core, place, -1), starts)
+        else:
+            first = last = starts
+        real = last >= first
+        first, last = first[real], last[real]
+        behind = np.cumsum([len(t) + 1 for t in lowered])
+        self.owner = np.searchsorted(behind, first, "right")
+        self.length = last - first + 3
+        self.at = np.cumsum(self.length) - self.length
+        marked = points[np.minimum(within(first - 1, self.length), len(points) - 1)]
+        marked[self.at], marked[self.at + self.length - 1] = ord("<"), ord(">")
+        self.rolling = Rolling(codes[marked])
+        self.name = self.rolling.hashes(self.at, self.at + self.length)
+
+    def subwords(self, chosen=slice(None)):
+        """``(sizes, words, buckets)``: how many subwords each word has, and each subword's word and bucket."""
+        at, length, name = self.at[chosen], self.length[chosen], self.name[chosen]
+        words, buckets = [np.arange(len(at))], [name]
+        for n in SIZES:
+            counts = np.maximum(length - n + 1, 0)
+            grams = within(at, counts)
+            words.append(np.repeat(np.arange(len(at)), counts))
+            buckets.append(self.rolling.hashes(grams, grams + n))
+        words, buckets = np.concatenate(words), np.concatenate(buckets)
+        return np.bincount(words, minlength=len(at)), words, (buckets >> U64(64 - BUCKET_BITS)).astype(np.int32)
 
 
 @dataclass
@@ -55,27 +98,13 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def __hash__(self):
-        return hash((self.weights.tobytes(), self.bias))
-
-    def __eq__(self, other):
-        return self.bias == other.bias and np.array_equal(self.weights, other.weights)
-
-
-class WordScores(dict):
-    """The model's value of each word as written; holds a bounded number of words."""
-
-    def __init__(self, model):
-        self.weights = model.weights
-
-    def __missing__(self, written):
-        word = written.strip(EDGES)
-        value = float(self.weights[subwords(word)].mean()) if word else None
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        if len(written) <= 40:
-            self[written] = value
-        return value
+    def scores(self, texts):
+        bag = Bag(texts)
+        sizes, words, buckets = bag.subwords()
+        means = np.bincount(words, self.weights[buckets], len(sizes)) / sizes
+        counts = np.bincount(bag.owner, minlength=len(texts))
+        logits = np.bincount(bag.owner, means, len(texts)) / np.maximum(counts, 1) + self.bias
+        return 1 / (1 + np.exp(-np.clip(logits, -60, 60)))
 
 
 class _Sums:
@@ -116,28 +145,42 @@ def _screened(in_words, in_texts, residual):
 
 def _entries(texts):
     """(text, word, share of the text) and (word, bucket, share of the word), for words of at least two texts."""
-    bags, seen = [], {}
-    for text in texts:
-        bag = {}
-        for word in words_of(text or ""):
-            bag[word] = bag.get(word, 0) + 1
-        for word in bag:
-            seen[word] = seen.get(word, 0) + 1
-        bags.append(bag)
-    vocabulary = {word: i for i, word in enumerate(w for w, n in seen.items() if n > 1)}
-    rows, words, shares = [], [], []
-    for number, bag in enumerate(bags):
-        total = sum(bag.values())
-        for word, n in bag.items():
-            if word in vocabulary:
-                rows.append(number)
-                words.append(vocabulary[word])
-                shares.append(n / total)
-    grams = [subwords(word) for word in vocabulary]
-    sizes = np.array([len(g) for g in grams], int)
-    buckets = np.fromiter((b for g in grams for b in g), np.int32, int(sizes.sum()))
-    in_words = np.repeat(np.arange(len(grams), dtype=np.int32), sizes), buckets, np.repeat(1 / sizes, sizes).astype(np.float32)
-    return (np.array(rows, np.int32), np.array(words, np.int32), np.array(shares, np.float32)), in_words, len(grams)
+    owners, names, known, grams = [], [], [], []
+    for start in range(0, len(texts), TEXTS_AT_ONCE):
+        bag = Bag(texts[start : start + TEXTS_AT_ONCE])
+        owners.append(bag.owner + start)
+        names.append(bag.name)
+        distinct, first = np.unique(bag.name, return_index=True)
+        sizes, _, buckets = _by_word(*bag.subwords(first))
+        known.append((distinct, sizes))
+        grams.append(buckets)
+    owners, names = np.concatenate(owners), np.concatenate(names)
+    pairs = np.unique(np.column_stack([names, owners.astype(U64)]), axis=0, return_counts=True) if len(names) else (np.zeros((0, 2), U64), np.zeros(0))
+    words, texts_with = np.unique(pairs[0][:, 0], return_counts=True)
+    words = words[texts_with > 1]
+    index = np.searchsorted(words, pairs[0][:, 0])
+    kept = index < len(words)
+    kept[kept] = words[index[kept]] == pairs[0][kept, 0]
+    totals = np.bincount(owners, minlength=len(texts))
+    rows = pairs[0][kept, 1].astype(np.int32)
+    order = np.argsort(rows, kind="stable")
+    shares = (pairs[1][kept] / totals[rows]).astype(np.float32)
+    in_texts = rows[order], index[kept][order].astype(np.int32), shares[order]
+
+    # subwords of each kept word, from the first block that has it
+    every, sizes = np.concatenate([d for d, _ in known]), np.concatenate([n for _, n in known])
+    starts, grams = np.cumsum(sizes) - sizes, np.concatenate(grams)
+    order = np.argsort(every, kind="stable")
+    first = order[np.searchsorted(every[order], words)] if len(words) else np.zeros(0, int)
+    sizes = sizes[first]
+    buckets = grams[within(starts[first], sizes)]
+    in_words = np.repeat(np.arange(len(words), dtype=np.int32), sizes), buckets, np.repeat(1 / np.maximum(sizes, 1), sizes).astype(np.float32)
+    return in_texts, in_words, len(words)
+
+
+def _by_word(sizes, words, buckets):
+    order = np.argsort(words, kind="stable")
+    return sizes, words[order], buckets[order]
 
 
 def train(texts, labels, rounds: int = ROUNDS, rate: float = RATE, seed: int = 7) -> Model:
@@ -188,17 +231,19 @@ def train(texts, labels, rounds: int = ROUNDS, rate: float = RATE, seed: int = 7
     return Model(weights, float(bias[1] - bias[0]))
 
 
-def fit(labelled: DataFrame, label: str, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
-    """Train on at most ``sample`` rows of each class."""
-    usable = labelled.filter(F.col(label).isin(0, 1) & (F.length(text) <= SAMPLE_CHARS))
-    usable = usable.select(F.col(label).cast("int").alias("y"), F.col(text).alias("t"), F.xxhash64(F.col(key), F.col(text)).alias("h"))
-    rows = [r for kind in (0, 1) for r in usable.filter(F.col("y") == kind).orderBy("h").limit(sample).collect()]
-    return train([r.t for r in rows], [r.y for r in rows])
+def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
+    """Train on at most ``sample`` labelled rows of each class, chosen by a hash of their key.
 
-
-@lru_cache(2)
-def _word_scores(model):
-    return WordScores(model)
+    The chosen keys, a bounded list, are sent to the documents; texts are not shuffled.
+    """
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
+    known = known.select(F.col(key).alias("sampled"), F.col(label).cast("int").alias("label_of")).distinct()
+    draw = [F.xxhash64("sampled"), F.col("sampled")]
+    chosen = [known.filter(F.col("label_of") == kind).orderBy(*draw).limit(sample) for kind in (0, 1)]
+    chosen = chosen[0].unionAll(chosen[1])
+    found = docs.join(F.broadcast(chosen), docs[key] == F.col("sampled")).filter(F.length(docs[text]) <= SAMPLE_CHARS)
+    rows = sorted(tuple(r) for r in found.select("label_of", "sampled", docs[text]).collect())
+    return train([t for *_, t in rows], [y for y, *_ in rows])
 
 
 def with_scores(df: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
@@ -206,13 +251,8 @@ def with_scores(df: DataFrame, model: Model, text: str = "text", score: str = "s
         raise ValueError(f"the table already has a column {score}")
 
     def run(batches):
-        values = _word_scores(model)
         for block in blocks(batches, text):
-            found = []
-            for value in block.column(text).to_pylist():
-                each = [v for v in map(values.__getitem__, value.lower().split()) if v is not None] if value else []
-                found.append(sum(each) / len(each) if each else 0.0)
-            scores = 1 / (1 + np.exp(-np.clip(np.array(found) + model.bias, -60, 60)))
-            yield pa.RecordBatch.from_arrays([*block.columns, pa.array(scores)], [*block.schema.names, score])
+            scores = model.scores(block.column(text).to_pylist())
+            yield pa.RecordBatch.from_arrays([*block.columns, pa.array(scores, pa.float64())], [*block.schema.names, score])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(score, T.DoubleType())]))
