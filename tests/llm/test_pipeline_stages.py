@@ -5,13 +5,12 @@ import re
 import numpy as np
 import pytest
 from test_bagminhash import brute as near_classes
-from test_bpe import PATH, library  # noqa: F401
+from test_bpe import library  # noqa: F401
 from test_decontaminate import brute as leaks
 from test_repeats import brute as windows
 
 import corpus_pipeline
 from tidemark.llm import queries
-from tidemark.llm.shipping import ship
 
 SF = "/root/testdata/sf0.001"
 

@@ -113,6 +113,12 @@ def test_levels_are_geometric(spark):
     assert "Exchange" not in plan
 
 
+def test_the_default_result_keeps_the_bytes(spark):
+    docs = ship(spark).createDataFrame([(1, "é" * 150), (2, "é" * 150 + "z"), (3, None)], "doc_id long, text string")
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_levels.deduplicate(docs, ["doc_id"]).collect()}
+    assert found == {1: (300, 300, 1, b""), 2: (301, 300, 1, b"z"), 3: (0, 0, 0, b"")}
+
+
 def test_empty_table(spark):
     docs = ship(spark).createDataFrame([], "doc_id long, text string")
     assert recompression.deduplicate(docs, ["doc_id"]).count() == 0

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import arrays
-from tidemark.llm.arrays import U64, Rolling, blocks, mix
+from tidemark.llm.arrays import U64, Rolling, blocks
 
 SHINGLE = 5
 SIMILARITY = 0.8

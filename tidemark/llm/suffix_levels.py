@@ -133,11 +133,14 @@ class SuffixIndex:
 
 
 def kept_bytes(n_bytes, removed, n_spans, kept):
-    """The default result."""
+    """The default result: sizes, the number of maximal removed runs, and the remaining bytes."""
     return n_bytes, removed, n_spans, kept
 
 
-def deduplicate(docs: DataFrame, keep: list[str], result, key: str = "doc_id", text: str = "text", window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
+KEPT_BYTES = ([("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept", "binary")], kept_bytes)
+
+
+def deduplicate(docs: DataFrame, keep: list[str], result=KEPT_BYTES, key: str = "doc_id", text: str = "text", window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
     """Drop every byte in a string of ``window`` bytes that also starts anywhere else.
 
     ``result`` is a pair of named fields and a function of the number of bytes, of removed bytes, of
