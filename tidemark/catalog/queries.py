@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog import star
-from tidemark.catalog.star import line_key, price, table
+from tidemark.catalog.star import price, table
 from tidemark.functions import columns as col
 from tidemark.operators.diff import bag_difference, keyed_difference
 from tidemark.operators.fingerprint import ordered_digest
