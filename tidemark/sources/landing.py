@@ -91,7 +91,7 @@ def numbered_lines(stored: DataFrame) -> DataFrame:
 
 def _digests(stored: DataFrame, line_hash: Column) -> DataFrame:
     hashed = stored.select("source_file", "block_start", "line_id", line_hash.alias("line_hash"))
-    placed = hash_number(F.concat_ws("|", F.col("line_number").cast("string"), "line_hash"))
+    placed = F.xxhash64("line_number", "line_hash")
     return numbered_lines(hashed).groupBy("source_file").agg(combined_digest(placed).alias("digest"))
 
 
