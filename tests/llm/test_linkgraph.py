@@ -87,3 +87,46 @@ def test_distrust_flows_to_hosts_that_link_to_blocked_ones(spark):
     links = {tuple(r) for r in linkgraph.host_links(pages).collect()}
     assert links == {("fan", "bad", 1), ("good", "friend", 1)}
     assert linkgraph.judge(pages.limit(0), rules).count() == 0
+
+
+@pytest.mark.parametrize("linkers", [3, 100, 3000])
+def test_distrust_does_not_thin_out_with_the_linkers_of_a_blocked_host(spark, linkers):
+    rules = [Rule("block", "bad", "/"), Rule("allow", "good", "/")]
+    to = lambda *hosts: "".join(f'<a href="http://{h}/">t</a>' for h in hosts)
+    pages = [("bad", ""), ("good", to("friend", "fan0x")), ("far", to("fan0")), ("friend", to("bad", "good")),
+             ("mixed", to("bad", "obscure")), ("rarely", to("bad", *[f"other{i}" for i in range(40)]))]
+    pages += [(f"fan{i}", to("bad")) for i in range(linkers)]
+    pages = spark.createDataFrame([(f"http://{h}/", h, html) for h, html in pages], "url string, page_id string, html string")
+    found = {r.page_id: r.verdict for r in linkgraph.judge(pages, rules).collect()}
+    wanted = {"bad": "block", "good": "allow", "far": "block", "friend": "allow", "mixed": "block", "rarely": "allow"}
+    assert found == wanted | {f"fan{i}": "block" for i in range(linkers)}
+
+
+def test_shares_equal_brute_force(spark):
+    rng = random.Random(6)
+    links = {}
+    for _ in range(40):
+        a, b = rng.sample([f"h{i}" for i in range(12)], 2)
+        links[a, b] = links.get((a, b), 0) + rng.randint(1, 3)
+    start = {"trust": ["h1", "h2"], "distrust": ["h3", "unlinked"]}
+    out = {}
+    for (a, _), n in links.items():
+        out[a] = out.get(a, 0) + n
+    wanted = {(k, h): 1.0 for k, v in start.items() for h in v}
+    for kind in start:
+        edges = [(*((a, b) if kind == "trust" else (b, a)), n / out[a]) for (a, b), n in links.items()]
+        received = []
+        for origin in (start[kind], {h for pair in links for h in pair}):
+            score = dict.fromkeys(origin, 1.0)
+            for _ in range(7):
+                got = {}
+                for a, b, part in edges:
+                    got[b] = got.get(b, 0) + linkgraph.DAMPING * score.get(a, 0) * part
+                score = {h: (h in origin) + got.get(h, 0) for h in {*origin, *got}}
+            received.append(got)
+        for h, most in received[1].items():
+            wanted[kind, h] = wanted.get((kind, h), 0) + received[0].get(h, 0) / most
+    edges = spark.createDataFrame([(a, b, n) for (a, b), n in links.items()], "src string, dst string, links long")
+    seeds = spark.createDataFrame([(k, h) for k, v in start.items() for h in v], "kind string, node string")
+    found = {(r.kind, r.node): r.share for r in linkgraph.shares(edges, seeds, Scratch(spark), rounds=7).collect()}
+    assert found == pytest.approx(wanted)

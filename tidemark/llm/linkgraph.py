@@ -2,10 +2,13 @@
 
 Pages that a rule decides keep its verdict. The others take their host's: hosts whose pages are
 mostly allowed by rules are seeds of trust, which flows along links; hosts mostly blocked are seeds
-of distrust, which flows against links, to those that link to them. Both are personalised PageRank
-with one unit of mass per seed, so scores and the threshold mean the same at every graph size. A
-host is blocked when its distrust exceeds its trust and the threshold. Hosts without links or
-seeds have no score and are allowed.
+of distrust, which flows against links, to those that link to them. Scores are damped walks from
+the seeds. A host's distrust counts the share of its own links, so it is the same however many
+others link to the same blocked host; trust is split among the links of the host that gives it.
+Both are judged as shares: what a host receives, over what it would receive if every host were a
+seed; a seed has one more. Shares and the threshold mean the same at every graph size and degree.
+A host is blocked when its distrust exceeds its trust and the threshold. Hosts without links or
+seeds have no share and are allowed.
 
 Everything is built-in DataFrame work. Links are counted per host pair before anything is joined,
 so the iterated tables have a row per host pair and host, not per page; every few rounds the
@@ -86,30 +89,63 @@ def seeds(judged: DataFrame, share: float = SEED_SHARE) -> DataFrame:
     return hosts.select(F.explode(F.array_compact(kinds)).alias("kind"), F.col("host").alias("node"))
 
 
+def moved(ways: DataFrame, scores: DataFrame, values: list[str], damping: float) -> DataFrame:
+    """What each node receives in one round, a row per way."""
+    return ways.join(scores, ["kind", "node"]).select(
+        "kind", F.col("dst").alias("node"), *[(F.lit(damping) * F.col(v) * F.col("part")).alias(v) for v in values])
+
+
+def carried(ways: DataFrame, origin: DataFrame, values: list[str], scratch: Scratch, rounds: int, damping: float) -> DataFrame:
+    """``kind, node`` and ``values`` after ``rounds`` of propagation of ``origin``."""
+    scores = origin
+    for step in range(1, rounds + 1):
+        scores = origin.unionAll(moved(ways, scores, values, damping)).groupBy("kind", "node").agg(*[F.sum(v).alias(v) for v in values])
+        if step % STORED_EVERY == 0:
+            scores = scratch.keep(scores, "scores")
+    return scores
+
+
 def spread(links: DataFrame, start: DataFrame, scratch: Scratch, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """``kind, node, score`` after ``rounds`` of propagation from the seeds in ``start``."""
+    """``kind, node, score``: personalised PageRank after ``rounds`` of propagation from the seeds in ``start``."""
     ways = links.select(F.lit("trust").alias("kind"), "src", "dst", "links").unionAll(
         links.select(F.lit("distrust"), "dst", "src", "links"))
     out = ways.groupBy("kind", "src").agg(F.sum("links").alias("out"))
     ways = ways.join(out, ["kind", "src"]).select("kind", F.col("src").alias("node"), "dst", (F.col("links") / F.col("out")).alias("part"))
     ways = scratch.keep(ways, "ways")
     origin = scratch.keep(start.select("kind", "node", F.lit(1.0 - damping).alias("score")), "seeds")
-    scores = origin
-    for step in range(1, rounds + 1):
-        moved = ways.join(scores, ["kind", "node"]).select("kind", F.col("dst").alias("node"), (F.lit(damping) * F.col("score") * F.col("part")).alias("score"))
-        scores = origin.unionAll(moved).groupBy("kind", "node").agg(F.sum("score").alias("score"))
-        if step % STORED_EVERY == 0:
-            scores = scratch.keep(scores, "scores")
-    return scores
+    return carried(ways, origin, ["score"], scratch, rounds, damping)
+
+
+def shares(links: DataFrame, start: DataFrame, scratch: Scratch, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+    """``kind, node, share``: what each host receives from the seeds, of what it would if all hosts were seeds.
+
+    Both kinds weigh a link by its part of the linking host's links, so distrust does not get thinner
+    with the number of hosts that link to a seed. A seed has 1 more than its share.
+    """
+    values = ["score", "most"]
+    links = scratch.keep(links, "links")
+    start = scratch.keep(start.select("kind", "node"), "seeds")
+    out = links.groupBy("src").agg(F.sum("links").alias("out"))
+    parts = links.join(out, "src").select("src", "dst", (F.col("links") / F.col("out")).alias("part"))
+    ways = parts.select(F.lit("trust").alias("kind"), F.col("src").alias("node"), "dst", "part").unionAll(
+        parts.select(F.lit("distrust"), "dst", F.col("src"), "part"))
+    ways = scratch.keep(ways, "ways")
+    one, none = F.lit(1.0 - damping), F.lit(0.0)
+    every = ways.select("kind", "node").unionAll(ways.select("kind", "dst")).distinct()
+    origin = every.select("kind", "node", none.alias("score"), one.alias("most")).unionAll(start.select("kind", "node", one, none))
+    origin = scratch.keep(origin.groupBy("kind", "node").agg(*[F.sum(v).alias(v) for v in values]), "origin")
+    scores = carried(ways, origin, values, scratch, rounds - 1, damping)
+    received = moved(ways, scores, values, damping).groupBy("kind", "node").agg((F.sum("score") / F.sum("most")).alias("share"))
+    return received.unionAll(start.select("kind", "node", F.lit(1.0))).groupBy("kind", "node").agg(F.sum("share").alias("share"))
 
 
 def judge(pages: DataFrame, rules: list[Rule], threshold: float = THRESHOLD) -> DataFrame:
     """``page_id, host, path, rule, verdict`` of every page."""
     scratch = Scratch(pages.sparkSession)
     judged = ruled(pages.select("page_id", "url"), rules).drop("url")
-    scores = spread(host_links(pages), seeds(judged), scratch)
-    score = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0))
-    blocked = scores.groupBy("node").agg(score("trust").alias("trust"), score("distrust").alias("distrust"))
+    found = shares(host_links(pages), seeds(judged), scratch)
+    share = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("share")).otherwise(0.0))
+    blocked = found.groupBy("node").agg(share("trust").alias("trust"), share("distrust").alias("distrust"))
     blocked = blocked.filter(f"distrust > trust and distrust > {threshold}").select(F.col("node").alias("host"), F.lit("block").alias("spread"))
     return judged.join(blocked, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("verdict", "spread", F.lit("allow")).alias("verdict"))
