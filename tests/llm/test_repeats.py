@@ -124,3 +124,38 @@ def test_empty_table(spark):
     assert recompression.deduplicate(docs, ["doc_id"]).count() == 0
     result = ([("n_bytes", "long")], lambda n, *_: (n,))
     assert suffix_levels.deduplicate(docs, ["doc_id"], result).count() == 0
+
+
+def test_lists_do_not_grow_with_identical_rows(spark, monkeypatch):
+    """Thousands of rows equal in id and text, and copies without an id: every copy counts, each list is one text's."""
+    rng = random.Random(9)
+    make = lambda n: [rng.choice([f"w{i}" for i in range(300)]) for _ in range(n)]
+    passage = make(90)
+    texts = [" ".join(make(20) + passage + make(20)), " ".join(passage[:70] + make(30)), "a " * 150]
+    rows = [(7, texts[0])] * 3000 + [(None, texts[1])] * 2000 + [(None, texts[2])] * 1000 + [(8, " ".join(make(30) + passage[10:80]))]
+    docs = ship(spark).createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sizes = []
+    marked = recompression.repeats.marked
+
+    def seen(spans, keys, scratch):
+        found = scratch.keep(marked(spans, keys, scratch), "marks")
+        sizes.append(max((len(r.marks) for r in found.collect()), default=0))
+        return found
+
+    monkeypatch.setattr(recompression.repeats, "marked", seen)
+    found = {}
+    for r in recompression.deduplicate(docs, ["doc_id"]).collect():
+        found[tuple(r)] = found.get(tuple(r), 0) + 1
+    last = len(rows[-1][1].split())
+    assert {(k[0], *k[1:3]): n for k, n in found.items()} == {
+        (7, 130, 130): 3000, (None, 100, 100): 2000, (None, 150, 150): 1000, (8, last, 70): 1}
+    assert 0 < max(sizes) < 130
+
+    sizes.clear()
+    result = ([("n_bytes", "long"), ("n_removed", "long")], lambda n, gone, *_: (n, gone))
+    found = {}
+    for r in suffix_levels.deduplicate(docs, ["doc_id"], result).collect():
+        found[tuple(r)] = found.get(tuple(r), 0) + 1
+    sized = [len(t.encode()) for t in texts]
+    assert all(found[i, n, n] == c for i, n, c in zip((7, None, None), sized, (3000, 2000, 1000)))
+    assert sum(found.values()) == len(rows) and 0 < max(sizes) < max(sized)

@@ -14,7 +14,8 @@ first window's start, ``n`` the number of windows and ``phase`` the anchor's pla
 
 So copies cost one row per span, and single windows are compared only where a repeat begins or ends.
 Counts are aggregated before they are shuffled and joins leave hot keys to Spark's skew splitting;
-no key is ever gathered. Texts are shuffled once to meet their spans; only texts with something
+no key is ever gathered. The marks of a text are: a set, which copies with the same ``row`` share, so it
+never exceeds the spans of one text. Texts are shuffled once to meet their spans; only texts with something
 left to compare move again. ``row`` is a hash of id and text: repeated rows share it and have the
 same result.
 """
@@ -65,7 +66,7 @@ def marked(spans: DataFrame, keys: DataFrame, scratch: Scratch) -> DataFrame:
     alike = found.filter("alike").select("row", "at", "n", "phase", F.lit(False), F.lit(True))
     mark = (F.col("at") * LARGEST_SPAN + F.col("n")) * GRID + F.col("phase")
     mark = mark * 4 + F.col("ask").cast("long") * 2 + F.col("same").cast("long")
-    return mixed.unionAll(alike).select("row", mark.alias("mark")).groupBy("row").agg(F.collect_list("mark").alias("marks"))
+    return mixed.unionAll(alike).select("row", mark.alias("mark")).groupBy("row").agg(F.collect_set("mark").alias("marks"))
 
 
 def unpack(marks):
@@ -228,7 +229,7 @@ def cut(docs: DataFrame, marks: DataFrame, finder: Finder, scratch: Scratch, kee
     probes = left.select("row", F.explode(F.arrays_zip("probe_at", "probe_key")).alias("p")).select(
         "row", F.col("p.probe_at").alias("at"), F.col("p.probe_key").alias("hash"))
     repeated = probes.groupBy("hash").agg(F.count(F.lit(1)).alias("occurs")).filter("occurs > 1").select("hash")
-    hits = probes.join(repeated, "hash").groupBy("row").agg(F.collect_list("at").alias("hits"))
+    hits = probes.join(repeated, "hash").groupBy("row").agg(F.collect_set("at").alias("hits"))
     last = left.select(*keep, "row", "open_text", "sure_at", "sure_n").join(hits, "row", "left")
     last = last.mapInArrow(windows_step, ", ".join([*plain, *results]))
     for step in (spanned, blocked):
