@@ -75,3 +75,28 @@ def test_odd_tables(spark):
     assert sorted(r.doc_id or 0 for r in found) == [0, 3, 3, 3]
     prints = winnowing.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert prints[1].fingerprint == prints[2].fingerprint != prints[3].fingerprint
+
+
+def test_a_hot_id_spreads_over_ranges(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(winnowing, "RANGE_ROWS", 10)
+    rng = random.Random(7)
+    text = lambda: "".join(rng.choice("abc d é東") for _ in range(rng.randint(0, 60)))
+    rows = [(5, text()) for _ in range(300)] + [(None, text()) for _ in range(300)] + [(i, text()) for i in range(-100, 200)]
+    rows += [(2**60, text()) for _ in range(40)] + [(2**60 + i, text()) for i in range(1, 60)] + [(77, "same text " * 6)] * 50
+    docs = ship(spark).createDataFrame(rows, "doc_id long, text string").repartition(5)
+    placed = winnowing._ranged(docs).groupBy("place").agg(F.count_if(~F.col("guest")).alias("n"), F.count_if("guest").alias("guests")).collect()
+    hot = winnowing._ranged(docs).filter("not guest and (doc_id = 5 or doc_id is null)").groupBy("doc_id", "place").count().collect()
+    assert all(r.guests == 1 for r in placed)
+    assert max(r["count"] for r in hot) <= 40
+
+    hashes = {r.text: r.h for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]], len(r[1])))
+    expected = []
+    for (doc_id, one), (_, following) in zip(ordered, [*ordered[1:], ordered[0]]):
+        edited = winnowing.edited_text(one, following)
+        prints = [winnowing.winnow(t) for t in (one, edited, following)]
+        expected.append((doc_id, len(one), hashlib.sha256(edited.encode()).hexdigest(), winnowing.packed(*prints[0]), winnowing.packed(*prints[1]),
+                         winnowing.likeness(prints[0][1], prints[1][1]), winnowing.likeness(prints[0][1], prints[2][1])))
+    assert sorted(map(str, map(tuple, winnowing.against_next(docs).collect()))) == sorted(map(str, expected))

@@ -125,16 +125,20 @@ class _Out:
 
 def _pairs(batches):
     """Rows sorted by range, then in order: each but a guest with the text that follows it in its range."""
-    out, before = _Out(FIELDS), None
+    out, before, same = _Out(FIELDS), None, None
     for batch in batches:
         for place, guest, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("place", "guest", "doc_id", "text"))):
             if before is not None and before[0] != place:
                 before = None
             if before is None and guest:
                 continue
-            chosen = winnow(text)
-            if before is not None and out.add(_row(*before[1:3], before[3], text, chosen)):
-                yield out.batch()
+            chosen = before[3] if before is not None and before[2] == text else winnow(text)
+            if before is not None:
+                # copies one behind the other have one result
+                if same is None or same[0] != before[2] or same[1] != text:
+                    same = before[2], text, _row(*before[1:3], before[3], text, chosen)
+                if out.add((before[1], *same[2][1:])):
+                    yield out.batch()
             before = None if guest else (place, doc_id, text, chosen)
     yield out.batch()
 
@@ -152,32 +156,49 @@ def fingerprints(df: DataFrame, text: str = "text", name: str = "fingerprint") -
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.StringType())]))
 
 
+def _ranged(docs: DataFrame) -> DataFrame:
+    """``place, guest, doc_id, text``: each row in its range, and as a guest the row that follows the range."""
+    rows, known = docs.agg(F.count(F.lit(1)), F.count("doc_id")).first()
+    ranges = min(MOST_RANGES, rows // RANGE_ROWS + 1)
+    nulls = min(MOST_RANGES, (rows - known) // RANGE_ROWS + 1)
+    shares = [i / ranges for i in range(1, ranges)]
+    bounds = np.array(docs.select("doc_id").approxQuantile("doc_id", shares, 0.2 / ranges) if shares else [])
+
+    @F.pandas_udf("int")
+    def place(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        known = ids.fillna(0)
+        last = np.searchsorted(bounds, known, "right")
+        # an id that is several bounds has as many ranges, by hash; beyond 2**53 bounds are not exact
+        parts = np.where(known.abs() < 1 << 53, np.maximum(last - np.searchsorted(bounds, known, "left"), 1), 1)
+        # null ids lie below all others
+        last, parts = np.where(ids.isna(), -1, last), np.where(ids.isna(), nulls, parts)
+        part = np.floor((hashes / 2.0**64 + 0.5) * parts).astype(np.int64)
+        return pd.Series(last - np.minimum(part, parts - 1))
+
+    docs = docs.withColumns({"hash": F.xxhash64("text"), "length": F.length("text")})
+    docs = docs.withColumn("place", place("doc_id", "hash"))
+    # the first row of each range is a guest at the end of the range before; one row of numbers per range
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.bitwise_not("doc_id"), "hash", "length", "doc_id"))
+    heads = docs.groupBy("place").agg(first.alias("h")).select("place", "h.doc_id", "h.hash", "h.length").collect()
+    heads = sorted((tuple(r) for r in heads), key=lambda r: r[0])
+    guests = [(place, *heads[i - 1][1:]) for i, (place, *_) in enumerate(heads)]  # of the lowest range, the highest
+    guests = docs.sparkSession.createDataFrame(guests, "to int, head long, head_hash long, head_length int")
+    guests = docs.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("hash") == F.col("head_hash")) & (
+        F.col("length") == F.col("head_length"))).groupBy("to", "doc_id").agg(F.first("text").alias("text"))
+    guests = guests.select(F.col("to").alias("place"), F.lit(True).alias("guest"), "doc_id", "text")
+    return docs.select("place", F.lit(False).alias("guest"), "doc_id", "text").unionAll(guests)
+
+
 def against_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edited text, and how alike they and the next text are.
 
     The next document is the one with the next lower doc_id, after the last the first; rows of one
     doc_id follow each other by the hash of their text, null ids come last. Texts are shuffled
-    once, by ranges of doc_id whose bounds are quantiles; each range gets a copy of the first row of
-    the next. At most ``MOST_RANGES`` bounds and first ids pass the driver.
+    once, by ranges of doc_id whose bounds are quantiles; an id, or null, with rows for several
+    ranges is cut by the hash of the text. Each range gets a copy of the first row of
+    the next. At most ``MOST_RANGES`` bounds and twice as many first rows' numbers pass the driver. Only
+    rows equal in id and text always share a range; their text is fingerprinted once.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ranges = min(MOST_RANGES, docs.count() // RANGE_ROWS + 1)
-    shares = [i / ranges for i in range(1, ranges)]
-    bounds = np.array(docs.select("doc_id").approxQuantile("doc_id", shares, 0.2 / ranges) if shares else [])
-
-    @F.pandas_udf("int")
-    def place(ids: pd.Series) -> pd.Series:
-        # null ids lie below all others
-        return pd.Series(np.where(ids.isna(), -1, np.searchsorted(bounds, ids.fillna(0), "right")))
-
-    docs = docs.withColumn("place", place("doc_id"))
-    # the first row of each range is a guest at the end of the range before; one number per range
-    heads = sorted((r.place, r.head) for r in docs.groupBy("place").agg(F.max("doc_id").alias("head")).collect())
-    lower = [heads[i - 1] for i in range(len(heads))]  # of the lowest range, the highest
-    guests = docs.sparkSession.createDataFrame(
-        [(place, head) for (place, _), (_, head) in zip(heads, lower)], "to int, head long")
-    guests = docs.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("head"))).select(
-        "doc_id", "text", F.col("to").alias("place"), F.lit(True).alias("guest"))
     order = [F.desc_nulls_last("doc_id"), F.xxhash64("text"), F.length("text")]
-    ranged = docs.withColumn("guest", F.lit(False)).unionByName(guests).repartition("place")
-    return ranged.sortWithinPartitions("place", "guest", *order).mapInArrow(_pairs, SCHEMA)
+    return _ranged(docs).repartition("place").sortWithinPartitions("place", "guest", *order).mapInArrow(_pairs, SCHEMA)
