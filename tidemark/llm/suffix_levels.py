@@ -1,17 +1,17 @@
-"""Exact byte substring dedup on a logarithmic family of suffix arrays.
+"""Exact byte substring dedup on a logarithmic family of levels that stand in for suffix arrays.
 
 Texts arrive in batches. Of every window of ``window`` bytes the position with the smallest rolling
 hash of ``GRAM`` bytes (rightmost on a tie) is sampled, so equal windows sample the same place and
-only about two of ``window`` suffixes are stored. A batch's suffix array is the table of its
-sampled suffixes in the order of their first bytes, hashed; suffixes with an equal start are one
-entry that holds how many they are and the smallest and largest hash of the stretch around them
-that their windows cover. Arrays are stored bucketed and sorted, so a scan of two
-arrays side by side needs no shuffle: the same merge finds the matches of a batch with an older level and
-writes the level of twice the size. Two levels of equal size always merge, so each entry is rewritten
+only about two of ``window`` suffixes are looked at. A level is a table with one entry per hash of the
+``GRAM`` bytes at sampled places: how many there are and the smallest and largest hash of the stretch
+around them that their windows cover. Suffixes are not sorted by their text; whether a window stands
+elsewhere does not need their order. Levels are stored bucketed and sorted by hash, so a scan of two
+side by side needs no shuffle: it sums their counts and writes the level of twice the size, and
+reports no match by itself. Two levels of equal size always merge, so each entry is rewritten
 as often as the number of batches has binary digits, and a new batch never touches more than the
-levels it merges with.
+levels it merges with. After the last batch, the spans of all texts are made again and meet the levels.
 
-``repeats`` turns matches into exact results: an entry with one stretch is decided by it, the
+``repeats`` turns repeated entries into exact results: an entry with one stretch is decided by it, the
 windows of the others are compared one by one.
 
 Defined results: null and empty texts have no bytes; matches never cross texts; every row is kept.
@@ -76,14 +76,14 @@ def byte_spans(batches, window, gram=GRAM):
 
 @dataclass
 class Level:
-    """A stored suffix array: its table's name and how many batches it holds."""
+    """A stored table of entries: its name and how many batches it holds."""
 
     table: str
     batches: int
 
 
 class SuffixIndex:
-    """Levels of suffix arrays; at most one of each size after an insertion."""
+    """Levels of entries; at most one of each size after an insertion."""
 
     def __init__(self, spark: SparkSession, scratch: Scratch):
         self.spark, self.scratch, self.levels = spark, scratch, []
@@ -101,7 +101,7 @@ class SuffixIndex:
         return self.spark.table(level.table).withColumn("high", F.coalesce("high", "low"))
 
     def _merged(self, one: DataFrame, other: DataFrame) -> DataFrame:
-        """Both arrays scanned side by side; entries of both are matches."""
+        """Both levels scanned side by side, counts summed."""
         a, b = one.alias("a"), other.alias("b")
         return a.join(b.hint("merge"), F.col("a.key") == F.col("b.key"), "full").select(
             F.coalesce("a.key", "b.key").alias("key"),
@@ -109,7 +109,7 @@ class SuffixIndex:
             F.least("a.low", "b.low").alias("low"), F.greatest("a.high", "b.high").alias("high"))
 
     def add(self, spans: DataFrame) -> None:
-        """A new batch: its suffix array, merged with the levels of equal size."""
+        """A new batch: its level, merged with the levels of equal size."""
         fresh = self._store(repeats.grouped(spans), 1)
         while self.levels and self.levels[-1].batches == fresh.batches:
             older = self.levels.pop()
