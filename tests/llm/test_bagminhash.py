@@ -101,3 +101,11 @@ def test_odd_tables(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((r.class_id or 0) for r in bagminhash.classes(docs).collect()) == [0, 0, 7, 7]
     assert bagminhash.first_of_each(docs).count() == 2
+
+
+def test_pairs_at_the_threshold_share_a_band():
+    rng, n_registers = np.random.default_rng(4), bagminhash.BANDS * bagminhash.ROWS
+    for _ in range(10):
+        one, other = rng.random((2, 10_000, n_registers))
+        other = np.where(rng.random(one.shape) < bagminhash.SIMILARITY, one, other)
+        assert (bagminhash.band_keys(one) == bagminhash.band_keys(other)).any(1).all()

@@ -38,7 +38,7 @@ from tidemark.scratch import Scratch
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 30, 6  # a pair at the threshold shares no band once in 9,000
+BANDS, ROWS = 36, 5  # a pair at the threshold shares no band once in 1,600,000
 STAR_ROUNDS = 3
 BLOCK = 512
 AGREE = 0.8  # of the registers that a pair at the threshold shares on average
