@@ -96,3 +96,18 @@ def test_null_ids_are_never_learnt_from(spark):
     column = queries._remainder(F.col("i"), 5)
     ids = spark.createDataFrame([(None,), (12,)], "i long").select(column.alias("r")).collect()
     assert ids[0].r is None and ids[1].r == __import__("zlib").crc32(b"12") % 5
+
+
+def test_the_toxicity_sample_is_one_fitting_text_per_key(spark, monkeypatch):
+    rows = [(1, f"hot text {i}") for i in range(500)] + [(i, f"text {i}") for i in range(2, 10)]
+    rows += [(i, "x" * (toxicity.SAMPLE_CHARS + 1)) for i in range(20, 40)] + [(1, None), (50, None), (None, "no id")]
+    docs = ship(spark).createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i in (1, 2, 3))) for i in range(60)], "doc_id long, toxic int")
+    taken = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, y: taken.append((texts, y)))
+    for _ in range(2):
+        toxicity.fit(docs, labels, "toxic", sample=5)
+    texts, y = taken[0]
+    assert taken[0] == taken[1] and y == [0] * 5 + [1] * 3
+    assert set(texts[:5]) < {f"text {i}" for i in range(4, 10)}
+    assert texts[5].startswith("hot text") and texts[6:] == ["text 2", "text 3"]

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.arrays import U64, Rolling, blocks, mix
 from tidemark.llm.repeats import within
+from tidemark.scratch import Scratch
 
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
@@ -234,15 +235,21 @@ def train(texts, labels, rounds: int = ROUNDS, rate: float = RATE, seed: int = 7
 def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
     """Train on at most ``sample`` labelled rows of each class, chosen by a hash of their key.
 
-    The chosen keys, a bounded list, are sent to the documents; texts are not shuffled.
+    Only keys with a text of at most ``SAMPLE_CHARS`` are drawn, and one text stands for a key and label, that
+    with the smallest hash, so no more than ``sample`` texts a class reach the driver. The chosen
+    keys, a bounded list, are sent to the documents; texts are not shuffled but for one per key and task.
     """
+    docs = docs.filter(F.length(docs[text]) <= SAMPLE_CHARS)
     known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     known = known.select(F.col(key).alias("sampled"), F.col(label).cast("int").alias("label_of")).distinct()
+    known = docs.select(docs[key]).join(known, docs[key] == F.col("sampled")).select("sampled", "label_of").distinct()
+    known = Scratch(docs.sparkSession).keep(known, "known")
     draw = [F.xxhash64("sampled"), F.col("sampled")]
     chosen = [known.filter(F.col("label_of") == kind).orderBy(*draw).limit(sample) for kind in (0, 1)]
     chosen = chosen[0].unionAll(chosen[1])
-    found = docs.join(F.broadcast(chosen), docs[key] == F.col("sampled")).filter(F.length(docs[text]) <= SAMPLE_CHARS)
-    rows = sorted(tuple(r) for r in found.select("label_of", "sampled", docs[text]).collect())
+    found = docs.join(F.broadcast(chosen), docs[key] == F.col("sampled"))
+    first = F.min(F.struct(F.xxhash64(docs[text]).alias("hash"), docs[text].alias("body")))
+    rows = sorted(tuple(r) for r in found.groupBy("label_of", "sampled").agg(first.alias("t")).select("label_of", "sampled", "t.body").collect())
     return train([t for *_, t in rows], [y for y, *_ in rows])
 
 
