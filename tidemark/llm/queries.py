@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bagminhash, bpe, decontaminate, linkgraph, quality, recompression, suffix_levels, toxicity, warc, winnowing,
+    bagminhash, bpe, decontaminate, divergence, linkgraph, periods, quality, recompression, suffix_levels, toxicity, warc, whitening,
+    winnowing,
 )
 from tidemark.llm.shipping import ship
 from tidemark.scratch import Scratch
@@ -110,6 +111,37 @@ def link_trust(spark, sf_dir):
     return linkgraph.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def whitened(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), ["vec_id"])
+
+
+def diverging(spark, sf_dir):
+    return divergence.judge(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def with_periodic_tails(docs):
+    """Of one document in ten, by the hash of its id, the words from one place on repeat with one period. A null id has no hash."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    split = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    docs = docs.select("doc_id", "text", g.alias("g"), F.when(chosen, split).alias("words"))
+    docs = docs.withColumn("n", F.size("words")).withColumn("a", F.expr("g % nullif(n, 0)")).withColumn("p", F.expr("1 + floor((n - a) / (3 + g % 8))"))
+    tail = F.expr("array_join(transform(words, (w, i) -> if(i < a, w, words[int(a + (i - a) % p)])), ' ')")
+    return docs.select("doc_id", F.when(F.col("n") > 0, tail).otherwise(F.col("text")).alias("text"))
+
+
+def periodic_runs(spark, sf_dir):
+    docs = with_periodic_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periods.with_runs(docs).drop("text")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_quality": quality_scores,
     "op2_winnowing": winnowed,
@@ -121,4 +153,7 @@ QUERIES = {
     "op8_bagminhash": near_duplicates,
     "op9_toxicity": toxicity_scores,
     "op10_link_trust": link_trust,
+    "op11_whitening": whitened,
+    "op12_divergence": diverging,
+    "op13_periodic_runs": periodic_runs,
 }
