@@ -12,7 +12,9 @@ from tidemark.plans import checks as k
 from tidemark.plans import evidence
 from tidemark.plans.bookings import Strictness
 from tidemark.plans.batch import replay_check, speed_check
-from tidemark.sinks.writers import publish, read_batch, read_document
+from tidemark.session import tune
+from tidemark.sinks import commits
+from tidemark.sinks.writers import batch_path, read_document
 
 
 def failed(run):
@@ -83,8 +85,10 @@ def test_controls_and_listings_of_a_clean_batch(lake):
 
 
 def test_batches_are_kept_apart(lake, spark):
-    batches = spark.read.parquet(f"{lake['target']}/silver/bookings").select("batch_id").distinct()
+    batches = commits.read_table(tune(spark), lake["target"], "silver/bookings").select("batch_id").distinct()
     assert {row["batch_id"] for row in batches.collect()} == {"B1", "002"}
+    one = commits.read_table(tune(spark), lake["target"], "silver/bookings", ["002"])
+    assert one.count() == lake["buggy"].layers.silver_bookings.count() and "run_id" not in one.columns
 
 
 def test_silver_has_the_newest_version_and_no_raw_client(lake):
@@ -133,11 +137,12 @@ def test_manifest_and_lineage(lake):
 
 
 def test_report_document_and_checks_table(lake, spark):
-    report = read_document(spark, lake["target"], "reports/quality_report", "B1")
+    run_id = commits.current_run(spark, lake["target"], "B1")
+    report = read_document(spark, lake["target"], "reports/quality_report", "B1", run_id)
     assert report["summary"]["decision"] == "GO"
     assert report["summary"]["failed"] == 0
     assert report["run"]["dedup_mode"] == "latest"
-    manifest = read_document(spark, lake["target"], "bronze/manifest_document", "B1")
+    manifest = read_document(spark, lake["target"], "bronze/manifest_document", "B1", run_id)
     assert [f["file_name"] for f in manifest["feeds"]] == ["bookings.csv", "payments.jsonl", "offers.csv"]
     checks = spark.read.parquet(lake["first"].paths["quality_checks"])
     assert checks.count() == len(k.GATE)
@@ -205,50 +210,129 @@ def test_an_empty_replay_leaves_no_old_rows(spark, tmp_path):
     assert run.metrics["gold_rows"] == 0
     assert run.metrics["gold_gross_revenue_eur"] == 0.0
     assert run.metrics["success_rate_percent"] == 0.0
-    assert read_batch(spark, target, "silver/bookings", "B").count() == 0
-    assert read_batch(spark, target, "gold/daily_revenue", "B").count() == 0
+    assert commits.read_table(spark, target, "silver/bookings").count() == 0
+    assert commits.read_table(spark, target, "gold/daily_revenue").count() == 0
     assert run.decision == "GO"
 
 
+def stored(target):
+    return {p.relative_to(target): p.read_bytes() for p in target.rglob("part-*")}
+
+
 def test_a_replay_that_fails_changes_nothing(spark, tmp_path):
     target = tmp_path / "lake"
     run_pipeline(spark, write_feeds(tmp_path / "good", *scenario()), str(target), batch_id="B")
-
-    def stored():
-        return {p.relative_to(target): p.read_bytes() for p in target.rglob("part-*") if "_staging" not in p.parts}
-
-    before = stored()
+    before = stored(target)
     rows, payments = scenario()
     rows[1]["gross_amount"] = payments[1]["amount"] = "99999999999.00"
     with pytest.raises(Exception, match="amount does not fit"):
         run_pipeline(spark, write_feeds(tmp_path / "wide", rows, payments), str(target), batch_id="B")
-    assert stored() == before
-    run_pipeline(spark, write_feeds(tmp_path / "few", [rows[0]], payments[:1]), str(target), batch_id="B")
-    lines = read_batch(spark, str(target), "bronze/raw_lines", "B")
+    assert stored(target) == before
+    source = write_feeds(tmp_path / "few", [rows[0]], payments[:1])
+    run_pipeline(spark, source, str(target), batch_id="B", keep_runs=1)
+    lines = commits.read_table(spark, str(target), "bronze/raw_lines")
     assert lines.where("source_name = 'bookings'").count() == 2
-    assert not list((target / "_staging").iterdir())
-
-
-def test_a_publication_that_fails_is_undone(spark, tmp_path):
-    staged, root = str(tmp_path / "s"), str(tmp_path / "r")
-    for folder, n in ((root, 1), (staged, 2)):
-        for table in ("a", "b"):
-            spark.range(n).write.parquet(f"{folder}/{table}/batch_id=X")
-    with pytest.raises(Exception):
-        publish(spark, staged, root, ["a", "b", "missing"], "X")
-    assert [spark.read.parquet(f"{root}/{t}/batch_id=X").count() for t in "ab"] == [1, 1]
-    publish(spark, staged, root, ["a", "b"], "X")
-    assert [spark.read.parquet(f"{root}/{t}/batch_id=X").count() for t in "ab"] == [2, 2]
-
-
-def test_line_breaks_in_quotes_stop_a_line_by_line_run(spark, tmp_path):
+    assert not before.keys() & stored(target).keys()
+
+
+def test_the_later_of_two_runs_withdraws(spark, tmp_path, monkeypatch):
+    """A whole run of the same batch goes through just before the first one commits."""
+    target, source = tmp_path / "lake", write_feeds(tmp_path / "source", *scenario())
+    commit, runs = commits.commit, []
+
+    def overtaken(*args, **options):
+        if not runs:
+            runs.append("inner")
+            runs.append(run_pipeline(spark, source, str(target), batch_id="B"))
+        return commit(*args, **options)
+
+    monkeypatch.setattr(commits, "commit", overtaken)
+    with pytest.raises(commits.CommitConflict, match="batch B"):
+        run_pipeline(spark, source, str(target), batch_id="B")
+    won = runs[1].paths["gold"].rpartition("run_id=")[2]
+    assert commits.committed_runs(spark, str(target), "B") == [won]
+    assert {p.name for p in (target / "gold/daily_revenue/batch_id=B").iterdir()} == {f"run_id={won}"}
+    assert commits.read_table(spark, str(target), "gold/daily_revenue").collect()
+
+
+class Killed(BaseException):
+    pass
+
+
+def test_a_program_killed_at_any_write_leaves_the_old_or_the_new(spark, tmp_path, monkeypatch):
+    """The driver dies without a chance to tidy up, before, in and behind the commit."""
+    target, source = tmp_path / "lake", write_feeds(tmp_path / "source", *scenario())
+    first = run_pipeline(spark, source, str(target), batch_id="B")
+    other = write_feeds(tmp_path / "other", *scenario(3))
+    gold = lambda: commits.read_table(spark, str(target), "silver/bookings").count()
+    old = gold()
+    monkeypatch.setattr(commits, "withdraw", lambda *args: None)
+    commit = commits.commit
+
+    def die(*args):
+        raise Killed
+
+    monkeypatch.setattr(commits, "commit", die)
+    with pytest.raises(Killed):
+        run_pipeline(spark, other, str(target), batch_id="B")
+    assert gold() == old and commits.committed_runs(spark, str(target), "B") == [first.paths["gold"].rpartition("run_id=")[2]]
+
+    def cut_off(spark, root, batch_id, run_id, after):  # the pointer is there, but nothing is in it
+        commit(spark, root, batch_id, run_id, after)
+        (target / f"_commits/batch_id={batch_id}" / f"{after + 1:010d}").write_text("")
+        (target / f"_commits/batch_id={batch_id}" / f".{after + 1:010d}.crc").unlink(missing_ok=True)
+        raise Killed
+
+    monkeypatch.setattr(commits, "commit", cut_off)
+    with pytest.raises(Killed):
+        run_pipeline(spark, other, str(target), batch_id="B")
+    assert gold() == old
+
+    def done(*args):
+        commit(*args)
+        raise Killed
+
+    monkeypatch.setattr(commits, "commit", done)
+    with pytest.raises(Killed):
+        run_pipeline(spark, other, str(target), batch_id="B")
+    assert gold() == old + 3
+
+    monkeypatch.undo()
+    tables = ["gold/daily_revenue", "silver/bookings"]
+    assert len(commits.prune(spark, str(target), tables, "B", idle_hours=1)) == 0
+    assert len(commits.prune(spark, str(target), tables, "B", idle_hours=0)) == 2
+    assert gold() == old + 3
+
+
+def test_pointers_are_created_once(spark, tmp_path):
+    root = str(tmp_path)
+    assert commits.current_run(spark, root, "B") is None and commits.batches(spark, root) == {}
+    with pytest.raises(FileNotFoundError):
+        commits.read_table(spark, root, "t")
+    for run in ("one", "two", "three"):
+        spark.range(len(run)).write.parquet(batch_path(root, "t", "B", run))
+    commits.commit(spark, root, "B", "one", 0)
+    commits.commit(spark, root, "B", "two", 1)
+    with pytest.raises(commits.CommitConflict):
+        commits.commit(spark, root, "B", "three", 1)
+    assert commits.read_table(spark, root, "t").count() == 3 and commits.last_number(spark, root, "B") == 2
+    assert commits.prune(spark, root, ["t"], "B", keep=1) == ["one"]
+    assert commits.committed_runs(spark, root, "B") == ["two", "one"]
+
+
+def test_quotes_and_line_breaks_in_fields(spark, tmp_path):
     rows, payments = scenario()
-    rows[0]["client_id"] = "two\nlines"
+    rows[0]["client_id"], rows[1]["client_id"] = "two\nlines", 'a "quoted" name'
     source = write_feeds(tmp_path / "source", rows, payments)
-    with pytest.raises(DataContractError, match="multi_line_csv"):
-        run_pipeline(spark, source, str(tmp_path / "lake"))
-    run = run_pipeline(spark, source, str(tmp_path / "lake"), multi_line_csv=True)
+    text = (tmp_path / "source/bookings.csv").read_text()
+    (tmp_path / "source/bookings.csv").write_text(text.replace("guest one", '5" pipe'))
+    run = run_pipeline(spark, source, str(tmp_path / "lake"))
     assert run.metrics["source_rows"]["bookings"] == len(rows)
+    assert run.metrics["quarantine_reasons"] == {**run.metrics["quarantine_reasons"], c.MISSING_REQUIRED: 6}
+    names = {r["client_id"] for r in run.layers.bronze_bookings.collect()}
+    assert {"two\nlines", 'a "quoted" name', '5" pipe'} <= names
+    flat = run_pipeline(spark, source, str(tmp_path / "flat"), multi_line_csv=False)
+    assert flat.metrics["source_rows"]["bookings"] == len(rows) + 1
 
 
 def test_the_text_of_a_broken_line_is_in_bronze(spark, tmp_path):
@@ -257,7 +341,7 @@ def test_the_text_of_a_broken_line_is_in_bronze(spark, tmp_path):
         out.write('{"payment_id": "cut\n')
     run = run_pipeline(spark, source, str(tmp_path / "lake"))
     assert run.metrics["quarantine_reasons"][c.MISSING_REQUIRED] == 7
-    lines = read_batch(spark, str(tmp_path / "lake"), "bronze/raw_lines", "BATCH_001")
+    lines = commits.read_table(spark, str(tmp_path / "lake"), "bronze/raw_lines")
     assert b'{"payment_id": "cut' in {bytes(r["value"]) for r in lines.collect()}
 
 

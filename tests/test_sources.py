@@ -1,6 +1,11 @@
 """Text feeds, contracts and landing."""
 
+import csv
+import hashlib
+import io
 import json
+import random
+from contextlib import contextmanager
 
 import pytest
 from feeds import booking, payment, scenario, write_feeds
@@ -9,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark import run_pipeline
 from tidemark.scratch import Scratch
 from tidemark.sinks.writers import read_batch
-from tidemark.sources import landing
+from tidemark.sources import landing, records
 from tidemark.sources.contracts import (
     BOOKINGS,
     FEEDS,
@@ -21,41 +26,152 @@ from tidemark.sources.contracts import (
     gaps,
     incomplete_records,
 )
-from tidemark.sources.feeds import bronze, read_csv_text, read_jsonl_text
+from tidemark.sources.feeds import bronze
 
 
-def digests(spark, names, checksum="c"):
-    return spark.createDataFrame([(name, checksum) for name in names], "source_file string, checksum string")
+HEADERS = {
+    "bookings.csv": ",".join(BOOKINGS.columns) + "\n",
+    "payments.jsonl": "",
+    "offers.csv": ",".join(OFFERS.columns) + "\n",
+}
 
 
-def load(spark, path, contract, names, **options):
-    checksums = digests(spark, names)
-    return bronze(
-        spark, path, contract, checksums, "B", "2026-08-01 00:00:00", Scratch(spark), **options
-    )
+def land(spark, tmp_path, files, name="lake"):
+    """Land the given files, and header-only feeds for those not given."""
+    source = tmp_path / f"{name}-source"
+    given = {file.split("/")[0] for file in files}
+    for file, data in {**{k: v for k, v in HEADERS.items() if k not in given}, **files}.items():
+        (source / file).parent.mkdir(parents=True, exist_ok=True)
+        (source / file).write_bytes(data if isinstance(data, bytes) else data.encode())
+    root = str(tmp_path / name)
+    return landing.land(spark, feed_paths(str(source)), FEEDS, root, "B"), root
+
+
+def load(spark, tmp_path, contract, files, name="lake", **options):
+    """Bronze rows of one feed's files, by number."""
+    landed, root = land(spark, tmp_path, files, name)
+    lines, blocks = (read_batch(spark, root, table, "B") for table in (landing.RAW_LINES, landing.RAW_BLOCKS))
+    rows = bronze(lines, blocks, contract, landed, "B", "2026-08-01 00:00:00", Scratch(spark), **options)
+    return sorted(rows.collect(), key=lambda r: r["source_row_number"])
+
+
+@contextmanager
+def split_every(spark, size):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_columns_are_read_by_name(spark, tmp_path):
+    text = 'active, offer_id ,extra,commission_rate,destination\ntrue,A,x,0.1,"Nice, ""old"""\nfalse,B\n,C,x,,"",more,and more\n'
     path = tmp_path / "offers.csv"
-    path.write_text('active, offer_id ,extra,commission_rate,destination\ntrue,A,x,0.1,"Nice, ""old"""\n')
+    path.write_text(text)
     assert gaps(spark, str(path), OFFERS) == []
-    row = read_csv_text(spark, str(path), OFFERS).first()
-    assert row.asDict() == {
-        "offer_id": "A",
-        "destination": 'Nice, "old"',
-        "commission_rate": "0.1",
-        "active": "true",
+    rows = load(spark, tmp_path, OFFERS, {"offers.csv": text})
+    found = [tuple(r[name] for name in ("source_row_number", *OFFERS.columns)) for r in rows]
+    assert found == [(1, "A", 'Nice, "old"', "0.1", True), (2, "B", None, None, False), (3, "C", None, None, None)]
+
+
+def test_files_of_a_feed_have_one_header(spark, tmp_path):
+    one, other = "offer_id,destination,commission_rate,active\n", "destination,offer_id,commission_rate,active\n"
+    spaced = '"offer_id", destination ,commission_rate,active\r\n'
+    rows = load(spark, tmp_path, OFFERS, {"offers.csv/a": one + "A,X,,\n", "offers.csv/b": spaced + "B,Y,,\r\n"})
+    assert [(r["source_row_number"], r["offer_id"], r["destination"], r["commission_rate"]) for r in rows] == [(1, "A", "X", None), (2, "B", "Y", None)]
+    with pytest.raises(DataContractError, match="offers.csv/b has another header than offers.csv/a"):
+        load(spark, tmp_path, OFFERS, {"offers.csv/a": one, "offers.csv/b": other}, "other")
+
+
+QUOTED = [
+    'A,"Ni\nce",0.1,true',
+    "B,Metz,,",
+    'C,5" pipe,0.2,false',
+    'D,"a ""b""\n\n  \nc, d",,"tr\nue"',
+    'E,"""",0.3,true',
+    'F,"x"y,,',
+    'G,"""\n""",,',
+    "H,,,",
+]
+
+
+def broken_offers(copies=40):
+    rng = random.Random(5)
+    rows = [rng.choice(QUOTED).replace(",", f"{i},", 1) for i in range(copies)]
+    return rows, "offer_id,destination,commission_rate,active\n" + "".join(f"{row}\n" for row in rows)
+
+
+def by_reader(text):
+    """What the standard library's reader makes of it, but for text behind a closing quote, where Spark keeps the quotes."""
+    rows = [tuple(value or None for value in row[:2]) for row in csv.reader(io.StringIO(text)) if row][1:]
+    return [(name, '"x"y' if value == "xy" else value) for name, value in rows]
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    rows, text = broken_offers(200)
+    wanted = by_reader(text)
+    found = load(spark, tmp_path, OFFERS, {"offers.csv": text})
+    assert [r["source_row_number"] for r in found] == list(range(1, len(rows) + 1))
+    assert [(r["offer_id"], r["destination"]) for r in found] == wanted
+    for size in (64, 97, 1000):
+        with split_every(spark, size):
+            split = load(spark, tmp_path, OFFERS, {"offers.csv": text}, f"split{size}")
+        assert split == found
+
+
+def test_records_across_files_and_blank_lines(spark, tmp_path):
+    head = "offer_id,destination,commission_rate,active\n"
+    files = {
+        "offers.csv/a": "\n \n" + head + 'A,"one\ntwo",,\n\n\nB,x,,\n',
+        "offers.csv/b": head + "".join(f"C{i},y,,\n" for i in range(50)),
+        "offers.csv/c": head,
+        "offers.csv/d": head + "\n" + 'D,"1\n2\n\n4",,',
     }
-
-
-def test_quoted_line_breaks_when_asked_for(spark, tmp_path):
-    path = tmp_path / "offers.csv"
-    path.write_text('offer_id,destination,commission_rate,active\nA,"Ni\nce",0.1,true\nB,Metz,,\n')
-    rows = load(spark, str(path), OFFERS, ["offers.csv"], multi_line=True).collect()
-    assert [(r["source_row_number"], r["destination"], r["active"]) for r in rows] == [
-        (1, "Ni\nce", True),
-        (2, "Metz", None),
-    ]
+    wanted = [(1, "A", "one\ntwo"), (2, "B", "x"), *((i + 3, f"C{i}", "y") for i in range(50)), (53, "D", "1\n2\n\n4")]
+    for size in (10_000, 40):
+        with split_every(spark, size):
+            found = load(spark, tmp_path, OFFERS, files, f"lake{size}")
+        assert [(r["source_row_number"], r["offer_id"], r["destination"]) for r in found] == wanted
+
+
+def test_a_quote_that_is_never_closed_is_named(spark, tmp_path):
+    text = HEADERS["offers.csv"] + 'A,"one\ntwo",,\nB,"open,,\n' + "C,x,,\n" * 60
+    for size in (10_000, 50):
+        with split_every(spark, size), pytest.raises(DataContractError, match="never closed: offers.csv line 4"):
+            load(spark, tmp_path, OFFERS, {"offers.csv": text}, f"lake{size}")
+    rows = load(spark, tmp_path, OFFERS, {"offers.csv": text}, "flat", line_breaks=False)
+    assert len(rows) == 63 and rows[2]["destination"] == "open,,"
+
+
+def state_behind(line, inside):
+    """Whether a line leaves a quoted field open, character by character."""
+    at, begins = 0, not inside
+    quoted = inside
+    while at < len(line):
+        char = line[at]
+        if quoted:
+            if char == '"':
+                if line[at + 1 : at + 2] == '"':
+                    at += 1
+                else:
+                    quoted = False
+        elif char == '"' and begins:
+            quoted = True
+        begins = not quoted and char == ","
+        at += 1
+    return quoted
+
+
+def test_what_a_line_does_to_the_state(spark):
+    rng = random.Random(6)
+    lines = ["".join(rng.choice('"",,a ') for _ in range(rng.randrange(9))) for _ in range(600)]
+    frame = spark.createDataFrame([(line,) for line in lines], "line string")
+    for row in frame.select("line", records.turn(F.col("line")).alias("turn")).collect():
+        both = state_behind(row["line"], False), state_behind(row["line"], True)
+        assert row["turn"] == {(False, True): 0, (False, False): 1, (True, True): 2, (True, False): 3}[both], row["line"]
 
 
 def test_json_lines_become_text_and_keep_every_row(spark, tmp_path):
@@ -69,12 +185,10 @@ def test_json_lines_become_text_and_keep_every_row(spark, tmp_path):
         '{"payment_id": "cut',
         json.dumps({"payment_id": "P", "extra": 1}),
     ]
-    path.write_text("\n".join(lines) + "\n")
+    text = "\n".join(lines) + "\n"
+    path.write_text(text)
     assert gaps(spark, str(path), PAYMENTS) == []
-    rows = sorted(
-        load(spark, str(path), PAYMENTS, ["payments.jsonl"]).collect(),
-        key=lambda r: r["source_row_number"],
-    )
+    rows = load(spark, tmp_path, PAYMENTS, {"payments.jsonl": text})
     assert [r["source_row_number"] for r in rows] == [1, 2, 3, 4]
     assert [r["amount"] for r in rows] == [whole["amount"], "17.5", None, None]
     assert [r["payment_id"] for r in rows] == [whole["payment_id"], whole["payment_id"], None, "P"]
@@ -105,29 +219,22 @@ def test_all_gaps_are_told_at_once(spark, tmp_path):
 
 
 def test_rows_are_numbered_across_splits_and_files(spark, tmp_path):
-    folder = tmp_path / "bookings.csv"
-    folder.mkdir()
-    header = ",".join(BOOKINGS.columns) + "\n"
-    n = 0
+    files, n = {}, 0
     for part, size in (("part-a", 40), ("part-b", 900), ("part-c", 500)):
-        with open(folder / part, "w") as out:
-            out.write(header)
-            for _ in range(size):
-                n += 1
-                out.write(",".join([f"R{n}", *["x" * 20] * 9]) + "\n")
-    names = [f"bookings.csv/part-{x}" for x in "abc"]
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    try:
-        raw = read_csv_text(spark, str(folder), BOOKINGS)
-        assert raw.rdd.getNumPartitions() > 5
-        rows = load(spark, str(folder), BOOKINGS, names).collect()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        text = HEADERS["bookings.csv"]
+        for _ in range(size):
+            n += 1
+            text += ",".join([f"R{n}", *["x" * 20] * 9]) + "\n"
+        files[f"bookings.csv/{part}"] = text
+    with split_every(spark, 20000):
+        landed, root = land(spark, tmp_path, files)
+        assert read_batch(spark, root, landing.RAW_BLOCKS, "B").where("source_name = 'bookings'").count() > 5
+        rows = load(spark, tmp_path, BOOKINGS, files, "again")
     assert len(rows) == n
     assert all(r["booking_id"] == f"R{r['source_row_number']}" for r in rows)
-    assert {r["source_file"] for r in rows} == set(names)
-    assert {r["source_checksum"] for r in rows} == {"c"}
+    assert {r["source_file"] for r in rows} == set(files)
+    wanted = {r["source_file"]: r["checksum"] for r in landed.collect()}
+    assert all(r["source_checksum"] == wanted[r["source_file"]] for r in rows)
 
 
 ODD = {
@@ -137,41 +244,45 @@ ODD = {
 }
 
 
-def land(spark, tmp_path, files, name="lake"):
-    source = tmp_path / f"{name}-source"
-    for file, data in files.items():
-        (source / file).parent.mkdir(parents=True, exist_ok=True)
-        (source / file).write_bytes(data)
-    root = str(tmp_path / name)
-    return landing.land(spark, feed_paths(str(source)), FEEDS, root, "B"), root
-
-
 def checksums(landed):
     return {r["source_file"]: r["checksum"] for r in landed.collect()}
 
 
+def stored_lines(spark, root):
+    tables = (read_batch(spark, root, table, "B") for table in (landing.RAW_LINES, landing.RAW_BLOCKS))
+    return landing.numbered_lines(*tables)
+
+
 def test_landing_keeps_the_bytes(spark, tmp_path):
-    landed, root = land(spark, tmp_path, {**ODD, "bookings.csv": ODD["bookings.csv"] * 3000})
-    lines = landing.numbered_lines(read_batch(spark, root, landing.RAW_LINES, "B")).collect()
+    data = {**ODD, "bookings.csv": ODD["bookings.csv"] * 3000}
+    landed, root = land(spark, tmp_path, data)
+    lines = stored_lines(spark, root).collect()
     for row in landed.collect():
         own = sorted((r["line_number"], bytes(r["value"])) for r in lines if r["source_file"] == row["source_file"])
-        data = ODD[row["source_file"]] * (3000 if row["source_file"] == "bookings.csv" else 1)
-        assert landing.file_bytes([value for _, value in own], row["size_bytes"]) == data
+        assert landing.file_bytes([value for _, value in own], row["size_bytes"]) == data[row["source_file"]]
         assert [number for number, _ in own] == list(range(1, len(own) + 1))
-    assert landing.verify(spark, landed, root, "B")
+        assert row["sha256"] == hashlib.sha256(data[row["source_file"]]).hexdigest()
+        assert row["checksum_kind"] == "sha256-tree-1024"
+    assert landing.intact(landed) and landing.verify(spark, landed, root, "B")
     assert not landing.verify(spark, landed.withColumn("checksum", F.lit("0")), root, "B")
+    assert not landing.intact(landed.withColumn("size_bytes", F.col("size_bytes") + 4))
+
+
+def test_the_checksum_is_a_tree_that_others_can_compute(spark, tmp_path):
+    lines = [f"line {n}".encode() for n in range(2500)]
+    landed, _ = land(spark, tmp_path, {"payments.jsonl": b"\n".join(lines) + b"\n"})
+    sha = lambda data: hashlib.sha256(data).hexdigest()
+    leaves = [sha("".join(sha(line) for line in lines[i : i + 1024]).encode()) for i in range(0, 2500, 1024)]
+    size = sum(map(len, lines)) + 2500
+    assert checksums(landed)["payments.jsonl"] == sha(f"{size}|{sha(''.join(leaves).encode())}".encode())
 
 
 def test_checksums_do_not_depend_on_splits_but_on_every_byte_and_the_order(spark, tmp_path):
     rows = [f"row {n},".encode() + b"x" * 50 + b"\n" for n in range(2000)]
     files = {**ODD, "bookings.csv": b"".join(rows)}
     base = checksums(land(spark, tmp_path, files)[0])
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
-    try:
+    with split_every(spark, 9000):
         assert checksums(land(spark, tmp_path, files, "split")[0]) == base
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     rows[5], rows[1500] = rows[1500], rows[5]
     changes = {"swapped": b"".join(rows), "shorter": files["bookings.csv"][:-1], "other": files["bookings.csv"].replace(b"row 77,", b"row 78,")}
     for name, data in changes.items():
@@ -180,12 +291,48 @@ def test_checksums_do_not_depend_on_splits_but_on_every_byte_and_the_order(spark
         assert found.items() <= base.items()
 
 
-def test_a_changed_copy_is_noticed(spark, tmp_path):
-    landed, root = land(spark, tmp_path, ODD)
-    lines = read_batch(spark, root, landing.RAW_LINES, "B").drop("batch_id")
-    changed = lines.withColumn("value", F.when(F.col("line_id") % 2 == 0, F.lit(b"?")).otherwise(F.col("value")))
-    changed.write.parquet(f"{tmp_path}/changed/{landing.RAW_LINES}/batch_id=B")
-    assert not landing.verify(spark, landed, f"{tmp_path}/changed", "B")
+def test_a_long_line_is_stored_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "PIECE_BYTES", 1000)
+    long = "é" * 3210
+    text = HEADERS["offers.csv"] + f'A,{long},,\nB,"x\n{long}",,\n'
+    files = {"offers.csv": text, "payments.jsonl": b"\xc3" * 7001}
+    landed, root = land(spark, tmp_path, files)
+    lines = read_batch(spark, root, landing.RAW_LINES, "B")
+    assert lines.agg(F.max(F.octet_length("value"))).first()[0] == 1000
+    assert landing.intact(landed) and landing.verify(spark, landed, root, "B")
+    own = lines.where("source_name = 'payments'").orderBy("piece").collect()
+    assert b"".join(bytes(r["value"]) for r in own) == files["payments.jsonl"]
+    rows = load(spark, tmp_path, OFFERS, files, "again")
+    assert [(r["offer_id"], r["destination"]) for r in rows] == [("A", long), ("B", f"x\n{long}")]
+
+
+def changed_copy(spark, root, to, change):
+    for table in (landing.RAW_LINES, landing.RAW_BLOCKS, landing.RAW_TREE):
+        df = read_batch(spark, root, table, "B").drop("batch_id")
+        df = change(df) if table == landing.RAW_LINES else df
+        df.write.parquet(f"{to}/{table}/batch_id=B")
+
+
+def test_a_changed_copy_is_noticed_and_the_range_is_named(spark, tmp_path):
+    files = {"bookings.csv": b"".join(b"row %d\n" % n for n in range(5000)), "offers.csv": b"x\n" * 40}
+    with split_every(spark, 9000):
+        landed, root = land(spark, tmp_path, files)
+    place = stored_lines(spark, root).where("source_name = 'bookings'").select("line_id", "line_number").collect()
+    ids = {r["line_number"]: r["line_id"] for r in place}
+    mine = F.col("source_name") == "bookings"
+    swap = F.when(mine & (F.col("line_id") == ids[2500]), F.lit(ids[2600])).when(mine & (F.col("line_id") == ids[2600]), F.lit(ids[2500]))
+    changes = {
+        "byte": lambda df: df.withColumn("value", F.when(mine & (F.col("line_id") == ids[10]), F.lit(b"row 10?")).otherwise(F.col("value"))),
+        "lost": lambda df: df.where(~mine | (F.col("line_id") != ids[4999])),
+        "swapped": lambda df: df.withColumn("line_id", F.coalesce(swap, F.col("line_id"))),
+        "nothing": lambda df: df,
+    }
+    wanted = {"byte": [(1, 1024)], "lost": [(4097, 5000)], "swapped": [(2049, 3072)], "nothing": []}
+    for name, change in changes.items():
+        changed_copy(spark, root, f"{tmp_path}/{name}", change)
+        found = landing.damaged_ranges(spark, f"{tmp_path}/{name}", "B").collect()
+        assert [(r["source_file"], r["first_line"], r["last_line"]) for r in found] == [("bookings.csv", *r) for r in wanted[name]]
+        assert landing.verify(spark, landed, f"{tmp_path}/{name}", "B") == (name == "nothing")
 
 
 NAMES = ["bookings.csv/dt=1/a.csv", "bookings.csv/dt=2/a.csv", "bookings.csv/part 1.csv", "bookings.csv/50%25+é.csv", "bookings.csv/x/bookings.csv"]
@@ -237,12 +384,5 @@ def test_feed_checksums(spark):
 
 
 def test_json_reader_on_a_folder(spark, tmp_path):
-    folder = tmp_path / "payments.jsonl"
-    folder.mkdir()
-    (folder / "p1").write_text('{"payment_id": "1"}\n')
-    (folder / "p2").write_text('{"payment_id": "2"}\n{"payment_id": "3"}\n')
-    assert {r["payment_id"] for r in read_jsonl_text(spark, str(folder), PAYMENTS).collect()} == {
-        "1",
-        "2",
-        "3",
-    }
+    files = {"payments.jsonl/p1": '{"payment_id": "1"}\n', "payments.jsonl/p2": '{"payment_id": "2"}\r\n{"payment_id": "3"}\n'}
+    assert [r["payment_id"] for r in load(spark, tmp_path, PAYMENTS, files)] == ["1", "2", "3"]

@@ -4,16 +4,18 @@ import pytest
 from feeds import scenario, write_feeds
 
 from tidemark import DataContractError
+from tidemark.session import tune
+from tidemark.sinks.commits import read_table
 from tidemark.streaming.arrivals import run_arrivals
 
 
 def batches(spark, target):
-    rows = spark.read.parquet(f"{target}/gold/daily_revenue").select("batch_id").distinct().collect()
+    rows = read_table(tune(spark), target, "gold/daily_revenue").select("batch_id").distinct().collect()
     return sorted(row["batch_id"] for row in rows)
 
 
 def stored_at(tmp_path, batch):
-    marker = tmp_path / f"lake/gold/daily_revenue/batch_id={batch}/_SUCCESS"
+    (marker,) = (tmp_path / f"lake/gold/daily_revenue/batch_id={batch}").glob("run_id=*/_SUCCESS")
     return marker.stat().st_mtime_ns
 
 

@@ -29,6 +29,8 @@ from tidemark.plans import settlement as s
 from tidemark.plans.batch import run_pipeline, volumes
 from tidemark.plans.recalculation import expected_gold
 from tidemark.scratch import Scratch, run_scratch
+from tidemark.session import tune
+from tidemark.sinks.commits import read_table
 from tidemark.sources.contracts import FEEDS
 from tidemark.sources.landing import manifest_anomalies
 
@@ -672,7 +674,7 @@ def two_batches(spark, sf_dir):
     source = star.write_text_feeds(spark, sf_dir, f"{folder}/source")
     for batch, mode in (("STAR", "fixed"), ("OLD", "buggy")):
         run = run_pipeline(spark, source, f"{folder}/lake", batch_id=batch, mode=mode)
-    gold = spark.read.parquet(f"{folder}/lake/gold/daily_revenue")
+    gold = read_table(tune(spark), f"{folder}/lake", "gold/daily_revenue")
     parts = [
         gold.where(F.col("batch_id") == batch).agg(
             F.lit(batch).alias("batch"),

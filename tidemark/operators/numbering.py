@@ -2,67 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.scratch import Scratch
 
-PerSplit = Callable[[DataFrame], DataFrame]
-
-
-def number_in_file_order(
-    df: DataFrame, scratch: Scratch, into: str, per_split: PerSplit | None = None
-) -> DataFrame:
-    """Number rows read from files by path, then position. ``df`` must still have ``_metadata``.
-
-    ``per_split`` may add columns to the table of file splits (which has the file's path as
-    ``_file``); they reach the rows with the same join that brings the numbers.
-    """
-    tagged = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_id"),
-    )
-    return _number(tagged, ["_file", "_start"], scratch, into, per_split)
-
 
 def number_in_order(
     df: DataFrame, order: Sequence[Column], scratch: Scratch, into: str
 ) -> DataFrame:
-    tagged = df.sort(*order).withColumn("_id", F.monotonically_increasing_id())
-    return _number(tagged.withColumn("_part", F.shiftright("_id", 33)), ["_part"], scratch, into)
-
-
-def _number(tagged, piece, scratch, into, per_split=None) -> DataFrame:
-    """Ids are contiguous inside a piece; add the rows of all pieces before it.
+    """Number rows in a stated order: ids are contiguous inside a sorted partition; add the rows of all
+    partitions before it.
 
     The frame is written first so that counting and numbering see the same ids even if a second
-    read would split the files differently. Windows run over splits, not over data: over the splits
-    of one file, and then over one row per file. Spark broadcasts the stored table of splits while
-    its size in bytes allows that.
+    read would split the files differently. The window runs over one row per partition. Spark
+    broadcasts the stored table of partitions while its size in bytes allows that.
     """
-    stored = scratch.keep(tagged, "tagged")
-    pieces = stored.groupBy(*piece).agg(F.min("_id").alias("_first"), F.count("*").alias("_rows"))
-    whole, *split = piece
-    starts = _rows_before(pieces, Window.orderBy(whole)) if not split else _within_files(pieces, whole, *split)
-    if per_split is not None:
-        starts = per_split(starts)
-    starts = scratch.keep(starts, "starts")
-    helpers = {*piece, "_id", "_first", "_before"}
-    kept = [name for name in [*tagged.columns, *starts.columns] if name not in helpers]
+    tagged = df.sort(*order).withColumn("_id", F.monotonically_increasing_id())
+    stored = scratch.keep(tagged.withColumn("_part", F.shiftright("_id", 33)), "tagged")
+    pieces = stored.groupBy("_part").agg(F.min("_id").alias("_first"), F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    starts = scratch.keep(pieces.select("_part", "_first", before.alias("_before")), "starts")
     number = F.col("_before") + F.col("_id") - F.col("_first") + 1
-    return stored.join(starts, piece).select(number.alias(into), *kept)
-
-
-def _rows_before(pieces: DataFrame, order, into: str = "_before") -> DataFrame:
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    return pieces.withColumn(into, F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
-
-
-def _within_files(pieces: DataFrame, whole: str, split: str) -> DataFrame:
-    files = _rows_before(pieces.groupBy(whole).agg(F.sum("_rows").alias("_rows")), Window.orderBy(whole), "_files")
-    inside = _rows_before(pieces, Window.partitionBy(whole).orderBy(split))
-    return inside.join(files, whole).withColumn("_before", F.col("_before") + F.col("_files")).drop("_files")
+    return stored.join(starts, "_part").select(number.alias(into), *df.columns)

@@ -1,8 +1,4 @@
-"""Every table is a folder of ``batch_id=`` folders; a replay replaces exactly its own.
-
-A run writes below a staging folder and publishes all its tables at the end, so a run that fails
-leaves the earlier tables of its batch as they were.
-"""
+"""Every table is a folder of ``batch_id=`` folders, and these of a folder for each run; see ``commits``."""
 
 from __future__ import annotations
 
@@ -20,8 +16,9 @@ def check_batch_id(batch_id: str) -> str:
     return batch_id
 
 
-def batch_path(root: str, table: str, batch_id: str) -> str:
-    return f"{root.rstrip('/')}/{table}/batch_id={batch_id}"
+def batch_path(root: str, table: str, batch_id: str, run_id: str | None = None) -> str:
+    path = f"{root.rstrip('/')}/{table}/batch_id={batch_id}"
+    return path if run_id is None else f"{path}/run_id={run_id}"
 
 
 def replace_batch(
@@ -32,57 +29,21 @@ def replace_batch(
     order: list[Column] | None = None,
     total_order: bool = False,
     rows_per_file: int = 0,
+    run_id: str | None = None,
 ) -> DataFrame:
-    """Write one batch and return it as stored.
+    """Write one batch, or one run of it, and return it as stored.
 
-    The batch's own path is overwritten, so an empty replay leaves nothing behind. Large layers
+    The path is overwritten, so an empty replay leaves nothing behind. Large layers
     are ordered within files; ``total_order`` sorts across files, for small published tables.
     ``rows_per_file`` bounds files whose rows are large.
     """
     rows = df.drop("batch_id")
     if order:
         rows = rows.sort(*order) if total_order else rows.sortWithinPartitions(*order)
-    path = batch_path(root, table, batch_id)
+    path = batch_path(root, table, batch_id, run_id)
     writer = rows.write.mode("overwrite").option("compression", "zstd")
     writer.option("maxRecordsPerFile", rows_per_file).parquet(path)
-    return read_batch(df.sparkSession, root, table, batch_id, rows.schema)
-
-
-def _files(spark: SparkSession, root: str):
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return hadoop, hadoop(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def discard(spark: SparkSession, staged: str) -> None:
-    """Remove what a failed run had staged; earlier tables that could not be put back stay."""
-    hadoop, files = _files(spark, staged)
-    if not files.exists(hadoop(f"{staged}/replaced")):
-        files.delete(hadoop(staged), True)
-
-
-def publish(spark: SparkSession, staged: str, root: str, tables: list[str], batch_id: str) -> None:
-    """Move a run's tables to their places, those of an earlier run of the batch aside and then
-    away. If a move fails, the earlier tables are put back."""
-    hadoop, files = _files(spark, root)
-    done = []
-
-    def move(source, target):
-        files.mkdirs(hadoop(target).getParent())
-        if not files.rename(hadoop(source), hadoop(target)):
-            raise OSError(f"could not move {source} to {target}")
-        done.append((source, target))
-
-    try:
-        for table in tables:
-            place = batch_path(root, table, batch_id)
-            if files.exists(hadoop(place)):
-                move(place, batch_path(f"{staged}/replaced", table, batch_id))
-            move(batch_path(staged, table, batch_id), place)
-    except BaseException:
-        for source, target in reversed(done):
-            files.rename(hadoop(target), hadoop(source))
-        raise
-    files.delete(hadoop(staged), True)
+    return read_batch(df.sparkSession, root, table, batch_id, rows.schema, run_id)
 
 
 def read_batch(
@@ -91,27 +52,29 @@ def read_batch(
     table: str,
     batch_id: str,
     schema: T.StructType | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
     reader = spark.read.option("basePath", f"{root.rstrip('/')}/{table}")
     if schema is not None:
-        fields = [*schema.fields, T.StructField("batch_id", T.StringType())]
+        places = ["batch_id"] if run_id is None else ["batch_id", "run_id"]
+        fields = [*schema.fields, *(T.StructField(name, T.StringType()) for name in places)]
         reader = reader.schema(T.StructType(fields))
-    return reader.parquet(batch_path(root, table, batch_id))
+    return reader.parquet(batch_path(root, table, batch_id, run_id)).drop("run_id")
 
 
-def write_document(spark: SparkSession, document: dict, root: str, name: str, batch_id: str) -> str:
+def write_document(spark: SparkSession, document: dict, root: str, name: str, batch_id: str, run_id: str | None = None) -> str:
     """One JSON document as a single-line text file."""
-    path = batch_path(root, name, batch_id)
+    path = batch_path(root, name, batch_id, run_id)
     text = json.dumps(document, ensure_ascii=False, default=str)
     row = spark.createDataFrame([(text,)], "value string")
     row.coalesce(1).write.mode("overwrite").text(path)
     return path
 
 
-def read_document(spark: SparkSession, root: str, name: str, batch_id: str) -> dict | None:
+def read_document(spark: SparkSession, root: str, name: str, batch_id: str, run_id: str | None = None) -> dict | None:
     """The stored document, or None when it is absent or unreadable."""
     try:
-        row = spark.read.text(batch_path(root, name, batch_id), wholetext=True).first()
+        row = spark.read.text(batch_path(root, name, batch_id, run_id), wholetext=True).first()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None

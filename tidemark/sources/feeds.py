@@ -1,45 +1,51 @@
-"""Text feeds to Bronze rows: every business column is text, every row is numbered and traced."""
+"""Landed lines to Bronze rows: every business column is text, every row is numbered and traced."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import io
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import flag
-from tidemark.operators.numbering import number_in_file_order
 from tidemark.scratch import Scratch
-from tidemark.sources.contracts import Contract, text_lines
+from tidemark.sources.contracts import Contract, DataContractError
+from tidemark.sources.records import numbered_records
 
 ROW_NUMBER = "source_row_number"
-
-
-def read_csv_text(
-    spark: SparkSession, path: str, contract: Contract, multi_line: bool = False
-) -> DataFrame:
-    """Columns are taken by header name, spaces around names ignored, extra columns dropped.
-
-    Reading stays splittable unless fields may hold line breaks (``multi_line``); without it,
-    ``landing.open_quotes`` tells whether the feed has such fields.
-    """
-    raw = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("enforceSchema", False)
-        .option("recursiveFileLookup", True)
-        .csv(path)
-    )
-    by_name = {name.strip(): name for name in raw.columns}
-    return raw.select(*[F.col(f"`{by_name[name]}`").alias(name) for name in contract.columns])
-
-
-def read_jsonl_text(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """One object per non-blank line, each value as its text. A broken line gives all NULLs, so
-    that row validation rejects it and the row is still counted; its text is in the raw lines."""
+MOST_HEADERS = 100  # different ways to write a feed's header
+
+
+def header_fields(headers: DataFrame, contract: Contract) -> list[str]:
+    """The field names in a CSV feed's files, without spaces around them; all files must have the same."""
+    texts = headers.groupBy("header").agg(F.min("source_file").alias("source_file")).orderBy("source_file").head(MOST_HEADERS + 1)
+    found = [([name.strip() for name in next(csv.reader(io.StringIO(row["header"])))], row["source_file"]) for row in texts]
+    if not found:
+        return list(contract.columns)
+    fields, first = found[0]
+    for other, name in found[1:]:
+        if other != fields:
+            raise DataContractError(f"{name} has another header than {first}")
+    if len(found) > MOST_HEADERS:
+        raise DataContractError(f"more than {MOST_HEADERS} different headers in {contract.file_name}")
+    return fields
+
+
+def csv_columns(rows: DataFrame, fields: list[str], contract: Contract) -> DataFrame:
+    """Columns are taken by header name, extra ones dropped; a short record ends in NULLs."""
+    schema = ", ".join(f"c{i} string" for i in range(len(fields)))
+    place = {name: i for i, name in reversed(list(enumerate(fields)))}
+    parsed = rows.withColumn("record", F.from_csv("text", schema, {"escape": '"'}))
+    return parsed.withColumns({name: F.col(f"record.c{place[name]}") for name in contract.columns}).drop("record", "text")
+
+
+def json_columns(rows: DataFrame, contract: Contract) -> DataFrame:
+    """Each value as its text. A broken line gives all NULLs, so that row validation rejects it and the row
+    is still counted; its text is in the raw lines."""
     schema = T.StructType([T.StructField(name, T.StringType()) for name in contract.columns])
-    lines = text_lines(spark, path).where(F.trim("value") != "")
-    return lines.select(F.from_json("value", schema).alias("record")).select("record.*")
+    return rows.withColumn("record", F.from_json("text", schema)).select("*", "record.*").drop("record", "text")
 
 
 def source_file(path, contract: Contract):
@@ -53,30 +59,30 @@ def source_file(path, contract: Contract):
 
 
 def bronze(
-    spark: SparkSession,
-    path: str,
+    lines: DataFrame,
+    blocks: DataFrame,
     contract: Contract,
     checksums: DataFrame,
     batch_id: str,
     ingested_at: str,
     scratch: Scratch,
-    multi_line: bool = False,
+    line_breaks: bool = True,
 ) -> DataFrame:
-    """Numbered rows with lineage. ``checksums`` has one row per source file."""
+    """Numbered rows with lineage, from one feed's landed lines and their blocks. ``checksums`` has one row per
+    source file. Without ``line_breaks`` every line of a CSV feed is a record, whatever its quotes."""
+    mine = F.col("source_name") == contract.entity
+    rows, headers = numbered_records(
+        lines.where(mine), blocks.where(mine), scratch, ROW_NUMBER, not contract.is_json, line_breaks
+    )
     if contract.is_json:
-        rows = read_jsonl_text(spark, path, contract)
+        rows = json_columns(rows, contract)
     else:
-        rows = read_csv_text(spark, path, contract, multi_line)
+        rows = csv_columns(rows, header_fields(headers, contract), contract)
     digests = checksums.select("source_file", F.col("checksum").alias("source_checksum"))
-
-    def trace(splits: DataFrame) -> DataFrame:
-        named = splits.withColumn("source_file", source_file(F.col("_file"), contract))
-        return named.join(digests, "source_file", "left")
-
-    numbered = number_in_file_order(rows, scratch, ROW_NUMBER, trace)
+    traced = rows.join(digests, "source_file", "left")
     if "active" in contract.columns:
-        numbered = numbered.withColumn("active", flag(F.col("active")))
-    return numbered.select(
+        traced = traced.withColumn("active", flag(F.col("active")))
+    return traced.select(
         ROW_NUMBER,
         *contract.columns,
         F.lit(batch_id).alias("batch_id"),

@@ -1,11 +1,14 @@
 """Raw landing: an untouched copy of every source file, with checksums proving it.
 
 Files of every size are copied by line, cut at line feeds only, as bytes: carriage returns and bytes
-that are no UTF-8 stay. With the file's size, which tells whether the last line ends in a line feed
-and whether the file began with a byte order mark, the lines rebuild the file exactly. A file's
-checksum covers its size and the SHA-256 of each line with the line's number, so it sees a changed byte
-and a swapped line. It is a sum over lines: large files are hashed by many tasks, and how they were
-split does not show.
+that are no UTF-8 stay, and a line of more than ``PIECE_BYTES`` is stored in pieces. With the file's size, which
+tells whether the last line ends in a line feed and whether the file began with a byte order mark, the
+lines rebuild the file exactly. Source files are read once: what is known of a line (its SHA-256, whether it is blank, how
+quotes in it open and close) is worked out while it is copied, and Bronze rows come from the copy.
+
+A file's checksum is the root of a tree over the SHA-256 of its lines in order (``operators.tree``): many tasks
+hash one file, how it was split does not show, and a lost, changed or swapped line is found by its range.
+Files of at most ``WHOLE_BYTES`` also have the plain SHA-256 of their bytes, as other tools compute it.
 """
 
 from __future__ import annotations
@@ -17,13 +20,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import is_blank, total
+from tidemark.operators import tree
+from tidemark.scratch import Scratch
 from tidemark.sinks.writers import batch_path, read_batch, replace_batch
 from tidemark.sources.contracts import Contract
 from tidemark.sources.feeds import source_file
+from tidemark.sources.records import turn
 
 RAW_FILES = "bronze/raw_files"
 RAW_LINES = "bronze/raw_lines"
+RAW_BLOCKS = "bronze/raw_blocks"
+RAW_TREE = "bronze/raw_tree"
 BYTE_ORDER_MARK = bytes([0xEF, 0xBB, 0xBF])
+PIECE_BYTES = 1 << 20
+WHOLE_BYTES = 64 << 20
+CHECKSUM_KIND = f"sha256-tree-{tree.FAN}"
+FILE = ["source_name", "source_file"]
 
 
 def land(
@@ -32,67 +44,101 @@ def land(
     feeds: tuple[Contract, ...],
     root: str,
     batch_id: str,
-    published_root: str | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
-    """Copy all files; return one row per file with its size, copy and checksum.
+    """Copy all files; return one row per file with its size, copy, checksums and what the copy holds.
 
-    The hash of each line is taken while it is copied. ``published_root`` is where the copy will lie
-    once the run is published, if not in ``root``.
+    Stores four tables: the lines, the blocks in which files were read, the checksum tree and the files.
     """
     lines = reduce(DataFrame.unionByName, [_lines(spark, paths[feed.entity], feed) for feed in feeds])
-    stored = replace_batch(lines, root, RAW_LINES, batch_id)
+    stored = replace_batch(lines, root, RAW_LINES, batch_id, run_id=run_id)
+    blocks = replace_batch(_blocks(stored), root, RAW_BLOCKS, batch_id, run_id=run_id)
+    scratch = Scratch(spark)
+    try:
+        grown = replace_batch(_tree(stored, blocks, F.col("line_hash"), scratch), root, RAW_TREE, batch_id, run_id=run_id)
+    finally:
+        scratch.drop()
     files = reduce(DataFrame.unionByName, [_files(spark, paths[feed.entity], feed) for feed in feeds])
-    digests = _digests(stored, F.col("line_hash"))
-    copy = batch_path(published_root or root, RAW_LINES, batch_id)
-    described = files.join(digests, "source_file", "left").select(
-        "source_name",
-        "source_file",
+    copied = tree.roots(grown, FILE).select(
+        *FILE, F.lower(F.hex("digest")).alias("digest"), F.col("bytes").alias("copied_bytes"), "damaged_lines"
+    )
+    described = files.join(copied, FILE, "left").select(
+        *FILE,
         "source_path",
         "size_bytes",
         file_checksum(F.col("digest"), F.col("size_bytes")).alias("checksum"),
-        F.lit(copy).alias("bronze_copy"),
+        F.lit(CHECKSUM_KIND).alias("checksum_kind"),
+        "sha256",
+        F.coalesce("copied_bytes", F.lit(0)).alias("copied_bytes"),
+        F.coalesce("damaged_lines", F.lit(0)).alias("damaged_lines"),
+        F.lit(batch_path(root, RAW_LINES, batch_id, run_id)).alias("bronze_copy"),
     )
-    return replace_batch(described, root, RAW_FILES, batch_id).drop("batch_id")
+    return replace_batch(described, root, RAW_FILES, batch_id, run_id=run_id).drop("batch_id")
 
 
 def _files(spark, path, feed):
+    """The files of a feed. Only the bytes of small files are read, for their plain SHA-256."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return listing.select(
-        F.lit(feed.entity).alias("source_name"),
-        source_file(F.col("_metadata.file_path"), feed).alias("source_file"),
-        F.col("path").alias("source_path"),
-        F.col("length").alias("size_bytes"),
-    )
+    name = source_file(F.col("_metadata.file_path"), feed).alias("source_file")
+    small = listing.where(F.col("length") <= WHOLE_BYTES).select(F.col("path"), F.sha2("content", 256).alias("sha256"))
+    named = listing.select(F.lit(feed.entity).alias("source_name"), name, "path", F.col("length").alias("size_bytes"))
+    return named.join(small, "path", "left").withColumnRenamed("path", "source_path")
 
 
 def _lines(spark, path, feed):
     text = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
-    value = F.col("value").cast("binary")
-    return text.select(
+    whole = F.expr(
+        f"CASE WHEN octet_length(value) <= {PIECE_BYTES} THEN array(CAST(value AS BINARY)) ELSE"
+        f" transform(sequence(0, int((octet_length(value) - 1) div {PIECE_BYTES})),"
+        f" i -> substring(CAST(value AS BINARY), i * {PIECE_BYTES} + 1, {PIECE_BYTES})) END"
+    )
+    quotes = F.lit(0) if feed.is_json else turn(F.col("value"))
+    lines = text.select(
         F.lit(feed.entity).alias("source_name"),
         source_file(F.col("_metadata.file_path"), feed).alias("source_file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_id"),
-        value.alias("value"),
-        F.sha2(value, 256).alias("line_hash"),
+        (F.btrim("value", F.lit(" \t\r")) == "").alias("blank"),
+        quotes.cast("tinyint").alias("turn"),
+        whole.alias("whole"),
     )
+    cut = lines.select("*", F.size("whole").alias("pieces"), F.posexplode("whole").alias("piece", "value"))
+    return cut.drop("whole").withColumn("line_hash", F.unhex(F.sha2("value", 256)))
+
+
+def _blocks(stored: DataFrame) -> DataFrame:
+    """One row per block in which a file was read: its line ids, which are contiguous, and the lines of its file
+    before it; and how many lines are blank, leave a quoted field open, or lie in pieces."""
+    once = F.col("piece") == 0
+    blocks = stored.groupBy(*FILE, "block_start").agg(
+        F.min("line_id").alias("first"),
+        F.max("line_id").alias("last"),
+        F.count_if(once).alias("lines"),
+        F.count_if(once & F.col("blank")).alias("blanks"),
+        F.count_if(once & F.col("turn").isin(2, 3)).alias("opening"),
+        F.count_if(~once).alias("more_pieces"),
+        F.min(F.when(~F.col("blank"), F.col("line_id"))).alias("first_filled"),
+    )
+    earlier = Window.partitionBy(*FILE).orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.withColumn("lines_before", F.coalesce(F.sum("lines").over(earlier), F.lit(0)))
 
 
-def numbered_lines(stored: DataFrame) -> DataFrame:
-    """The raw lines with ``line_number`` within their file, from 1. Ids are contiguous within a
-    block of a file; the window runs over the blocks of one file."""
-    block = ["source_file", "block_start"]
-    blocks = stored.groupBy(*block).agg(F.min("line_id").alias("_first"), F.count("*").alias("_lines"))
-    earlier = Window.partitionBy("source_file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_lines").over(earlier), F.lit(0))).drop("_lines")
-    number = F.col("_before") + F.col("line_id") - F.col("_first") + 1
-    return stored.join(blocks, block).withColumn("line_number", number).drop("_before", "_first")
+def numbered_lines(stored: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The raw lines with ``line_number`` within their file, from 1."""
+    places = blocks.select(*FILE, "block_start", "first", "lines_before")
+    number = F.col("lines_before") + F.col("line_id") - F.col("first") + 1
+    return stored.join(places, [*FILE, "block_start"]).withColumn("line_number", number).drop("first", "lines_before")
 
 
-def _digests(stored: DataFrame, line_hash: Column) -> DataFrame:
-    hashed = stored.select("source_file", "block_start", "line_id", line_hash.alias("line_hash"))
-    placed = F.xxhash64("line_number", "line_hash")
-    return numbered_lines(hashed).groupBy("source_file").agg(combined_digest(placed).alias("digest"))
+def _tree(stored: DataFrame, blocks: DataFrame, line_hash: Column, scratch: Scratch) -> DataFrame:
+    """The checksum tree of each file, with the bytes of its lines and how many do not match their hash."""
+    again = F.unhex(F.sha2("value", 256))
+    lines = numbered_lines(stored, blocks).withColumn("number", F.col("line_number") - 1)
+    measures = {
+        "bytes": F.sum(F.octet_length("value") + F.when(F.col("piece") == 0, 1).otherwise(0)),
+        "damaged_lines": F.count_if(again != F.col("line_hash")),
+    }
+    return tree.grow(lines, FILE, "number", line_hash, scratch.keep, ["piece"], measures)
 
 
 def file_checksum(digest: Column, size: Column) -> Column:
@@ -123,23 +169,38 @@ def file_bytes(lines: list[bytes], size: int) -> bytes:
     return body[:size]
 
 
-def verify(spark: SparkSession, landed: DataFrame, root: str, batch_id: str) -> bool:
-    """Hash the copies again and compare with what was recorded for the source files."""
-    again = _digests(read_batch(spark, root, RAW_LINES, batch_id), F.sha2("value", 256))
-    copied = file_checksum(F.col("digest"), F.col("size_bytes"))
-    matched = landed.join(again, "source_file", "left")
-    return matched.where(~F.col("checksum").eqNullSafe(copied)).isEmpty()
+def complete() -> Column:
+    """Whether a landed file's copy has all its bytes: the last line may lack its line feed, and a byte
+    order mark is not part of a line."""
+    return (F.col("size_bytes") - F.col("copied_bytes")).isin(-1, 0, 2, 3)
+
+
+def intact(landed: DataFrame) -> bool:
+    """Every file's copy has as many bytes as the file, and every stored line the hash it had when it was read."""
+    return landed.where(~complete() | (F.col("damaged_lines") > 0)).isEmpty()
 
 
-def open_quotes(spark: SparkSession, root: str, batch_id: str, feeds: tuple[Contract, ...]) -> dict[str, int]:
-    """CSV feeds with lines that end inside a quoted field, and how many: read line by line, such
-    a field would become two rows."""
-    names = [feed.entity for feed in feeds if not feed.is_json]
-    lines = read_batch(spark, root, RAW_LINES, batch_id).where(F.col("source_name").isin(names))
-    text = F.col("value").cast("string")
-    quotes = F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"'), F.lit("")))
-    found = lines.where(quotes % 2 == 1).groupBy("source_name").agg(F.count("*").alias("n"))
-    return {row["source_name"]: row["n"] for row in found.collect()}
+def damaged_ranges(spark: SparkSession, root: str, batch_id: str, run_id: str | None = None) -> DataFrame:
+    """``source_name, source_file, first_line, last_line`` of the parts of the stored copy that are not what was
+    landed: the lines are hashed again, and the tree is compared with the stored one from its roots down."""
+    stored, blocks, recorded = (read_batch(spark, root, table, batch_id, run_id=run_id) for table in (RAW_LINES, RAW_BLOCKS, RAW_TREE))
+    scratch = Scratch(spark)
+    found = _tree(stored, blocks, F.unhex(F.sha2("value", 256)), scratch)
+    ranges = scratch.keep(tree.damaged(recorded.drop("batch_id"), found, FILE), "ranges")
+    return ranges.select(*FILE, (F.col("first") + 1).alias("first_line"), (F.col("last") + 1).alias("last_line"))
+
+
+def verify(spark: SparkSession, landed: DataFrame, root: str, batch_id: str, run_id: str | None = None) -> bool:
+    """Hash the copy again: it is still what was landed, and that had the files' lengths and checksums."""
+    recorded = tree.roots(read_batch(spark, root, RAW_TREE, batch_id, run_id=run_id), FILE)
+    recorded = recorded.select(*FILE, F.lower(F.hex("digest")).alias("digest"))
+    matched = landed.join(recorded, FILE, "left")
+    unlike = ~F.col("checksum").eqNullSafe(file_checksum(F.col("digest"), F.col("size_bytes")))
+    return (
+        intact(landed)
+        and matched.where(unlike).isEmpty()
+        and damaged_ranges(spark, root, batch_id, run_id).isEmpty()
+    )
 
 
 def manifest(landed: DataFrame, row_counts: DataFrame, batch_id: str) -> DataFrame:
@@ -151,6 +212,8 @@ def manifest(landed: DataFrame, row_counts: DataFrame, batch_id: str) -> DataFra
         "source_path",
         "bronze_copy",
         "checksum",
+        "checksum_kind",
+        "sha256",
         "size_bytes",
         F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count"),
         F.lit(batch_id).alias("batch_id"),
