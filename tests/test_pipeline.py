@@ -208,7 +208,7 @@ def test_an_empty_replay_leaves_no_old_rows(spark, tmp_path):
     run = run_pipeline(spark, write_feeds(tmp_path / "bad", rows, payments), target, batch_id="B")
     assert run.metrics["silver_rows"] == {"bookings": 0, "payments": 0}
     assert run.metrics["gold_rows"] == 0
-    assert run.metrics["gold_gross_revenue_eur"] == 0.0
+    assert run.metrics["gold_gross_revenue_eur"] == "0.00"
     assert run.metrics["success_rate_percent"] == 0.0
     assert commits.read_table(spark, target, "silver/bookings").count() == 0
     assert commits.read_table(spark, target, "gold/daily_revenue").count() == 0

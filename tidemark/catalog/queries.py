@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,11 +11,12 @@ from tidemark.catalog import star
 from tidemark.catalog.star import price, table
 from tidemark.functions import columns as col
 from tidemark.operators.diff import bag_difference, keyed_difference
-from tidemark.operators.fingerprint import ordered_digest
+from tidemark.operators.fingerprint import row_text
 from tidemark.operators.numbering import number_in_order
 from tidemark.operators.quarantine import reason_histogram
 from tidemark.operators.relations import duplicate_groups, off_newest, orphan_total, orphans
 from tidemark.operators.rules import Rule, validate
+from tidemark.operators.tree import ordered_tree_digest
 from tidemark.operators.versions import (
     direction,
     hot_keys,
@@ -25,13 +28,17 @@ from tidemark.plans import bookings as b
 from tidemark.plans import checks as k
 from tidemark.plans import evidence
 from tidemark.plans import payments as p
+from tidemark.plans import replay
 from tidemark.plans import settlement as s
 from tidemark.plans.batch import run_pipeline, volumes
 from tidemark.plans.recalculation import expected_gold
 from tidemark.scratch import Scratch, run_scratch
 from tidemark.session import tune
 from tidemark.sinks.commits import read_table
-from tidemark.sources.contracts import FEEDS
+from tidemark.sinks.state import KeyedState
+from tidemark.sinks.writers import read_batch, replace_batch
+from tidemark.sources import landing
+from tidemark.sources.contracts import FEEDS, feed_paths
 from tidemark.sources.landing import manifest_anomalies
 
 QUERIES = {}
@@ -144,6 +151,37 @@ def safe_casts(spark, sf_dir):
     )
 
 
+@query
+def full_text_forms(spark, sf_dir):
+    """Dates, times, amounts and flags written in several ways, read by the grammar that asks for whole dates."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
+    kind = F.col("o_orderkey") % 9
+    written = {0: "yyyy", 1: "yyyy-MM", 2: "yyyy/MM/dd", 3: "yyyy-MM-dd", 4: "yyyy/MM/dd HH:mm:ss", 5: "yyyy-MM-dd'T'HH:mm:ss'Z'", 6: "dd.MM.yyyy"}
+    day, number = F.lit(" "), F.format_string("%d.%02d", "o_orderkey", kind.cast("int"))
+    for value, form in written.items():
+        day = F.when(kind == value, F.date_format("d", form)).otherwise(day)
+    number = F.when(kind % 3 == 1, F.concat(F.lit("1_0"), number)).when(kind == 8, F.concat(F.lit("1__0"), number)).otherwise(number)
+    texts = orders.select("o_orderkey", day.alias("day"), number.alias("number"), F.when(kind % 2 == 0, " true ").otherwise("false").alias("known"))
+    return texts.select(
+        "o_orderkey",
+        col.day(F.col("day"), "full").alias("as_day"),
+        col.instant(F.col("day"), "full").alias("as_instant"),
+        col.amount(F.col("number"), "full").alias("as_amount"),
+        col.flag(F.col("known"), "full").alias("as_flag"),
+    )
+
+
+@query
+def changed_ranges(spark, sf_dir):
+    """Months in which Gold of the newest versions and Gold of the oldest differ, by their digests, and the
+    rows that differ there."""
+    keep = run_scratch(spark).keep
+    now, before = (keep(star.layers(spark, sf_dir, mode).daily_revenue, "gold") for mode in ("latest", "oldest"))
+    ranges = keep(replay.changed_ranges(replay.range_digests(now), replay.range_digests(before)), "ranges")
+    differing = replay.changed_rows(now, before, ranges).groupBy("key_range").agg(F.sum("copies").alias("differing"))
+    return ranges.join(differing, "key_range").select("key_range", "rows_now", "rows_before", "differing")
+
+
 @query
 def fallback_ids(spark, sf_dir):
     events = table(spark, sf_dir, "events")
@@ -481,13 +519,26 @@ def repeated_keys(spark, sf_dir):
 
 @query
 def gold_fingerprint(spark, sf_dir):
-    return evidence.ordered_gold_fingerprint(daily_revenue(spark, sf_dir))
+    """Gold's rows in order as one digest, the root of a tree."""
+    scratch = run_scratch(spark)
+    return evidence.ordered_gold_fingerprint(scratch.keep(daily_revenue(spark, sf_dir), "gold"), scratch)
 
 
 @query
 def gold_rows_hash(spark, sf_dir):
     gold = daily_revenue(spark, sf_dir)
-    return ordered_digest(gold, gold.columns, ["business_date", "destination"])
+    order = [F.col(name).asc_nulls_last() for name in ("business_date", "destination")]
+    return ordered_tree_digest(gold, row_text(gold.columns), order, run_scratch(spark), fan=32)
+
+
+@query
+def ordered_lines_digest(spark, sf_dir):
+    """All line items in order as one digest; equal rows count each."""
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"]
+    lines = table(spark, sf_dir, "lineitem").select(*[F.col(name).cast("long" if name == "l_quantity" else "string").alias(name) for name in columns])
+    text = F.concat_ws("|", *[F.col(name).cast("string") for name in columns])
+    order = [F.col(name).cast("long") for name in columns[:2]]
+    return ordered_tree_digest(lines, text, order, run_scratch(spark))
 
 
 @query
@@ -572,13 +623,48 @@ def lineage_controls(spark, sf_dir):
 
 @query
 def personal_columns(spark, sf_dir):
-    """Columns with personal names, whatever their case, in tables that must have none."""
+    """How many values tables hold in columns with personal names, whatever the names' case."""
     names = ("c_name", "c_phone", "c_address", "s_name", "n_name")
-    rows = []
+    found = []
     for name in ("customer", "supplier", "part", "nation"):
         df = table(spark, sf_dir, name)
-        rows.append((name, k.personal_columns(df.toDF(*[c.upper() for c in df.columns]), names)))
-    return spark.createDataFrame(rows, "table_name string, personal long")
+        found.append(k.personal_values(df.toDF(*[c.upper() for c in df.columns]), names).withColumn("table_name", F.lit(name)))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def current_over_batches(spark, sf_dir):
+    """Three batches of line versions, one after the other, into a state of newest versions: its rows, and how many
+    rows of each batch were newer than all before."""
+    state = KeyedState(tune(spark), f"{run_scratch(spark).root}/state", LINE, LINE_ORDER, buckets=16)
+    lines = line_versions(spark, sf_dir)
+    for batch in range(3):
+        state.apply(lines.where(F.col("l_suppkey") % 3 == batch))
+    return state.read()
+
+
+@query
+def files_with_breaks(spark, sf_dir):
+    """Bronze bookings of feeds whose fields hold line breaks, commas and quotes."""
+    layers = run_from_files(spark, sf_dir, write=star.write_broken_lines).layers
+    return layers.bronze_bookings.select("source_row_number", "booking_id", "client_id", "currency")
+
+
+@query
+def files_to_damaged_ranges(spark, sf_dir):
+    """A landed feed whose copy is changed afterwards: the ranges of lines that are no longer what was landed."""
+    folder = run_scratch(spark).root
+    tuned = tune(spark)
+    source = star.write_one_file_feeds(spark, sf_dir, f"{folder}/source")
+    landing.land(tuned, feed_paths(source), FEEDS, f"{folder}/lake", "B")
+    lines, blocks, grown = (read_batch(tuned, f"{folder}/lake", name, "B") for name in (landing.RAW_LINES, landing.RAW_BLOCKS, landing.RAW_TREE))
+    number = landing.numbered_lines(lines, blocks)
+    hurt = (F.col("source_name") == "payments") & (F.col("line_number") % 3001 == 77)
+    changed = number.where(~hurt | (F.col("line_number") % 2 == 0)).withColumn("value", F.when(hurt, F.lit(b"?")).otherwise(F.col("value")))
+    for name, df in ((landing.RAW_LINES, changed.drop("line_number")), (landing.RAW_BLOCKS, blocks), (landing.RAW_TREE, grown)):
+        replace_batch(df, f"{folder}/changed", name, "B")
+    ranges = landing.damaged_ranges(tuned, f"{folder}/changed", "B")
+    return ranges.select(F.col("source_name").alias("feed"), "first_line", "last_line")
 
 
 @query

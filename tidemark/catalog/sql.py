@@ -399,6 +399,23 @@ numbered_payments AS (
   FROM matched
 )"""
 
+
+def tree_digest(rows: str, fan: int, name: str = "digest", extra: str = "") -> str:
+    """The root over ``rows``, a query of ``n`` (from 0) and ``t``, the text of a row; enough for fan ** 4 rows."""
+    level = "SELECT n // {0} AS n, sha256(string_agg(d, '' ORDER BY n)) AS d FROM {1} GROUP BY 1"
+    levels = ", ".join(f"l{i} AS ({level.format(fan, f'l{i - 1}')})" for i in range(1, 5))
+    top = " ".join(f"WHEN (SELECT COUNT(*) FROM l{i}) = 1 THEN (SELECT MAX(d) FROM l{i})" for i in range(1, 5))
+    return (
+        f"l0 AS (SELECT n, sha256(t) AS d FROM ({rows})), {levels} SELECT {extra}"
+        f" CASE {top} ELSE sha256('') END AS {name}"
+    )
+
+
+CLIENT = (
+    "CASE l_partkey % 23 WHEN 0 THEN 'guest' || chr(10) || client_id WHEN 1 THEN client_id || ', \"of\"' ||"
+    " chr(10) || chr(10) || 'the house' WHEN 2 THEN client_id || '\" pipe' ELSE client_id END"
+)
+
 ORACLE = {
     "latest_version": f"SELECT * EXCLUDE (dedup_rank) FROM ({line_rank('DESC')}) WHERE dedup_rank = 1",
     "oldest_version": f"SELECT * EXCLUDE (dedup_rank) FROM ({line_rank('ASC')}) WHERE dedup_rank = 1",
@@ -639,13 +656,37 @@ ORACLE = {
         " SELECT 'offer_id', COUNT(*), CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) FROM o"
     ),
     "gold_fingerprint": (
-        f"WITH {settled()} SELECT COUNT(*) AS row_count, CAST(ROUND(COALESCE(SUM(gross_revenue_eur),"
-        f" 0), 2) AS DECIMAL(18,2)) AS gross_sum, MD5(COALESCE(STRING_AGG({GOLD_TEXT}, '||' ORDER BY"
-        " business_date, destination, batch_id), '')) AS gold_digest FROM gold"
-    ),
-    "gold_rows_hash": (
-        f"WITH {settled()} SELECT sha256('[' || COALESCE(STRING_AGG({GOLD_JSON}, ',' ORDER BY"
-        " business_date, destination), '') || ']') AS digest FROM gold"
+        f"WITH {settled()}, "
+        + tree_digest(
+            "SELECT ROW_NUMBER() OVER (ORDER BY business_date, destination, batch_id) - 1 AS n,"
+            f" {GOLD_TEXT} AS t FROM gold",
+            1024,
+            "gold_digest",
+            "(SELECT COUNT(*) FROM gold) AS row_count, (SELECT CAST(ROUND(COALESCE(SUM(gross_revenue_eur), 0), 2)"
+            " AS DECIMAL(18,2)) FROM gold) AS gross_sum,",
+        )
+    ),
+    "gold_rows_hash": f"WITH {settled()}, "
+    + tree_digest(
+        f"SELECT ROW_NUMBER() OVER (ORDER BY business_date, destination) - 1 AS n, {GOLD_JSON} AS t FROM gold", 32
+    ),
+    "ordered_lines_digest": "WITH "
+    + tree_digest(
+        "SELECT ROW_NUMBER() OVER (ORDER BY l_orderkey, l_linenumber, sha256(t)) - 1 AS n, t FROM (SELECT l_orderkey,"
+        " l_linenumber, CONCAT_WS('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT),"
+        " l_returnflag) AS t FROM lineitem)",
+        1024,
+    ),
+    "current_over_batches": f"SELECT * EXCLUDE (dedup_rank) FROM ({line_rank('DESC')}) WHERE dedup_rank = 1",
+    "files_with_breaks": (
+        f"WITH {NUMBERED}, texts AS (SELECT *, {CLIENT} AS c FROM booking_feed) SELECT ROW_NUMBER() OVER (ORDER BY"
+        " booking_id, updated_at, gross_amount, l_partkey, l_suppkey) AS source_row_number, booking_id, c AS"
+        " client_id, currency FROM texts"
+    ),
+    "files_to_damaged_ranges": (
+        "WITH n AS (SELECT COUNT(*) AS n FROM lineitem WHERE l_linestatus = 'F'), hurt AS (SELECT DISTINCT"
+        " (line - 1) // 1024 AS node FROM (SELECT UNNEST(range(77, n + 1, 3001)) AS line FROM n))"
+        " SELECT 'payments' AS feed, node * 1024 + 1 AS first_line, LEAST(node * 1024 + 1024, n) AS last_line FROM hurt, n"
     ),
     "gate_checks": f"WITH {verdict(GATE, settled() + EXPECTED)}",
     "gate_decision": summary(f"WITH {verdict(GATE, settled() + EXPECTED)}"),
@@ -729,10 +770,27 @@ ORACLE = {
         " 'PASS' ELSE 'FAIL' END, 'CRITICAL', n FROM untraced"
     ),
     "personal_columns": (
-        "SELECT t.table_name, COUNT(c.column_name) AS personal FROM (VALUES ('customer'), ('supplier'),"
-        " ('part'), ('nation')) t(table_name) LEFT JOIN (SELECT DISTINCT table_name, column_name FROM"
-        " duckdb_columns() WHERE lower(column_name) IN ('c_name', 'c_phone', 'c_address', 's_name', 'n_name')) c"
-        " ON c.table_name = t.table_name GROUP BY 1"
+        "SELECT 'customer' AS table_name, CAST(1 AS BIGINT) AS columns, COUNT(c_name) AS filled FROM customer UNION ALL"
+        " SELECT 'supplier', 1, COUNT(s_name) FROM supplier UNION ALL SELECT 'part', 0, COUNT(NULL) FROM part UNION ALL"
+        " SELECT 'nation', 1, COUNT(n_name) FROM nation"
+    ),
+    "full_text_forms": (
+        "WITH t AS (SELECT o_orderkey, CASE o_orderkey % 9 WHEN 0 THEN strftime(d, '%Y') WHEN 1 THEN strftime(d, '%Y-%m')"
+        " WHEN 2 THEN strftime(d, '%Y/%m/%d') WHEN 3 THEN strftime(d, '%Y-%m-%d') WHEN 4 THEN strftime(d,"
+        " '%Y/%m/%d %H:%M:%S') WHEN 5 THEN strftime(d, '%Y-%m-%dT%H:%M:%SZ') WHEN 6 THEN strftime(d, '%d.%m.%Y') ELSE ' '"
+        " END AS day, CASE WHEN o_orderkey % 9 IN (1, 4, 7) THEN '1_0' WHEN o_orderkey % 9 = 8 THEN '1__0' ELSE '' END ||"
+        " o_orderkey || '.0' || o_orderkey % 9 AS number, CASE WHEN o_orderkey % 9 % 2 = 0 THEN ' true ' ELSE 'false' END"
+        " AS known FROM (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d FROM orders))"
+        " SELECT o_orderkey, TRY_CAST(day AS DATE) AS as_day, TRY_CAST(day AS TIMESTAMP) AS as_instant,"
+        " TRY_CAST(number AS DECIMAL(18,2)) AS as_amount, TRY_CAST(known AS BOOLEAN) AS as_flag FROM t"
+    ),
+    "changed_ranges": (
+        f"WITH now AS (WITH {settled()} SELECT * FROM gold), before AS (WITH {settled('ASC')} SELECT * FROM gold),"
+        " differing AS (SELECT strftime(business_date, '%Y-%m') AS key_range, COUNT(*) AS differing FROM ((SELECT * FROM"
+        " now EXCEPT ALL SELECT * FROM before) UNION ALL (SELECT * FROM before EXCEPT ALL SELECT * FROM now)) GROUP BY 1)"
+        " SELECT key_range, (SELECT COUNT(*) FROM now WHERE strftime(business_date, '%Y-%m') = key_range) AS rows_now,"
+        " (SELECT COUNT(*) FROM before WHERE strftime(business_date, '%Y-%m') = key_range) AS rows_before, differing"
+        " FROM differing"
     ),
     "ordered_rejects": (
         f"WITH {settled()}, l AS (SELECT source_entity, reason_code, COUNT(*) AS rejected_rows FROM rejects"

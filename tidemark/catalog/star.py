@@ -241,7 +241,25 @@ def write_faulty_feeds(spark: SparkSession, sf_dir: str, folder: str) -> str:
     return _write(bookings, payments, offers, folder)
 
 
-def _write(bookings: DataFrame, payments: DataFrame, offers: DataFrame, folder: str) -> str:
+def write_broken_lines(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Feeds whose client ids hold line breaks, commas and quotes where the part number says so."""
+    kind, client = F.col("line_part") % 23, F.col("client_id")
+    text = (
+        F.when(kind == 0, F.concat(F.lit("guest\n"), client))
+        .when(kind == 1, F.concat(client, F.lit(', "of"\n\nthe house')))
+        .when(kind == 2, F.concat(client, F.lit('" pipe')))
+        .otherwise(client)
+    )
+    bookings = bronze_bookings(spark, sf_dir).withColumn("client_id", text)
+    return _write(bookings, bronze_payments(spark, sf_dir), bronze_offers(spark, sf_dir), folder, escape='"')
+
+
+def write_one_file_feeds(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The feeds with one file each, whose lines are in key order."""
+    return _write(bronze_bookings(spark, sf_dir), bronze_payments(spark, sf_dir), bronze_offers(spark, sf_dir), folder, files=1)
+
+
+def _write(bookings: DataFrame, payments: DataFrame, offers: DataFrame, folder: str, escape: str = "\\", files: int | None = None) -> str:
     feeds = {
         "bookings.csv": (bookings, ["booking_id", "updated_at", *TIE_BREAK]),
         "payments.jsonl": (payments, ["payment_id", "paid_at", "amount"]),
@@ -250,9 +268,10 @@ def _write(bookings: DataFrame, payments: DataFrame, offers: DataFrame, folder:
 
     def write(feed):
         rows, order = feeds[feed.file_name]
-        writer = rows.sort(*order).select(*feed.columns).write.mode("overwrite")
+        rows = rows.sort(*order).select(*feed.columns)
+        writer = (rows if files is None else rows.coalesce(files)).write.mode("overwrite")
         path = f"{folder}/{feed.file_name}"
-        writer.json(path) if feed.is_json else writer.option("header", True).csv(path)
+        writer.json(path) if feed.is_json else writer.option("header", True).option("escape", escape).csv(path)
 
     together(*[lambda feed=feed: write(feed) for feed in FEEDS])
     return folder

@@ -26,20 +26,41 @@ def code(text: Column) -> Column:
     return F.upper(F.trim(text))
 
 
-def amount(text: Column) -> Column:
+# How dates, times, amounts and flags may be written. "spark": as Spark's casts read them. "full": a date or time
+# must name its day, slashes may stand for dashes and digits may be grouped by single underscores; a flag has no spaces around it.
+FORMS = ("spark", "full")
+
+
+def _known(forms: str) -> bool:
+    if forms not in FORMS:
+        raise ValueError(f"text forms are {FORMS}, not {forms!r}")
+    return forms == "full"
+
+
+def _dashed(text: Column) -> Column:
+    """A text that begins with a whole date, with dashes; NULL for others."""
+    one_kind = text.rlike(r"^\s*\d{4,}(-\d{1,2}-|/\d{1,2}/)\d{1,2}")
+    return F.when(one_kind, F.regexp_replace(text, r"^(\s*\d{4,})/(\d{1,2})/", "$1-$2-"))
+
+
+def amount(text: Column, forms: str = "spark") -> Column:
+    if _known(forms):
+        text = F.regexp_replace(text, r"(?<=\d)_(?=\d)", "")
     return text.try_cast("decimal(18,2)")
 
 
-def instant(text: Column) -> Column:
+def instant(text: Column, forms: str = "spark") -> Column:
     """Zone-less timestamp; feeds are UTC by contract."""
-    return text.try_cast("timestamp_ntz")
+    return (_dashed(text) if _known(forms) else text).try_cast("timestamp_ntz")
 
 
-def day(text: Column) -> Column:
-    return text.try_cast("date")
+def day(text: Column, forms: str = "spark") -> Column:
+    return (_dashed(text) if _known(forms) else text).try_cast("date")
 
 
-def flag(text: Column) -> Column:
+def flag(text: Column, forms: str = "spark") -> Column:
+    if _known(forms):
+        text = F.when(text == F.trim(text), text)
     return text.try_cast("boolean")
 
 

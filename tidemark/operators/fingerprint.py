@@ -38,12 +38,17 @@ def bag_digest(df: DataFrame, measures: Sequence[Column] = ()) -> DataFrame:
     """Digest of a table of any size, whatever its row order: count, sum and xor of row hashes.
     ``measures`` are further aggregates to take in the same pass."""
     hashed = df.withColumn("_hash", F.sha2(row_text(df.columns), 256))
-    number = F.conv(F.substring("_hash", 1, 15), 16, 10).cast("decimal(20,0)")
+    return hashed.agg(*measures, bag_of(F.col("_hash")).alias("digest"))
+
+
+def bag_of(row_hash: Column) -> Column:
+    """Aggregate: digest of rows given by their hexadecimal hashes, whatever their order."""
+    number = F.conv(F.substring(row_hash, 1, 15), 16, 10).cast("decimal(20,0)")
     parts = F.concat_ws(
         "|",
         F.count("*").cast("string"),
         total(number).cast("string"),
-        F.coalesce(F.bit_xor(F.xxhash64("_hash")), F.lit(0)).cast("string"),
+        F.coalesce(F.bit_xor(F.xxhash64(row_hash)), F.lit(0)).cast("string"),
     )
-    return hashed.agg(*measures, F.sha2(parts, 256).alias("digest"))
+    return F.sha2(parts, 256)
 

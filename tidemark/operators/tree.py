@@ -41,8 +41,10 @@ def grow(
     listed = rows.withColumn("_digest", digest).withColumn("_number", F.col(number))
     level = _nodes(listed, keys, ["_number", *within], fan, F.min("_number"), F.max("_number"), measures)
     levels = [keep(level, "level")]
-    while not levels[-1].where(F.col("node") > 0).isEmpty():
-        below = levels[-1].withColumns({"_digest": F.col("digest"), "_number": F.col("node")})
+    while not (wide := levels[-1].where(F.col("node") > 0).select(*keys).distinct()).isEmpty():
+        # a group with one node is done, however high others grow
+        below = levels[-1].join(wide, list(keys), "left_semi")
+        below = below.withColumns({"_digest": F.col("digest"), "_number": F.col("node")})
         sums = {name: F.sum(name) for name in measures}
         levels.append(keep(_nodes(below, keys, ["_number"], fan, F.min("first"), F.max("last"), sums), "level"))
     return reduce(DataFrame.unionByName, [df.withColumn("level", F.lit(n)) for n, df in enumerate(levels)])
@@ -95,7 +97,7 @@ def damaged(recorded: DataFrame, found: DataFrame, keys: Sequence[str], fan: int
 
 def ordered_tree_digest(df: DataFrame, text: Column, order: Sequence[Column], scratch: Scratch, fan: int = FAN) -> DataFrame:
     """One row with ``digest``: the root over all rows in order, of any number. ``text`` is a row's canonical
-    text; rows that the order leaves equal follow it. An empty table has the digest of the empty text."""
+    text; rows that the order leaves equal follow the digest of theirs. An empty table has the digest of the empty text."""
     hashed = df.withColumn("_text", F.unhex(F.sha2(text, 256)))
     numbered = number_in_order(hashed, [*order, F.col("_text")], scratch, "_row")
     rows = numbered.select(F.lit(0).alias("_all"), (F.col("_row") - 1).alias("_row"), "_text")

@@ -40,6 +40,8 @@ class Strictness:
     rate_must_be_fraction: bool = False
     # Payment statuses that need paid_at; None means every payment does.
     paid_at_required_for: tuple[str, ...] | None = None
+    # How dates, times and amounts may be written: see ``functions.columns.FORMS``.
+    text_forms: str = "spark"
 
 
 def offers_reference(bronze_offers: DataFrame) -> DataFrame:
@@ -94,10 +96,10 @@ def validate_bookings(
     )
     parsed = bronze.select(
         "*",
-        amount(F.col("gross_amount")).alias("parsed_amount"),
-        instant(F.col("booking_ts")).alias("parsed_booking_ts"),
-        day(F.col("service_date")).alias("parsed_service_date"),
-        instant(F.col("updated_at")).alias("parsed_updated_at"),
+        amount(F.col("gross_amount"), strict.text_forms).alias("parsed_amount"),
+        instant(F.col("booking_ts"), strict.text_forms).alias("parsed_booking_ts"),
+        day(F.col("service_date"), strict.text_forms).alias("parsed_service_date"),
+        instant(F.col("updated_at"), strict.text_forms).alias("parsed_updated_at"),
     )
     return validate(enrich(parsed, dimension, "offer_id"), booking_rules(strict)).drop(
         "offer_found"

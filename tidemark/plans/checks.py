@@ -136,6 +136,13 @@ def personal_columns(df: DataFrame, names: Sequence[str]) -> int:
     return sum(name.lower() in names for name in df.columns)
 
 
+def personal_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row ``columns, filled``: the columns with such names, and how many values they hold."""
+    found = [name for name in df.columns if name.lower() in names]
+    filled = sum((F.count(F.col(f"`{name}`")) for name in found), F.count(F.lit(None)))
+    return df.agg(F.lit(len(found)).cast("bigint").alias("columns"), filled.alias("filled"))
+
+
 def verdicts(tallies: Sequence[DataFrame], catalogue: dict[str, tuple[str, str]]) -> DataFrame:
     """One row per check: it passes when its counts add up to zero."""
     spark = tallies[0].sparkSession

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import total
 from tidemark.operators.fingerprint import bag_digest, ordered_md5
 from tidemark.operators.quarantine import reason_histogram
+from tidemark.operators.tree import ordered_tree_digest
+from tidemark.scratch import Scratch
 
 GOLD_TEXT = (
     "business_date",
@@ -25,8 +27,16 @@ def gold_fingerprint(gold: DataFrame) -> DataFrame:
     return bag_digest(gold.select(*GOLD_TEXT), _gold_measures()).withColumnRenamed("digest", "gold_digest")
 
 
-def ordered_gold_fingerprint(gold: DataFrame) -> DataFrame:
-    """The same with an MD5 over the ordered rows, for a caller that knows the table to be small."""
+def ordered_gold_fingerprint(gold: DataFrame, scratch: Scratch) -> DataFrame:
+    """The same with a digest of the rows in order: the root of a tree, at any size."""
+    text = F.concat_ws("|", *[F.col(name).cast("string") for name in GOLD_TEXT])
+    order = [F.col(name).asc_nulls_last() for name in ("business_date", "destination", "batch_id")]
+    digest = ordered_tree_digest(gold, text, order, scratch).select(F.lit(1).alias("one"), F.col("digest").alias("gold_digest"))
+    return gold.agg(F.lit(1).alias("one"), *_gold_measures()).join(digest, "one").drop("one")
+
+
+def flat_gold_fingerprint(gold: DataFrame) -> DataFrame:
+    """The same with an MD5 over one text of all rows, for a caller that knows the table to be small."""
     order = ["business_date", "destination", "batch_id"]
     return gold.agg(*_gold_measures(), ordered_md5(gold, GOLD_TEXT, order).alias("gold_digest"))
 

@@ -11,6 +11,7 @@ from tidemark.functions.columns import (
     beyond_cent,
     code,
     instant,
+    is_blank,
     record_id,
     stored_amount,
 )
@@ -49,18 +50,20 @@ def validate_payments(
     """All Bronze payments with the amount of their current booking and a reason.
 
     A current booking always has an amount, so a NULL there means that none matched. Payments
-    without a booking id cannot match; they pass the join by instead of gathering in one task.
+    whose booking id is missing or blank cannot match, as no accepted booking has such a one; they pass the
+    join by instead of gathering in one task.
     Bookings are unique on the right, so a booking with very many payments is split by adaptive
     skew handling.
     """
     booked = candidates.select("booking_id", F.col("gross_amount").alias("booking_gross_amount"))
     parsed = bronze.select(
         "*",
-        amount(F.col("amount")).alias("parsed_amount"),
-        instant(F.col("paid_at")).alias("parsed_paid_at"),
+        amount(F.col("amount"), strict.text_forms).alias("parsed_amount"),
+        instant(F.col("paid_at"), strict.text_forms).alias("parsed_paid_at"),
     )
-    named = parsed.where(F.col("booking_id").isNotNull()).join(booked, "booking_id", "left")
-    nameless = parsed.where(F.col("booking_id").isNull())
+    nowhere = is_blank(F.col("booking_id"))
+    named = parsed.where(~nowhere).join(booked, "booking_id", "left")
+    nameless = parsed.where(nowhere)
     amount_type = booked.schema["booking_gross_amount"].dataType
     nameless = nameless.withColumn("booking_gross_amount", F.lit(None).cast(amount_type))
     return validate(named.unionByName(nameless), payment_rules(strict))
