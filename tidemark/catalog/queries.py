@@ -38,7 +38,7 @@ from tidemark.sinks.commits import read_table
 from tidemark.sinks.state import KeyedState
 from tidemark.sinks.writers import read_batch, replace_batch
 from tidemark.sources import landing
-from tidemark.sources.contracts import FEEDS, feed_paths
+from tidemark.sources.contracts import FEEDS, OFFERS, PAYMENTS, absent_keys, feed_paths
 from tidemark.sources.landing import manifest_anomalies
 
 QUERIES = {}
@@ -507,6 +507,13 @@ def reconciliation(spark, sf_dir):
     return k.reconciliation(star.layers(spark, sf_dir, gold=False))
 
 
+@query
+def reconciliation_parts(spark, sf_dir):
+    """The reconciliation as a check with its counts as JSON."""
+    found = k.verdicts(k.reconciliation_tallies(star.layers(spark, sf_dir, gold=False)), k.GATE)
+    return found.select("check_id", "status", "parts_json")
+
+
 @query
 def run_volumes(spark, sf_dir):
     return volumes(star.layers(spark, sf_dir))
@@ -650,6 +657,33 @@ def files_with_breaks(spark, sf_dir):
     return layers.bronze_bookings.select("source_row_number", "booking_id", "client_id", "currency")
 
 
+@query
+def files_to_ordered_gold(spark, sf_dir):
+    """Gold's rows with their place in the stored files, part by part and row by row."""
+    stored = tune(spark).read.parquet(run_from_files(spark, sf_dir).paths["gold"])
+    placed = stored.select("*", F.col("_metadata.file_name").alias("part"), F.col("_metadata.row_index").alias("row"))
+    numbered = number_in_order(placed, [F.col("part"), F.col("row")], run_scratch(spark), "place")
+    return numbered.select("place", "business_date", "destination", "net_revenue_eur")
+
+
+@query
+def files_to_absent_keys(spark, sf_dir):
+    """How many payment records lack each mandatory key, in a feed whose missing values have no key at all."""
+    source = star.write_sparse_payments(spark, sf_dir, f"{run_scratch(spark).root}/source")
+    return absent_keys(tune(spark), feed_paths(source)[PAYMENTS.entity], PAYMENTS)
+
+
+@query
+def files_to_checksums(spark, sf_dir):
+    """Sizes and checksums of the offers feed, of one file, as landing records them."""
+    folder = run_scratch(spark).root
+    source = star.write_one_file_feeds(spark, sf_dir, f"{folder}/source")
+    landed = landing.land(tune(spark), feed_paths(source), FEEDS, f"{folder}/lake", "B")
+    return landed.where(F.col("source_name") == OFFERS.entity).select(
+        "size_bytes", "copied_bytes", "checksum", "checksum_kind", "sha256"
+    )
+
+
 @query
 def files_to_damaged_ranges(spark, sf_dir):
     """A landed feed whose copy is changed afterwards: the ranges of lines that are no longer what was landed."""

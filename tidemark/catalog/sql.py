@@ -792,6 +792,32 @@ ORACLE = {
         " (SELECT COUNT(*) FROM before WHERE strftime(business_date, '%Y-%m') = key_range) AS rows_before, differing"
         " FROM differing"
     ),
+    "reconciliation_parts": (
+        f"WITH {settled()}, n AS (SELECT (SELECT COUNT(*) FROM booking_feed) AS raw, (SELECT COUNT(*) FROM settled WHERE"
+        " NOT unpaid) AS cur, (SELECT COUNT(*) FROM ranked WHERE dedup_rank > 1) AS sup, (SELECT COUNT(*) FROM rejects"
+        " WHERE source_entity = 'bookings') AS rej) SELECT 'AC03' AS check_id, CASE WHEN raw - cur - sup - rej = 0 THEN"
+        " 'PASS' ELSE 'FAIL' END AS status, '{\"current\":' || -cur || ',\"quarantined\":' || -rej || ',\"raw\":' || raw"
+        " || ',\"superseded\":' || -sup || '}' AS parts_json FROM n"
+    ),
+    "files_to_ordered_gold": (
+        f"WITH {settled()} SELECT ROW_NUMBER() OVER (ORDER BY business_date, destination) AS place, business_date,"
+        " destination, net_revenue_eur FROM gold"
+    ),
+    "files_to_absent_keys": (
+        "SELECT UNNEST(['payment_id', 'booking_id', 'payment_status', 'amount', 'currency', 'paid_at']) AS column,"
+        " UNNEST([0, 0, 0, 0, COUNT(*) FILTER (WHERE l_suppkey % 7 = 0), COUNT(*) FILTER (WHERE l_suppkey % 5 = 0)])"
+        " AS records FROM lineitem WHERE l_linestatus = 'F'"
+    ),
+    "files_to_checksums": (
+        "WITH lines AS (SELECT 0 AS n, 'offer_id,destination,commission_rate,active' AS t UNION ALL SELECT"
+        " ROW_NUMBER() OVER (ORDER BY CAST(p_partkey AS VARCHAR)), p_partkey || ',' || p_brand || ',' ||"
+        " CAST(p_size / 1000 AS DECIMAL(5,4)) || ',' || (p_type <> 'ECONOMY') FROM part), file AS (SELECT"
+        " string_agg(t || chr(10), '' ORDER BY n) AS body FROM lines), whole AS (SELECT strlen(body) AS size, sha256(body)"
+        " AS sha256 FROM file), "
+        + tree_digest("SELECT n, t FROM lines", 1024, "root").replace(" SELECT  CASE", ", top AS (SELECT CASE")
+        + ") SELECT size AS size_bytes, size AS copied_bytes, sha256(size || '|' || root) AS checksum,"
+        " 'sha256-tree-1024' AS checksum_kind, sha256 FROM whole, top"
+    ),
     "ordered_rejects": (
         f"WITH {settled()}, l AS (SELECT source_entity, reason_code, COUNT(*) AS rejected_rows FROM rejects"
         " GROUP BY 1, 2) SELECT *, ROW_NUMBER() OVER (ORDER BY source_entity, rejected_rows DESC, reason_code)"

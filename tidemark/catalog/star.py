@@ -254,6 +254,18 @@ def write_broken_lines(spark: SparkSession, sf_dir: str, folder: str) -> str:
     return _write(bookings, bronze_payments(spark, sf_dir), bronze_offers(spark, sf_dir), folder, escape='"')
 
 
+def write_sparse_payments(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Feeds whose payments lack a currency or a time where the supplier number says so; a missing value has no key."""
+    supplier = F.split("payment_id", "-")[3].cast("long")
+    payments = bronze_payments(spark, sf_dir).withColumns(
+        {
+            "currency": F.when(supplier % 7 != 0, F.col("currency")),
+            "paid_at": F.when(supplier % 5 != 0, F.col("paid_at")),
+        }
+    )
+    return _write(bronze_bookings(spark, sf_dir), payments, bronze_offers(spark, sf_dir), folder)
+
+
 def write_one_file_feeds(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """The feeds with one file each, whose lines are in key order."""
     return _write(bronze_bookings(spark, sf_dir), bronze_payments(spark, sf_dir), bronze_offers(spark, sf_dir), folder, files=1)

@@ -77,12 +77,19 @@ def json_fields(spark: SparkSession, path: str) -> list[str] | None:
     return None if row is None else list(row["keys"] or [])
 
 
-def incomplete_records(spark: SparkSession, path: str, contract: Contract) -> dict[str, int]:
-    """How many records of a whole JSON feed lack each mandatory key."""
+def absent_keys(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+    """``column, records``: how many records of a whole JSON feed lack each mandatory key."""
     filled = text_lines(spark, path).where(F.trim("value") != "")
     keys = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))
     absent = [F.count_if(~F.array_contains(keys, name)).alias(name) for name in contract.columns]
-    return {name: n for name, n in filled.agg(*absent).first().asDict().items() if n}
+    pairs = [F.struct(F.lit(name).alias("column"), F.col(name).alias("records")) for name in contract.columns]
+    return filled.agg(*absent).select(F.inline(F.array(*pairs)))
+
+
+def incomplete_records(spark: SparkSession, path: str, contract: Contract) -> dict[str, int]:
+    """The mandatory keys that some records of a whole JSON feed lack, and how many do."""
+    found = absent_keys(spark, path, contract).where(F.col("records") > 0)
+    return {row["column"]: row["records"] for row in found.collect()}
 
 
 def gaps(spark: SparkSession, path: str, contract: Contract, every_record: bool = False) -> list[str]:
