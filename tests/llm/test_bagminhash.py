@@ -109,3 +109,23 @@ def test_pairs_at_the_threshold_share_a_band():
         one, other = rng.random((2, 10_000, n_registers))
         other = np.where(rng.random(one.shape) < bagminhash.SIMILARITY, one, other)
         assert (bagminhash.band_keys(one) == bagminhash.band_keys(other)).any(1).all()
+
+
+def test_comparisons_in_many_small_blocks(spark, monkeypatch):
+    """Texts of very different lengths, in blocks of a few texts each, give the same classes."""
+    monkeypatch.setattr(bagminhash, "BLOCK_BYTES", 20_000)
+    rng = random.Random(11)
+    rows = corpus(rng)
+    long = [f"u{rng.randrange(900)}" for _ in range(6_000)]
+    for i in range(6):
+        rows.append((2000 + i, " ".join([*long[: 5900 - 10 * i], *(f"x{i}{k}" for k in range(100))])))
+    docs = ship(spark).createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.class_id for r in bagminhash.classes(docs, star_rounds=0).collect()}
+    assert found == {rows[i][0]: c for i, c in brute(rows).items()}
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, "q w e r t y u", 5, 6, 7), (2, "q w e r t y u", 5, 6, 7)]
+    docs = ship(spark).createDataFrame(rows, "doc_id long, text string, head_id int, head_text int, Head_key int")
+    (kept,) = bagminhash.first_of_each(docs).collect()
+    assert tuple(kept) == rows[0] and kept.asDict().keys() == {"doc_id", "text", "head_id", "head_text", "Head_key"}

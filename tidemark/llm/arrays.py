@@ -8,6 +8,7 @@ unless a single document is longer.
 
 from __future__ import annotations
 
+import ctypes
 from functools import lru_cache
 
 import numpy as np
@@ -28,19 +29,29 @@ def mix(x):
     return x ^ (x >> U64(32))
 
 
-@lru_cache(4)
-def _powers(size):
-    """Powers of BASE and of its inverse, each ``size`` long."""
+POWER_BITS = 20  # of the table of powers; a worker holds two of them, 8 MB each, however long its texts
+POWER_SIZE = 1 << POWER_BITS
+
+
+@lru_cache(1)
+def _powers():
+    """Powers of BASE and of its inverse below ``POWER_SIZE``, and both to the power ``POWER_SIZE``."""
     out = []
     for base in (BASE, pow(BASE, -1, 1 << 64)):
-        steps = np.full(size, base % (1 << 64), U64)
+        steps = np.full(POWER_SIZE, base % (1 << 64), U64)
         steps[0] = 1
-        out.append(np.cumprod(steps, dtype=U64))
+        out.append((np.cumprod(steps, dtype=U64), pow(base, POWER_SIZE, 1 << 64)))
     return out
 
 
-def powers(size):
-    return _powers(1 << max(21, int(size).bit_length()))
+def powers():
+    """The first ``POWER_SIZE`` powers of BASE and of its inverse."""
+    return [table for table, _ in _powers()]
+
+
+def _high(step, count):
+    """Powers 0, 1, 2 ... of one of the two factors."""
+    return np.cumprod(np.array([1, *[step] * (count - 1)], U64), dtype=U64)
 
 
 BYTE_CODES = mix(np.arange(1, 257, dtype=U64))
@@ -50,12 +61,41 @@ class Rolling:
     """Hashes of any slice of a sequence of 64-bit codes, equal for equal slices."""
 
     def __init__(self, codes):
-        self.power, self.inverse = powers(len(codes) + 1)
-        self.sums = np.zeros(len(codes) + 1, U64)
-        np.cumsum(codes * self.power[: len(codes)], out=self.sums[1:])
+        (power, step), (self.inverse, back) = _powers()
+        parts = len(codes) // POWER_SIZE + 1
+        self.back = _high(back, parts)
+        self.sums = np.empty(len(codes) + 1, U64)
+        self.sums[0] = total = U64(0)
+        for number, factor in enumerate(_high(step, parts)):
+            part = codes[number * POWER_SIZE : (number + 1) * POWER_SIZE]
+            found = self.sums[number * POWER_SIZE + 1 : number * POWER_SIZE + 1 + len(part)]
+            np.multiply(part, power[: len(part)], out=found)
+            np.cumsum(found, out=found)
+            found *= factor
+            found += total
+            total = found[-1] if len(found) else total
 
     def hashes(self, start, end):
-        return mix((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(U64))
+        start, end = np.asarray(start), np.asarray(end)
+        back = self.inverse[start & (POWER_SIZE - 1)]
+        if len(self.back) > 1:
+            back = back * self.back[start >> POWER_BITS]
+        return mix((self.sums[end] - self.sums[start]) * back + (end - start).astype(U64))
+
+
+def release():
+    """Hand memory that was freed back to the system, so that a worker's largest block does not stay with it."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
+@lru_cache(1)
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return None
 
 
 def flat(column):
@@ -83,6 +123,7 @@ def blocks(batches, column="text", limit=BLOCK_BYTES):
             end = max(start + 1, end)
             yield batch.slice(start, end - start)
             start = end
+    release()
 
 
 WORD_BYTES = np.ones(256, bool)

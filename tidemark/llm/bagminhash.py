@@ -14,7 +14,7 @@ multiset similarity reaches the threshold. Equal texts are one node from the sta
 bucket no list of all pairs is made: everyone is compared with one centre, in several rounds with new
 centres for those still apart from it; in the end those outside a bucket's largest class are
 compared with all members of other classes, so no link between classes is left unseen. That last
-comparison moves blocks of at most about ``BLOCK`` texts, not pairs: inside a task a pair is
+comparison moves blocks of about ``BLOCK_BYTES`` of texts, not pairs: inside a task a pair is
 looked at in the first band it shares, skipped when far too few registers agree (a pair at the
 threshold fails that once in a million), and then verified exactly. Classes are
 connected components, by rounds of smallest labels with jumps, each stored.
@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import U64, Rolling, Words, blocks, lists, mix
+from tidemark.llm.names import fresh
 from tidemark.llm.repeats import within
 from tidemark.scratch import Scratch
 
@@ -40,7 +41,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 36, 5  # a pair at the threshold shares no band once in 1,600,000
 STAR_ROUNDS = 3
-BLOCK = 512
+BLOCK_BYTES, TEXT_BYTES = 2 << 20, 4 << 10  # about so much text on either side of a comparison; what a text counts besides its length
 AGREE = 0.8  # of the registers that a pair at the threshold shares on average
 STEP = U64(0x9E3779B97F4A7C15)
 
@@ -71,7 +72,7 @@ def _points(registers, hashes, weights, owner, limit):
         # interval 0 is level 0, interval i > 0 the levels 2**(i-1) .. 2**i - 1
         first = 0 if interval == 0 else 1 << (interval - 1)
         width = max(1, first)
-        state = mix(hashes + U64(interval + 1) * STEP)
+        state = mix(hashes + U64((interval + 1) * int(STEP) % (1 << 64)))
         at, whose, weight = np.zeros(len(hashes)), owner, weights
         while len(state):
             state = mix(state + STEP)
@@ -119,7 +120,8 @@ def text_id(text="text"):
 
 
 def banded(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_id, bands, marks`` of each row; marks are eight bits of each register."""
+    """``doc_id, text_id, bytes, bands, marks`` of each row; marks are eight bits of each register, bytes what
+    the text counts in a block of comparisons."""
 
     def run(batches):
         for block in blocks(batches):
@@ -129,11 +131,12 @@ def banded(docs: DataFrame) -> DataFrame:
             keys, full = band_keys(registers), found[2] > 0
             values = lists(keys[full].view(np.int64).ravel(), np.where(full, BANDS, 0))
             marks = pa.array([row.tobytes() for row in (mix(registers.view(U64)) >> U64(56)).astype(np.uint8)], pa.binary())
-            columns = [block.column("doc_id"), block.column("text_id"), values, marks]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_id", "bands", "marks"])
+            columns = [block.column("doc_id"), block.column("text_id"), block.column("bytes"), values, marks]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_id", "bytes", "bands", "marks"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_id().alias("text_id"), "text").mapInArrow(run, f"doc_id {kind}, text_id binary, bands array<long>, marks binary")
+    size = (F.octet_length(F.coalesce("text", F.lit(""))) + TEXT_BYTES).cast("long").alias("bytes")
+    return docs.select("doc_id", text_id().alias("text_id"), size, "text").mapInArrow(run, f"doc_id {kind}, text_id binary, bytes long, bands array<long>, marks binary")
 
 
 def similarity(one, other):
@@ -180,7 +183,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _labelled(members, labels):
-    return members.join(labels, F.col("text_id") == F.col("node"), "left").select("bucket", "text_id", F.coalesce("label", "text_id").alias("label"))
+    return members.join(labels, F.col("text_id") == F.col("node"), "left").select("bucket", "text_id", "bytes", F.coalesce("label", "text_id").alias("label"))
 
 
 def _star(here, number):
@@ -197,9 +200,11 @@ def _compare_block(table, threshold):
     ids, labels, outside, as_outsider = (table.column(c).to_pylist() for c in ("text_id", "label", "outside", "as_outsider"))
     marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(len(ids), -1)
     bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-    hashes, weights, counts = shingles(table.column("text").combine_chunks())
-    ends = np.cumsum(counts)
-    bags = [(hashes[e - n : e], weights[e - n : e]) for e, n in zip(ends, counts)]
+    bags = []
+    for block in blocks(table.select(["text"]).to_batches()):
+        hashes, weights, counts = shingles(block.column("text"))
+        ends = np.cumsum(counts)
+        bags += [(hashes[e - n : e], weights[e - n : e]) for e, n in zip(ends, counts)]
     band = int(np.flatnonzero(bands[0] == bucket)[0])
     members = np.array([i for i, x in enumerate(as_outsider) if not x], int)
     joined, links = {}, []
@@ -226,9 +231,9 @@ def _compare_block(table, threshold):
 
 def _across(here, bodies, threshold):
     """Links between members outside a bucket's largest class and members of other classes."""
-    sizes = here.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = here.groupBy("bucket", "label").agg(F.sum("bytes").alias("n"))
     sizes = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("all"))
-    parts = lambda n: F.ceil(n / BLOCK).cast("int")
+    parts = lambda n: F.ceil(n / BLOCK_BYTES).cast("int")
     sizes = sizes.select("bucket", F.col("m.label").alias("main"), parts(F.col("all")).alias("across"), parts(F.col("all") - F.col("m.n")).alias("down"))
     marked = here.join(sizes, "bucket").withColumn("outside", F.col("label") != F.col("main"))
     part = lambda n, seed: F.pmod(F.xxhash64("text_id", F.lit(seed)), n).cast("int")
@@ -244,17 +249,17 @@ def classes(docs: DataFrame, threshold: float = SIMILARITY, star_rounds: int = S
     """``doc_id, text_id, class_id, class_text`` of each row; ``class_text`` is the text_id of the class's first document."""
     scratch = Scratch(docs.sparkSession)
     signed = scratch.keep(banded(docs), "signatures")
-    texts = signed.groupBy("text_id").agg(F.first("bands").alias("bands"), F.first("marks").alias("marks"))
-    members = texts.select("text_id", F.explode("bands").alias("bucket"))
+    texts = signed.groupBy("text_id").agg(F.first("bytes").alias("bytes"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
+    members = texts.select("text_id", "bytes", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     members = scratch.keep(members.join(shared, "bucket"), "members")
     known = members.select("text_id").distinct()
     bodies = docs.select(text_id().alias("text_id"), F.coalesce("text", F.lit("")).alias("text")).join(known, "text_id", "left_semi")
-    bodies = scratch.keep(bodies.groupBy("text_id").agg(F.first("text").alias("text")).join(texts, "text_id"), "bodies")
+    bodies = scratch.keep(bodies.groupBy("text_id").agg(F.first("text").alias("text")).join(texts.drop("bytes"), "text_id"), "bodies")
 
     labels = links = None
     for number in range(star_rounds + 1):
-        here = members.select("bucket", "text_id", F.col("text_id").alias("label")) if labels is None else _labelled(members, labels)
+        here = members.select("bucket", "text_id", "bytes", F.col("text_id").alias("label")) if labels is None else _labelled(members, labels)
         mixed = here.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
         here = scratch.keep(here.join(mixed, "bucket", "left_semi"), "here")
         if number == star_rounds:
@@ -277,9 +282,7 @@ def classes(docs: DataFrame, threshold: float = SIMILARITY, star_rounds: int = S
 
 def first_of_each(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """One row of each class with all its columns: its smallest doc_id, repeated rows once."""
-    heads = classes(docs, threshold).select(F.col("class_text").alias("head_text"), F.col("class_id").alias("head_id")).distinct()
-    key = "head_key"
-    while key in {c.lower() for c in docs.columns}:
-        key += "_"
-    kept = docs.withColumn(key, text_id()).join(heads, (F.col(key) == F.col("head_text")) & F.col("doc_id").eqNullSafe(F.col("head_id")), "left_semi")
+    key, head_text, head_id = fresh(["head_key", "head_text", "head_id"], docs.columns)
+    heads = classes(docs, threshold).select(F.col("class_text").alias(head_text), F.col("class_id").alias(head_id)).distinct()
+    kept = docs.withColumn(key, text_id()).join(heads, (F.col(key) == F.col(head_text)) & F.col("doc_id").eqNullSafe(F.col(head_id)), "left_semi")
     return kept.dropDuplicates([key]).drop(key)

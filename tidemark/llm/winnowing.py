@@ -27,12 +27,12 @@ from pyspark.sql import types as T
 from tidemark.llm.arrays import BLOCK_BYTES, U64, mix, powers
 
 GRAM, WINDOW = 16, 32
-BLOCK = 1 << 19  # grams hashed at a time
+BLOCK = 1 << 19  # grams hashed at a time; the table of powers is longer
 CODE_POINTS = mix(np.arange(1, 0x110001, dtype=U64))
 
 
 def _gram_hashes(codes, gram):
-    power, inverse = powers(BLOCK)
+    power, inverse = powers()
     sums = np.zeros(len(codes) + 1, U64)
     np.cumsum(CODE_POINTS[codes] * power[: len(codes)], out=sums[1:])
     found = (sums[gram:] - sums[:-gram]) * inverse[: len(codes) - gram + 1]
