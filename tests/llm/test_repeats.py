@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from tidemark.llm import recompression, suffix_levels
+from tidemark.llm import arrays, recompression, suffix_levels
 from tidemark.llm.shipping import ship
 
 
@@ -159,3 +159,32 @@ def test_lists_do_not_grow_with_identical_rows(spark, monkeypatch):
     sized = [len(t.encode()) for t in texts]
     assert all(found[i, n, n] == c for i, n, c in zip((7, None, None), sized, (3000, 2000, 1000)))
     assert sum(found.values()) == len(rows) and 0 < max(sizes) < max(sized)
+
+
+@pytest.mark.parametrize("names", [["row", "marks", "key"], ["open_text", "sure_at", "hits"], ["n_words", "kept", "keep_0"], ["n_bytes", "n_spans", "text"]])
+def test_kept_columns_may_have_any_name(spark, names):
+    words = " ".join(f"w{i}" for i in range(300))
+    rows = [(1, words, 7, 8, 9), (2, words + " end", 7, 8, 9), (None, None, 7, 8, 9)]
+    body = "body" if "text" in names else "text"
+    docs = ship(spark).createDataFrame(rows, f"doc_id long, {body} string, {', '.join(f'{n} int' for n in names)}")
+    for operator, window in ((recompression, 35), (suffix_levels, 50)):
+        found = operator.deduplicate(docs, [*names, "doc_id"], text=body, window=window)
+        assert found.columns[:4] == [*names, "doc_id"] and len({c.lower() for c in found.columns}) == len(found.columns)
+        assert all(tuple(r)[:3] == (7, 8, 9) for r in found.collect())
+        removed = {r.doc_id: r[5] for r in found.collect()}
+        assert removed[1] > 0 and removed[2] == removed[1] and not removed[None]
+
+
+def test_rolling_hashes_past_the_table_of_powers(monkeypatch):
+    rng = np.random.default_rng(4)
+    codes = rng.integers(0, 2**63, 5000).astype(np.uint64)
+    places = rng.integers(0, 4000, 300)
+    whole = arrays.Rolling(codes).hashes(places, places + 777)
+    monkeypatch.setattr(arrays, "POWER_BITS", 8)
+    monkeypatch.setattr(arrays, "POWER_SIZE", 256)
+    arrays._powers.cache_clear()
+    try:
+        assert (arrays.Rolling(codes).hashes(places, places + 777) == whole).all()
+        assert arrays.Rolling(codes[:256]).hashes(np.array([0]), np.array([256])) == arrays.Rolling(codes).hashes(np.array([0]), np.array([256]))
+    finally:
+        arrays._powers.cache_clear()

@@ -136,12 +136,12 @@ def deduplicate(docs: DataFrame, keep: list[str], key: str = "doc_id", text: str
     """Drop every word in a window of ``window`` words that also starts anywhere else.
 
     Returns the columns ``keep`` and those of ``result``: named fields, and a function of the
-    number of words and the kept words.
+    number of words and the kept words. A result whose name is among ``keep`` gets an underscore.
     """
     scratch = Scratch(docs.sparkSession)
-    fields, made = result
-    docs = repeats.with_row(docs, key, text)
-    spans = docs.select("row", docs[text].alias("text")).mapInArrow(lambda b: word_spans(b, window), repeats.SPAN)
+    made = result[1]
+    docs, inner = repeats.prepared(docs, keep, key, text)
+    spans = docs.select("row", "text").mapInArrow(lambda b: word_spans(b, window), repeats.SPAN)
     marks = repeats.marked(spans, repeats.grouped(spans), scratch)
 
     def finish(value, gone):
@@ -149,5 +149,6 @@ def deduplicate(docs: DataFrame, keep: list[str], key: str = "doc_id", text: str
         return made(len(found), found if gone is None else list(compress(found, ~gone)))
 
     rolling = lambda value: Rolling(Words(pa.array([value])).codes)
+    fields = [(f"result_{i}", kind) for i, (_, kind) in enumerate(result[0])]
     finder = repeats.Finder(window, lambda value: len(value.encode().split()), rolling, finish, fields)
-    return repeats.cut(docs.withColumn("text", docs[text]), marks, finder, scratch, keep)
+    return repeats.restored(repeats.cut(docs, marks, finder, scratch, inner), keep, [name for name, _ in result[0]])

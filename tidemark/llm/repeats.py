@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import U64, blocks, mix
+from tidemark.llm.names import fresh
 from tidemark.scratch import Scratch
 
 SPAN = "key long, span long, row long, at long, n int, phase int"
@@ -38,8 +39,16 @@ LARGEST_SPAN = 1 << 12
 GRID = 16
 
 
-def with_row(df: DataFrame, key: str, text: str) -> DataFrame:
-    return df.select("*", F.xxhash64(F.col(key), F.col(text)).alias("row"))
+def prepared(docs: DataFrame, keep: list[str], key: str, text: str) -> tuple[DataFrame, list[str]]:
+    """``row, text`` and the columns ``keep`` under names that clash with none of these; and those names."""
+    inner = [f"keep_{i}" for i in range(len(keep))]
+    kept = [docs[name].alias(new) for name, new in zip(keep, inner)]
+    return docs.select(*kept, F.xxhash64(docs[key], docs[text]).alias("row"), docs[text].alias("text")), inner
+
+
+def restored(found: DataFrame, keep: list[str], results: list[str]) -> DataFrame:
+    """The columns ``keep`` under their own names, and the results; one whose name is taken gets an underscore."""
+    return found.toDF(*keep, *fresh(results, keep))
 
 
 def grouped(spans: DataFrame) -> DataFrame:
@@ -58,9 +67,10 @@ def marked(spans: DataFrame, keys: DataFrame, scratch: Scratch) -> DataFrame:
     place = F.struct("row", "at")
     kinds = found.filter("not alike").groupBy("key", "span").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("speaker"))
     kinds = scratch.keep(kinds, "kinds")
-    single = kinds.filter("copies = 1").select("key").distinct()
+    # both sides and the result are stored, so that Spark may split a hot key's side of the join
+    single = scratch.keep(kinds.filter("copies = 1").select("key").distinct(), "single")
     # without a single one under the key, all of its spans are decided
-    kinds = kinds.join(single.withColumn("open", F.lit(True)), "key", "left")
+    kinds = scratch.keep(kinds.join(single.withColumn("open", F.lit(True)), "key", "left"), "open")
     mixed = found.filter("not alike").join(kinds, ["key", "span"]).select(
         "row", "at", "n", "phase", (F.coalesce("open", F.lit(False)) & (F.col("speaker") == place)).alias("ask"), (F.col("copies") > 1).alias("same"))
     alike = found.filter("alike").select("row", "at", "n", "phase", F.lit(False), F.lit(True))

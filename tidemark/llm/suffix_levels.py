@@ -124,6 +124,12 @@ class SuffixIndex:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.scratch.root}/{level.table}")
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    def close(self) -> None:
+        """Forget the levels' names in the catalog; their files go with the scratch folder."""
+        for level in self.levels:
+            self.spark.sql(f"DROP TABLE {level.table}")
+        self.levels = []
+
     def entries(self) -> DataFrame:
         """All levels, scanned side by side."""
         found = self._read(self.levels[0])
@@ -144,19 +150,20 @@ def deduplicate(docs: DataFrame, keep: list[str], result=KEPT_BYTES, key: str =
     """Drop every byte in a string of ``window`` bytes that also starts anywhere else.
 
     ``result`` is a pair of named fields and a function of the number of bytes, of removed bytes, of
-    maximal removed runs, and the remaining bytes.
+    maximal removed runs, and the remaining bytes. A result whose name is among ``keep`` gets an underscore.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    fields, made = result
-    docs = repeats.with_row(docs, key, text)
-    texts = docs.select("row", docs[text].alias("text"))
+    made = result[1]
+    docs, inner = repeats.prepared(docs, keep, key, text)
+    texts = docs.select("row", "text")
     index = SuffixIndex(spark, scratch)
     for batch in range(batches):
         arrived = texts.filter(F.pmod(F.hash("row"), F.lit(batches)) == batch)
         index.add(arrived.mapInArrow(lambda b: byte_spans(b, window), repeats.SPAN))
     spans = texts.mapInArrow(lambda b: byte_spans(b, window), repeats.SPAN)
     marks = repeats.marked(spans, index.entries(), scratch)
+    index.close()
 
     def finish(value, gone):
         data = value.encode()
@@ -166,5 +173,6 @@ def deduplicate(docs: DataFrame, keep: list[str], result=KEPT_BYTES, key: str =
         return made(len(data), int(gone.sum()), runs, np.frombuffer(data, np.uint8)[~gone].tobytes())
 
     rolling = lambda value: Rolling(BYTE_CODES[np.frombuffer(value.encode(), np.uint8)])
+    fields = [(f"result_{i}", kind) for i, (_, kind) in enumerate(result[0])]
     finder = repeats.Finder(window, lambda value: len(value.encode()), rolling, finish, fields)
-    return repeats.cut(docs.withColumn("text", docs[text]), marks, finder, scratch, keep)
+    return repeats.restored(repeats.cut(docs, marks, finder, scratch, inner), keep, [name for name, _ in result[0]])
