@@ -50,3 +50,15 @@ def test_empty_table_and_null_keys(spark, library):
 def test_a_clashing_column_is_refused(spark):
     with pytest.raises(ValueError):
         bpe.encode(spark.createDataFrame([("a", 1)], "text string, IDS int"), PATH, public_tokenizers.PATTERN)
+
+
+@pytest.mark.parametrize("chunk,overlap", [(40, 12), (20, 30), (9, 7), (bpe.CHUNK, bpe.OVERLAP)])
+def test_stitched_pre_tokens_equal_those_of_the_whole_text(chunk, overlap):
+    code = bpe.encoder(PATH, public_tokenizers.PATTERN)
+    for text in [t for t in TEXTS if t] + ["ab cd " * 900 + " " * 3000 + "x" * 5000 + " end of it"]:
+        assert code.stitched(text, chunk, overlap) == code.pieces(text)
+
+
+def test_a_clash_with_the_decoded_column_is_refused(spark):
+    with pytest.raises(ValueError):
+        bpe.decode(spark.createDataFrame([([1], 1)], "ids array<int>, Decoded int"), PATH)

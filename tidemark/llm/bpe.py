@@ -1,10 +1,11 @@
 """Byte-level BPE: overlapping chunks, stitched where their pre-tokens meet again.
 
 A pre-token match looks forward only, so two passes over one text that ever break at the same
-place agree from there on. A long text is therefore cut into overlapping chunks that are
-pre-tokenised side by side; between neighbours the first break that both trust is the seam. The
-text between two seams is a piece that can be encoded alone. Where a pre-token is longer than an
-overlap there is no seam, and the chunks around it form one piece. Short texts are one piece.
+place agree from there on. A text is therefore cut into overlapping chunks of ``CHUNK`` code points that are
+pre-tokenised each for itself; between neighbours the first break that both trust is the seam. The
+pre-tokens between two seams are a piece that can be encoded alone. Where a pre-token is longer than an
+overlap there is no seam, and the chunks around it form one piece. Chunks of a text of at most ``SPREAD`` code points stay
+in its task; those of a longer one are dealt to many tasks. A text no longer than a chunk is one chunk.
 
 Results: ids are those of the tiktoken library for each match of the pattern, without special
 tokens. Null and empty texts have no ids and decode to no bytes. Rows are kept one for one,
@@ -25,8 +26,8 @@ from pyspark.sql.window import Window
 
 from tidemark.llm.arrays import BLOCK_BYTES, blocks, lists
 
-CHUNK = 1 << 16  # code points between the starts of two chunks
-OVERLAP = 1 << 12
+CHUNK, OVERLAP = 1 << 11, 1 << 8  # code points between the starts of two chunks, and how far one reaches into the next
+SPREAD, WIDE = 1 << 16, 1 << 12  # the same where chunks move between tasks; longer, as each is a row
 LOOKAHEAD = 4  # a match is known once this many further characters are
 CACHED_PIECES, CACHED_LENGTH = 200_000, 40
 
@@ -92,6 +93,31 @@ class Encoder(dict):
     def ids(self, text):
         return b"".join(map(self.__getitem__, self.pieces(text)))
 
+    def stitched(self, text, chunk=CHUNK, overlap=OVERLAP):
+        """The pre-tokens of a text from those of its overlapping chunks."""
+        if len(text) <= chunk + overlap:
+            return self.pieces(text)
+        starts = range(0, len(text) - overlap, chunk)
+        found = [self.pieces(text[at : at + chunk + overlap]) for at in starts]
+        ends = [np.cumsum(np.fromiter(map(len, pieces), np.int64)) + at for at, pieces in zip(starts, found)]
+        out, began, opened = [], 0, 0  # where the open piece begins, and its first chunk
+        for k, at in enumerate(starts):
+            if k + 1 < len(found):
+                tail = ends[k][(ends[k] > at + chunk) & (ends[k] <= at + chunk + overlap - LOOKAHEAD)]
+                common = np.intersect1d(tail, ends[k + 1][ends[k + 1] < at + chunk + overlap], assume_unique=True)
+                if not len(common):
+                    continue
+                cut = int(common[0])
+            else:
+                cut = len(text)
+            if opened == k:
+                low, high = np.searchsorted(ends[k], (began, cut), "right")
+                out += found[k][low:high]
+            else:
+                out += self.pieces(text[began:cut])
+            began, opened = cut, k + 1
+        return out
+
     def breaks(self, text):
         """Code point positions at which a pre-token ends, those near the end left out."""
         ends = np.cumsum(np.fromiter(map(len, self.pieces(text)), np.int64))
@@ -130,7 +156,7 @@ def _encode_whole(df, text, ids, path, pattern):
     def run(batches):
         code = encoder(path, pattern)
         for block in blocks(batches, text):
-            found = [code.ids(t) if t else b"" for t in block.column(text).to_pylist()]
+            found = [b"".join(map(code.__getitem__, code.stitched(t))) if t else b"" for t in block.column(text).to_pylist()]
             counts = [len(x) // 4 for x in found]
             yield _with(block, ids, lists(np.frombuffer(b"".join(found), "<i4"), counts))
 
@@ -138,7 +164,7 @@ def _encode_whole(df, text, ids, path, pattern):
     return df.mapInArrow(run, schema)
 
 
-def chunked(df: DataFrame, text: str, key: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def chunked(df: DataFrame, text: str, key: str, chunk: int = SPREAD, overlap: int = WIDE) -> DataFrame:
     """Overlapping chunks of each text: ``key, k, at`` (code points before it) and ``chunk``."""
 
     def run(batches):
@@ -200,8 +226,9 @@ def _encode_long(df, text, ids, path, pattern, chunk, overlap):
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids",
-           chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """Every row of ``df`` with the token ids of its text in a new column ``ids``."""
+           chunk: int = SPREAD, overlap: int = WIDE) -> DataFrame:
+    """Every row of ``df`` with the token ids of its text in a new column ``ids``. ``chunk`` and ``overlap`` are those of
+    texts whose chunks are dealt to many tasks."""
     if ids.lower() in {c.lower() for c in df.columns}:
         raise ValueError(f"the table already has a column {ids}")
     long = F.length(text) > chunk
@@ -211,6 +238,8 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Every row with the bytes that its ids stand for, concatenated; null ids give no bytes."""
+    if decoded.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the table already has a column {decoded}")
 
     def run(batches):
         data, sizes, firsts = _token_bytes(path)
