@@ -8,12 +8,14 @@ at least one block. Candidates are verified by the exact weighted Jaccard simila
 
 A window that reaches the similarity t has at least 2t / (1 + t) of the item's shingles, so
 windows with fewer are passed over before any SimHash is made, and nothing is lost. A document
-shorter than an item is one window. At the threshold 0.8 two fingerprints differ in about ten
-bits, with a deviation of three; the radius leaves out fewer than one in a million.
+shorter than an item is one window. At the threshold 0.8 two fingerprints of many shingles differ in about ten
+bits, with a deviation of three, and those of few shingles in up to twelve; the radius, wider for items of
+fewer than ``FEW`` shingles, leaves out fewer than one in a million of either.
 
 Items are a query set. They are read in blocks of at most ``ITEMS`` rows and ``ITEM_BYTES`` bytes,
 chosen by hash; each block's index is sent to the tasks and every document passes it, without
-any shuffle of documents.
+any shuffle of documents. With several blocks the documents' finds are stored after each, so a worker
+never holds more than one.
 
 Defined results: items and documents that are null or without words match nothing. Repeated items
 match each under its own id, repeated documents each on its own row. All columns are kept.
@@ -30,10 +32,12 @@ from pyspark.sql import types as T
 
 from tidemark.llm import arrays
 from tidemark.llm.arrays import U64, Rolling, blocks
+from tidemark.scratch import Scratch
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BITS, RADIUS = 64, 24
+FEW, WIDE_RADIUS = 16, 32
 ITEMS, ITEM_BYTES = 20_000, 16 << 20
 FILTER_BITS = 22
 WORD_BYTES = arrays.WORD_BYTES.copy()
@@ -118,7 +122,8 @@ class Items:
         self.by_length = {}
         for length in set(self.lengths):
             numbers = [i for i, n in enumerate(self.lengths) if n == length]
-            self.by_length[length] = np.array(numbers), MultiIndex([prints[i] for i in numbers])
+            few = length - min(size, length) + 1 < FEW
+            self.by_length[length] = np.array(numbers), MultiIndex([prints[i] for i in numbers], WIDE_RADIUS if few else RADIUS)
 
     def hits(self, hashes):
         """(place, item) for each hash that is a shingle of an item, in order of place."""
@@ -200,14 +205,14 @@ ARROW_LEAK = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.floa
 
 
 def _item_blocks(items: DataFrame, threshold: float):
-    """The benchmark in blocks of bounded size, one at a time."""
+    """The benchmark in blocks of bounded size, one at a time, each with whether it is the last."""
     items = items.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
     parts = max(1, -(-size.n // ITEMS), -(-size.b // ITEM_BYTES))
     for part in range(parts):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
         rows.sort(key=lambda r: (r.item_id is None, r.item_id or 0))
-        yield Items([r.item_id for r in rows], [r.text for r in rows], threshold)
+        yield Items([r.item_id for r in rows], [r.text for r in rows], threshold), part == parts - 1
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", name: str = "leaks", threshold: float = SIMILARITY) -> DataFrame:
@@ -215,9 +220,9 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", name:
     if name.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"the table already has a column {name}")
     schema = T.StructType([*docs.schema.fields, T.StructField(name, LEAK)])
-    spark, columns = docs.sparkSession, docs.columns
+    spark, columns, scratch = docs.sparkSession, docs.columns, Scratch(docs.sparkSession)
     out = docs.withColumn(name, F.array().cast(LEAK))
-    for items in _item_blocks(benchmark, threshold):
+    for items, last in _item_blocks(benchmark, threshold):
         sent = spark.sparkContext.broadcast(items)
 
         def run(batches, sent=sent):
@@ -228,4 +233,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", name:
                 yield pa.RecordBatch.from_arrays([*(block.column(c) for c in columns), pa.array(rows, ARROW_LEAK)], [*columns, name])
 
         out = out.mapInArrow(run, schema)
+        if not last:
+            out = scratch.keep(out, "leaks")
+            sent.unpersist()
     return out
