@@ -98,9 +98,9 @@ def test_null_ids_are_never_learnt_from(spark):
     assert ids[0].r is None and ids[1].r == __import__("zlib").crc32(b"12") % 5
 
 
-def test_the_toxicity_sample_is_one_fitting_text_per_key(spark, monkeypatch):
+def test_the_toxicity_sample_is_one_text_per_key(spark, monkeypatch):
     rows = [(1, f"hot text {i}") for i in range(500)] + [(i, f"text {i}") for i in range(2, 10)]
-    rows += [(i, "x" * (toxicity.SAMPLE_CHARS + 1)) for i in range(20, 40)] + [(1, None), (50, None), (None, "no id")]
+    rows += [(1, None), (50, None), (None, "no id")]
     docs = ship(spark).createDataFrame(rows, "doc_id long, text string").repartition(3)
     labels = spark.createDataFrame([(i, int(i in (1, 2, 3))) for i in range(60)], "doc_id long, toxic int")
     taken = []
@@ -111,3 +111,75 @@ def test_the_toxicity_sample_is_one_fitting_text_per_key(spark, monkeypatch):
     assert taken[0] == taken[1] and y == [0] * 5 + [1] * 3
     assert set(texts[:5]) < {f"text {i}" for i in range(4, 10)}
     assert texts[5].startswith("hot text") and texts[6:] == ["text 2", "text 3"]
+
+
+def test_the_toxicity_sample_is_bounded_in_bytes_whatever_the_lengths(spark, monkeypatch):
+    rows = [(i, ("long " if i % 2 else "short ") * (200 if i % 2 else 1)) for i in range(60)]
+    docs = ship(spark).createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    taken = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, y: taken.append((texts, y)))
+    toxicity.fit(docs, labels, "toxic")
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 5000)
+    toxicity.fit(docs, labels, "toxic")
+    (every, _), (some, y) = taken
+    assert len(every) == 60
+    for kind in (0, 1):
+        mine = [t for t, k in zip(some, y) if k == kind]
+        assert 3500 < sum(map(len, mine)) <= 5000 and {t.split()[0] for t in mine} == {"long", "short"}
+
+
+def toxic_corpus():
+    rng = random.Random(2)
+    words = ["haus", "baum", "wiese", "fluss", "berg", "wald", "stein", "wolke"]
+    texts = [" ".join([rng.choice(words) for _ in range(12)] + (["scoundrel"] if i % 3 == 0 else [])) for i in range(240)]
+    return texts, [int(i % 3 == 0) for i in range(240)]
+
+
+def test_toxicity_vectors_are_more_than_one_direction():
+    texts, labels = toxic_corpus()
+    _, vectors, softmax, _ = toxicity.train_vectors(texts, np.asarray(labels, np.float32))
+    strength = np.linalg.svd(vectors, compute_uv=False)
+    assert vectors.shape[1] == toxicity.WIDTH and strength[1] > 1e-2 * strength[0]
+    assert np.linalg.matrix_rank(softmax) == 2
+
+
+def test_toxicity_scores_equal_a_loop():
+    texts, labels = toxic_corpus()
+    model = toxicity.train(texts, labels)
+    codes = toxicity._tables()[0]
+
+    def bucket(gram):
+        rolling = toxicity.Rolling(codes[[ord(c) for c in gram]])
+        return int(rolling.hashes(np.array([0]), np.array([len(gram)]))[0] >> toxicity.U64(64 - toxicity.BUCKET_BITS))
+
+    def score(text):
+        means = []
+        for word in text.lower().split():
+            word = "<" + word.strip(toxicity.EDGES) + ">"
+            grams = [word] + [word[i : i + n] for n in toxicity.SIZES for i in range(len(word) - n + 1)]
+            means.append(np.mean([model.weights[bucket(g)] for g in grams]))
+        return 1 / (1 + np.exp(-((np.mean(means) if means else 0) + model.bias)))
+
+    asked = ["Scoundrel! haus", "baum wiese", "", "scoundral «berg»", *texts[:5]]
+    assert np.allclose(model.scores(asked), [score(t) for t in asked], atol=1e-5)
+
+
+def test_quality_shrinks_towards_the_pooled_covariance_and_a_sphere(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, quality.WIDTH)) * np.linspace(0.5, 3, quality.WIDTH)
+    y = np.arange(300) % 3 // 2
+    x[y == 1, 0] += 2
+    frame = ship(spark).createDataFrame([(int(b), a.tolist()) for a, b in zip(x, y)], "label int, statistics array<double>")
+    model = quality.fit(frame, "label", pooled=0.4, sphere=0.1)
+    covs = [np.cov(x[y == k].T, bias=True) for k in (0, 1)]
+    both = sum(c * (y == k).sum() for k, c in enumerate(covs)) / len(y)
+    scale = np.sqrt(np.diag(both)) + 1e-3
+    log_density = []
+    for k in (0, 1):
+        own = (0.6 * covs[k] + 0.4 * both) / np.outer(scale, scale)
+        own = 0.9 * own + 0.1 * np.trace(own) / quality.WIDTH * np.eye(quality.WIDTH) + 1e-9 * np.eye(quality.WIDTH)
+        d = (x - x[y == k].mean(0)) / scale
+        log_density.append(-0.5 * np.einsum("ij,jk,ik->i", d, np.linalg.inv(own), d) - 0.5 * np.linalg.slogdet(own)[1] + np.log((y == k).sum()))
+    wanted = 1 / (1 + np.exp(-np.clip(log_density[1] - log_density[0], -60, 60)))
+    assert np.allclose(model.scores(x), wanted, atol=1e-6)

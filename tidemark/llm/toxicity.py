@@ -1,9 +1,9 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
 A word is the mean of the vectors of its character n-grams, a document the mean of its words, and a
-two-class softmax reads the document. Vectors and softmax are trained together on a bounded
-sample of labelled rows (``SAMPLE`` per class, texts of at most ``SAMPLE_CHARS``), chosen by a hash
-of the id. A misspelt word shares most n-grams with the word it was, and so its vector.
+two-class softmax reads the document. Vectors, which start as small random ones, and softmax are trained together on a
+bounded sample of labelled rows (``SAMPLE`` per class, at most ``SAMPLE_BYTES`` of text of each), chosen by a hash
+of the id, whatever their length. A misspelt word shares most n-grams with the word it was, and so its vector.
 
 For two classes only the difference of the softmax rows matters, so a trained model is one number
 per n-gram bucket: the score of a document is the logistic of the mean over its words of the mean
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tidemark.llm.arrays import U64, Rolling, blocks, mix
 from tidemark.llm.repeats import within
@@ -33,7 +34,8 @@ BUCKETS = 1 << BUCKET_BITS
 WIDTH = 8
 SIZES = (3, 4, 5, 6)
 SAMPLE = 2_000
-SAMPLE_CHARS = 20_000
+SAMPLE_BYTES = 32 << 20
+START = 0.05  # deviation of a vector's entries at the start
 ROUNDS, RATE = 60, 0.1
 SCREEN, DAMP = 4.0, 300.0
 TEXTS_AT_ONCE = 200
@@ -185,20 +187,31 @@ def _by_word(sizes, words, buckets):
 
 
 def train(texts, labels, rounds: int = ROUNDS, rate: float = RATE, seed: int = 7) -> Model:
-    """Vectors and softmax together, by damped diagonal Newton steps with momentum.
+    """The model that ``train_vectors`` finds, as one number per bucket."""
+    y = np.asarray(labels, np.float32)
+    prior = float((y.sum() + 1) / (len(y) + 2))
+    found = train_vectors(texts, y, rounds, rate, seed)
+    if found is None:
+        return Model(np.zeros(BUCKETS, np.float32), float(np.log(prior / (1 - prior))))
+    active, vectors, softmax, bias = found
+    weights = np.zeros(BUCKETS, np.float32)
+    weights[active] = vectors @ (softmax[:, 1] - softmax[:, 0])
+    return Model(weights, float(bias[1] - bias[0]))
+
 
-    Each bucket starts at zero, where the slope of its vector is its pull times the softmax. Only
+def train_vectors(texts, y, rounds: int = ROUNDS, rate: float = RATE, seed: int = 7):
+    """Trained buckets, their vectors, softmax and bias, together by damped diagonal Newton steps with momentum.
+    None without rows of both classes or without a word of two texts.
+
+    The softmax follows its own gradient, taken where the vectors stand. Only
     buckets whose pull exceeds ``SCREEN`` times its noise are trained; the others would only learn
     single texts by heart. Both classes weigh the same.
     """
-    y = np.asarray(labels, np.float32)
-    prior = float((y.sum() + 1) / (len(y) + 2))
-    nothing = Model(np.zeros(BUCKETS, np.float32), float(np.log(prior / (1 - prior))))
     if not len(y) or y.min() == y.max():
-        return nothing
+        return None
     (rows, words, shares), (owners, buckets, parts), n_words = _entries(texts)
     if not n_words:
-        return nothing
+        return None
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     weight = (weight / weight.sum()).astype(np.float32)[:, None]
     in_texts = _Sums(rows, words, shares, len(y), n_words)
@@ -216,7 +229,8 @@ def train(texts, labels, rounds: int = ROUNDS, rate: float = RATE, seed: int = 7
     rng = np.random.default_rng(seed)
     softmax = rng.normal(0, 1, (WIDTH, 2)).astype(np.float32)
     softmax /= np.linalg.norm(softmax[:, 1] - softmax[:, 0])
-    vectors, speed, bias = np.zeros((len(active), WIDTH), np.float32), 0, np.zeros(2, np.float32)
+    vectors = rng.normal(0, START, (len(active), WIDTH)).astype(np.float32)
+    speed, bias = 0, np.zeros(2, np.float32)
     wanted = np.column_stack([1 - y, y])
     for _ in range(rounds):
         at = in_texts.forward(in_words.forward(vectors))
@@ -227,19 +241,18 @@ def train(texts, labels, rounds: int = ROUNDS, rate: float = RATE, seed: int = 7
         vectors = vectors + speed
         softmax -= 0.1 * rate * (at.T @ error) / (0.25 * (weight * at**2).sum() + 1e-6)
         bias -= 2 * error.sum(0)
-    weights = np.zeros(BUCKETS, np.float32)
-    weights[active] = vectors @ (softmax[:, 1] - softmax[:, 0])
-    return Model(weights, float(bias[1] - bias[0]))
+    return active, vectors, softmax, bias
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
     """Train on at most ``sample`` labelled rows of each class, chosen by a hash of their key.
 
-    Only keys with a text of at most ``SAMPLE_CHARS`` are drawn, and one text stands for a key and label, that
-    with the smallest hash, so no more than ``sample`` texts a class reach the driver. The chosen
+    Only keys with a text are drawn, and one text stands for a key and label, that
+    with the smallest hash, so no more than ``sample`` texts a class reach the driver; in the order in which they were drawn
+    they are taken while they fit into ``SAMPLE_BYTES``. The chosen
     keys, a bounded list, are sent to the documents; texts are not shuffled but for one per key and task.
     """
-    docs = docs.filter(F.length(docs[text]) <= SAMPLE_CHARS)
+    docs = docs.filter(docs[text].isNotNull())
     known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     known = known.select(F.col(key).alias("sampled"), F.col(label).cast("int").alias("label_of")).distinct()
     known = docs.select(docs[key]).join(known, docs[key] == F.col("sampled")).select("sampled", "label_of").distinct()
@@ -249,7 +262,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", tex
     chosen = chosen[0].unionAll(chosen[1])
     found = docs.join(F.broadcast(chosen), docs[key] == F.col("sampled"))
     first = F.min(F.struct(F.xxhash64(docs[text]).alias("hash"), docs[text].alias("body")))
-    rows = sorted(tuple(r) for r in found.groupBy("label_of", "sampled").agg(first.alias("t")).select("label_of", "sampled", "t.body").collect())
+    drawn = found.groupBy("label_of", "sampled").agg(first.alias("t")).select("label_of", "sampled", "t.body")
+    # at most ``sample`` rows in each of the two groups
+    so_far = F.sum(F.octet_length("body")).over(Window.partitionBy("label_of").orderBy(*draw))
+    drawn = drawn.withColumn("so_far", so_far).filter(F.col("so_far") <= SAMPLE_BYTES).drop("so_far")
+    rows = sorted(tuple(r) for r in drawn.collect())
     return train([t for *_, t in rows], [y for y, *_ in rows])
 
 
