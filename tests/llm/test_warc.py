@@ -71,13 +71,12 @@ def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
     import gzip
 
     monkeypatch.setattr(warc, "FILE_BYTES", 1 << 16)
-    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 64)
     sizes = [10] * 100 + [5_000] * 40 + [30_000] * 8 + [200_000]
     pages = [(i, f"http://a/{i}", str(i).ljust(n, "x")) for i, n in enumerate(sizes)] + [(900, "http://a/r", str(110).ljust(5_000, "x"))]
     folder = str(tmp_path / "archives")
     warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(1), folder)
     files = [len(gzip.decompress(f.read_bytes())) for f in (tmp_path / "archives").glob("*.gz")]
-    assert sorted(files)[-2] < (1 << 16) + 64 * 1_000 and max(files) < 202_000 and len(files) < 60
+    assert sorted(files)[-2] < 2 << 16 and max(files) < 200_000 + (1 << 16) and 10 < len(files) < 60
     found = {r.page_id: r.payload for r in warc.read_archives(spark, folder).select("page_id", "payload").collect()}
     assert len(found) == len(pages) and found.pop(900) is None
     assert {k: bytes(v) if not isinstance(v, str) else v.encode() for k, v in found.items()} == {i: h.encode() for i, _, h in pages[:-1]}

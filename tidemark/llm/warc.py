@@ -25,8 +25,8 @@ from tidemark.scratch import Scratch
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DATE = "2024-01-01T00:00:00Z"
-RECORDS_PER_FILE = 8_000
-FILE_BYTES = 1 << 29  # of payload in an archive before compression, unless one page is longer
+FILE_BYTES = 1 << 29  # of records in an archive before compression
+SMALL_BYTES, HEADER_BYTES = 8 << 20, 600  # an archive that is not worth its file; what a record has besides its payload
 READ_BYTES = 1 << 20
 
 
@@ -63,28 +63,22 @@ def _urn(page, digest):
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
-def _size_classes(pages: DataFrame):
-    """``low, high, records``: page sizes that occur, by powers of 16, and how many such pages an archive may hold."""
-    first = FILE_BYTES // RECORDS_PER_FILE
-    size, sizes = F.octet_length("html"), [0]
-    while len(sizes) < 9 and (first << 4 * (len(sizes) - 1)) < 1 << 31:
-        sizes.append(first << 4 * (len(sizes) - 1))
-    sizes.append(1 << 31)
-    occurs = [F.max((size >= low) & (size < high)) for low, high in zip(sizes, sizes[1:])]
-    for low, high, found in zip(sizes, sizes[1:], pages.agg(*occurs).first()):
-        if found:
-            yield low, high, max(1, min(RECORDS_PER_FILE, FILE_BYTES // high))
+def _archives(pages: DataFrame) -> int:
+    """How many archives: so many that they are half full on average, and, below that, one for each task of a shuffle."""
+    total = pages.agg(F.sum(F.octet_length("html") + HEADER_BYTES)).first()[0] or 0
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-2 * total // FILE_BYTES), min(tasks, -(-total // SMALL_BYTES)))
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> None:
     """One record per page, equal payloads once, as gzipped WARC files in ``folder``.
 
-    Pages of each size class are written on their own, long ones in files of fewer records, so the payload of a
-    file stays within ``FILE_BYTES`` unless a single page is longer.
+    Records are dealt evenly to as many files as their bytes ask for, in one pass, so that a file holds about half of
+    ``FILE_BYTES``, and more than that only where single pages are nearly as long.
     """
     pages = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     pages = pages.withColumn("payload_digest", base32_sha1(F.col("html"))).alias("p")
-    again = Scratch(pages.sparkSession).keep(revisits(pages, least_bytes), "revisits").alias("r")  # for all size classes
+    again = Scratch(pages.sparkSession).keep(revisits(pages, least_bytes), "revisits").alias("r")
     typed = pages.join(
         again, F.col("p.page_id").eqNullSafe(F.col("r.page_id")) & (F.col("p.payload_digest") == F.col("r.payload_digest")), "left"
     ).select("p.*", "r.refers_to")
@@ -110,11 +104,10 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> None:
         _line("X-Refers-To-Page-ID", F.col("refers_to").cast("string")),
         F.lit("Content-Type: application/http; msgtype=response\r\nContent-Length: "), size.cast("string"),
         F.lit("\r\n\r\n"), http, payload)
-    records = typed.select(record.alias("value"), F.octet_length("html").alias("size"))
-    options = {"lineSep": "\r\n\r\n", "compression": "gzip"}
-    for number, (low, high, most) in enumerate(list(_size_classes(pages)) or [(0, 1, RECORDS_PER_FILE)]):
-        part = records.filter((F.col("size") >= low) & (F.col("size") < high)).select("value")
-        part.write.mode("append" if number else "error").options(**options, maxRecordsPerFile=most).text(folder)
+    # a row's own number deals it out, so equal rows spread like any others
+    place = F.xxhash64(F.monotonically_increasing_id())
+    dealt = typed.select(record.alias("value"), place.alias("place")).repartition(_archives(pages), "place").select("value")
+    dealt.write.mode("error").options(lineSep="\r\n\r\n", compression="gzip").text(folder)
 
 
 def _records(content):
