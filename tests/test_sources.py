@@ -26,7 +26,7 @@ from tidemark.sources.contracts import (
     gaps,
     incomplete_records,
 )
-from tidemark.sources.feeds import bronze
+from tidemark.sources.feeds import bronze, parsed
 
 
 HEADERS = {
@@ -51,7 +51,7 @@ def load(spark, tmp_path, contract, files, name="lake", **options):
     """Bronze rows of one feed's files, by number."""
     landed, root = land(spark, tmp_path, files, name)
     lines, blocks = (read_batch(spark, root, table, "B") for table in (landing.RAW_LINES, landing.RAW_BLOCKS))
-    rows = bronze(lines, blocks, contract, landed, "B", "2026-08-01 00:00:00", Scratch(spark), **options)
+    rows = bronze(parsed(lines, blocks, contract, Scratch(spark), **options), contract, landed, "B", "2026-08-01 00:00:00")
     return sorted(rows.collect(), key=lambda r: r["source_row_number"])
 
 

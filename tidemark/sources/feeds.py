@@ -58,18 +58,9 @@ def source_file(path, contract: Contract):
     return F.regexp_extract(plain, f"(?s)^.*?/({name}(?:/.*)?)$", 1)
 
 
-def bronze(
-    lines: DataFrame,
-    blocks: DataFrame,
-    contract: Contract,
-    checksums: DataFrame,
-    batch_id: str,
-    ingested_at: str,
-    scratch: Scratch,
-    line_breaks: bool = True,
-) -> DataFrame:
-    """Numbered rows with lineage, from one feed's landed lines and their blocks. ``checksums`` has one row per
-    source file. Without ``line_breaks`` every line of a CSV feed is a record, whatever its quotes."""
+def parsed(lines: DataFrame, blocks: DataFrame, contract: Contract, scratch: Scratch, line_breaks: bool = True) -> DataFrame:
+    """Numbered rows of one feed's landed lines and their blocks, with their file. Without ``line_breaks`` every line of
+    a CSV feed is a record, whatever its quotes."""
     mine = F.col("source_name") == contract.entity
     rows, headers = numbered_records(
         lines.where(mine), blocks.where(mine), scratch, ROW_NUMBER, not contract.is_json, line_breaks
@@ -78,6 +69,11 @@ def bronze(
         rows = json_columns(rows, contract)
     else:
         rows = csv_columns(rows, header_fields(headers, contract), contract)
+    return rows
+
+
+def bronze(rows: DataFrame, contract: Contract, checksums: DataFrame, batch_id: str, ingested_at: str) -> DataFrame:
+    """Parsed rows with their lineage. ``checksums`` has one row per source file."""
     digests = checksums.select("source_file", F.col("checksum").alias("source_checksum"))
     traced = rows.join(digests, "source_file", "left")
     if "active" in contract.columns:

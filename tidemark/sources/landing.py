@@ -50,9 +50,30 @@ def land(
 
     Stores four tables: the lines, the blocks in which files were read, the checksum tree and the files.
     """
+    stored, blocks = copy_lines(spark, paths, feeds, root, batch_id, run_id)
+    return describe(spark, paths, feeds, stored, blocks, root, batch_id, run_id)
+
+
+def copy_lines(
+    spark: SparkSession, paths: dict[str, str], feeds: tuple[Contract, ...], root: str, batch_id: str, run_id: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The stored lines of all files, and the blocks in which they were read."""
     lines = reduce(DataFrame.unionByName, [_lines(spark, paths[feed.entity], feed) for feed in feeds])
     stored = replace_batch(lines, root, RAW_LINES, batch_id, run_id=run_id)
-    blocks = replace_batch(_blocks(stored), root, RAW_BLOCKS, batch_id, run_id=run_id)
+    return stored, replace_batch(_blocks(stored), root, RAW_BLOCKS, batch_id, run_id=run_id)
+
+
+def describe(
+    spark: SparkSession,
+    paths: dict[str, str],
+    feeds: tuple[Contract, ...],
+    stored: DataFrame,
+    blocks: DataFrame,
+    root: str,
+    batch_id: str,
+    run_id: str | None = None,
+) -> DataFrame:
+    """Hash the stored lines again, grow their trees, and list the files with both."""
     scratch = Scratch(spark)
     try:
         grown = replace_batch(_tree(stored, blocks, F.col("line_hash"), scratch), root, RAW_TREE, batch_id, run_id=run_id)
