@@ -8,7 +8,8 @@ quotes in it open and close) is worked out while it is copied, and Bronze rows c
 
 A file's checksum is the root of a tree over the SHA-256 of its lines in order (``operators.tree``): many tasks
 hash one file, how it was split does not show, and a lost, changed or swapped line is found by its range.
-Files of at most ``WHOLE_BYTES`` also have the plain SHA-256 of their bytes, as other tools compute it.
+Files of at most ``WHOLE_BYTES`` also have the plain SHA-256 of their bytes, as other tools compute it; for that
+alone they are read a second time.
 """
 
 from __future__ import annotations
