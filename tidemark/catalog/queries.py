@@ -677,7 +677,7 @@ def files_to_absent_keys(spark, sf_dir):
 def files_to_checksums(spark, sf_dir):
     """Sizes and checksums of the offers feed, of one file, as landing records them."""
     folder = run_scratch(spark).root
-    source = star.write_one_file_feeds(spark, sf_dir, f"{folder}/source")
+    source = star.write_one_file_feeds(spark, sf_dir, f"{folder}/source", whole=(OFFERS.entity,))
     landed = landing.land(tune(spark), feed_paths(source), FEEDS, f"{folder}/lake", "B")
     return landed.where(F.col("source_name") == OFFERS.entity).select(
         "size_bytes", "copied_bytes", "checksum", "checksum_kind", "sha256"

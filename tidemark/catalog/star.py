@@ -7,6 +7,8 @@ no file row number; versions tie-break on amount, part and supplier, which leave
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from tidemark.plans import bookings as b
 from tidemark.plans import payments as p
 from tidemark.plans import settlement as s
 from tidemark.plans.checks import Layers
-from tidemark.scratch import materialise, together
+from tidemark.scratch import Scratch, materialise, together
 from tidemark.session import tune
 from tidemark.sources.contracts import FEEDS
 
@@ -266,12 +268,25 @@ def write_sparse_payments(spark: SparkSession, sf_dir: str, folder: str) -> str:
     return _write(bronze_bookings(spark, sf_dir), payments, bronze_offers(spark, sf_dir), folder)
 
 
-def write_one_file_feeds(spark: SparkSession, sf_dir: str, folder: str) -> str:
-    """The feeds with one file each, whose lines are in key order."""
-    return _write(bronze_bookings(spark, sf_dir), bronze_payments(spark, sf_dir), bronze_offers(spark, sf_dir), folder, files=1)
+def write_one_file_feeds(spark: SparkSession, sf_dir: str, folder: str, whole: tuple[str, ...] | None = None) -> str:
+    """The feeds with one file each, whose lines are in key order. With ``whole``, only the entities named there
+    have one file; the others have part files."""
+    whole = tuple(feed.entity for feed in FEEDS) if whole is None else whole
+    return _write(bronze_bookings(spark, sf_dir), bronze_payments(spark, sf_dir), bronze_offers(spark, sf_dir), folder, whole=whole)
+
+
+def _one_file(spark: SparkSession, parts: str, path: str, header: str | None) -> None:
+    """One text file of the lines of all part files, in the order of their names. The task that writes it
+    holds a line at a time: the parts are sorted already."""
+    reader = spark.read.option("lineSep", "\n")
+    names = sorted(uri.rpartition("/")[2] for uri in reader.text(parts).inputFiles())
+    lines = [reader.text(f"{parts}/{name}") for name in names]
+    if header is not None:
+        lines.insert(0, spark.range(1, numPartitions=1).select(F.lit(header).alias("value")))
+    reduce(DataFrame.unionAll, lines).coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(path)
 
 
-def _write(bookings: DataFrame, payments: DataFrame, offers: DataFrame, folder: str, escape: str = "\\", files: int | None = None) -> str:
+def _write(bookings: DataFrame, payments: DataFrame, offers: DataFrame, folder: str, escape: str = "\\", whole: tuple[str, ...] = ()) -> str:
     feeds = {
         "bookings.csv": (bookings, ["booking_id", "updated_at", *TIE_BREAK]),
         "payments.jsonl": (payments, ["payment_id", "paid_at", "amount"]),
@@ -281,9 +296,14 @@ def _write(bookings: DataFrame, payments: DataFrame, offers: DataFrame, folder:
     def write(feed):
         rows, order = feeds[feed.file_name]
         rows = rows.sort(*order).select(*feed.columns)
-        writer = (rows if files is None else rows.coalesce(files)).write.mode("overwrite")
-        path = f"{folder}/{feed.file_name}"
-        writer.json(path) if feed.is_json else writer.option("header", True).option("escape", escape).csv(path)
+        one_file, spark = feed.entity in whole, rows.sparkSession
+        scratch, path = Scratch(spark), f"{folder}/{feed.file_name}"
+        parts = f"{scratch.root}/parts" if one_file else path
+        writer = rows.write.mode("overwrite")
+        writer.json(parts) if feed.is_json else writer.option("header", not one_file).option("escape", escape).csv(parts)
+        if one_file:
+            _one_file(spark, parts, path, None if feed.is_json else ",".join(feed.columns))
+            scratch.drop()
 
     together(*[lambda feed=feed: write(feed) for feed in FEEDS])
     return folder
