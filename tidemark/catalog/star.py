@@ -143,10 +143,16 @@ def settled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.settle(current, p.latest_payment(p.silver_payments(payments)))
 
 
+# What payments, outcomes and rejects read of a booking.
+OUTCOME = ("booking_id", "booking_status", "gross_amount", "updated_at", "batch_id")
+
+
 def quarantine_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = materialise(judged_bookings(spark, sf_dir), "judged")
+    """All rejects. Of the judged bookings only the columns that rejects depend on are stored and shuffled."""
+    judged = judged_bookings(spark, sf_dir).select(*OUTCOME, "source_row_number", "validation_reason", "source_file", *TIE_BREAK)
+    judged = materialise(judged, "judged")
     order = direction("latest", ["updated_at", *TIE_BREAK])
-    versions = keep_one(b.typed_versions(judged, TIE_BREAK), ["booking_id"], order)
+    versions = keep_one(b.typed_versions(judged, TIE_BREAK, OUTCOME), ["booking_id"], order)
     current = materialise(versions.drop(*TIE_BREAK), "candidates")
     matched = p.validate_payments(bronze_payments(spark, sf_dir), current)
     payments = materialise(p.judged_payments(matched), "payments")
@@ -158,6 +164,24 @@ def quarantine_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_by_mode(spark: SparkSession, sf_dir: str, modes: tuple[str, ...]) -> list[DataFrame]:
+    """Gold of each mode, stored. Bronze payments and judged bookings, the same for all modes, are stored once."""
+    judged, payments = together(
+        lambda: materialise(judged_bookings(spark, sf_dir), "judged"),
+        lambda: materialise(bronze_payments(spark, sf_dir), "payments"),
+    )
+    hot = hot_keys(judged, ["booking_id"])
+
+    def daily(mode):
+        ranked = b.rank_bookings(judged, mode, TIE_BREAK, hot)
+        current = materialise(b.current_candidates(ranked), "candidates")
+        matched = p.judged_payments(p.validate_payments(payments, current))
+        detail = s.revenue_detail(s.settle(current, p.latest_payment(p.silver_payments(matched))))
+        return materialise(s.daily_revenue(detail, one_row_per_booking=True), "daily")
+
+    return [daily(mode) for mode in modes]
+
+
 def layers(spark: SparkSession, sf_dir: str, dedup_mode: str = "latest", gold: bool = True) -> Layers:
     """All tables of one batch, each stored once, for the check suites. Without ``gold``, rejects
     are not stored and Gold is not worked out, for questions that need neither."""

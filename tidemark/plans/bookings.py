@@ -136,24 +136,28 @@ def judged_bookings(validated: DataFrame, keep: Sequence[str] = ()) -> DataFrame
     )
 
 
-def typed_versions(judged: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Valid versions with the columns and widths of Silver."""
-    return accepted(judged).select(
-        "booking_id",
-        "offer_id",
-        "client_id_hash",
-        "source_channel",
-        "booking_ts",
-        "service_date",
-        "booking_status",
-        stored_amount(F.col("gross_amount"), F.col("booking_id")).alias("gross_amount"),
-        "currency",
-        "updated_at",
-        "destination",
-        "commission_rate",
-        "batch_id",
-        *keep,
-    )
+# The columns of a Silver booking.
+VERSION = (
+    "booking_id",
+    "offer_id",
+    "client_id_hash",
+    "source_channel",
+    "booking_ts",
+    "service_date",
+    "booking_status",
+    "gross_amount",
+    "currency",
+    "updated_at",
+    "destination",
+    "commission_rate",
+    "batch_id",
+)
+
+
+def typed_versions(judged: DataFrame, keep: Sequence[str] = (), wanted: Sequence[str] = VERSION) -> DataFrame:
+    """Valid versions with the columns and widths of Silver, or those of them that are ``wanted``."""
+    width = {"gross_amount": stored_amount(F.col("gross_amount"), F.col("booking_id")).alias("gross_amount")}
+    return accepted(judged).select(*[width.get(name, F.col(name)) for name in VERSION if name in wanted], *keep)
 
 
 def rank_bookings(
