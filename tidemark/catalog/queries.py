@@ -176,7 +176,7 @@ def changed_ranges(spark, sf_dir):
     """Months in which Gold of the newest versions and Gold of the oldest differ, by their digests, and the
     rows that differ there."""
     keep = run_scratch(spark).keep
-    now, before = (keep(star.layers(spark, sf_dir, mode).daily_revenue, "gold") for mode in ("latest", "oldest"))
+    now, before = star.daily_by_mode(spark, sf_dir, ("latest", "oldest"))
     ranges = keep(replay.changed_ranges(replay.range_digests(now), replay.range_digests(before)), "ranges")
     differing = replay.changed_rows(now, before, ranges).groupBy("key_range").agg(F.sum("copies").alias("differing"))
     return ranges.join(differing, "key_range").select("key_range", "rows_now", "rows_before", "differing")
