@@ -27,8 +27,11 @@ def gold_fingerprint(gold: DataFrame) -> DataFrame:
     return bag_digest(gold.select(*GOLD_TEXT), _gold_measures()).withColumnRenamed("digest", "gold_digest")
 
 
-def ordered_gold_fingerprint(gold: DataFrame, scratch: Scratch) -> DataFrame:
-    """The same with a digest of the rows in order: the root of a tree, at any size."""
+def ordered_gold_fingerprint(gold: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """The same with a digest of the rows in order: the root of a tree, at any size. Without ``scratch``, the
+    flat form for small tables."""
+    if scratch is None:
+        return flat_gold_fingerprint(gold)
     text = F.concat_ws("|", *[F.col(name).cast("string") for name in GOLD_TEXT])
     order = [F.col(name).asc_nulls_last() for name in ("business_date", "destination", "batch_id")]
     digest = ordered_tree_digest(gold, text, order, scratch).select(F.lit(1).alias("one"), F.col("digest").alias("gold_digest"))
