@@ -12,6 +12,9 @@ RUNTIME = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Shuffles begin with this many partitions and are merged to the size that data has: with as few as cores, the
+    # memory of one task would grow with the input.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "200",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even where the next operator then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
