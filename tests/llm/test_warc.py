@@ -4,6 +4,8 @@ import base64
 import gzip
 import hashlib
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import warc
 from tidemark.llm.shipping import ship
 from tidemark.scratch import Scratch
@@ -80,3 +82,10 @@ def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
     found = {r.page_id: r.payload for r in warc.read_archives(spark, folder).select("page_id", "payload").collect()}
     assert len(found) == len(pages) and found.pop(900) is None
     assert {k: bytes(v) if not isinstance(v, str) else v.encode() for k, v in found.items()} == {i: h.encode() for i, _, h in pages[:-1]}
+
+
+def test_digests_hash_a_payload_once(spark):
+    texts = ["", "a", "é東🎉", "x" * 5000] + [f"text {i}" for i in range(500)]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select("t", warc.base32_sha1(F.col("t")).alias("d"))
+    assert {r.t: r.d for r in df.collect()} == {t: sha(t) for t in texts} | {None: None}
+    assert str(df._jdf.queryExecution().optimizedPlan()).count("sha1(") == 1

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.scratch import Scratch
 
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+ALPHABET, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 DATE = "2024-01-01T00:00:00Z"
 FILE_BYTES = 1 << 29  # of records in an archive before compression
 SMALL_BYTES, HEADER_BYTES = 8 << 20, 600  # an archive that is not worth its file; what a record has besides its payload
@@ -31,14 +31,14 @@ READ_BYTES = 1 << 20
 
 
 def base32_sha1(column):
-    """SHA-1 of a column's bytes in upper-case base32, without prefix."""
-    hexed, letters = F.sha1(column.cast("binary")), []
-    for i in range(8):
-        twenty_bits = F.conv(F.substring(hexed, 5 * i + 1, 5), 16, 10).cast("int")
-        for shift in (15, 10, 5, 0):
-            at = F.shiftright(twenty_bits, shift).bitwiseAND(F.lit(31)) + 1
-            letters.append(F.substring(F.lit(ALPHABET), at, F.lit(1)))
-    return F.concat(*letters)
+    """SHA-1 of a column's bytes in upper-case base32, without prefix. The bytes are hashed once: a digest named in
+    each of its parts would be worked out again for every one of them."""
+
+    def letters(hexed):
+        groups = [F.lpad(F.conv(F.substring(hexed, at, size), 16, 32), size * 4 // 5, "0") for at, size in ((1, 15), (16, 15), (31, 10))]
+        return F.translate(F.concat(*groups), DIGITS, ALPHABET)
+
+    return F.transform(F.array(F.sha1(column.cast("binary"))), letters)[0]
 
 
 def revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
