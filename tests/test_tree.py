@@ -37,6 +37,30 @@ def test_roots_equal_hashlib(spark, fan):
     assert {r.g: (r.first, r["last"]) for r in found} == {g: (0, len(texts) - 1) for g, texts in rows.items()}
 
 
+def test_nodes_read_in_order_are_finished_before_the_shuffle(spark):
+    """Rows with a number of their own, in order or not, next to rows in pieces: the same tree, of few shuffled rows."""
+    rng, fan = random.Random(5), 8
+    rows = [(g, n, 0, 1, f"{g}{n}") for g, size in (("a", 1000), ("b", 17), (None, 9)) for n in range(size)]
+    rows += [("p", n, piece, 3, f"{n}.{piece}") for n in range(20) for piece in range(3)]
+    rows += [("q", n, piece, 1 + n % 2, f"{n}.{piece}") for n in range(20) for piece in range(1 + n % 2)]
+    schema = "g string, n long, piece int, pieces int, t string"
+    ordered = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3), schema)
+    mixed = spark.createDataFrame(spark.sparkContext.parallelize(rng.sample(rows, len(rows)), 4), schema)
+    measures = {"bytes": F.length("t"), "ones": F.lit(1)}
+
+    def levels(frame, alone):
+        made = tree.grow(frame, ["g"], "n", F.unhex(F.sha2("t", 256)), Scratch(spark).keep, ["piece"], measures, fan=fan, alone=alone)
+        return sorted((tuple(map(str, r)) for r in made.select("level", "g", "node", "digest", "first", "last", "bytes", "ones").collect()))
+
+    plain = levels(ordered, None)
+    assert plain == levels(ordered, F.col("pieces") == 1) == levels(mixed, F.col("pieces") == 1)
+    listed = ordered.select("g", "piece", F.col("n").alias("_number"), F.unhex(F.sha2("t", 256)).alias("_digest"), F.lit(1).alias("ones"), (F.col("pieces") == 1).alias("_alone"))
+    listed = listed.withColumn("ones", F.col("ones").cast("bigint"))
+    runs = tree._runs(listed.where("g = 'a'"), ["g", "piece"], ["ones"], fan)
+    assert runs.count() <= 125 + 3 and runs.agg(F.sum("ones")).first()[0] == 1000
+    assert runs.where("_whole").count() >= 122
+
+
 def test_damage_is_found_by_its_range(spark):
     rows = {"a": [f"{i}" for i in range(50)], "b": [f"{i}" for i in range(7)], "c": ["x"]}
     other = {"a": list(rows["a"]), "b": rows["b"] + ["more"], "d": ["y"]}
