@@ -27,7 +27,7 @@ from tidemark.sources.contracts import (
     gaps,
     incomplete_records,
 )
-from tidemark.sources.feeds import bronze, parsed
+from tidemark.sources.feeds import bronze, parsed, source_file
 
 
 HEADERS = {
@@ -422,3 +422,16 @@ def test_lines_of_long_records_are_put_together_once(spark, tmp_path):
     assert sorted(r["n"] for r in rows.collect()) == list(range(1, 22))
     assert {r["text"] for r in rows.collect()} == {f'B{i},"a\nb{i}",x' for i in range(20)} | {"C,d,e"}
     assert headers.count() == 2
+
+
+def test_only_paths_with_escapes_are_decoded(spark):
+    names = {
+        "file:/a/bookings.csv": "bookings.csv",
+        "file:/a/bookings.csv/part-1+2.csv": "bookings.csv/part-1+2.csv",
+        "file:/a%20b/bookings.csv/x%20y%25+%2B/p.csv": "bookings.csv/x y%++/p.csv",
+        "file:/bookings.csv/b/bookings.csv/p": "bookings.csv/b/bookings.csv/p",
+        "file:/a/bookings.csv.old/p": "",
+    }
+    df = spark.createDataFrame([(n,) for n in names], "path string").select("path", source_file(F.col("path"), BOOKINGS).alias("name"))
+    assert {r.path: r.name for r in df.collect()} == names
+    assert "contains(path#" in df._jdf.queryExecution().optimizedPlan().toString().lower()
