@@ -1,6 +1,7 @@
 """Text feeds, contracts and landing."""
 
 import csv
+import gzip
 import hashlib
 import io
 import json
@@ -269,6 +270,25 @@ def test_landing_keeps_the_bytes(spark, tmp_path):
     assert not landing.intact(landed.withColumn("size_bytes", F.col("size_bytes") + 4))
 
 
+def test_every_file_has_its_plain_sha256_whatever_its_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "WHOLE_BYTES", 100, raising=False)  # files beyond this once had none
+    mark, rows = landing.BYTE_ORDER_MARK, b"".join(b"line %d\n" % n for n in range(30_000))
+    files = {
+        "payments.jsonl/long": rows,
+        "payments.jsonl/marked": mark + rows,
+        "payments.jsonl/marked open": mark + rows[:-1],
+        "payments.jsonl/no text%": b"\xff\xc3\n" * 5000 + b"\r",
+        "payments.jsonl/feeds": b"\n" * 300,
+        "payments.jsonl/mark": mark,
+        "payments.jsonl/packed.gz": gzip.compress(rows),
+    }
+    for size in (1 << 30, 9000):
+        with split_every(spark, size):
+            landed, _ = land(spark, tmp_path, files, f"of {size}")
+            found = {row["source_file"]: row["sha256"] for row in landed.collect() if row["source_file"] in files}
+        assert found == {name: hashlib.sha256(data).hexdigest() for name, data in files.items()}
+
+
 def test_the_checksum_is_a_tree_that_others_can_compute(spark, tmp_path):
     lines = [f"line {n}".encode() for n in range(2500)]
     landed, _ = land(spark, tmp_path, {"payments.jsonl": b"\n".join(lines) + b"\n"})

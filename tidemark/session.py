@@ -27,16 +27,29 @@ RUNTIME = {
 }
 
 
+# With both at more bytes than a file has, files are not split, and none shares a task with another.
+WHOLE_FILES = {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50)}
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """A session of the same application with the library's settings on top of the caller's; the
     caller's own session stays as it is."""
     if all(spark.conf.get(key, None) == value for key, value in RUNTIME.items()):
         return spark
-    tuned = spark.newSession()
-    for key, value in {**spark.conf.getAll, **RUNTIME}.items():
-        if tuned.conf.isModifiable(key):
-            tuned.conf.set(key, value)
-    return tuned
+    return _with(spark, RUNTIME)
+
+
+def whole_files(spark: SparkSession) -> SparkSession:
+    """A session like the caller's whose scans read every file in one task of its own, in order."""
+    return _with(spark, WHOLE_FILES)
+
+
+def _with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    other = spark.newSession()
+    for key, value in {**spark.conf.getAll, **settings}.items():
+        if other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    return other
 
 
 def local_session(name: str = "tidemark", cores: int | None = None) -> SparkSession:

@@ -8,8 +8,9 @@ quotes in it open and close) is worked out while it is copied, and Bronze rows c
 
 A file's checksum is the root of a tree over the SHA-256 of its lines in order (``operators.tree``): many tasks
 hash one file, how it was split does not show, and a lost, changed or swapped line is found by its range.
-Files of at most ``WHOLE_BYTES`` also have the plain SHA-256 of their bytes, as other tools compute it; for that
-alone they are read a second time.
+Files also have the plain SHA-256 of their bytes, as other tools compute it, whatever their size. That hash goes
+through a file from its first byte to its last, so for that alone each file is read a second time, by one task that
+holds a batch of lines at a time.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import is_blank, total
 from tidemark.operators import tree
-from tidemark.scratch import Scratch
+from tidemark.scratch import Scratch, together
+from tidemark.session import whole_files
 from tidemark.sinks.writers import batch_path, read_batch, replace_batch
 from tidemark.sources.contracts import Contract
 from tidemark.sources.feeds import source_file
@@ -34,7 +36,6 @@ RAW_BLOCKS = "bronze/raw_blocks"
 RAW_TREE = "bronze/raw_tree"
 BYTE_ORDER_MARK = bytes([0xEF, 0xBB, 0xBF])
 PIECE_BYTES = 1 << 20
-WHOLE_BYTES = 64 << 20
 CHECKSUM_KIND = f"sha256-tree-{tree.FAN}"
 FILE = ["source_name", "source_file"]
 
@@ -77,10 +78,16 @@ def describe(
     """Hash the stored lines again, grow their trees, and list the files with both."""
     scratch = Scratch(spark)
     try:
-        grown = replace_batch(_tree(stored, blocks, F.col("line_hash"), scratch), root, RAW_TREE, batch_id, run_id=run_id)
+        grown, files = together(
+            lambda: replace_batch(_tree(stored, blocks, F.col("line_hash"), scratch), root, RAW_TREE, batch_id, run_id=run_id),
+            lambda: scratch.keep(reduce(DataFrame.unionByName, [_files(spark, paths[feed.entity], feed, scratch) for feed in feeds]), "files"),
+        )
+        return _describe(files, grown, root, batch_id, run_id)
     finally:
         scratch.drop()
-    files = reduce(DataFrame.unionByName, [_files(spark, paths[feed.entity], feed) for feed in feeds])
+
+
+def _describe(files: DataFrame, grown: DataFrame, root: str, batch_id: str, run_id: str | None) -> DataFrame:
     copied = tree.roots(grown, FILE).select(
         *FILE, F.lower(F.hex("digest")).alias("digest"), F.col("bytes").alias("copied_bytes"), "damaged_lines"
     )
@@ -98,13 +105,69 @@ def describe(
     return replace_batch(described, root, RAW_FILES, batch_id, run_id=run_id).drop("batch_id")
 
 
-def _files(spark, path, feed):
-    """The files of a feed. Only the bytes of small files are read, for their plain SHA-256."""
+def _files(spark, path, feed, scratch):
+    """The files of a feed, with the plain SHA-256 of their bytes."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    name = source_file(F.col("_metadata.file_path"), feed).alias("source_file")
-    small = listing.where(F.col("length") <= WHOLE_BYTES).select(F.col("path"), F.sha2("content", 256).alias("sha256"))
-    named = listing.select(F.lit(feed.entity).alias("source_name"), name, "path", F.col("length").alias("size_bytes"))
-    return named.join(small, "path", "left").withColumnRenamed("path", "source_path")
+    place = F.col("_metadata.file_path")
+    named = listing.select(
+        place.alias("place"),
+        F.lit(feed.entity).alias("source_name"),
+        source_file(place, feed).alias("source_file"),
+        F.col("path").alias("source_path"),
+        F.col("length").alias("size_bytes"),
+    )
+    files = named.join(scratch.keep(_plain_digests(spark, path), "digests"), "place", "left")
+    # Compressed files, whose lines are not their bytes, and files without lines are hashed as they are.
+    rest = [row["source_path"] for row in files.where(F.col("sha256").isNull()).collect()]
+    if rest:
+        content = spark.read.format("binaryFile").load(rest).select(place.alias("place"), F.sha2("content", 256).alias("content"))
+        files = files.join(content, "place", "left").withColumn("sha256", F.coalesce("sha256", "content")).drop("content")
+    return files.drop("place")
+
+
+def _plain_digests(spark, path):
+    """``place, sha256`` of every file with lines: each is read in order by one task. Null where the lines do not
+    make up the file's size."""
+    text = whole_files(spark).read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
+    first = F.monotonically_increasing_id() % (1 << 33) == 0
+    lines = text.select(
+        F.when(first, F.col("_metadata.file_path")).alias("place"),
+        F.when(first, F.col("_metadata.file_size")).alias("size"),
+        F.concat(F.lit(b"\n"), F.col("value").cast("binary")).alias("line"),
+    )
+    mark = BYTE_ORDER_MARK
+
+    def hashed(batches):
+        # imported here, as the function is sent to workers that need not have this package
+        import hashlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        place = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            line = batch.column("line")
+            width = np.int64 if pa.types.is_large_binary(line.type) else np.int32
+            ends = np.frombuffer(line.buffers()[1], width, len(line) + 1, line.offset * np.dtype(width).itemsize)
+            body = memoryview(line.buffers()[2])[ends[0] : ends[-1]]
+            if place is None:
+                place, size = batch.column("place")[0].as_py(), batch.column("size")[0].as_py()
+                # whether the file begins with a byte order mark shows at its end
+                hashes, read, body = {False: hashlib.sha256(), True: hashlib.sha256(mark)}, 1, body[1:]
+            for one in hashes.values():
+                one.update(body)
+            read += len(body)
+        if place is not None:
+            over, found = size - read, None
+            if over in (-1, 0, 2, 3):
+                found = hashes[over > 0]
+                found.update(b"\n" if over in (0, 3) else b"")
+                found = found.hexdigest()
+            yield pa.RecordBatch.from_pydict({"place": pa.array([place], pa.string()), "sha256": pa.array([found], pa.string())})
+
+    return lines.mapInArrow(hashed, "place string, sha256 string")
 
 
 def _lines(spark, path, feed):
