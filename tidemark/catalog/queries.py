@@ -687,10 +687,11 @@ def files_to_checksums(spark, sf_dir):
 @query
 def files_to_damaged_ranges(spark, sf_dir):
     """A landed feed whose copy is changed afterwards: the ranges of lines that are no longer what was landed."""
-    folder = run_scratch(spark).root
-    tuned = tune(spark)
+    scratch = run_scratch(spark)
+    folder, tuned = scratch.root, tune(spark)
     source = star.write_one_file_feeds(spark, sf_dir, f"{folder}/source", whole=(PAYMENTS.entity,))
     landing.land(tuned, feed_paths(source), FEEDS, f"{folder}/lake", "B")
+    scratch.drop("source")
     lines, blocks, grown = (read_batch(tuned, f"{folder}/lake", name, "B") for name in (landing.RAW_LINES, landing.RAW_BLOCKS, landing.RAW_TREE))
     number = landing.numbered_lines(lines, blocks)
     hurt = (F.col("source_name") == "payments") & (F.col("line_number") % 3001 == 77)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.quarantine import quarantine
@@ -45,7 +45,8 @@ def coded(column: str, codes: dict[str, str], otherwise: str | None = None):
     return found
 
 
-def bronze_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def placed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their order, in the columns and types that booking texts are made of."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
@@ -54,56 +55,101 @@ def bronze_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
     )
     placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    placed = placed.select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderdate",
+        coded("o_orderstatus", {"F": "CONFIRMED", "O": "PENDING", "P": "CANCELLED"}).alias("status"),
+        (F.col("o_orderpriority") == "5-LOW").alias("by_fax"),
+        (F.col("c_mktsegment") == "MACHINERY").alias("in_usd"),
+    )
     return lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        line_key().alias("booking_id"),
-        F.col("l_partkey").cast("string").alias("offer_id"),
-        F.col("o_custkey").cast("string").alias("client_id"),
-        F.when(F.col("o_orderpriority") == "5-LOW", "FAX").otherwise("WEB").alias("source_channel"),
-        F.col("o_orderdate").cast("string").alias("booking_ts"),
-        F.col("l_shipdate").cast("date").cast("string").alias("service_date"),
-        coded("o_orderstatus", {"F": "CONFIRMED", "O": "PENDING", "P": "CANCELLED"}).alias(
-            "booking_status"
-        ),
-        price().cast("string").alias("gross_amount"),
-        F.when(F.col("c_mktsegment") == "MACHINERY", "USD").otherwise("EUR").alias("currency"),
-        F.col("l_shipdate").cast("string").alias("updated_at"),
-        F.lit(BATCH).alias("batch_id"),
-        F.lit("lineitem").alias("source_file"),
-        F.lit(None).cast("bigint").alias("source_row_number"),
-        price().alias("line_amount"),
-        F.col("l_partkey").alias("line_part"),
-        F.col("l_suppkey").alias("line_supplier"),
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        "l_shipdate",
+        price().alias("price"),
+        "o_custkey",
+        "o_orderdate",
+        "status",
+        "by_fax",
+        "in_usd",
     )
 
 
-def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "F")
-    return lines.select(
-        F.concat_ws(
+def booking_texts() -> dict[str, Column]:
+    """The columns of Bronze bookings, from placed lines."""
+    return {
+        "booking_id": line_key(),
+        "offer_id": F.col("l_partkey").cast("string"),
+        "client_id": F.col("o_custkey").cast("string"),
+        "source_channel": F.when(F.col("by_fax"), "FAX").otherwise("WEB"),
+        "booking_ts": F.col("o_orderdate").cast("string"),
+        "service_date": F.col("l_shipdate").cast("date").cast("string"),
+        "booking_status": F.col("status"),
+        "gross_amount": F.col("price").cast("string"),
+        "currency": F.when(F.col("in_usd"), "USD").otherwise("EUR"),
+        "updated_at": F.col("l_shipdate").cast("string"),
+        "batch_id": F.lit(BATCH),
+        "source_file": F.lit("lineitem"),
+        "source_row_number": F.lit(None).cast("bigint"),
+        "line_amount": F.col("price"),
+        "line_part": F.col("l_partkey"),
+        "line_supplier": F.col("l_suppkey"),
+    }
+
+
+def closed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of closed lines, in the columns and types that payment texts are made of."""
+    return table(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "F").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate", price().alias("price")
+    )
+
+
+def payment_texts() -> dict[str, Column]:
+    """The columns of Bronze payments, from closed lines."""
+    return {
+        "payment_id": F.concat_ws(
             "-", line_key(), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
-        ).alias("payment_id"),
-        line_key().alias("booking_id"),
-        coded("l_returnflag", {"N": "PAID", "R": "REFUNDED", "A": "DECLINED"}).alias(
-            "payment_status"
         ),
-        price().cast("string").alias("amount"),
-        F.lit("EUR").alias("currency"),
-        F.col("l_shipdate").cast("string").alias("paid_at"),
-        F.lit(BATCH).alias("batch_id"),
-        F.lit("lineitem").alias("source_file"),
-        F.lit(None).cast("bigint").alias("source_row_number"),
-    )
+        "booking_id": line_key(),
+        "payment_status": coded("l_returnflag", {"N": "PAID", "R": "REFUNDED", "A": "DECLINED"}),
+        "amount": F.col("price").cast("string"),
+        "currency": F.lit("EUR"),
+        "paid_at": F.col("l_shipdate").cast("string"),
+        "batch_id": F.lit(BATCH),
+        "source_file": F.lit("lineitem"),
+        "source_row_number": F.lit(None).cast("bigint"),
+    }
+
+
+def offer_texts() -> dict[str, Column]:
+    """The columns of Bronze offers, from parts."""
+    return {
+        "offer_id": F.col("p_partkey").cast("string"),
+        "destination": F.col("p_brand"),
+        "commission_rate": (F.col("p_size") / 1000).cast("decimal(5,4)").cast("string"),
+        "active": F.col("p_type") != "ECONOMY",
+        "batch_id": F.lit(BATCH),
+        "source_file": F.lit("part"),
+    }
+
+
+def named(rows: DataFrame, texts: dict[str, Column]) -> DataFrame:
+    return rows.select(*[text.alias(name) for name, text in texts.items()])
+
+
+def bronze_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return named(placed_lines(spark, sf_dir), booking_texts())
+
+
+def bronze_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return named(closed_lines(spark, sf_dir), payment_texts())
 
 
 def bronze_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("offer_id"),
-        F.col("p_brand").alias("destination"),
-        (F.col("p_size") / 1000).cast("decimal(5,4)").cast("string").alias("commission_rate"),
-        (F.col("p_type") != "ECONOMY").alias("active"),
-        F.lit(BATCH).alias("batch_id"),
-        F.lit("part").alias("source_file"),
-    )
+    return named(table(spark, sf_dir, "part"), offer_texts())
 
 
 def validated_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,13 +274,12 @@ def layers(spark: SparkSession, sf_dir: str, dedup_mode: str = "latest", gold: b
 
 def write_text_feeds(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """The same feeds as text part files, in key order, for runs that start from files."""
-    bookings, payments = bronze_bookings(spark, sf_dir), bronze_payments(spark, sf_dir)
-    return _write(bookings, payments, bronze_offers(spark, sf_dir), folder)
+    return _write(spark, sf_dir, folder)
 
 
-def broken(column: str, fault, faults: dict[int, str]):
+def broken(column: Column, fault, faults: dict[int, str]):
     """The column with other text where ``fault`` has a number."""
-    found = F.col(column)
+    found = column
     for number, text in faults.items():
         found = F.when(fault == number, F.lit(text)).otherwise(found)
     return found
@@ -242,61 +287,54 @@ def broken(column: str, fault, faults: dict[int, str]):
 
 def write_faulty_feeds(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """Feeds whose text breaks a rule where the part or supplier number says so."""
-    fault = F.col("line_part") % 37
-    bookings = bronze_bookings(spark, sf_dir).withColumns(
-        {
-            "client_id": broken("client_id", fault, {0: "", 6: "  "}),
-            "gross_amount": broken("gross_amount", fault, {1: "many", 2: "-0.01"}),
-            "booking_ts": broken("booking_ts", fault, {3: "soon"}),
-            "booking_status": broken("booking_status", fault, {4: "HELD"}),
-            "offer_id": broken("offer_id", fault, {5: "none"}),
-        }
-    )
-    fault = F.split("payment_id", "-")[3].cast("long") % 11
-    payments = bronze_payments(spark, sf_dir).withColumns(
-        {
-            "currency": broken("currency", fault, {0: "", 5: "GBP"}),
-            "amount": broken("amount", fault, {1: "few", 2: "-3"}),
-            "paid_at": broken("paid_at", fault, {3: "later"}),
-            "payment_status": broken("payment_status", fault, {4: "LOST"}),
-        }
-    )
-    offers = bronze_offers(spark, sf_dir).withColumn(
-        "active", F.when(F.col("offer_id").cast("long") % 29 == 0, F.lit("perhaps")).otherwise(F.col("active").cast("string"))
-    )
-    return _write(bookings, payments, offers, folder)
+    fault, texts = F.col("l_partkey") % 37, booking_texts()
+    bookings = {
+        "client_id": broken(texts["client_id"], fault, {0: "", 6: "  "}),
+        "gross_amount": broken(texts["gross_amount"], fault, {1: "many", 2: "-0.01"}),
+        "booking_ts": broken(texts["booking_ts"], fault, {3: "soon"}),
+        "booking_status": broken(texts["booking_status"], fault, {4: "HELD"}),
+        "offer_id": broken(texts["offer_id"], fault, {5: "none"}),
+    }
+    texts = payment_texts()
+    fault = F.split(texts["payment_id"], "-")[3].cast("long") % 11
+    payments = {
+        "currency": broken(texts["currency"], fault, {0: "", 5: "GBP"}),
+        "amount": broken(texts["amount"], fault, {1: "few", 2: "-3"}),
+        "paid_at": broken(texts["paid_at"], fault, {3: "later"}),
+        "payment_status": broken(texts["payment_status"], fault, {4: "LOST"}),
+    }
+    texts = offer_texts()
+    perhaps = F.when(texts["offer_id"].cast("long") % 29 == 0, F.lit("perhaps")).otherwise(texts["active"].cast("string"))
+    return _write(spark, sf_dir, folder, bookings, payments, {"active": perhaps})
 
 
 def write_broken_lines(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """Feeds whose client ids hold line breaks, commas and quotes where the part number says so."""
-    kind, client = F.col("line_part") % 23, F.col("client_id")
+    kind, client = F.col("l_partkey") % 23, booking_texts()["client_id"]
     text = (
         F.when(kind == 0, F.concat(F.lit("guest\n"), client))
         .when(kind == 1, F.concat(client, F.lit(', "of"\n\nthe house')))
         .when(kind == 2, F.concat(client, F.lit('" pipe')))
         .otherwise(client)
     )
-    bookings = bronze_bookings(spark, sf_dir).withColumn("client_id", text)
-    return _write(bookings, bronze_payments(spark, sf_dir), bronze_offers(spark, sf_dir), folder, escape='"')
+    return _write(spark, sf_dir, folder, {"client_id": text}, escape='"')
 
 
 def write_sparse_payments(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """Feeds whose payments lack a currency or a time where the supplier number says so; a missing value has no key."""
-    supplier = F.split("payment_id", "-")[3].cast("long")
-    payments = bronze_payments(spark, sf_dir).withColumns(
-        {
-            "currency": F.when(supplier % 7 != 0, F.col("currency")),
-            "paid_at": F.when(supplier % 5 != 0, F.col("paid_at")),
-        }
-    )
-    return _write(bronze_bookings(spark, sf_dir), payments, bronze_offers(spark, sf_dir), folder)
+    texts = payment_texts()
+    supplier = F.split(texts["payment_id"], "-")[3].cast("long")
+    payments = {
+        "currency": F.when(supplier % 7 != 0, texts["currency"]),
+        "paid_at": F.when(supplier % 5 != 0, texts["paid_at"]),
+    }
+    return _write(spark, sf_dir, folder, payments=payments)
 
 
 def write_one_file_feeds(spark: SparkSession, sf_dir: str, folder: str, whole: tuple[str, ...] | None = None) -> str:
     """The feeds with one file each, whose lines are in key order. With ``whole``, only the entities named there
     have one file; the others have part files."""
-    whole = tuple(feed.entity for feed in FEEDS) if whole is None else whole
-    return _write(bronze_bookings(spark, sf_dir), bronze_payments(spark, sf_dir), bronze_offers(spark, sf_dir), folder, whole=whole)
+    return _write(spark, sf_dir, folder, whole=tuple(feed.entity for feed in FEEDS) if whole is None else whole)
 
 
 def _one_file(spark: SparkSession, parts: str, path: str, header: str | None) -> None:
@@ -310,20 +348,36 @@ def _one_file(spark: SparkSession, parts: str, path: str, header: str | None) ->
     reduce(DataFrame.unionAll, lines).coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(path)
 
 
-def _write(bookings: DataFrame, payments: DataFrame, offers: DataFrame, folder: str, escape: str = "\\", whole: tuple[str, ...] = ()) -> str:
+def _in_order(rows: DataFrame, texts: dict[str, Column], order: list[str]) -> DataFrame:
+    """The texts of all rows, sorted. Rows are dealt to ranges in the types they have in the tables, a fraction of their
+    texts; these are made and sorted behind that shuffle."""
+    return named(rows.repartitionByRange(*[texts[name] for name in order]), texts).sortWithinPartitions(*order)
+
+
+def _write(
+    spark: SparkSession,
+    sf_dir: str,
+    folder: str,
+    bookings: dict[str, Column] = {},
+    payments: dict[str, Column] = {},
+    offers: dict[str, Column] = {},
+    escape: str = "\\",
+    whole: tuple[str, ...] = (),
+) -> str:
+    """The three feeds as text files, with other texts in the columns named."""
     feeds = {
-        "bookings.csv": (bookings, ["booking_id", "updated_at", *TIE_BREAK]),
-        "payments.jsonl": (payments, ["payment_id", "paid_at", "amount"]),
-        "offers.csv": (offers, ["offer_id"]),
+        "bookings.csv": (placed_lines(spark, sf_dir), {**booking_texts(), **bookings}, ["booking_id", "updated_at", *TIE_BREAK]),
+        "payments.jsonl": (closed_lines(spark, sf_dir), {**payment_texts(), **payments}, ["payment_id", "paid_at", "amount"]),
+        "offers.csv": (table(spark, sf_dir, "part"), {**offer_texts(), **offers}, ["offer_id"]),
     }
 
     def write(feed):
-        rows, order = feeds[feed.file_name]
-        rows = rows.sort(*order).select(*feed.columns)
+        rows, texts, order = feeds[feed.file_name]
+        rows = _in_order(rows, texts, order).select(*feed.columns)
         one_file, spark = feed.entity in whole, rows.sparkSession
         scratch, path = Scratch(spark), f"{folder}/{feed.file_name}"
         parts = f"{scratch.root}/parts" if one_file else path
-        writer = rows.write.mode("overwrite")
+        writer = rows.write.mode("overwrite").option("compression", "gzip" if one_file else "none")
         writer.json(parts) if feed.is_json else writer.option("header", not one_file).option("escape", escape).csv(parts)
         if one_file:
             _one_file(spark, parts, path, None if feed.is_json else ",".join(feed.columns))

@@ -38,9 +38,10 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self) -> None:
+    def drop(self, name: str | None = None) -> None:
+        """Delete the folder, or what lies in it under one name."""
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        path = jvm.org.apache.hadoop.fs.Path(self.root if name is None else f"{self.root}/{name}")
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         path.getFileSystem(conf).delete(path, True)
 

@@ -22,6 +22,8 @@ RUNTIME = {
     "spark.sql.sources.fileCompressionFactor": "3.0",
     # Long rule chains compile to methods the JVM would not optimise; run them as several.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Shuffle files go when the query that wrote them is over, not when the driver next collects garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # batch_id=001 is a name, not the number 1.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
