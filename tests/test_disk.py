@@ -4,12 +4,14 @@ import time
 from pathlib import Path
 
 import pytest
+from feeds import scenario, write_feeds
 from pyspark.sql import functions as F
 
-from tidemark import scratch
+from tidemark import run_pipeline, scratch
 from tidemark.catalog import star
 from tidemark.catalog.queries import QUERIES
 from tidemark.session import tune
+from tidemark.sources import landing
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,7 +31,7 @@ def test_shuffle_files_go_with_their_query(spark):
     assert set(shuffle_files(spark)) <= before
 
 
-@pytest.mark.parametrize("name", ["files_to_damaged_ranges"])
+@pytest.mark.parametrize("name", ["files_to_gold", "files_to_damaged_ranges"])
 def test_written_feeds_go_once_they_are_landed(spark, name):
     rows = QUERIES[name](spark, SF)
     root = next(Path(s.root) for s in reversed(scratch._until_exit) if (Path(s.root) / "lake").is_dir())
@@ -37,6 +39,16 @@ def test_written_feeds_go_once_they_are_landed(spark, name):
     assert rows.count()
 
 
+def test_a_source_may_go_when_its_copy_is_proven(spark, tmp_path, monkeypatch):
+    source = str(write_feeds(tmp_path / "source", *scenario()))
+    gone = []
+    run = run_pipeline(spark, source, str(tmp_path / "lake"), when_landed=lambda: gone.append(1))
+    assert gone == [1] and run.metrics["source_rows"]["bookings"]
+    monkeypatch.setattr(landing, "intact", lambda landed: False)
+    run_pipeline(spark, source, str(tmp_path / "other"), when_landed=lambda: gone.append(2))
+    assert gone == [1]
+
+
 def test_feeds_are_shuffled_before_they_are_text(spark):
     for rows, texts, order in (
         (star.placed_lines(spark, SF), star.booking_texts(), ["booking_id", "updated_at"]),
