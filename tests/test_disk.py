@@ -31,7 +31,7 @@ def test_shuffle_files_go_with_their_query(spark):
     assert set(shuffle_files(spark)) <= before
 
 
-@pytest.mark.parametrize("name", ["files_to_gold", "files_to_damaged_ranges"])
+@pytest.mark.parametrize("name", ["files_to_gold", "two_batches", "files_to_damaged_ranges"])
 def test_written_feeds_go_once_they_are_landed(spark, name):
     rows = QUERIES[name](spark, SF)
     root = next(Path(s.root) for s in reversed(scratch._until_exit) if (Path(s.root) / "lake").is_dir())
